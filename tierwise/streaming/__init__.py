@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming operator: runs are daily full-refresh
+batches and six-hourly monitoring queries over tables that are rewritten
+in full.  There is no watermark, window, late-data rule or per-key state
+to rebuild, so nothing lives here; see README.md ("Not built").
+"""
