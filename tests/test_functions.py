@@ -1,0 +1,68 @@
+"""Column helpers: tolerant casts, guarded ratios, exact averages."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tierwise.functions import casts, metrics
+
+
+def _one(spark, expr, value, schema="v string"):
+    return spark.createDataFrame([(value,)], schema).select(expr.alias("r")).first()["r"]
+
+
+def test_safe_date_rejects_partial_and_junk(spark):
+    c = casts.safe_date(F.col("v"))
+    assert _one(spark, c, "2024") is None
+    assert _one(spark, c, "2024-01") is None
+    assert _one(spark, c, "abc") is None
+    assert _one(spark, c, "") is None
+    assert _one(spark, c, "2024-02-30") is None
+    assert _one(spark, c, " 2024-01-05 ") == dt.date(2024, 1, 5)
+    assert _one(spark, c, "2024-1-5") == dt.date(2024, 1, 5)
+
+
+def test_safe_timestamp_trims(spark):
+    c = casts.safe_timestamp(F.col("v"))
+    assert _one(spark, c, "  2024-01-05 08:30:00 ") == dt.datetime(2024, 1, 5, 8, 30)
+    assert _one(spark, c, "2024-01-05T17:45:00") == dt.datetime(2024, 1, 5, 17, 45)
+    assert _one(spark, c, "pending") is None
+    assert _one(spark, c, "2024") is None
+
+
+def test_safe_money(spark):
+    c = casts.safe_money(F.col("v"))
+    assert _one(spark, c, "1,000") is None
+    assert _one(spark, c, "$5") is None
+    assert _one(spark, c, "N/A") is None
+    assert _one(spark, c, " 5 ") == Decimal("5.000000000")
+    assert _one(spark, c, "68423.46") == Decimal("68423.460000000")
+
+
+def test_strict_cast_raises_under_ansi(spark):
+    import pytest
+    df = spark.createDataFrame([("not a date",)], "v string")
+    with pytest.raises(Exception):
+        df.select(casts.strict_date("v")).collect()
+
+
+def test_pct_ratio_zero_and_null(spark):
+    df = spark.createDataFrame([(5.0, 0.0), (5.0, None), (1.0, 4.0)], "n double, d double")
+    got = [r[0] for r in df.select(metrics.pct_ratio(F.col("n"), F.col("d"))).collect()]
+    assert got == [0.0, None, 25.0]
+
+
+def test_avg_exact_empty_is_null(spark):
+    df = spark.createDataFrame([(Decimal("10"), 0), (Decimal("10"), 4)], "t decimal(10,0), n long")
+    got = [r[0] for r in df.select(metrics.avg_exact(F.col("t"), F.col("n"))).collect()]
+    assert got == [None, 2.5]
+
+
+def test_stamp_is_zone_free(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        v = spark.range(1).select(metrics.stamp("2024-01-29 12:00:00").alias("s")).first()["s"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert v == dt.datetime(2024, 1, 29, 12, 0)
