@@ -1,0 +1,77 @@
+"""Bronze readers and sinks."""
+
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+
+from tierwise.sources import bronze, sinks
+
+
+def _write(spark, tmp_out, name, text):
+    path = f"{tmp_out}/{name}"
+    local = path.replace("file:", "")
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_contracts_csv_typed_and_header_skipped(spark, tmp_out):
+    p = _write(spark, tmp_out, "contracts.csv",
+               "id,name,client,start,end,value,status\n"
+               "C1,Road works,Company A,2023-03-10,2025-02-18,37400,executed\n"
+               "C2,Design,Company B,2023-04-10,2025-02-20,1264863.39,executed\n")
+    rows = bronze.read_contracts_csv(spark, p).collect()
+    assert rows[0]["contract_id"] == "C1"                     # bound by position
+    assert rows[0]["start_date"] == dt.date(2023, 3, 10)
+    assert rows[1]["contract_value"] == Decimal("1264863.390000000")
+
+
+def test_contracts_csv_bad_date_fails(spark, tmp_out):
+    p = _write(spark, tmp_out, "bad.csv",
+               "a,b,c,d,e,f,g\nC1,n,c,2024,2025-02-18,1,x\n")
+    with pytest.raises(Exception):
+        bronze.read_contracts_csv(spark, p).collect()
+
+
+def test_contracts_required_column(spark, tmp_out):
+    p = _write(spark, tmp_out, "req.csv",
+               "a,b,c,d,e,f,g\n,n,c,2024-01-01,2025-02-18,1,x\n")
+    with pytest.raises(Exception, match="REQUIRED"):
+        bronze.read_contracts_csv(spark, p).collect()
+
+
+def test_text_csv_jagged_quoted_newline(spark, tmp_out):
+    header = ",".join(f.name for f in bronze.BRONZE_BUDGETS.fields)
+    p = _write(spark, tmp_out, "budgets.csv",
+               header + "\n"
+               'B1,K1,"Budget\nline two",BUD001,budgetAndCost,2024-01-01,2024-12-31,2024-01-15,,50000,25000,2023-12-15,2024-02-01\n'
+               "B2,K2,Budget 2,BUD002\n")
+    rows = bronze.read_budgets_csv(spark, p).collect()
+    assert rows[0]["name"] == "Budget\nline two"
+    assert rows[0]["actualEndDate"] is None
+    assert rows[1]["code"] == "BUD002" and rows[1]["updatedAt"] is None
+
+
+def test_text_csv_overlong_row_rejected(spark, tmp_out):
+    header = ",".join(f.name for f in bronze.BRONZE_CHANGE_ORDERS.fields)
+    p = _write(spark, tmp_out, "co.csv",
+               header + "\n" + ",".join(["x"] * 15) + "\n")
+    with pytest.raises(Exception, match="more fields"):
+        bronze.read_change_orders_csv(spark, p).collect()
+
+
+def test_csv_roundtrip_keeps_padding_and_nulls(spark, tmp_out):
+    df = spark.createDataFrame([(" a ", None), ("0001", "x")], "s string, t string")
+    p = sinks.write_csv(df, f"{tmp_out}/rt")
+    back = spark.read.schema("s string, t string").option("header", True).csv(p)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_overwrite_replaces(spark, tmp_out):
+    p = f"{tmp_out}/tbl"
+    sinks.write_table(spark.range(5), p)
+    sinks.write_table(spark.range(3), p)
+    assert sinks.read_table(spark, p).count() == 3
