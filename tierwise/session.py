@@ -54,6 +54,8 @@ def build_session(
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.ansi.enabled"] = "true"
+    # Remove checkpoint files once their DataFrames are garbage collected.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

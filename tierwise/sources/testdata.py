@@ -36,7 +36,22 @@ TABLES = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when its file layout yields fewer splits.
+
+    A parquet file is split by row group; a file written as one row group
+    is read by one task, which then also does all the per-row work above
+    it (casts, text formatting, partial aggregation).  Only such scans are
+    round-robin repartitioned; a large table already has more splits than
+    cores and is returned untouched, so the shuffle never appears at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def _txt(c: Column) -> Column:
