@@ -164,7 +164,9 @@ def evaluate_suite(df: DataFrame, rules: list[Rule], suite: str,
             entries.append((r, F.col(name)))
     if not entries:
         return spark.createDataFrame([], REPORT_SCHEMA)
-    base = df.agg(*aggs) if aggs else spark.range(1)
+    # Schema-only suites still load the table once (a row count), as a
+    # validator that reads the file before checking its columns does.
+    base = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("_rows"))
     structs = [F.struct(F.lit(suite).alias("suite"), F.lit(r.rule).alias("rule"),
                         F.lit(r.column).cast("string").alias("column"),
                         v.alias("violations"), F.lit(r.severity).alias("severity"))

@@ -171,6 +171,16 @@ _RULE_KEYS = {
          Rule("expect_column_pair_values_A_to_be_greater_than_B",
               {"column_A": "start_date", "column_B": "end_date", "or_equal": False})),
     ],
+    "rule_columns": [
+        ("bronze.contracts", "bronze_contracts", _bronze_c,
+         Rule("expect_table_columns_to_match_ordered_list", {"column_list": _COLUMNS["bronze_contracts"]})),
+        ("bronze.budgets", "bronze_budgets", _bronze_b,
+         Rule("expect_table_columns_to_match_ordered_list", {"column_list": list(reversed(_COLUMNS["bronze_budgets"]))})),
+        ("silver.contracts_silver", "contracts_silver", _silver_c,
+         Rule("expect_table_columns_to_match_set", {"column_set": ["contract_id", "processed_at"], "exact_match": False})),
+        ("silver.contracts_silver", "contracts_silver", _silver_c,
+         Rule("expect_table_columns_to_match_set", {"column_set": ["contract_id", "budget_id"], "exact_match": False})),
+    ],
     "rule_type": [
         ("bronze.contracts", "bronze_contracts", _bronze_c, Rule("expect_column_values_to_be_of_type", {"column": "contract_value", "type_": "NUMERIC"})),
         ("bronze.contracts", "bronze_contracts", _bronze_c, Rule("expect_column_values_to_be_of_type", {"column": "contract_id", "type_": "NUMERIC"})),
