@@ -115,7 +115,7 @@ def monitoring_report(fresh: DataFrame, trend: DataFrame,
         F.col("process_date").alias("date"),
         F.col("day_over_day_change_pct").alias("change_pct"),
         F.format_string("Significant volume change in %s on %s: %.2f%% change",
-                        F.col("table_name"), F.date_format("process_date", "yyyy-MM-dd"),
+                        F.col("table_name"), F.col("process_date").cast("string"),
                         F.col("day_over_day_change_pct")).alias("message"))
     return stale.unionByName(vol, allowMissingColumns=True)
 
@@ -135,7 +135,7 @@ def monitoring_json(fresh: DataFrame, trend: DataFrame) -> DataFrame:
         "hours_since_update", "row_count", "is_stale", "error"), opts).alias("freshness_json"))
     records = (trend.groupBy("table_name")
                .agg(F.sort_array(F.collect_list(F.struct(
-                   F.date_format("process_date", "yyyy-MM-dd").alias("process_date"),
+                   F.col("process_date").cast("string").alias("process_date"),
                    "daily_count", "previous_count"))).alias("days"))
                .select("table_name", F.to_json("days", opts).alias("volume_json")))
     return f.join(records, "table_name", "left")

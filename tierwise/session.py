@@ -25,11 +25,12 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
 def apply_scale_conf(spark: SparkSession) -> SparkSession:
+    """Set the adaptive-execution settings on a session (time zone untouched:
+    every tierwise timestamp is zone-free)."""
     for k, v in SCALE_CONF.items():
         spark.conf.set(k, v)
     return spark
@@ -51,6 +52,7 @@ def build_session(
     if master:
         b = b.master(master)
     conf = dict(SCALE_CONF)
+    conf["spark.sql.session.timeZone"] = "UTC"
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.ansi.enabled"] = "true"

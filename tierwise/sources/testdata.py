@@ -63,7 +63,14 @@ def _dec2(c: Column, precision: int = 18) -> Column:
 
 
 def _ymd(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
+    """DATE -> 'yyyy-MM-dd' (a plain cast: no session time zone involved)."""
+    return d.cast("string")
+
+
+def _ts_text(ts: Column, sep: str = " ") -> Column:
+    """TIMESTAMP_NTZ -> 'yyyy-MM-dd HH:mm:ss' without the session time zone."""
+    t = ts.cast("string")
+    return F.concat(F.substring(t, 1, 10), F.lit(sep), F.substring(t, 12, 8))
 
 
 def bronze_contracts(orders: DataFrame) -> DataFrame:
@@ -107,7 +114,7 @@ def bronze_budgets(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "variation")
          .when(F.col("l_returnflag") == "A", "provisional")
          .otherwise("budgetAndCost").alias("scope"),
-        F.when(o % 13 == 0, F.date_format(planned_start, "yyyy"))
+        F.when(o % 13 == 0, F.substring(_ymd(planned_start), 1, 4))
          .when(o % 17 == 0, F.concat(F.lit(" "), _ymd(planned_start), F.lit(" ")))
          .otherwise(_ymd(planned_start)).alias("plannedStartDate"),
         _ymd(F.date_add(sd, 30)).alias("plannedEndDate"),
@@ -140,10 +147,10 @@ def bronze_change_orders(events: DataFrame) -> DataFrame:
         F.when(e % 11 == 0, F.concat(F.lit("$"), amount)).otherwise(amount).alias("submitted"),
         F.when(etype.isin("error", "view"), F.lit(None).cast("string")).otherwise(amount).alias("approved"),
         F.when(etype == "purchase", amount).alias("committed"),
-        F.concat(_ymd(created_day), F.lit(" "), F.date_format("ts", "HH:mm:ss")).alias("createdAt"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("updatedAt"),
+        F.concat(_ymd(created_day), F.lit(" "), F.substring(_ts_text(F.col("ts")), 12, 8)).alias("createdAt"),
+        _ts_text(F.col("ts")).alias("updatedAt"),
         F.when(e % 9 == 0, F.lit("pending"))
-         .otherwise(F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))).alias("statusChangedAt"),
+         .otherwise(F.concat(F.lit(" "), _ts_text(F.col("ts"), "T"))).alias("statusChangedAt"),
     )
 
 
