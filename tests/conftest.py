@@ -12,7 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tierwise.session import build_session
-    s = build_session("local[4]", app_name="tierwise-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="tierwise-test-warehouse-")
+    s = build_session("local[4]", app_name="tierwise-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     # Tests run in local mode with no shared folder configured: use a
     # fresh temporary one (on a cluster spark.checkpoint.dir is required).
     if not s.sparkContext.getCheckpointDir():

@@ -55,3 +55,13 @@ def test_missing_bronze_file_fails(spark):
     from tierwise.session import scratch_path
     with pytest.raises(FileNotFoundError):
         run_layers(spark, scratch_path(spark, "nothing"), scratch_path(spark, "layers"))
+
+
+def test_layered_run_into_catalog_databases(spark, bronze_dir):
+    res = run_layers(spark, bronze_dir, None, run_ts=RUN_TS, as_of=SPINE_AS_OF,
+                     raise_on_failure=False, database_prefix="tw_test")
+    dbs = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    assert {"tw_test_bronze", "tw_test_silver", "tw_test_gold", "tw_test_quality"} <= dbs
+    assert spark.table("tw_test_gold.project_analytics").count() == \
+        spark.table("tw_test_silver.contracts_silver").count()
+    assert res.tables["gold.time_analytics"] == "table:`tw_test_gold`.`time_analytics`"
