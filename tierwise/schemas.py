@@ -14,6 +14,9 @@ STAMP = T.TimestampNTZType()
 
 S = T.StringType()
 
+# The table and column names of the bronze load schemas and the
+# silver models (they are the data contract and must stay as they are).
+
 BRONZE_CONTRACTS = T.StructType([
     T.StructField("contract_id", S, False),   # REQUIRED in the load schema
     T.StructField("contract_name", S),
