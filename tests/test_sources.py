@@ -75,3 +75,15 @@ def test_overwrite_replaces(spark, tmp_out):
     sinks.write_table(spark.range(5), p)
     sinks.write_table(spark.range(3), p)
     assert sinks.read_table(spark, p).count() == 3
+
+
+def test_silver_column_contract(spark):
+    from tierwise import schemas
+    from tierwise.plans.catalog import Layers
+    from conftest import SF_SMALL
+    L = Layers(spark, SF_SMALL)
+    assert L.contracts().columns == schemas.CONTRACTS_SILVER_COLUMNS
+    assert L.budgets().columns == schemas.BUDGETS_SILVER_COLUMNS
+    assert L.change_orders().columns == schemas.CHANGE_ORDERS_SILVER_COLUMNS
+    types = dict(L.budgets().dtypes)
+    assert types["original_amount"] == "decimal(27,9)" and types["created_at"] == "timestamp_ntz"

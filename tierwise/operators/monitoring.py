@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierwise.operators.quality import union_all
 
@@ -22,15 +21,6 @@ STALE_HOURS = 24
 VOLUME_LOOKBACK_DAYS = 7
 VOLUME_CHANGE_PCT = 20.0
 
-FRESHNESS_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("hours_since_update", T.LongType()),
-    T.StructField("row_count", T.LongType()),
-    T.StructField("is_stale", T.BooleanType()),
-    T.StructField("error", T.StringType()),
-])
-
-
 def _now(as_of) -> Column:
     if as_of is None:
         return F.current_timestamp().cast("timestamp_ntz")

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(27, 9)
-STAMP = T.TimestampNTZType()
 
 S = T.StringType()
 
