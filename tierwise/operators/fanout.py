@@ -54,32 +54,46 @@ def weighted_count(measure: Column) -> Column:
     return F.when(measure.isNotNull(), fanout_weight())
 
 
+# Null-safe surrogate group keys.  A NULL group key is one real group; a
+# null-safe join would hash by (coalesce(k, ''), isnull(k)) and re-shuffle
+# both sides.  Grouping by those two columns in the first place leaves every
+# per-group result hash-partitioned the same way, so re-attaching the pieces
+# is a join of co-partitioned sides with no further exchange.
+GK, GN = "_gk", "_gn"
+
+
+def group_keys(group: str) -> list[Column]:
+    c = F.col(group)
+    return [F.coalesce(c.cast("string"), F.lit("")).alias(GK), c.isNull().alias(GN)]
+
+
+def group_value(group: str) -> Column:
+    """The original group value, carried through a surrogate-keyed aggregate."""
+    return F.any_value(F.col(group), ignoreNulls=True).alias(group)
+
+
 def distinct_children_per_group(
     parent: DataFrame, child: DataFrame, key: str, group: str, child_id: str,
     alias: str,
 ) -> DataFrame:
     """``COUNT(DISTINCT child.child_id)`` per ``parent.group`` over the join.
 
-    Only groups with at least one matching child appear; callers attach the
-    result to the full group list with a null-safe join and default to 0.
+    Keyed by the surrogate group keys; only groups with at least one
+    matching child appear, so callers attach the result with
+    :func:`attach_by_group` and default to 0.
     """
     kids = child.select(key, child_id).where(
         F.col(key).isNotNull() & F.col(child_id).isNotNull())
     owners = parent.select(key, group).where(F.col(key).isNotNull())
     return (kids.join(owners, key, "inner")
-            .groupBy(group)
+            .groupBy(*group_keys(group))
             .agg(F.countDistinct(child_id).alias(alias)))
 
 
-def attach_by_group(base: DataFrame, extra: DataFrame, group: str,
-                    defaults: dict[str, object]) -> DataFrame:
-    """Left-join per-group results onto ``base`` treating NULL as a group.
-
-    Both sides come from a ``GROUP BY group`` of the same relation, where a
-    NULL key is one real group, so the join must be null-safe.
-    """
-    other = extra.withColumnRenamed(group, "_grp")
-    out = base.join(other, base[group].eqNullSafe(other["_grp"]), "left").drop("_grp")
+def attach_by_group(base: DataFrame, extra: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Left-join per-group results onto ``base``; both are keyed by the
+    surrogate group keys, so a NULL group matches itself."""
+    out = base.join(extra, [GK, GN], "left")
     for c, v in defaults.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out

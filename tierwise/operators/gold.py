@@ -18,8 +18,8 @@ from tierwise.functions.metrics import (
     as_of_date, avg_exact, days_between, pct_ratio, safe_div, stamp,
 )
 from tierwise.operators.fanout import (
-    attach_by_group, child_rollup, distinct_children_per_group, weighted,
-    weighted_count,
+    attach_by_group, child_rollup, distinct_children_per_group, group_keys,
+    group_value, weighted, weighted_count,
 )
 from tierwise.schemas import CONTRACT_STATUSES
 
@@ -189,12 +189,13 @@ def client_budgets(contracts: DataFrame, budgets: DataFrame) -> DataFrame:
                                 F.sum("actual_cost").alias("_actual"))
     base = (contracts.select("contract_id", "client_name")
             .join(per_contract, "contract_id", "left")
-            .groupBy("client_name")
-            .agg(money_sum("_orig").alias("total_budget_amount"),
+            .groupBy(*group_keys("client_name"))
+            .agg(group_value("client_name"),
+                 money_sum("_orig").alias("total_budget_amount"),
                  money_sum("_actual").alias("total_actual_cost")))
     counts = distinct_children_per_group(contracts, budgets, "contract_id", "client_name",
                                          "budget_id", "total_budgets")
-    out = attach_by_group(base, counts, "client_name", {"total_budgets": 0})
+    out = attach_by_group(base, counts, {"total_budgets": 0})
     return out.select(
         "client_name", "total_budgets", "total_budget_amount", "total_actual_cost",
         (F.col("total_actual_cost") - F.col("total_budget_amount")).alias("total_budget_variance"),
@@ -210,12 +211,13 @@ def client_change_orders(contracts: DataFrame, change_orders: DataFrame) -> Data
                                 F.sum("approved_amount").alias("_appr"))
     base = (contracts.select("contract_id", "client_name", "contract_value")
             .join(per_contract, "contract_id", "left")
-            .groupBy("client_name")
-            .agg(money_sum("_appr").alias("total_change_order_amount"),
+            .groupBy(*group_keys("client_name"))
+            .agg(group_value("client_name"),
+                 money_sum("_appr").alias("total_change_order_amount"),
                  F.sum(weighted(F.col("contract_value"))).cast(SUM_MONEY).alias("_cv")))
     counts = distinct_children_per_group(contracts, change_orders, "contract_id", "client_name",
                                          "change_order_id", "total_change_orders")
-    out = attach_by_group(base, counts, "client_name", {"total_change_orders": 0})
+    out = attach_by_group(base, counts, {"total_change_orders": 0})
     return out.select(
         "client_name", "total_change_orders", "total_change_order_amount",
         pct_ratio(F.col("total_change_order_amount"), F.col("_cv")).alias("change_order_percentage"))
@@ -241,8 +243,9 @@ def client_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Da
                           _duration(contracts).alias("d"))
          .join(b, "contract_id", "left")
          .join(co, "contract_id", "left"))
-    base = (j.groupBy("client_name")
-            .agg(F.count(F.lit(1)).alias("total_contracts"),
+    base = (j.groupBy(*group_keys("client_name"))
+            .agg(group_value("client_name"),
+                 F.count(F.lit(1)).alias("total_contracts"),
                  money_sum("contract_value").alias("total_contract_value"),
                  F.count("contract_value").alias("_nv"),
                  F.min("contract_value").alias("min_contract_value"),
@@ -257,8 +260,8 @@ def client_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Da
                                      "budget_id", "total_budgets")
     nco = distinct_children_per_group(contracts, change_orders, "contract_id", "client_name",
                                       "change_order_id", "total_change_orders")
-    out = attach_by_group(base, nb, "client_name", {"total_budgets": 0})
-    out = attach_by_group(out, nco, "client_name", {"total_change_orders": 0})
+    out = attach_by_group(base, nb, {"total_budgets": 0})
+    out = attach_by_group(out, nco, {"total_change_orders": 0})
 
     known = F.col("client_name").isNotNull()
 
