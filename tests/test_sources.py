@@ -87,3 +87,15 @@ def test_silver_column_contract(spark):
     assert L.change_orders().columns == schemas.CHANGE_ORDERS_SILVER_COLUMNS
     types = dict(L.budgets().dtypes)
     assert types["original_amount"] == "decimal(27,9)" and types["created_at"] == "timestamp_ntz"
+
+
+def test_guards_survive_column_pruning(spark, tmp_out):
+    header = ",".join(f.name for f in bronze.BRONZE_CHANGE_ORDERS.fields)
+    p = _write(spark, tmp_out, "co2.csv", header + "\n" + ",".join(["x"] * 15) + "\n")
+    with pytest.raises(Exception, match="more fields"):
+        bronze.read_change_orders_csv(spark, p).select("name").collect()
+    with pytest.raises(Exception, match="more fields"):
+        bronze.read_change_orders_csv(spark, p).count()
+    p2 = _write(spark, tmp_out, "req2.csv", "a,b,c,d,e,f,g\n,n,c,2024-01-01,2025-02-18,1,x\n")
+    with pytest.raises(Exception, match="REQUIRED"):
+        bronze.read_contracts_csv(spark, p2).select("contract_name").collect()
