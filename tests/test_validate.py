@@ -53,3 +53,18 @@ def test_rule_failure_fails_layer(spark, tmp_out):
     r = report.first()
     assert (r["status"], r["failed_rules"]) == ("FAILED", 1)
     assert [x["status"] for x in V.layer_summary(report).collect()] == ["FAILED"]
+
+
+def test_ignored_rule_types(spark, tmp_out):
+    import json
+    dup = CONTRACTS + "CONT-001,Copy,Acme Corp,2023-01-01,2023-12-31,1,active\n"
+    c = _csv(f"{tmp_out}/b4/contracts.csv", dup)
+    suite = _csv(f"{tmp_out}/b4/suite.json", json.dumps({
+        "expectation_suite_name": "bronze.contracts",
+        "expectations": [{"expectation_type": "expect_column_values_to_be_unique",
+                          "kwargs": {"column": "contract_id"}}]}))
+    strict = V.validate(spark, [V.Target("bronze", "contracts", c, suite.replace("file:", ""))])
+    lenient = V.validate(spark, [V.Target("bronze", "contracts", c, suite.replace("file:", ""),
+                                          ignored_rules=("expect_column_values_to_be_unique",))])
+    assert strict.first()["status"] == "FAILED"
+    assert lenient.first()["status"] == "PASSED"
