@@ -56,6 +56,9 @@ def build_session(
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.ansi.enabled"] = "true"
+    # No Python call-site capture per DataFrame call (it only enriches error
+    # messages and costs extra JVM round trips while plans are built).
+    conf["spark.python.sql.dataFrameDebugging.enabled"] = "false"
     # Remove checkpoint files once their DataFrames are garbage collected.
     conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierwise.schemas import MONEY
 
@@ -35,11 +36,23 @@ TABLES = (
 )
 
 
+# Driver-side metadata per table path: the schema (so later reads skip the
+# footer-reading job that schema inference runs) and the scan's split count.
+_META: dict[str, tuple[T.StructType, int]] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    meta = _META.get(path)
+    if meta is None:
+        df = spark.read.parquet(path)
+        meta = _META.setdefault(path, (df.schema, df.rdd.getNumPartitions()))
+    else:
+        df = spark.read.schema(meta[0]).parquet(path)
+    return balanced(df, meta[1])
 
 
-def balanced(df: DataFrame) -> DataFrame:
+def balanced(df: DataFrame, splits: int | None = None) -> DataFrame:
     """Spread a scan over all cores when its file layout yields fewer splits.
 
     A parquet file is split by row group; a file written as one row group
@@ -49,7 +62,7 @@ def balanced(df: DataFrame) -> DataFrame:
     cores and is returned untouched, so the shuffle never appears at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if (splits if splits is not None else df.rdd.getNumPartitions()) >= cores:
         return df
     return df.repartition(cores)
 
