@@ -301,39 +301,46 @@ def _ym(c: Column, prefix: str) -> list[Column]:
             F.month(c).cast("long").alias(f"{prefix}_month")]
 
 
-def monthly_contracts(contracts: DataFrame) -> DataFrame:
-    return (contracts
-            .select(*_ym(F.col("start_date"), "start"), "contract_value",
-                    _duration(contracts).alias("d"))
-            .groupBy("start_year", "start_month")
-            .agg(F.count(F.lit(1)).alias("new_contracts"),
-                 money_sum("contract_value").alias("new_contract_value"),
-                 F.avg("d").alias("avg_contract_duration")))
-
-
-def monthly_budgets(budgets: DataFrame) -> DataFrame:
-    return (budgets
-            .select(*_ym(F.col("planned_start_date"), "planned_start"), "original_amount",
-                    days_between("planned_end_date", "planned_start_date").alias("pd"),
-                    days_between("actual_start_date", "planned_start_date").alias("sd"))
-            .groupBy("planned_start_year", "planned_start_month")
-            .agg(F.count(F.lit(1)).alias("new_budgets"),
-                 money_sum("original_amount").alias("new_budget_amount"),
-                 F.avg("pd").alias("avg_planned_duration"),
-                 F.avg("sd").alias("avg_start_delay")))
-
-
-def monthly_change_orders(change_orders: DataFrame) -> DataFrame:
-    return (change_orders
-            .select(*_ym(F.col("created_at"), "created"), "approved_amount")
-            .groupBy("created_year", "created_month")
-            .agg(F.count(F.lit(1)).alias("new_change_orders"),
-                 money_sum("approved_amount").alias("new_change_order_amount"),
-                 F.count("approved_amount").alias("_na"))
-            .select("created_year", "created_month", "new_change_orders",
-                    "new_change_order_amount",
-                    avg_exact(F.col("new_change_order_amount"), F.col("_na"))
-                    .alias("avg_change_order_amount")))
+def _monthly(df: DataFrame, date_col: str, prefix: str, month_key: Column | None,
+             values: list[Column], aggs: list[Column]) -> DataFrame:
+    """Group by (year, month) of ``date_col`` or by a given month key ``ym``."""
+    if month_key is None:
+        keys = _ym(F.col(date_col), prefix)
+        names = [f"{prefix}_year", f"{prefix}_month"]
+    else:
+        keys, names = [month_key.alias("ym")], ["ym"]
+    return df.select(*keys, *values).groupBy(*names).agg(*aggs)
+
+
+def monthly_contracts(contracts: DataFrame, month_key: Column | None = None) -> DataFrame:
+    return _monthly(contracts, "start_date", "start", month_key,
+                    [F.col("contract_value"), _duration(contracts).alias("d")],
+                    [F.count(F.lit(1)).alias("new_contracts"),
+                     money_sum("contract_value").alias("new_contract_value"),
+                     F.avg("d").alias("avg_contract_duration")])
+
+
+def monthly_budgets(budgets: DataFrame, month_key: Column | None = None) -> DataFrame:
+    return _monthly(budgets, "planned_start_date", "planned_start", month_key,
+                    [F.col("original_amount"),
+                     days_between("planned_end_date", "planned_start_date").alias("pd"),
+                     days_between("actual_start_date", "planned_start_date").alias("sd")],
+                    [F.count(F.lit(1)).alias("new_budgets"),
+                     money_sum("original_amount").alias("new_budget_amount"),
+                     F.avg("pd").alias("avg_planned_duration"),
+                     F.avg("sd").alias("avg_start_delay")])
+
+
+def monthly_change_orders(change_orders: DataFrame, month_key: Column | None = None) -> DataFrame:
+    out = _monthly(change_orders, "created_at", "created", month_key,
+                   [F.col("approved_amount")],
+                   [F.count(F.lit(1)).alias("new_change_orders"),
+                    money_sum("approved_amount").alias("new_change_order_amount"),
+                    F.count("approved_amount").alias("_na")])
+    keys = ["ym"] if month_key is not None else ["created_year", "created_month"]
+    return out.select(*keys, "new_change_orders", "new_change_order_amount",
+                      avg_exact(F.col("new_change_order_amount"), F.col("_na"))
+                      .alias("avg_change_order_amount"))
 
 
 def date_spine(anchor: DataFrame, years_back: int = 3) -> DataFrame:
@@ -360,35 +367,54 @@ def anchor_date(spark: SparkSession, as_of=None) -> DataFrame:
 
 def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: DataFrame,
                    as_of=None, years_back: int = 3, run_ts=None,
-                   ordered: bool = True) -> DataFrame:
+                   ordered: bool = True, prune_scan: bool = True) -> DataFrame:
     """Monthly metrics on the calendar spine ending at ``as_of``.
 
     Months outside the spine vanish in the reference's LEFT JOIN from the
-    spine, so every input is first restricted to the spine's date range;
-    with a literal (or CURRENT_DATE) as-of the bounds are constants and
-    reach the parquet scan as pushed filters.  After that filter each
-    monthly aggregate has at most (years_back + 1) x 12 rows, a proven
-    bound, so broadcasting them onto the spine is safe.
+    spine.  Each monthly aggregate is therefore keyed by a non-null month
+    key, ``year * 100 + month`` for dates on the spine and -1 for every
+    other row (NULL dates included): it has at most (years_back + 1) x 12
+    + 1 rows whatever the input, a proven bound, so broadcasting it onto the
+    spine is safe, and the -1 group never joins.
+
+    ``prune_scan`` also filters the inputs to the spine's date range first.
+    On stored silver tables the bounds are constants and reach the parquet
+    scan as pushed filters.  When silver is derived in the same plan from
+    text, Catalyst would push that filter below the derivation and parse
+    every value once per predicate in the scan task; there the key alone
+    does the restriction and ``prune_scan=False`` is the cheaper plan.
     """
     spark = contracts.sparkSession
     d = as_of_date(as_of)
     lo = F.make_date(F.year(d) - years_back, F.lit(1), F.lit(1))
     hi = F.add_months(F.trunc(d, "month"), 1)
 
-    def in_range(c: Column) -> Column:
-        return (c >= lo) & (c < hi)
+    def bounds(ts: bool) -> tuple[Column, Column]:
+        return (lo.cast("timestamp_ntz"), hi.cast("timestamp_ntz")) if ts else (lo, hi)
+
+    def on_spine(c: Column, ts: bool = False) -> Column:
+        lo_, hi_ = bounds(ts)
+        return (c >= lo_) & (c < hi_)
+
+    def month_key(name: str, ts: bool = False) -> Column:
+        c = F.col(name)
+        return F.coalesce(F.when(on_spine(c, ts), F.year(c) * 100 + F.month(c)),
+                          F.lit(-1)).cast("long")
 
-    mc = monthly_contracts(contracts.where(in_range(F.col("start_date"))))
-    mb = monthly_budgets(budgets.where(in_range(F.col("planned_start_date"))))
-    lo_ts, hi_ts = lo.cast("timestamp_ntz"), hi.cast("timestamp_ntz")
-    mco = monthly_change_orders(change_orders.where(
-        (F.col("created_at") >= lo_ts) & (F.col("created_at") < hi_ts)))
-    spine = date_spine(anchor_date(spark, as_of), years_back).alias("ds")
+    if prune_scan:
+        contracts = contracts.where(on_spine(F.col("start_date")))
+        budgets = budgets.where(on_spine(F.col("planned_start_date")))
+        change_orders = change_orders.where(on_spine(F.col("created_at"), ts=True))
+    mc = monthly_contracts(contracts, month_key("start_date"))
+    mb = monthly_budgets(budgets, month_key("planned_start_date"))
+    mco = monthly_change_orders(change_orders, month_key("created_at", ts=True))
+    spine = (date_spine(anchor_date(spark, as_of), years_back)
+             .withColumn("ym", F.col("year") * 100 + F.col("month")))
 
     j = (spine
-         .join(F.broadcast(mc), (F.col("year") == F.col("start_year")) & (F.col("month") == F.col("start_month")), "left")
-         .join(F.broadcast(mb), (F.col("year") == F.col("planned_start_year")) & (F.col("month") == F.col("planned_start_month")), "left")
-         .join(F.broadcast(mco), (F.col("year") == F.col("created_year")) & (F.col("month") == F.col("created_month")), "left"))
+         .join(F.broadcast(mc), "ym", "left")
+         .join(F.broadcast(mb), "ym", "left")
+         .join(F.broadcast(mco), "ym", "left"))
     z = F.lit(0)
     n_c = F.coalesce("new_contracts", z)
     v_c = F.coalesce("new_contract_value", z)

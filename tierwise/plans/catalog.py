@@ -137,7 +137,8 @@ def q_monthly_change_orders(spark, sf_dir):
 def q_time_analytics(spark, sf_dir):
     L = Layers(spark, sf_dir)
     return gold.time_analytics(L.contracts(), L.budgets(), L.change_orders(),
-                               as_of=SPINE_AS_OF, run_ts=RUN_TS)
+                               as_of=SPINE_AS_OF, run_ts=RUN_TS,
+                               prune_scan=False)
 
 
 # The spine's as-of date is the latest contract start in the data (a

@@ -247,7 +247,8 @@ def _models(L):
         "contract_analytics": gold.contract_analytics(c, RUN_TS, ordered=False),
         "project_analytics": gold.project_analytics(c, b, co, RUN_TS),
         "client_analytics": gold.client_analytics(c, b, co, RUN_TS),
-        "time_analytics": gold.time_analytics(c, b, co, as_of=SPINE_AS_OF, run_ts=RUN_TS, ordered=False),
+        "time_analytics": gold.time_analytics(c, b, co, as_of=SPINE_AS_OF, run_ts=RUN_TS, ordered=False,
+                                         prune_scan=False),
         "contract_summary": gold.contract_summary(c, b, RUN_TS, ordered=False),
     }
 
@@ -301,7 +302,8 @@ def _check_query(name, model, cols):
             "project_analytics": lambda: gold.project_analytics(c, b, co, RUN_TS),
             "client_analytics": lambda: gold.client_analytics(c, b, co, RUN_TS),
             "time_analytics": lambda: gold.time_analytics(c, b, co, as_of=SPINE_AS_OF,
-                                                          run_ts=RUN_TS, ordered=False),
+                                                          run_ts=RUN_TS, ordered=False,
+                                                          prune_scan=False),
             "contract_summary": lambda: gold.contract_summary(c, b, RUN_TS, ordered=False),
         }[model]()
         return quality.null_key_check(frame, name, *cols)
