@@ -105,8 +105,8 @@ def q_monitoring_report(spark, sf_dir):
 
 @register("monitoring_json", _sql("""
 SELECT f.table_name,
-       to_json(struct_pack(hours_since_update := f.hours_since_update, row_count := f.row_count,
-                           is_stale := f.is_stale, error := f.error)) AS freshness_json,
+       CAST(to_json(struct_pack(hours_since_update := f.hours_since_update, row_count := f.row_count,
+                                is_stale := f.is_stale, error := f.error)) AS VARCHAR) AS freshness_json,
        v.volume_json
 FROM _fresh f LEFT JOIN (
   SELECT table_name,
