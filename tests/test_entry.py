@@ -32,10 +32,23 @@ def duck():
     return con
 
 
+_DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper()
+    return _DUCK_TYPE.get(spark_type, spark_type)
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
-    cur = duck.execute(E.oracle_sql()[name])
+    sql = E.oracle_sql()[name]
+    duck_types = {r[0]: r[1].replace(" ", "") for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {f.name: _duck_type(f.dataType.simpleString()) for f in df.schema.fields} == duck_types
+    cur = duck.execute(sql)
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert canon(df.columns, [tuple(r) for r in df.collect()], 12) == canon(cols, cur.fetchall(), 12)
