@@ -52,3 +52,15 @@ def test_null_audit_always_one_row(spark):
     bad = ok.union(spark.createDataFrame([(None, None, None, None, None, None)], ok.schema))
     r = monitoring.null_audit(bad).first()
     assert (r["total_nulls"], r["passed"]) == (6, False)
+
+
+def test_unreadable_table_gives_error_row(spark, tmp_out):
+    from tierwise.sources import sinks
+    good = f"{tmp_out}/good"
+    sinks.write_table(_stamped(spark, ["2024-01-30 20:30:00"]), good)
+    tables = monitoring.load_tables(spark, {"good": good, "gone": f"{tmp_out}/missing"})
+    assert isinstance(tables["gone"], str)
+    rows = {r["table_name"]: r for r in monitoring.freshness(tables, as_of=AS_OF).collect()}
+    assert rows["good"]["hours_since_update"] == 3 and rows["good"]["error"] is None
+    assert rows["gone"]["error"] and rows["gone"]["row_count"] is None
+    assert [r["table_name"] for r in monitoring.volume_trend(tables, as_of=AS_OF).collect()] == ["good"]

@@ -11,7 +11,7 @@ partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierwise.operators.quality import union_all
@@ -27,23 +27,43 @@ def _now(as_of) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def freshness(tables: dict[str, DataFrame], as_of=None, stamp: str = "processed_at",
+def load_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> dict[str, DataFrame | str]:
+    """Open each monitored table; one that cannot be opened maps to its error
+    text, so the monitoring queries report it and carry on with the rest."""
+    out: dict[str, DataFrame | str] = {}
+    for name, path in paths.items():
+        try:
+            out[name] = spark.read.format(fmt).load(path)
+        except Exception as e:  # noqa: BLE001 - any load failure becomes an error row
+            out[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+    return out
+
+
+def _error_row(spark: SparkSession, name: str, error: str) -> DataFrame:
+    return spark.range(1).select(
+        F.lit(name).alias("table_name"),
+        F.lit(None).cast("long").alias("hours_since_update"),
+        F.lit(None).cast("long").alias("row_count"),
+        F.lit(False).alias("is_stale"),
+        F.lit(error).alias("error"))
+
+
+def freshness(tables: dict[str, DataFrame | str], as_of=None, stamp: str = "processed_at",
               stale_hours: int = STALE_HOURS) -> DataFrame:
     """Hours since the newest stamp and row count per table.
 
-    ``hours_since_update`` counts whole elapsed hours; a table without the
-    stamp column yields an error row and the others still run.
+    ``hours_since_update`` counts whole elapsed hours.  A table that could
+    not be opened (an error text from :func:`load_tables`) or has no stamp
+    column yields an error row, and the others still run.
     """
     now = _now(as_of)
     frames = []
     for name, df in tables.items():
+        if isinstance(df, str):
+            frames.append(_error_row(SparkSession.getActiveSession(), name, df))
+            continue
         if stamp not in df.columns:
-            frames.append(df.sparkSession.range(1).select(
-                F.lit(name).alias("table_name"),
-                F.lit(None).cast("long").alias("hours_since_update"),
-                F.lit(None).cast("long").alias("row_count"),
-                F.lit(False).alias("is_stale"),
-                F.lit(f"column {stamp} not found").alias("error")))
+            frames.append(_error_row(df.sparkSession, name, f"column {stamp} not found"))
             continue
         latest = F.max(F.col(stamp).cast("timestamp_ntz"))
         hours = F.timestamp_diff("HOUR", latest, now)
@@ -60,7 +80,7 @@ def freshness_alerts(fresh: DataFrame) -> DataFrame:
     return fresh.where(F.col("is_stale"))
 
 
-def volume_trend(tables: dict[str, DataFrame], as_of=None, stamp: str = "processed_at",
+def volume_trend(tables: dict[str, DataFrame | str], as_of=None, stamp: str = "processed_at",
                  lookback_days: int = VOLUME_LOOKBACK_DAYS) -> DataFrame:
     """Daily row counts in the look-back window and the day-over-day change.
 
@@ -71,7 +91,7 @@ def volume_trend(tables: dict[str, DataFrame], as_of=None, stamp: str = "process
     since = now - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
     frames = []
     for name, df in tables.items():
-        if stamp not in df.columns:
+        if isinstance(df, str) or stamp not in df.columns:
             continue
         ts = F.col(stamp).cast("timestamp_ntz")
         frames.append(df.where(ts > since)
