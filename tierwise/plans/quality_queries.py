@@ -326,11 +326,12 @@ SELECT b.n AS bronze_rows, s.n AS silver_rows, b.n <= s.n AS passed
 FROM (SELECT COUNT(*) AS n FROM bronze_contracts) b, (SELECT COUNT(*) AS n FROM contracts_silver) s"""))
 def q_layer_row_counts(spark, sf_dir):
     L = Layers(spark, sf_dir)
-    b = L.bronze.contracts().agg(F.count(F.lit(1)).alias("bronze_rows"))
-    s = L.contracts().agg(F.count(F.lit(1)).alias("silver_rows"))
-    # Both sides are one-row global aggregates: the cross join is 1 x 1.
-    return b.crossJoin(s).select("bronze_rows", "silver_rows",
-                                 (F.col("bronze_rows") <= F.col("silver_rows")).alias("passed"))
+    counts = (L.bronze.contracts().select(F.lit("bronze").alias("layer"))
+              .unionByName(L.contracts().select(F.lit("silver").alias("layer")))
+              .agg(F.count_if(F.col("layer") == "bronze").alias("bronze_rows"),
+                   F.count_if(F.col("layer") == "silver").alias("silver_rows")))
+    return counts.select("bronze_rows", "silver_rows",
+                         (F.col("bronze_rows") <= F.col("silver_rows")).alias("passed"))
 
 
 @register("bronze_silver_missing_ids", oracle.with_prelude("""
