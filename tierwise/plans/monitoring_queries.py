@@ -132,3 +132,14 @@ SELECT CAST(COUNT(*) FILTER (WHERE contract_id IS NULL) + COUNT(*) FILTER (WHERE
 FROM contracts_silver"""))
 def q_null_audit(spark, sf_dir):
     return monitoring.null_audit(Layers(spark, sf_dir).contracts())
+
+
+@register("monitoring_alert_count", _sql(f"""
+SELECT (SELECT COUNT(*) FROM _fresh WHERE is_stale)
+     + (SELECT COUNT(*) FROM _trend WHERE abs(day_over_day_change_pct) > {VOLUME_THRESHOLD_PCT}) AS total_alerts"""))
+def q_monitoring_alert_count(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    report = monitoring.monitoring_report(monitoring.freshness(t, as_of=MONITOR_AS_OF),
+                                          monitoring.volume_trend(t, as_of=MONITOR_AS_OF),
+                                          VOLUME_THRESHOLD_PCT)
+    return monitoring.alert_count(report)

@@ -372,3 +372,23 @@ def q_budget_delays(spark, sf_dir):
         days_between("planned_end_date", "planned_start_date").alias("planned_duration_days"),
         days_between("actual_end_date", "actual_start_date").alias("actual_duration_days"),
         days_between("actual_start_date", "planned_start_date").alias("start_delay_days"))
+
+
+# ------------------------------------------- offenders and run status (Q4, Q10)
+
+@register("rule_in_set_offenders", oracle.with_prelude("""
+SELECT DISTINCT scope FROM bronze_budgets
+WHERE NOT COALESCE(scope IN ('budgetAndCost'), FALSE)"""))
+def q_rule_in_set_offenders(spark, sf_dir):
+    return quality.offending_values(Layers(spark, sf_dir).bronze.budgets(), "scope", ["budgetAndCost"])
+
+
+@register("quality_layer_status", oracle.with_prelude(f"""
+SELECT split_part(suite, '.', 1) AS layer,
+       CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS status
+FROM _suite_rows GROUP BY 1""", f"_suite_rows AS (\n{_SUITE_SQL}\n)"))
+def q_quality_layer_status(spark, sf_dir):
+    report = quality.layer_status(_suite_report(spark, sf_dir))
+    return (report.groupBy("layer")
+            .agg(F.every(F.col("status") == "PASSED").alias("ok"))
+            .select("layer", F.when(F.col("ok"), "PASSED").otherwise("FAILED").alias("status")))
