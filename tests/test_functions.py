@@ -66,3 +66,11 @@ def test_stamp_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert v == dt.datetime(2024, 1, 29, 12, 0)
+
+
+def test_zero_pad_matches_printf(spark):
+    from tierwise.sources.testdata import _zpad
+    vals = [0, 7, 123, 99999999, 123456789012, -5]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "v long")
+           .select(_zpad(F.col("v"), 8)).collect()]
+    assert got == ["%08d" % v for v in vals]

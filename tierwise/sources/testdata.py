@@ -75,6 +75,16 @@ def _dec2(c: Column, precision: int = 18) -> Column:
     return c.cast(f"decimal({precision},2)")
 
 
+def _zpad(c: Column, width: int) -> Column:
+    """``printf('%0<width>d', c)`` without a per-row formatter call: a plain
+    cast and ``lpad`` for non-negative values (``lpad`` would cut longer
+    values, so those pass through), the formatter only for negatives."""
+    s = c.cast("string")
+    return (F.when(c < 0, F.format_string(f"%0{width}d", c))
+            .when(F.length(s) >= width, s)
+            .otherwise(F.lpad(s, width, "0")))
+
+
 def _ymd(d: Column) -> Column:
     """DATE -> 'yyyy-MM-dd' (a plain cast: no session time zone involved)."""
     return d.cast("string")
@@ -100,7 +110,7 @@ def bronze_contracts(orders: DataFrame) -> DataFrame:
         F.when(cust % 89 == 0, F.concat(F.lit("X"), _txt(o))).otherwise(_txt(o)).alias("contract_id"),
         F.concat(F.lit("Order-"), _txt(o)).alias("contract_name"),
         F.when(cust % 97 == 0, F.lit(None).cast("string"))
-         .otherwise(F.format_string("Customer#%09d", cust)).alias("client_name"),
+         .otherwise(F.concat(F.lit("Customer#"), _zpad(cust, 9))).alias("client_name"),
         F.when(o % 101 == 0, F.lit(None).cast("date")).otherwise(start).alias("start_date"),
         F.date_add(start, priority_digit * 30).alias("end_date"),
         F.when(o % 103 == 0, F.lit(None).cast(MONEY))
@@ -123,7 +133,7 @@ def bronze_budgets(lineitem: DataFrame) -> DataFrame:
         F.concat(_txt(o), F.lit("-"), _txt(ln)).alias("id"),
         _txt(o).alias("contractId"),
         F.concat(F.lit("Budget-"), _txt(ln)).alias("name"),
-        F.format_string("BUD%03d", ln).alias("code"),
+        F.concat(F.lit("BUD"), _zpad(ln, 3)).alias("code"),
         F.when(F.col("l_returnflag") == "R", "variation")
          .when(F.col("l_returnflag") == "A", "provisional")
          .otherwise("budgetAndCost").alias("scope"),
@@ -149,8 +159,8 @@ def bronze_change_orders(events: DataFrame) -> DataFrame:
     amount = _txt(_dec2(F.col("value")))
     created_day = F.date_add(F.to_date("ts"), (-(F.lit(8200) + e % 2200)).cast("int"))
     return events.select(
-        F.format_string("CO%08d", e).alias("id"),
-        F.format_string("%08d", e).alias("number"),
+        F.concat(F.lit("CO"), _zpad(e, 8)).alias("id"),
+        _zpad(e, 8).alias("number"),
         F.concat(F.lit("Change Order "), _txt(e)).alias("name"),
         F.when(e % 2 == 0, "in").otherwise("out").alias("scope"),
         etype.alias("type"),
@@ -174,7 +184,7 @@ def change_order_load_stamps(events: DataFrame) -> DataFrame:
     row with the same instant, so the monitoring tests read this frame.
     """
     return events.select(
-        F.format_string("CO%08d", F.col("event_id")).alias("change_order_id"),
+        F.concat(F.lit("CO"), _zpad(F.col("event_id"), 8)).alias("change_order_id"),
         _txt(F.col("user_id")).alias("contract_id"),
         F.col("ts").alias("processed_at"),
     )
