@@ -8,6 +8,13 @@ driver.  The single result row is turned into one row per rule:
 ``(suite, rule, column, violations, passed, severity)``.  Only that
 one-row aggregate ever reaches the driver.
 
+Scale note: one uniqueness rule is a two-phase distinct aggregation (partial
+per value, so a value holding a third of the rows is pre-reduced in every
+task).  k uniqueness rules in one suite make Spark expand each row k + 1
+times for that single shuffle; for very wide suites over very large tables,
+splitting the uniqueness rules into their own suite trades that for k
+separate, narrower scans.
+
 Rule types (expectation names as used by the reference's suite files):
 
 =====================================================  =========================
