@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tierwise.plans import catalog
 from tools.compare_oracle import canon
 
 from conftest import SF_SMALL
@@ -19,7 +20,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = catalog.queries(), catalog.oracle_sql()
     assert set(o) == set(q)
     assert len(q) >= 50
 
@@ -42,7 +43,7 @@ def _duck_type(spark_type: str) -> str:
     return _DUCK_TYPE.get(spark_type, spark_type)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     sql = E.oracle_sql()[name]
