@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import near_dup
+from tierwise.llm import decontaminate, line_dedup, near_dup, source_mix
 from tierwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,100 @@ def register(name: str, sql: str | None = None):
 @register("op8_near_duplicates")
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# Sources by code point, null last, weigh 3, 1, 2 in turn; their targets share
+# 150 % of all words, each at most twice its source's.  Copies are taken in
+# order of (cumulative words of the source) / target.
+@register("op2_source_mix", r"""
+WITH sized AS (
+    SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                           lambda w: w <> ''))::BIGINT AS size
+    FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+ranked AS (
+    SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight,
+           row_number() OVER (ORDER BY source NULLS LAST) AS rk
+    FROM per),
+levels AS (
+    SELECT *, ((sum(source_size) OVER () * 3)::DOUBLE / 2
+               - coalesce(sum(2 * source_size) OVER (ORDER BY (2 * source_size)::DOUBLE / weight, rk
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+              / (sum(weight) OVER (ORDER BY (2 * source_size)::DOUBLE / weight, rk
+                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+    FROM ranked),
+water AS (SELECT max(level) AS level FROM levels WHERE level * weight <= 2 * source_size),
+goal AS (
+    SELECT l.source, l.source_size, least(w.level * l.weight, (2 * l.source_size)::DOUBLE) AS target
+    FROM levels l, water w),
+flow AS (
+    SELECT s.*, g.source_size, g.target,
+           sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(s.doc_id::VARCHAR) ROWS UNBOUNDED PRECEDING) AS run
+    FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
+copies AS (
+    SELECT doc_id, size, copy, (run + copy * source_size)::DOUBLE / target AS finish
+    FROM flow, (VALUES (0), (1)) v(copy) WHERE size > 0),
+queue AS (
+    SELECT *, sum(size) OVER (ORDER BY finish, doc_id NULLS LAST, copy ROWS UNBOUNDED PRECEDING) AS used FROM copies),
+taken AS (
+    SELECT doc_id, sum(size)::BIGINT AS taken FROM queue
+    WHERE used <= (SELECT sum(size) * 3 // 2 FROM sized) GROUP BY doc_id)
+SELECT f.doc_id, f.size, f.source_size, f.target, coalesce(t.taken, 0)::BIGINT AS taken
+FROM flow f LEFT JOIN taken t ON f.doc_id = t.doc_id""")
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# Exact containment of every item in every document, by text.
+@register("op9_decontamination", r"""
+WITH shingled AS (
+    SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'),
+                                                  lambda w: w <> '') AS w FROM documents
+    UNION ALL
+    SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'),
+                                     lambda w: w <> '') FROM benchmark),
+sets AS (
+    SELECT DISTINCT side, id, unnest(CASE WHEN len(w) >= 5
+        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        ELSE ['short ' || array_to_string(w, ' ')] END) AS s
+    FROM shingled WHERE len(w) > 0),
+sizes AS (SELECT id, count(*) AS n FROM sets WHERE side = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(z.n)::BIGINT AS n_item_shingles, count(*)::BIGINT AS n_common,
+       count(*) / any_value(z.n)::DOUBLE AS containment
+FROM sets d JOIN sets i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' JOIN sizes z ON z.id = i.id
+GROUP BY d.id, i.id HAVING count(*) * 10 >= any_value(z.n) * 8""")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item_shingles", "n_common", "containment")
+
+
+# Chunks end after a line where the hash over two line hashes is 0 modulo 3,
+# and around lines of 50 words; later occurrences of a chunk go.
+@register("op10_line_dedup", r"""
+WITH lines AS (
+    SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+marks AS (
+    SELECT *, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) >= 50 AS long,
+           ('0x' || md5(lag(md5(line)) OVER w || md5(line))[1:8])::BIGINT % 3 = 0 AS ends
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+starts AS (
+    SELECT *, i = 1 OR long OR lag(long) OVER w OR coalesce(lag(ends) OVER w, false) AS begins
+    FROM marks WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+cuts AS (
+    SELECT *, sum(begins::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM starts),
+chunks AS (
+    SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n, bool_or(long) AS long
+    FROM cuts GROUP BY doc_id, c),
+judged AS (
+    SELECT *, (n >= 2 OR long) AND regexp_matches(text, '[^\x20\x09-\x0D]')
+              AND row_number() OVER (PARTITION BY text ORDER BY doc_id, c) > 1 AS gone
+    FROM chunks),
+put AS (
+    SELECT doc_id, coalesce(string_agg(text, chr(10) ORDER BY c) FILTER (NOT gone), '') AS text,
+           sum(n)::INT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::INT AS n_removed
+    FROM judged GROUP BY doc_id)
+SELECT d.doc_id, p.text, coalesce(p.n_lines, 0)::INT AS n_lines, coalesce(p.n_removed, 0)::INT AS n_removed
+FROM documents d LEFT JOIN put p ON d.doc_id = p.doc_id""")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
