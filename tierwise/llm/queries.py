@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import decontaminate, line_dedup, near_dup, source_mix
+from tierwise.llm import decontaminate, line_dedup, near_dup, quality_rules, source_mix
 from tierwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,10 @@ SELECT d.doc_id, p.text, coalesce(p.n_lines, 0)::INT AS n_lines, coalesce(p.n_re
 FROM documents d LEFT JOIN put p ON d.doc_id = p.doc_id""")
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "quality")
