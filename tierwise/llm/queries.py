@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import decontaminate, line_dedup, near_dup, quality_rules, source_mix
+from tierwise.llm import (
+    decontaminate, line_dedup, near_dup, quality_rules, secret_scan, source_mix, token_rollup, url_filter,
+)
 from tierwise.llm.common import table
+from tierwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +140,45 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "quality")
+
+
+@register("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
+@register("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "spam_odds")
+
+
+# All documents come in; those labelled quality 0 are deleted; English ones
+# are recounted without digits-only words by a second tokenizer version; the
+# deletes are sent twice and count once.
+@register("op7_token_counts", r"""
+WITH counted AS (
+    SELECT d.doc_id, source, lang, l.quality IS NOT DISTINCT FROM 0 AS gone,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id),
+final AS (
+    SELECT source, lang, CASE WHEN lang = 'en' THEN 'words-2' ELSE 'words-1' END AS tokenizer,
+           CASE WHEN lang = 'en' THEN len(list_filter(w, lambda x: NOT regexp_full_match(x, '[0-9]+'))) ELSE len(w) END AS n
+    FROM counted WHERE NOT gone)
+SELECT source, lang, tokenizer, count(*)::BIGINT AS documents, sum(n)::BIGINT AS tokens
+FROM final GROUP BY source, lang, tokenizer""")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quality = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    w = token_rollup.common.words(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", w.alias("w"))
+    docs = token_rollup.common.stored(docs.select(
+        "doc_id", "source", "lang", F.size("w").cast("long").alias("first"),
+        F.size(F.filter("w", lambda x: ~x.rlike("^[0-9]+$"))).cast("long").alias("second"))
+        .join(quality, "doc_id", "left"), "counts")
+    one, two = ("words-1", F.col("first")), ("words-2", F.col("second"))
+    dropped = docs.where("quality = 0")
+    ledger = token_rollup.Ledger(spark, scratch_path(spark, "ledger"))
+    ledger.commit("1-insert", token_rollup.change(docs, None, one))
+    ledger.commit("2-delete", token_rollup.change(dropped, one, None))
+    ledger.commit("3-recount", token_rollup.change(docs.where("lang = 'en' and (quality is null or quality <> 0)"), one, two))
+    ledger.commit("2-delete", token_rollup.change(dropped, one, None))
+    return ledger.totals()
