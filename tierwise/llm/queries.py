@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm import (
-    decontaminate, line_dedup, near_dup, quality_rules, secret_scan, source_mix, token_rollup, url_filter,
+    decontaminate, line_dedup, near_dup, quality_rules, secret_scan, source_mix, suffix_tree,
+    token_rollup, url_filter,
 )
 from tierwise.llm.common import table
 from tierwise.session import scratch_path
@@ -182,3 +183,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.commit("3-recount", token_rollup.change(docs.where("lang = 'en' and (quality is null or quality <> 0)"), one, two))
     ledger.commit("2-delete", token_rollup.change(dropped, one, None))
     return ledger.totals()
+
+
+@register("op3_suffix_tree")
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))
