@@ -12,17 +12,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm import near_dup
+from tierwise.llm import decontaminate, line_dedup, near_dup, quality_rules, source_mix
 from tierwise.llm.common import stored, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality rules keep."""
+    return quality_rules.good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without passages that occur earlier in the corpus."""
+    return line_dedup.clean(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
     return near_dup.deduplicate(docs)
 
 
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that contain no benchmark item."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents in order of virtual finish time, with how many
+    copies of each are taken."""
+    return source_mix.mixture(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
     ("near_duplicates", near_duplicates),
+    ("decontamination", benchmarks),
+    ("source_mix", mixing),
 ]
 
 #: Quality rules (expectation-maximisation) and near-duplicate groups are not

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm import (
-    decontaminate, line_dedup, near_dup, quality_rules, secret_scan, source_mix, suffix_tree,
-    token_rollup, url_filter,
+    decontaminate, line_dedup, near_dup, quality_rules, secret_scan, site_style_tree,
+    source_mix, suffix_tree, token_rollup, url_filter,
 )
 from tierwise.llm.common import table
 from tierwise.session import scratch_path
@@ -188,3 +188,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_suffix_tree")
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
+@register("op4_html_extraction")
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = site_style_tree.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
