@@ -112,5 +112,9 @@ def clean(docs: DataFrame) -> DataFrame:
     """The documents without their repeated passages; documents of which
     nothing but blanks is left go.  Columns are those of ``docs``."""
     out = dedup_lines(docs)
-    removed = out.columns[-1]
-    return out.where((F.col(removed) == 0) | (F.btrim("text", F.lit(common.BLANKS)) != "")).select(*docs.columns)
+    removed, row = out.columns[-1], common.fresh(out, "row")
+    # The row number keeps Spark from moving the filter, and with it copies of
+    # all that it is computed from, below the cutting.
+    return (out.withColumn(row, F.monotonically_increasing_id())
+            .where((F.col(row) >= 0) & ((F.col(removed) == 0) | (F.btrim("text", F.lit(common.BLANKS)) != "")))
+            .select(*docs.columns))
