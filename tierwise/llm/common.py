@@ -44,6 +44,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def fit_to_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (stored) marked for broadcast if it has at most ``rows`` rows;
+    else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def words(text: Column) -> Column:
     """Array of words of a text; null and blank texts give an empty array."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

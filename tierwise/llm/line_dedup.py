@@ -9,7 +9,8 @@ lines, that occur more than once in the corpus are removed everywhere but at
 their first place (smallest ``doc_id``, then position).
 
 Only (hash, length) pairs are shuffled to find repeats; the text of repeats
-alone is then compared byte for byte.  A chunk that holds a third of all rows
+is then compared byte for byte (it alone is shuffled while the repeated
+hashes are few enough to broadcast).  A chunk that holds a third of all rows
 is reduced map-side.
 
 Defined cases: a null text stays null; blank chunks and short single lines
@@ -28,6 +29,9 @@ from tierwise.llm import common
 DIVISOR = 3
 MIN_LINES = 2
 LONG_WORDS = 50
+#: Repeated hashes, and documents that lose passages, are broadcast up to so
+#: many rows (some 50 MB), else joined by shuffles.
+BROADCAST_ROWS = 500_000
 
 
 def _is_long(line: Column) -> Column:
@@ -75,7 +79,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     found = common.stored(
         marked.groupBy("h", "len").agg(F.min(F.struct("key", "at")).alias("lo"), F.max(F.struct("key", "at")).alias("hi"))
         .where("lo <> hi").select("h", "len"), "repeats")
-    again = common.stored(marked.join(found, ["h", "len"]), "passages")
+    again = common.stored(marked.join(common.fit_to_broadcast(found, BROADCAST_ROWS), ["h", "len"]), "passages")
     # Byte comparison: the text itself is the grouping key.
     first = again.groupBy("h", "len", "text").agg(F.min(F.struct("key", "at")).alias("first"))
     later = (again.alias("a").join(first.alias("f"), (F.col("a.h") == F.col("f.h")) & (F.col("a.len") == F.col("f.len"))
@@ -87,7 +91,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated passages taken out of ``text``, plus
     ``n_lines`` (before) and ``n_removed`` (lines)."""
-    places = repeats(docs).select(F.col("key").alias("_key"), "drop")
+    places = common.stored(repeats(docs).select(F.col("key").alias("_key"), F.sort_array("drop").alias("drop")), "places")
+    places = common.fit_to_broadcast(places, BROADCAST_ROWS)
     n_lines, n_removed = common.fresh(docs, "n_lines"), common.fresh(docs, "n_removed")
     whole = docs.select("*", F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"),
                                       F.xxhash64("text").alias("text")).alias("_key"))
