@@ -12,9 +12,16 @@ No group is ever paired off:
 2. In each band bucket only the links to its hub are tried: the member whose
    buckets are largest in sum, which in a family of edited copies is the
    text they were edited from.  Links are confirmed on the full shingle sets.
-3. Buckets that still hold several components go through a second, finer
-   banding (72 bands of 12 values from 432 permutations), where only members
-   of different components meet and are confirmed on full sets.
+3. What a hub leaves unlinked may still link with another member.  Members
+   near the hub (Jaccard 0.5 on) are compared by what sets them apart from it:
+   if a and b link but a does not link to the hub, their differences from the
+   hub must overlap by a bound that follows from the sizes, so an index on the
+   rarest differences (a prefix filter) finds every such pair, and the edits
+   that a text alone has, most of them, meet nothing.  Members far from the
+   hub (below 0.65) meet under a finer banding within the hub's family (72
+   bands of 12 values from 432 permutations; a pair at the threshold is missed
+   with probability 2e-5).  By the triangle inequality every pair falls under
+   one of the two.  All are confirmed on full sets.
 
 Components come from alternating large-star / small-star rounds on stored
 edge tables.
@@ -28,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +45,9 @@ PERMUTATIONS, ROWS = 32, 4
 FINE_PERMUTATIONS, FINE_ROWS = 432, 12
 #: Linked when 100 * intersection >= PERCENT * union.
 PERCENT = 85
+#: Members are indexed by their differences from this similarity to the hub
+#: on, and by the finer banding below that one (15 points are the distance of a link).
+NEAR_PERCENT, FAR_PERCENT = 50, 65
 #: Shingle hashes that a task keeps while it confirms links (32 MB).
 HELD = 4_000_000
 
@@ -102,11 +112,13 @@ def _fine_bands(batches):
         if keys:
             at = pa.array(np.repeat(np.arange(len(keys)), len(keys[0])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(at) for c in ("cls", "comp", "n_shingles")] + [pa.array(np.concatenate(keys))],
-                names=["cls", "comp", "n_shingles", "key"])
+                [batch.column(c).take(at) for c in ("cls", "n_shingles")] + [pa.array(np.concatenate(keys))],
+                names=["cls", "n_shingles", "key"])
 
 
-def _confirm(batches):
+def _compare(batches):
+    """(a, b, text_a, text_b) -> (a, b, sizes, intersection, differences):
+    the signed hashes by which b differs from a, if they are near."""
     sets: dict[bytes, np.ndarray] = {}
     held = 0
 
@@ -122,21 +134,87 @@ def _confirm(batches):
         return own
 
     for batch in batches:
-        keep = []
-        columns = (batch.column(c) for c in ("a", "b", "text_a", "text_b"))
-        for a, b, ta, tb in zip(*columns):
+        sizes_a, sizes_b, both, apart = [], [], [], []
+        for a, b, ta, tb in zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b"))):
             left, right = of(a.as_py(), ta.as_py()), of(b.as_py(), tb.as_py())
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(left) + len(right) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            at = np.searchsorted(left, right)
+            inside = left[np.minimum(at, len(left) - 1)] == right
+            n = int(inside.sum())
+            sizes_a.append(len(left))
+            sizes_b.append(len(right))
+            both.append(n)
+            if 100 * n >= NEAR_PERCENT * (len(left) + len(right) - n):
+                gone = np.ones(len(left), bool)
+                gone[at[inside]] = False
+                apart.append(np.concatenate([left[gone], common.mix(right[~inside])]).view(np.int64))
+            else:
+                apart.append(np.empty(0, np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), *(pa.array(x, pa.int64()) for x in (sizes_a, sizes_b, both)),
+             pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "n", "apart"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose full shingle sets are near."""
+def _compared(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """The pairs ``(a, b)`` of classes with the sizes of their full shingle
+    sets, the intersection and the differences."""
     a = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
     return common.stored(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
-                         .mapInArrow(_confirm, "a binary, b binary"), name)
+                         .mapInArrow(_compare, "a binary, b binary, na long, nb long, n long, apart array<bigint>"), name)
+
+
+def _similar(percent: int) -> Column:
+    return 100 * F.col("n") >= percent * (F.col("na") + F.col("nb") - F.col("n"))
+
+
+def _by_difference(seen: DataFrame) -> DataFrame:
+    """Pairs of members near a common hub that may link though one of them
+    does not link to the hub.
+
+    With sizes x, y, h and differences from the hub dx, dy, a link of x and y
+    needs an overlap of at least (dx + dy - S) / 2 of the differences, where
+    S = 15 (x + y) / 185; not linking to the hub means dx > 15 (x + h) / 185.
+    As dy is at least dx - S, the overlap is at least dx - S too.
+    """
+    gap = 100 - PERCENT
+    whole = 100 + PERCENT
+    near = seen.where(_similar(NEAR_PERCENT)).select(
+        "a", "b", "na", "nb", (F.col("na") + F.col("nb") - 2 * F.col("n")).alias("d"), _similar(PERCENT).alias("linked"), "apart")
+    open_ = near.where("not linked").select("a").distinct()
+    each = near.join(open_, "a", "left_semi").select("a", "b", "na", "nb", "d", "linked", F.explode("apart").alias("e"))
+    shared = each.groupBy("a", "e").agg(F.count("*").alias("f")).where("f > 1")
+    member = Window.partitionBy("a", "b")
+    # Differences that no other member has come first and need no rows.
+    placed = each.join(shared, ["a", "e"]).withColumn(
+        "place", F.row_number().over(member.orderBy("f", "e")) + F.col("d") - F.count("*").over(member))
+    limit = F.floor(gap * (F.col("nb") + F.col("nb") * 100 / PERCENT) / whole) + 1
+    least = F.greatest(F.lit(1), F.ceil((F.col("d") + gap * (F.col("na") - F.col("nb")) / whole) / 2 - 1e-9))
+    placed = common.stored(placed.where(F.col("place") <= limit).select(
+        "a", "b", "nb", "e", "linked", (F.col("place") <= F.col("d") - least + 1).alias("half")), "differences")
+    x = placed.where("not linked").alias("x")
+    y = placed.where("half").alias("y")
+    return x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.b") != F.col("y.b"))
+                  & (F.col("y.linked") | (~F.col("y.linked") & F.col("x.half") & (F.col("x.b") < F.col("y.b"))))
+                  & (100 * F.least("x.nb", "y.nb") >= PERCENT * F.greatest("x.nb", "y.nb"))
+                  ).select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
+
+
+def _by_fine_bands(seen: DataFrame, texts: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs of members far from a common hub that share a fine band."""
+    far = seen.where(~_similar(FAR_PERCENT)).select("a", "b")
+    several = far.groupBy("a").count().where("count > 1").select("a")
+    far = far.join(several, "a", "left_semi")
+    mine = (common.spread(texts.join(far.select(F.col("b").alias("cls")).distinct(), "cls").select("cls", "n_shingles", "text"), "cls")
+            .mapInArrow(_fine_bands, "cls binary, n_shingles long, key long"))
+    placed = (far.join(comp, F.col("b") == F.col("node"), "left").select("a", F.col("b").alias("cls"), F.coalesce("comp", "b").alias("comp"))
+              .join(mine, "cls").select("cls", "comp", "n_shingles", F.xxhash64("a", "key").alias("key")))
+    placed = common.stored(placed, "fine")
+    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    placed = placed.join(split, "key")
+    l, r = placed.alias("l"), placed.alias("r")
+    return l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") < F.col("r.comp"))
+                  & (100 * F.least("l.n_shingles", "r.n_shingles") >= PERCENT * F.greatest("l.n_shingles", "r.n_shingles"))
+                  ).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -193,24 +271,12 @@ def _groups(rows: DataFrame) -> DataFrame:
     wanted = (members.select("cls").distinct().join(classes, "cls")
               .select("cls", F.col("label.row").alias("row")))
     texts = common.stored(rows.select("row", "n_shingles", "text").join(wanted, "row"), "texts")
-    edges = _links(pairs, texts, "links")
+    seen = _compared(pairs, texts, "links")
+    edges = seen.where(_similar(PERCENT)).select("a", "b")
     first = common.stored(components(edges), "components")
-
-    # Buckets that still hold several components.
-    placed = members.select("key", "cls").join(first, F.col("cls") == F.col("node"), "left").select(
-        "key", "cls", F.coalesce("comp", "cls").alias("comp"))
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    open_ = placed.join(split, "key").select("cls", "comp").distinct()
-    fine = common.stored(
-        common.spread(texts.join(open_, "cls").select("cls", "comp", "n_shingles", "text"), "cls")
-        .mapInArrow(_fine_bands, "cls binary, comp binary, n_shingles long, key long"), "fine")
-    several = (fine.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-               .where("lo <> hi").select("key"))
-    fine = fine.join(several, "key")
-    l, r = fine.alias("l"), fine.alias("r")
-    near = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") < F.col("r.comp"))
-                  & (100 * F.least("l.n_shingles", "r.n_shingles") >= PERCENT * F.greatest("l.n_shingles", "r.n_shingles")))
-    more = _links(near.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")).distinct(), texts, "fine_links")
+    more = _by_difference(seen).union(_by_fine_bands(seen, texts, first))
+    more = _compared(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts, "more_links")
+    more = more.where(_similar(PERCENT)).select("a", "b")
     comp = common.stored(components(edges.union(more)), "components") if more.take(1) else first
 
     of = classes.select("cls", "label").join(comp, F.col("cls") == F.col("node"), "left").select(
