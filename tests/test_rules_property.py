@@ -36,14 +36,3 @@ def test_rule_violations_match_pandas(spark, values, nums):
             len(s) - len(s.unique()),
             int(((x < 0) | (x > 10)).sum())]
     assert got == want
-
-
-def test_balanced_leaves_well_split_scans_alone(spark, tmp_out):
-    from tierwise.sources import sinks
-    from tierwise.sources.testdata import balanced
-    cores = spark.sparkContext.defaultParallelism
-    path = sinks.write_table(spark.range(10000).repartition(cores * 2), f"{tmp_out}/wide")
-    wide = spark.read.parquet(path)
-    assert balanced(wide) is wide
-    narrow = spark.read.parquet(sinks.write_table(spark.range(10).coalesce(1), f"{tmp_out}/one"))
-    assert balanced(narrow).rdd.getNumPartitions() == cores

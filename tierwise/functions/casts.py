@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from tierwise.schemas import MONEY
 
-# Fixed value: a date or timestamp text must begin with year-month-day.
-FULL_DATE_PREFIX = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# A date or timestamp text is year-month-day and, at most, a
+# well-formed time and zone; nothing may follow.
+FULL_DATE = (r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+             r"([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|[+-]\d{2}(:?\d{2})?)?)?\s*$")
+OFFSET = r":\d{2}(?:\.\d+)?\s*([+-])(\d{2}):?(\d{2})?\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -36,12 +39,18 @@ def safe_money(c: Column | str) -> Column:
 
 def safe_date(c: Column | str) -> Column:
     c = _col(c)
-    return F.when(c.rlike(FULL_DATE_PREFIX), c.try_cast("date"))
+    return F.when(c.rlike(FULL_DATE), c.try_cast("date"))
 
 
 def safe_timestamp(c: Column | str, trim: bool = True) -> Column:
-    """``SAFE_CAST(TRIM(c) AS TIMESTAMP)`` as a zone-free timestamp."""
+    """``SAFE_CAST(TRIM(c) AS TIMESTAMP)`` as a zone-free timestamp: the UTC
+    wall clock, so an offset in the text is taken off, whatever the session's
+    time zone."""
     c = _col(c)
     if trim:
         c = F.trim(c)
-    return F.when(c.rlike(FULL_DATE_PREFIX), c.try_cast("timestamp_ntz"))
+    wall = c.try_cast("timestamp_ntz")
+    sign = F.when(F.regexp_extract(c, OFFSET, 1) == "-", -1).otherwise(1)
+    part = lambda k: F.coalesce(F.regexp_extract(c, OFFSET, k).try_cast("int"), F.lit(0))
+    shifted = wall - F.make_dt_interval(hours=sign * part(2), mins=sign * part(3))
+    return F.when(c.rlike(FULL_DATE), F.when(c.rlike(OFFSET), shifted).otherwise(wall))

@@ -35,7 +35,7 @@ def load_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet"
         try:
             out[name] = spark.read.format(fmt).load(path)
         except Exception as e:  # noqa: BLE001 - any load failure becomes an error row
-            out[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+            out[name] = f"{type(e).__name__}: {e}"
     return out
 
 

@@ -169,10 +169,4 @@ def _load_all() -> None:
     # Modules that register further queries on import.
     for mod in ("tierwise.plans.quality_queries", "tierwise.plans.monitoring_queries",
                 "tierwise.plans.source_queries"):
-        try:
-            __import__(mod)
-        except ModuleNotFoundError as e:  # not written yet
-            if e.name != mod:
-                raise
-
-
+        __import__(mod)

@@ -28,6 +28,7 @@ def write_csv(df: DataFrame, path: str) -> str:
     """Header row, no index column, values written exactly (no trimming)."""
     (df.write.mode("overwrite")
      .option("header", True)
+     .option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
      .option("dateFormat", "yyyy-MM-dd")
