@@ -50,6 +50,26 @@ def fit_to_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Keys of documents to drop are broadcast up to so many rows (some 30 MB).
+DROP_ROWS = 500_000
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the documents named by ``keys`` (stored: ``_d`` a
+    doc_id, ``_t`` the hash of the text)."""
+    return docs.join(fit_to_broadcast(keys, DROP_ROWS),
+                     (F.xxhash64(docs["text"]) == F.col("_t")) & docs["doc_id"].eqNullSafe(F.col("_d")), "left_anti")
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Remove the files of stored tables that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """Array of words of a text; null and blank texts give an empty array."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

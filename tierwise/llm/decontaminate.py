@@ -92,4 +92,4 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 def remove(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item.  Columns are those of ``docs``."""
     bad = contaminated(docs, items).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
-    return docs.join(bad, (F.xxhash64(docs["text"]) == F.col("_t")) & docs["doc_id"].eqNullSafe(F.col("_d")), "left_anti")
+    return common.without(docs, common.stored(bad, "contaminated"))

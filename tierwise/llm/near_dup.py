@@ -282,7 +282,9 @@ def _groups(rows: DataFrame) -> DataFrame:
     of = classes.select("cls", "label").join(comp, F.col("cls") == F.col("node"), "left").select(
         "cls", "label", F.coalesce("comp", "cls").alias("comp"))
     least = of.groupBy("comp").agg(F.min("label").alias("first"))
-    return of.join(least, "comp").select("cls", "first")
+    groups = common.stored(of.join(least, "comp").select("cls", "first"), "groups")
+    common.drop_stored(classes, members, pairs, texts, seen)
+    return groups
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -145,14 +145,11 @@ def fit(patterns: DataFrame, sides: dict[str, int]) -> dict[str, float]:
     return model
 
 
-def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default: all columns of ``docs``, as c0, c1, ...) with the
-    features, ``base_failed``, ``quality`` (posterior) and ``kept``."""
+def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with the features, ``base_failed``,
+    ``quality`` (posterior) and ``kept``."""
     votes = {f"vote_{r}": F.when(on, side).otherwise(0) for r, (side, on) in rules().items()}
     sides = {f"vote_{r}": side for r, (side, _) in rules().items()}
-    if keep is None:
-        docs = docs.select(F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-        keep = docs.columns[1:]
     scored = features(docs, keep).select("*", *[v.alias(n) for n, v in votes.items()])
     scored = common.stored(scored.drop("_n_lines", "_upper", "_bangs", "_digits", "_runs", "_lone", "_stops"), "votes")
     patterns = common.stored(scored.groupBy(*sides).count().orderBy(*sides).coalesce(1), "patterns")
@@ -163,5 +160,6 @@ def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep.  Columns are those of ``docs``."""
-    kept = judge(docs).where("kept")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    keyed = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_key"), F.col("doc_id").alias("key"))
+    bad = judge(keyed, ["key", "text_key"]).where("not kept").select(F.col("key").alias("_d"), F.col("text_key").alias("_t")).distinct()
+    return common.without(docs, common.stored(bad, "rejected"))
