@@ -194,12 +194,3 @@ def test_date_spine_bounds(spark):
     assert (rows[-1]["year"], rows[-1]["month"]) == (2024, 2)
 
 
-def test_time_analytics_prune_scan_variants_agree(spark, fixture_dir):
-    c, b, co = _frames(spark, fixture_dir)
-    a = gold.time_analytics(c, b, co, as_of=SPINE_AS_OF, run_ts=RUN_TS, prune_scan=True)
-    k = gold.time_analytics(c, b, co, as_of=SPINE_AS_OF, run_ts=RUN_TS, prune_scan=False)
-    assert [tuple(r) for r in a.collect()] == [tuple(r) for r in k.collect()]
-    # Key-only restriction: nothing but the spine filter in the plan.
-    plan = k._jdf.queryExecution().executedPlan().toString()
-    scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
-    assert scans and all("PushedFilters: []" in l for l in scans)

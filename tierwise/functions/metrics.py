@@ -12,6 +12,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc_now() -> Column:
+    """The current instant as a zone-free UTC timestamp, whatever the
+    session's time zone."""
+    secs = (F.unix_micros(F.current_timestamp()) / F.lit(1000000).cast("decimal(8,0)"))
+    return (F.lit("1970-01-01").cast("timestamp_ntz")
+            + F.make_dt_interval(secs=secs.cast("decimal(18,6)")))
+
+
 def stamp(run_ts: str | _dt.datetime | None = None) -> Column:
     """The run stamp (``CURRENT_TIMESTAMP()``), injectable for reproducible runs.
 
@@ -19,16 +27,16 @@ def stamp(run_ts: str | _dt.datetime | None = None) -> Column:
     not depend on the session time zone.
     """
     if run_ts is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return utc_now()
     if isinstance(run_ts, _dt.datetime):
         run_ts = run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(str(run_ts)).cast("timestamp_ntz")
 
 
 def as_of_date(as_of: str | _dt.date | None = None) -> Column:
-    """``CURRENT_DATE()``, injectable."""
+    """``CURRENT_DATE()`` in UTC, injectable."""
     if as_of is None:
-        return F.current_date()
+        return utc_now().cast("date")
     return F.lit(str(as_of)).cast("date")
 
 

@@ -367,7 +367,7 @@ def anchor_date(spark: SparkSession, as_of=None) -> DataFrame:
 
 def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: DataFrame,
                    as_of=None, years_back: int = 3, run_ts=None,
-                   ordered: bool = True, prune_scan: bool = True) -> DataFrame:
+                   ordered: bool = True) -> DataFrame:
     """Monthly metrics on the calendar spine ending at ``as_of``.
 
     Months outside the spine vanish in the reference's LEFT JOIN from the
@@ -377,12 +377,9 @@ def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Data
     + 1 rows whatever the input, a proven bound, so broadcasting it onto the
     spine is safe, and the -1 group never joins.
 
-    ``prune_scan`` also filters the inputs to the spine's date range first.
-    On stored silver tables the bounds are constants and reach the parquet
-    scan as pushed filters.  When silver is derived in the same plan from
-    text, Catalyst would push that filter below the derivation and parse
-    every value once per predicate in the scan task; there the key alone
-    does the restriction and ``prune_scan=False`` is the cheaper plan.
+    The inputs are also filtered to the spine's date range first.  On stored
+    silver tables the bounds are constants and reach the parquet scan as
+    pushed filters.
     """
     spark = contracts.sparkSession
     d = as_of_date(as_of)
@@ -401,10 +398,9 @@ def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Data
         return F.coalesce(F.when(on_spine(c, ts), F.year(c) * 100 + F.month(c)),
                           F.lit(-1)).cast("long")
 
-    if prune_scan:
-        contracts = contracts.where(on_spine(F.col("start_date")))
-        budgets = budgets.where(on_spine(F.col("planned_start_date")))
-        change_orders = change_orders.where(on_spine(F.col("created_at"), ts=True))
+    contracts = contracts.where(on_spine(F.col("start_date")))
+    budgets = budgets.where(on_spine(F.col("planned_start_date")))
+    change_orders = change_orders.where(on_spine(F.col("created_at"), ts=True))
     mc = monthly_contracts(contracts, month_key("start_date"))
     mb = monthly_budgets(budgets, month_key("planned_start_date"))
     mco = monthly_change_orders(change_orders, month_key("created_at", ts=True))
@@ -431,14 +427,14 @@ def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Data
         F.coalesce("new_change_order_amount", z).alias("new_change_order_amount"),
         F.coalesce("avg_change_order_amount", F.lit(0.0)).alias("avg_change_order_amount"),
         F.when(n_c == 0, F.lit(0.0))
-         .otherwise(safe_div(F.coalesce("new_budgets", z), F.coalesce("new_contracts", F.lit(1))))
+         .otherwise(safe_div(F.coalesce("new_budgets", z), F.col("new_contracts")))
          .alias("budgets_per_contract"),
         F.when(n_c == 0, F.lit(0.0))
-         .otherwise(safe_div(F.coalesce("new_change_orders", z), F.coalesce("new_contracts", F.lit(1))))
+         .otherwise(safe_div(F.coalesce("new_change_orders", z), F.col("new_contracts")))
          .alias("change_orders_per_contract"),
         F.when(v_c == 0, F.lit(0.0))
          .otherwise(safe_div(F.coalesce("new_change_order_amount", z),
-                             F.coalesce("new_contract_value", F.lit(1))) * F.lit(100.0))
+                             F.col("new_contract_value")) * F.lit(100.0))
          .alias("change_order_percentage"),
         stamp(run_ts).alias("processed_at"),
     )

@@ -1,10 +1,10 @@
 """Monitoring: freshness, volume trend, alert report, null audit.
 
 Tables are passed as ``{name: DataFrame}`` and results are typed
-DataFrames with a ``table_name`` column (the reference loops over tables
-and hands JSON between tasks; here it is one lazy plan).  Per table the
-work is a single global or per-day aggregate, so only a handful of rows
-per table leave the scans; the day-over-day window is partitioned by
+DataFrames with a ``table_name`` column.  Per table the work is a single
+per-day aggregate (:func:`profile`), from which both freshness and trend
+follow, so only a handful of rows per table leave the scans; the
+day-over-day window is partitioned by
 ``table_name`` and never sees more than ``lookback_days + 1`` rows per
 partition.
 """
@@ -14,17 +14,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierwise.operators.quality import union_all
+from tierwise.functions.metrics import stamp as stamp_of
+from tierwise.session import scratch_path
 
 # Reference thresholds.
 STALE_HOURS = 24
 VOLUME_LOOKBACK_DAYS = 7
 VOLUME_CHANGE_PCT = 20.0
 
+
 def _now(as_of) -> Column:
-    if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
-    return F.lit(str(as_of)).cast("timestamp_ntz")
+    return stamp_of(as_of)
 
 
 def load_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> dict[str, DataFrame | str]:
@@ -39,66 +39,85 @@ def load_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet"
     return out
 
 
-def _error_row(spark: SparkSession, name: str, error: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(name).alias("table_name"),
-        F.lit(None).cast("long").alias("hours_since_update"),
-        F.lit(None).cast("long").alias("row_count"),
-        F.lit(False).alias("is_stale"),
-        F.lit(error).alias("error"))
+PROFILE = ("table_name string, process_date date, row_count long, window_count long, "
+           "latest timestamp_ntz, error string")
 
 
-def freshness(tables: dict[str, DataFrame | str], as_of=None, stamp: str = "processed_at",
-              stale_hours: int = STALE_HOURS) -> DataFrame:
-    """Hours since the newest stamp and row count per table.
+def profile(tables: dict[str, DataFrame | str], as_of=None, stamp: str = "processed_at",
+            lookback_days: int = VOLUME_LOOKBACK_DAYS) -> DataFrame:
+    """One pass over each table: rows, newest stamp and rows inside the
+    look-back window per day, and one row without a date that carries the
+    table's error, if any.
 
-    ``hours_since_update`` counts whole elapsed hours.  A table that could
-    not be opened (an error text from :func:`load_tables`) or has no stamp
-    column yields an error row, and the others still run.
+    Each table's few rows are written to the shared folder by themselves; a
+    table that cannot be opened, has no stamp column or fails while it is read
+    yields its error, and the others still run.
     """
-    now = _now(as_of)
-    frames = []
-    for name, df in tables.items():
+    spark = next((t.sparkSession for t in tables.values() if not isinstance(t, str)),
+                 None) or SparkSession.builder.getOrCreate()
+    root = scratch_path(spark, "monitoring")
+    since = _now(as_of) - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+    ts = F.col(stamp).cast("timestamp_ntz")
+    parts, heads = [], []
+    for i, (name, df) in enumerate(tables.items()):
+        error = None
         if isinstance(df, str):
-            frames.append(_error_row(SparkSession.getActiveSession(), name, df))
-            continue
-        if stamp not in df.columns:
-            frames.append(_error_row(df.sparkSession, name, f"column {stamp} not found"))
-            continue
-        latest = F.max(F.col(stamp).cast("timestamp_ntz"))
-        hours = F.timestamp_diff("HOUR", latest, now)
-        frames.append(df.agg(hours.cast("long").alias("h"), F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("table_name"),
-            F.col("h").alias("hours_since_update"),
-            F.col("n").alias("row_count"),
-            F.coalesce(F.col("h") > stale_hours, F.lit(False)).alias("is_stale"),
-            F.lit(None).cast("string").alias("error")))
-    return union_all(frames)
+            error = df
+        elif stamp not in df.columns:
+            error = f"column {stamp} not found"
+        else:
+            try:
+                (df.groupBy(F.to_date(ts).alias("process_date"))
+                 .agg(F.count(F.lit(1)).alias("row_count"),
+                      F.count_if(ts > since).alias("window_count"),
+                      F.max(ts).alias("latest"))
+                 .select(F.lit(name).alias("table_name"), "process_date", "row_count", "window_count",
+                         "latest", F.lit(None).cast("string").alias("error"))
+                 .write.parquet(f"{root}/{i}"))
+                parts.append(f"{root}/{i}")
+            except Exception as e:  # noqa: BLE001 - any failure becomes the table's error row
+                error = f"{type(e).__name__}: {e}"
+        heads.append((name, None, 0, 0, None, error))
+    out = spark.createDataFrame(heads, PROFILE)
+    return out.unionByName(spark.read.schema(PROFILE).parquet(*parts)) if parts else out
+
+
+def _profiled(tables, *args) -> DataFrame:
+    return tables if isinstance(tables, DataFrame) else profile(tables, *args)
+
+
+def freshness(tables: dict[str, DataFrame | str] | DataFrame, as_of=None, stamp: str = "processed_at",
+              stale_hours: int = STALE_HOURS) -> DataFrame:
+    """Hours since the newest stamp and row count per table (or of a
+    :func:`profile`).
+
+    ``hours_since_update`` counts whole elapsed hours.  A table with an error
+    has an error row without figures.
+    """
+    hours = F.timestamp_diff("HOUR", F.col("latest"), _now(as_of)).cast("long")
+    return (_profiled(tables, as_of, stamp).groupBy("table_name")
+            .agg(F.max("latest").alias("latest"), F.sum("row_count").alias("n"), F.max("error").alias("error"))
+            .select("table_name", hours.alias("hours_since_update"),
+                    F.when(F.col("error").isNull(), F.col("n")).alias("row_count"),
+                    F.coalesce(hours > stale_hours, F.lit(False)).alias("is_stale"), "error"))
 
 
 def freshness_alerts(fresh: DataFrame) -> DataFrame:
     return fresh.where(F.col("is_stale"))
 
 
-def volume_trend(tables: dict[str, DataFrame | str], as_of=None, stamp: str = "processed_at",
+def volume_trend(tables: dict[str, DataFrame | str] | DataFrame, as_of=None, stamp: str = "processed_at",
                  lookback_days: int = VOLUME_LOOKBACK_DAYS) -> DataFrame:
-    """Daily row counts in the look-back window and the day-over-day change.
+    """Daily row counts in the look-back window and the day-over-day change,
+    per table (or of a :func:`profile`).
 
     The previous value is the previous *existing* day (lag over the days
-    that have rows), so the first day has no change.
+    that have rows), so the first day has no change.  A table without rows in
+    the window, or with an error, has no rows here; :func:`monitoring_json`
+    tells the two apart.
     """
-    now = _now(as_of)
-    since = now - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
-    frames = []
-    for name, df in tables.items():
-        if isinstance(df, str) or stamp not in df.columns:
-            continue
-        ts = F.col(stamp).cast("timestamp_ntz")
-        frames.append(df.where(ts > since)
-                      .groupBy(F.to_date(ts).alias("process_date"))
-                      .agg(F.count(F.lit(1)).alias("daily_count"))
-                      .select(F.lit(name).alias("table_name"), "process_date", "daily_count"))
-    days = union_all(frames)
+    days = (_profiled(tables, as_of, stamp, lookback_days).where(F.col("window_count") > 0)
+            .select("table_name", "process_date", F.col("window_count").alias("daily_count")))
     w = Window.partitionBy("table_name").orderBy("process_date")
     prev = F.lag("daily_count", 1).over(w)
     return (days.withColumn("previous_count", prev)
@@ -135,20 +154,23 @@ def alert_count(report: DataFrame) -> DataFrame:
 
 
 def monitoring_json(fresh: DataFrame, trend: DataFrame) -> DataFrame:
-    """Per table: the freshness record and the list of daily records as JSON text.
+    """Per table: the freshness record and the list of daily records as JSON text
+    (``[]`` without rows in the window, an error object for a failed table).
 
     The daily list is bounded by the look-back window (at most
     ``lookback_days + 1`` records per table).
     """
     opts = {"ignoreNullFields": "false"}
-    f = fresh.select("table_name", F.to_json(F.struct(
+    f = fresh.select("table_name", "error", F.to_json(F.struct(
         "hours_since_update", "row_count", "is_stale", "error"), opts).alias("freshness_json"))
     records = (trend.groupBy("table_name")
                .agg(F.sort_array(F.collect_list(F.struct(
                    F.col("process_date").cast("string").alias("process_date"),
                    "daily_count", "previous_count"))).alias("days"))
                .select("table_name", F.to_json("days", opts).alias("volume_json")))
-    return f.join(records, "table_name", "left")
+    nothing = F.when(F.col("error").isNull(), F.lit("[]")).otherwise(F.to_json(F.struct("error")))
+    return f.join(records, "table_name", "left").select(
+        "table_name", "freshness_json", F.coalesce("volume_json", nothing).alias("volume_json"))
 
 
 def null_audit(contracts_silver: DataFrame,

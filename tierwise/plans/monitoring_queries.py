@@ -97,9 +97,9 @@ SELECT 'volume_anomaly', table_name, CAST(NULL AS BIGINT), process_date, day_ove
               strftime(process_date, '%Y-%m-%d'), day_over_day_change_pct)
 FROM _trend WHERE abs(day_over_day_change_pct) > {VOLUME_THRESHOLD_PCT}"""))
 def q_monitoring_report(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t = monitoring.profile(_tables(spark, sf_dir), as_of=MONITOR_AS_OF)
     return monitoring.monitoring_report(monitoring.freshness(t, as_of=MONITOR_AS_OF),
-                                        monitoring.volume_trend(t, as_of=MONITOR_AS_OF),
+                                        monitoring.volume_trend(t),
                                         VOLUME_THRESHOLD_PCT)
 
 
@@ -107,7 +107,8 @@ def q_monitoring_report(spark, sf_dir):
 SELECT f.table_name,
        CAST(to_json(struct_pack(hours_since_update := f.hours_since_update, row_count := f.row_count,
                                 is_stale := f.is_stale, error := f.error)) AS VARCHAR) AS freshness_json,
-       v.volume_json
+       COALESCE(v.volume_json, CASE WHEN f.error IS NULL THEN '[]'
+            ELSE CAST(to_json(struct_pack(error := f.error)) AS VARCHAR) END) AS volume_json
 FROM _fresh f LEFT JOIN (
   SELECT table_name,
          CAST(to_json(list(struct_pack(process_date := strftime(process_date, '%Y-%m-%d'),
@@ -116,9 +117,9 @@ FROM _fresh f LEFT JOIN (
                            ORDER BY process_date)) AS VARCHAR) AS volume_json
   FROM _trend GROUP BY table_name) v ON f.table_name = v.table_name"""))
 def q_monitoring_json(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t = monitoring.profile(_tables(spark, sf_dir), as_of=MONITOR_AS_OF)
     return monitoring.monitoring_json(monitoring.freshness(t, as_of=MONITOR_AS_OF),
-                                      monitoring.volume_trend(t, as_of=MONITOR_AS_OF))
+                                      monitoring.volume_trend(t))
 
 
 @register("null_audit", oracle.with_prelude("""
@@ -138,8 +139,8 @@ def q_null_audit(spark, sf_dir):
 SELECT (SELECT COUNT(*) FROM _fresh WHERE is_stale)
      + (SELECT COUNT(*) FROM _trend WHERE abs(day_over_day_change_pct) > {VOLUME_THRESHOLD_PCT}) AS total_alerts"""))
 def q_monitoring_alert_count(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t = monitoring.profile(_tables(spark, sf_dir), as_of=MONITOR_AS_OF)
     report = monitoring.monitoring_report(monitoring.freshness(t, as_of=MONITOR_AS_OF),
-                                          monitoring.volume_trend(t, as_of=MONITOR_AS_OF),
+                                          monitoring.volume_trend(t),
                                           VOLUME_THRESHOLD_PCT)
     return monitoring.alert_count(report)

@@ -1,25 +1,51 @@
 """Sinks: truncate-and-load tables and delimited files.
 
-Every write is a full refresh (``mode("overwrite")``): the reference never
-loads incrementally.  Parquet is the table format; writes go through
-Spark's commit protocol, so a lost executor only re-runs its tasks and a
-failed job leaves the previous table version readable until the commit.
+Every write is a full refresh: the reference never loads incrementally.
+Parquet is the table format; writes go through Spark's commit protocol, so a
+lost executor only re-runs its tasks.  A table is written beside the old one
+and takes its place by rename once the job has succeeded, so a failed job
+leaves the previous version as it was.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> str:
-    w = df.write.mode("overwrite").format(fmt)
+    path = path.rstrip("/")
+    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
+    new, old = f"{path}.{version}.new", f"{path}.{version}.old"
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(new)
+    had = _rename(spark, path, old)
+    if not _rename(spark, new, path):
+        if had:
+            _rename(spark, old, path)
+        raise OSError(f"cannot put {new} in place of {path}")
+    if had:
+        fs, p = _fs(spark, old)
+        fs.delete(p, True)
+    spark.catalog.refreshByPath(path)
     return path
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Whether ``src`` exists and now is ``dst``."""
+    fs, p = _fs(spark, src)
+    return fs.exists(p) and fs.rename(p, _fs(spark, dst)[1])
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
