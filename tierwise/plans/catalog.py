@@ -1,7 +1,9 @@
 """Registered queries: name -> (spark query, oracle SQL).
 
 Each query takes ``(spark, sf_dir)``, reads the whole test tables, derives
-bronze -> silver -> gold lazily and returns a DataFrame.  Parameters that
+bronze -> silver -> gold lazily and returns a DataFrame.  Checks, schema tests
+and monitoring look at stored tables instead (:meth:`Layers.model`), as they
+do in the layered run.  Parameters that
 the reference takes from the clock are fixed here (``RUN_TS``,
 ``SPINE_AS_OF``, ``MONITOR_AS_OF``) so results are reproducible.
 """
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierwise.operators import gold, silver
 from tierwise.plans import oracle
 from tierwise.plans.oracle import RUN_TS, SPINE_AS_OF
+from tierwise.session import scratch_path
 from tierwise.sources.testdata import Bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,8 +39,10 @@ class Layers:
     """Silver frames for one scale-factor folder, derived lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS):
+        self.spark = spark
         self.bronze = Bronze(spark, sf_dir)
         self.run_ts = run_ts
+        self._stored: dict[str, DataFrame] = {}
 
     def contracts(self) -> DataFrame:
         return silver.contracts_silver(self.bronze.contracts(), self.run_ts)
@@ -48,6 +53,35 @@ class Layers:
     def change_orders(self) -> DataFrame:
         return silver.change_orders_silver(self.bronze.change_orders(), self.run_ts)
 
+    def model(self, name: str) -> DataFrame:
+        """A silver or gold table as stored: written to the shared folder at
+        its first use, gold models from stored silver."""
+        if name not in self._stored:
+            df = MODELS[name](self)
+            path = scratch_path(self.spark, name)
+            df.write.parquet(path)
+            self._stored[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self._stored[name]
+
+    def _silver(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return (self.model("contracts_silver"), self.model("budgets_silver"),
+                self.model("change_orders_silver"))
+
+
+MODELS: dict[str, Callable[[Layers], DataFrame]] = {
+    "contracts_silver": lambda L: L.contracts(),
+    "budgets_silver": lambda L: L.budgets(),
+    "change_orders_silver": lambda L: L.change_orders(),
+    "contract_analytics": lambda L: gold.contract_analytics(
+        L.model("contracts_silver"), L.run_ts, ordered=False),
+    "contract_summary": lambda L: gold.contract_summary(
+        L.model("contracts_silver"), L.model("budgets_silver"), L.run_ts, ordered=False),
+    "project_analytics": lambda L: gold.project_analytics(*L._silver(), L.run_ts),
+    "client_analytics": lambda L: gold.client_analytics(*L._silver(), L.run_ts),
+    "time_analytics": lambda L: gold.time_analytics(
+        *L._silver(), as_of=SPINE_AS_OF, run_ts=L.run_ts, ordered=False),
+}
+
 
 # ---------------------------------------------------------------- silver
 

@@ -1,7 +1,7 @@
 """Registered monitoring queries and their oracle SQL.
 
-Monitored tables: the silver contracts and budgets and the gold
-project_analytics (stamped with the run time), the change-order loads
+Monitored tables, all but the loads as stored tables: the three silver tables
+and four gold ones (stamped with the run time), the change-order loads
 stamped with their load time (``events.ts``, 30 days of stamps), and the
 gold contract_summary, which has ``generated_at`` instead of a
 ``processed_at`` column and so produces an error row.
@@ -9,9 +9,9 @@ gold contract_summary, which has ``generated_at`` instead of a
 
 from __future__ import annotations
 
-from tierwise.operators import gold, monitoring
+from tierwise.operators import monitoring
 from tierwise.plans import oracle
-from tierwise.plans.catalog import RUN_TS, Layers, register
+from tierwise.plans.catalog import Layers, register
 from tierwise.plans.oracle import MONITOR_AS_OF
 from tierwise.sources.testdata import change_order_load_stamps
 
@@ -21,22 +21,22 @@ from tierwise.sources.testdata import change_order_load_stamps
 VOLUME_THRESHOLD_PCT = 5.0
 
 
-def _tables(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    c, b, co = L.contracts(), L.budgets(), L.change_orders()
-    return {
-        "silver.contracts_silver": c,
-        "silver.budgets_silver": b,
-        "bronze.change_order_loads": change_order_load_stamps(L.bronze.raw("events")),
-        "gold.project_analytics": gold.project_analytics(c, b, co, RUN_TS),
-        "gold.contract_summary": gold.contract_summary(c, b, RUN_TS, ordered=False),
-    }
-
-
 _STAMPED = [("silver.contracts_silver", "contracts_silver"),
             ("silver.budgets_silver", "budgets_silver"),
+            ("silver.change_orders_silver", "change_orders_silver"),
             ("bronze.change_order_loads", "_co_loads"),
-            ("gold.project_analytics", "project_analytics")]
+            ("gold.contract_analytics", "contract_analytics"),
+            ("gold.project_analytics", "project_analytics"),
+            ("gold.client_analytics", "client_analytics"),
+            ("gold.time_analytics", "time_analytics")]
+
+
+def _tables(spark, sf_dir):
+    L = Layers(spark, sf_dir)
+    loads = change_order_load_stamps(L.bronze.raw("events"))
+    return {n: loads if t == "_co_loads" else L.model(t)
+            for n, t in [*_STAMPED, ("gold.contract_summary", "contract_summary")]}
+
 
 _LOADS = "_co_loads AS (SELECT printf('CO%08d', event_id) AS change_order_id, ts AS processed_at FROM events)"
 

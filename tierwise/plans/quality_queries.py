@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierwise.functions.metrics import days_between
-from tierwise.operators import gold, quality
+from tierwise.operators import quality
 from tierwise.operators.quality import Rule
 from tierwise.plans import oracle
-from tierwise.plans.catalog import RUN_TS, SPINE_AS_OF, Layers, register
+from tierwise.plans.catalog import Layers, register
 
 # -------------------------------------------------------- oracle helpers
 
@@ -113,8 +113,11 @@ def _single_rule_query(spec):
     """spec: list of (suite, table, frame_getter, rule)."""
     def q(spark, sf_dir):
         L = Layers(spark, sf_dir)
-        frames = [quality.evaluate_suite(get(L), [r], suite) for suite, _t, get, r in spec]
-        return quality.union_all(frames)
+        suites = {}                      # one pass for the rules of one suite
+        for suite, _t, get, r in spec:
+            suites.setdefault((suite, get), []).append(r)
+        return quality.union_all([quality.evaluate_suite(get(L), rules, suite)
+                                  for (suite, get), rules in suites.items()])
     sql = oracle.with_prelude("\nUNION ALL\n".join(
         _suite_sql(suite, table, [r]) for suite, table, _g, r in spec))
     return q, sql
@@ -238,20 +241,6 @@ def q_quality_report(spark, sf_dir):
 
 # ------------------------------------------------------ schema tests
 
-def _models(L):
-    c, b, co = L.contracts(), L.budgets(), L.change_orders()
-    return {
-        "contracts_silver": c,
-        "budgets_silver": b,
-        "change_orders_silver": co,
-        "contract_analytics": gold.contract_analytics(c, RUN_TS, ordered=False),
-        "project_analytics": gold.project_analytics(c, b, co, RUN_TS),
-        "client_analytics": gold.client_analytics(c, b, co, RUN_TS),
-        "time_analytics": gold.time_analytics(c, b, co, as_of=SPINE_AS_OF, run_ts=RUN_TS, ordered=False),
-        "contract_summary": gold.contract_summary(c, b, RUN_TS, ordered=False),
-    }
-
-
 _SPEC = quality.schema_tests_spec()
 
 
@@ -261,8 +250,8 @@ _SPEC = quality.schema_tests_spec()
     f"COUNT(*) FILTER (WHERE {_q(c)} IS NULL) = 0 AS passed FROM {m}"
     for m, t in _SPEC.items() for c in t["not_null"])))
 def q_schema_test_not_null(spark, sf_dir):
-    models = _models(Layers(spark, sf_dir))
-    return quality.union_all([quality.not_null_tests(models[m], m, t["not_null"])
+    L = Layers(spark, sf_dir)
+    return quality.union_all([quality.not_null_tests(L.model(m), m, t["not_null"])
                               for m, t in _SPEC.items() if t["not_null"]])
 
 
@@ -272,8 +261,8 @@ def q_schema_test_not_null(spark, sf_dir):
     f"(SELECT {_q(c)} FROM {m} WHERE {_q(c)} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
     for m, t in _SPEC.items() for c in t["unique"])))
 def q_schema_test_unique(spark, sf_dir):
-    models = _models(Layers(spark, sf_dir))
-    return quality.union_all([quality.unique_test(models[m], m, c)
+    L = Layers(spark, sf_dir)
+    return quality.union_all([quality.unique_test(L.model(m), m, c)
                               for m, t in _SPEC.items() for c in t["unique"]])
 
 
@@ -292,19 +281,7 @@ _CHECKS = {
 
 def _check_query(name, model, cols):
     def q(spark, sf_dir):
-        L = Layers(spark, sf_dir)
-        c, b, co = L.contracts(), L.budgets(), L.change_orders()
-        frame = {
-            "contracts_silver": lambda: c,
-            "budgets_silver": lambda: b,
-            "change_orders_silver": lambda: co,
-            "project_analytics": lambda: gold.project_analytics(c, b, co, RUN_TS),
-            "client_analytics": lambda: gold.client_analytics(c, b, co, RUN_TS),
-            "time_analytics": lambda: gold.time_analytics(c, b, co, as_of=SPINE_AS_OF,
-                                                          run_ts=RUN_TS, ordered=False),
-            "contract_summary": lambda: gold.contract_summary(c, b, RUN_TS, ordered=False),
-        }[model]()
-        return quality.null_key_check(frame, name, *cols)
+        return quality.null_key_check(Layers(spark, sf_dir).model(model), name, *cols)
     cond = " OR ".join(f"{c} IS NULL" for c in cols)
     sql = oracle.with_prelude(
         f"SELECT {_lit(name)} AS check_name, COUNT(*) AS failing_rows, COUNT(*) = 0 AS passed "
@@ -325,7 +302,7 @@ FROM (SELECT COUNT(*) AS n FROM bronze_contracts) b, (SELECT COUNT(*) AS n FROM
 def q_layer_row_counts(spark, sf_dir):
     L = Layers(spark, sf_dir)
     counts = (L.bronze.contracts().select(F.lit("bronze").alias("layer"))
-              .unionByName(L.contracts().select(F.lit("silver").alias("layer")))
+              .unionByName(L.model("contracts_silver").select(F.lit("silver").alias("layer")))
               .agg(F.count_if(F.col("layer") == "bronze").alias("bronze_rows"),
                    F.count_if(F.col("layer") == "silver").alias("silver_rows")))
     return counts.select("bronze_rows", "silver_rows",
@@ -340,12 +317,26 @@ WHERE b.contract_id IS NOT NULL
 def q_bronze_silver_missing_ids(spark, sf_dir):
     L = Layers(spark, sf_dir)
     b = L.bronze.contracts().select("contract_id").where(F.col("contract_id").isNotNull())
-    s = L.contracts().select("contract_id")
-    missing = b.join(s, "contract_id", "left_anti")
+    return _missing_ids(b, L.model("contracts_silver"))
+
+
+def _missing_ids(rows, contracts):
+    missing = rows.join(contracts.select("contract_id"), "contract_id", "left_anti")
     return missing.agg(F.countDistinct("contract_id").alias("missing_ids")).select(
         "missing_ids", (F.col("missing_ids") == 0).alias("passed"))
 
 
+@register("budget_orphan_contract_ids", oracle.with_prelude("""
+SELECT COUNT(DISTINCT b.contract_id) AS missing_ids, COUNT(DISTINCT b.contract_id) = 0 AS passed
+FROM budgets_silver b
+WHERE b.contract_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM contracts_silver s WHERE s.contract_id = b.contract_id)"""))
+def q_budget_orphan_contract_ids(spark, sf_dir):
+    L = Layers(spark, sf_dir)
+    ids = L.model("budgets_silver").select("contract_id").where(F.col("contract_id").isNotNull())
+    return _missing_ids(ids, L.model("contracts_silver"))
+
+
 # ------------------------------------------------------ small model checks
 
 @register("client_rollup", oracle.with_prelude("""
