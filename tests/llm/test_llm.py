@@ -282,6 +282,45 @@ def test_line_dedup_odd_rows(spark, odd, empty):
     assert line_dedup.clean(clash).columns == clash.columns
 
 
+def brute_runs(rows):
+    """Lines in a run of > 50 words (lines without words left out) that occurs
+    earlier without overlap; by comparing all pairs of places."""
+    lines = [(d, [(i, x, len(WORD.findall(x))) for i, x in enumerate(t.split("\n")) if WORD.search(x)]) for d, t in sorted(rows.items())]
+    at = collections.defaultdict(list)
+    for d, ls in lines:
+        for k, (_, x, _) in enumerate(ls):
+            at[x].append((d, k))
+    of, drop = dict(lines), collections.defaultdict(set)
+    for d, ls in lines:
+        for k, (_, x, _) in enumerate(ls):
+            for e, j in at[x]:
+                if (e, j) >= (d, k):
+                    break
+                n = words = 0
+                while k + n < len(ls) and j + n < len(of[e]) and ls[k + n][1] == of[e][j + n][1] and (e != d or j + n < k):
+                    words += ls[k + n][2]
+                    n += 1
+                if words > 50:
+                    drop[d].update(range(ls[k][0], ls[k + n - 1][0] + 1))
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop[d]) for d, t in rows.items()}
+
+
+def test_repeated_runs(spark, texts, odd, empty):
+    def line(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, d = line("a", 30), line("b", 20), line("c", 10), line("d", 3)
+    made = {1: f"x\n{a}\n{b}\n{c}\ny", 2: f"u\n{a}\n{b}\n{c}\nv", 3: f"{d}\n{a}\n\n{b}\n{c}\n{d}",  # foreign neighbours
+            4: f"{a}\n{b}\nw", 5: f"{b}\n{a}", 6: f"{c}\n{d}\n{c}\n{d}", 7: "\n".join(["same again"] * 100), 8: line("e", 51), 9: line("e", 51)}
+    got = {r.doc_id: r for r in line_dedup.remove_runs(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()}
+    assert {i: r.text for i, r in got.items()} == brute_runs(made)
+    assert (got[1].text, got[2].text, got[3].text, got[9].text, got[2].n_removed) == (made[1], "u\nv", f"{d}\n{d}", "", 3)
+    assert got[4].text == made[4] and got[7].text == "\n".join(["same again"] * 26)  # 50 words are not more than 50
+    small = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.remove_runs(small).collect()} == brute_runs(texts)
+    assert {r.doc_id: r.text for r in line_dedup.clean(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()}[2] == "u\nv"
+    assert line_dedup.remove_runs(odd).count() == len(ODD) and line_dedup.remove_runs(empty).collect() == []
+
+
 # ------------------------------------------------------------------- pipeline
 
 def test_pipeline(spark, texts, odd, empty):

@@ -13,6 +13,17 @@ is then compared byte for byte (it alone is shuffled while the repeated
 hashes are few enough to broadcast).  A chunk that holds a third of all rows
 is reduced map-side.
 
+Chunks lose the head of a passage and passages that make no chunk, so
+:func:`remove_runs`, which the pipeline applies first, removes every run of
+whole lines of more than :data:`RUN_WORDS` words that occurs earlier, whatever
+chunks it falls into.  A run has more words than that exactly if it is made up of the
+shortest such runs beginning and ending at its lines; these are at most two a
+line, and equal ones are found by one grouping on a 128-bit hash (two
+differently seeded xxhash64; texts are not compared).  Lines without words do
+not count; those inside a removed run go with it.  A run that overlaps its own
+first occurrence in the same document stays.  Lines that come together only by
+a removal are not looked at again.
+
 Defined cases: a null text stays null; blank chunks and short single lines
 are never removed; a text whose every chunk is removed becomes empty (``clean``
 then drops its document); rows with equal ``doc_id`` and text are one document and share one
@@ -29,11 +40,18 @@ from tierwise.llm import common
 DIVISOR = 3
 MIN_LINES = 2
 LONG_WORDS = 50
+#: Runs of lines with more words than this are passages, chunks or not.
+RUN_WORDS = 50
 #: Repeated hashes, and documents that lose passages, are broadcast up to so
 #: many rows (some 50 MB), else joined by shuffles.
 BROADCAST_ROWS = 500_000
 
 
+def _key() -> Column:
+    """What tells documents apart, in the order in which the first is kept."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text"))
+
+
 def _is_long(line: Column) -> Column:
     """At least LONG_WORDS words; the cheap count of blanks decides most."""
     blanks = F.length(line) >= 2 * LONG_WORDS - 1
@@ -113,13 +131,81 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                       lines.alias(n_lines), F.when(F.col("_drop").isNull(), 0).otherwise(gone).alias(n_removed))
 
 
+def _run_places(docs: DataFrame) -> DataFrame:
+    """``key`` and ``runs`` of every document: the shortest runs of whole lines
+    with more than RUN_WORDS words that begin, and that end, at each line, as
+    (first, last, a, b): line numbers and a 128-bit hash of the lines."""
+    lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
+    line = lambda l, i: F.struct(i.alias("at"), F.size(common.words(l)).alias("c"), F.xxhash64(l).alias("a"),
+                                 F.xxhash64(F.lit(1), l).alias("b"))
+    step = docs.select(_key().alias("key"), F.filter(F.transform(lines, line), lambda x: x["c"] > 0).alias("_lines"))
+
+    def reach(near: Column) -> Column:
+        """How many of these lines have more than RUN_WORDS words; 0: all have not."""
+        zero = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"))
+        more = lambda m, x: F.when(m["s"] > RUN_WORDS, m).otherwise(
+            F.struct((m["s"] + x["c"]).alias("s"), (m["n"] + 1).alias("n")))
+        return F.aggregate(near, zero, more, lambda m: F.when(m["s"] > RUN_WORDS, m["n"]).otherwise(0))
+
+    # Every line counted has a word, so that a run has at most RUN_WORDS + 1.
+    begins = F.transform("_lines", lambda x, k: F.struct(k.alias("k"), reach(F.slice("_lines", k + 1, RUN_WORDS + 1)).alias("n")))
+    back = lambda k: F.reverse(F.slice("_lines", F.greatest(k - RUN_WORDS, F.lit(0)) + 1, F.least(k, F.lit(RUN_WORDS)) + 1))
+    ends = F.transform(F.transform("_lines", lambda x, k: F.struct(k.alias("k"), reach(back(k)).alias("n"))),
+                       lambda e: F.struct((e["k"] - e["n"] + 1).alias("k"), e["n"].alias("n")))
+    step = step.select("key", "_lines", F.array_distinct(F.filter(F.concat(begins, ends), lambda r: r["n"] > 0)).alias("_spans"))
+
+    def run(r: Column) -> Column:
+        own = F.slice("_lines", r["k"] + 1, r["n"])
+        return F.struct(F.get("_lines", r["k"])["at"].alias("first"), F.get("_lines", r["k"] + r["n"] - 1)["at"].alias("last"),
+                        F.xxhash64(F.transform(own, lambda x: x["a"])).alias("a"),
+                        F.xxhash64(F.lit(1), F.transform(own, lambda x: x["b"])).alias("b"))
+
+    return step.select("key", F.transform("_spans", run).alias("runs"))
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """The lines to remove, one row per document: ``key``, ``drop``."""
+    places = common.stored(_run_places(docs.select("doc_id", "text")), "runs")
+    rows = places.select("key", F.explode("runs").alias("r")).select("key", "r.*")
+    place = F.xxhash64("key", "first")
+    found = common.stored(rows.groupBy("a", "b").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                          .where("lo <> hi").select("a", "b"), "repeated-runs")
+    again = rows.join(common.fit_to_broadcast(found, BROADCAST_ROWS), ["a", "b"])
+    first = common.stored(again.groupBy("a", "b").agg(F.min(F.struct("key", "first", "last")).alias("kept")), "first-runs")
+    later = (again.join(common.fit_to_broadcast(first, BROADCAST_ROWS), ["a", "b"])
+             .where(~F.col("key").eqNullSafe(F.col("kept.key")) | (F.col("first") > F.col("kept.last"))))
+    return (later.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+            .select("key", F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))).alias("drop")))
+
+
+def remove_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` without the lines of every run of more than RUN_WORDS words
+    that occurs earlier, plus ``n_lines`` (before) and ``n_removed``."""
+    places = common.stored(repeated_runs(docs).select(F.col("key").alias("_key"), F.col("drop").alias("_drop")), "run-lines")
+    n_lines, n_removed = common.fresh(docs, "n_lines"), common.fresh(docs, "n_removed")
+    on = F.xxhash64("_key")
+    joined = (docs.select("*", _key().alias("_key")).withColumn("_on", on).alias("w")
+              .join(common.fit_to_broadcast(places, BROADCAST_ROWS).withColumn("_on", on).alias("p"),
+                    (F.col("w._on") == F.col("p._on")) & F.col("w._key").eqNullSafe(F.col("p._key")), "left")
+              .select("w.*", "p._drop"))
+    cut = joined.select("*", F.split("text", "\n").alias("_lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
+    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n"))
+    return cut.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns],
+                      F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias(n_lines),
+                      F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).alias(n_removed))
+
+
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents without their repeated passages; documents of which
-    nothing but blanks is left go.  Columns are those of ``docs``."""
-    out = dedup_lines(docs)
-    removed, row = out.columns[-1], common.fresh(out, "row")
+    """The documents without their repeated runs, then without the repeated
+    chunks of what is left; documents of which nothing but blanks is left go.
+    Columns are those of ``docs``."""
+    whole = remove_runs(docs)
+    out = dedup_lines(whole)
+    removed, row = F.col(whole.columns[-1]) + F.col(out.columns[-1]), common.fresh(out, "row")
     # The row number keeps Spark from moving the filter, and with it copies of
     # all that it is computed from, below the cutting.
     return (out.withColumn(row, F.monotonically_increasing_id())
-            .where((F.col(row) >= 0) & ((F.col(removed) == 0) | (F.btrim("text", F.lit(common.BLANKS)) != "")))
+            .where((F.col(row) >= 0) & ((removed == 0) | (F.btrim("text", F.lit(common.BLANKS)) != "")))
             .select(*docs.columns))

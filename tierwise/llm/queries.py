@@ -136,6 +136,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# All later occurrences of runs of lines with more than 50 words: the step that
+# the pipeline takes before the chunks above.
+@register("op10_repeated_runs")
+def op10_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op1_quality_rules")
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), ["doc_id"])
