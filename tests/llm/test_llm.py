@@ -146,6 +146,23 @@ def test_extraction(spark):
     assert all(r.text == "" for r in got if r.page_id >= 20)
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div class='content-sidebar-wrap'><main><p>one</p></main></div>", "one"),
+    ("<div class='has-sidebar'><article><p>one</p></article></div>", "one"),
+    ("<div class='sidebar'><article><p>one</p></article></div>", "one"),
+    ("<div class='sidebar'><article><p>card</p></article></div><article><p>one</p></article>", "one"),
+    ("<form id='aspnetForm'><div>top</div><article><p>one</p></article></form>", "one"),
+    ("<div>Site</div><form id='aspnetForm'><nav>menu</nav><div><p>the text of this page</p></div></form>", "Site\n\nthe text of this page"),
+    ("<div>the text of this page</div><form><p>Your name</p></form>", "the text of this page"),
+    ("<article><div class='post-header'><h1>Head</h1></div><div class='header'>By me</div><p>one</p></article>", "Head\n\nBy me\n\none"),
+    ("<article><p>one</p><div class='related'><article><p>card</p></article></div></article>", "one"),
+    ("<div class='comments'><article><p>first!</p></article></div><div>one</div>", "one"),
+    ("<div class='advertisement'><main><p>buy</p></main></div><div class='site-footer'>foot</div><div id='cookie-banner'>ok</div>one", "one"),
+])
+def test_noise_around_articles(page, text):
+    assert site_style_tree.main_text(f"<html><body>{page}</body></html>", frozenset()) == text
+
+
 # ----------------------------------------------------------------- 5 secrets
 
 def test_secrets(spark, texts, odd):

@@ -10,7 +10,11 @@ that differ from page to page are content (importance 1).  Branches below
 pages are removed.  What an element announces about itself counts first:
 menus, forms, adverts, comments and the like go by tag, role or class, and an
 article's plain paragraphs, headings and lists stay, so that copies of one
-article do not make it look like a template.
+article do not make it look like a template.  A class or id counts if all of
+its words say so (``sidebar``, ``site-footer``, not ``has-sidebar``); an
+outermost article or main element inside an element that is noise by its
+class, id or as a form is content all the same, unless comments or adverts
+enclose it or the page has an article outside.
 
 Text counts are summed by Spark per (host, node, text), so a host with a
 third of all pages is reduced map-side; pages then get the removable nodes of
@@ -60,6 +64,15 @@ NOISE_WORDS = frozenset(
     "signup social sponsor sponsored subscribe toolbar topbar widget widgets".split())
 #: Words that also make a whole article noise.
 NOISE_ARTICLES = frozenset("comment comments reply replies ad ads advert sponsored promo".split())
+#: Words that make what they enclose noise, articles too.
+NOISE_ENCLOSING = NOISE_ARTICLES | frozenset("adsense adverts advertisement advertising promoted sponsor disqus respond".split())
+#: Words that leave a compound class (site-footer) what its other words say;
+#: any other word (post-header, has-sidebar) makes it something else.
+NEUTRAL = frozenset("left right top bottom site global google box block list item area inner outer container wrapper wrap slot unit".split())
+#: Noise of an element: none, by a form around it, by the words of a class or
+#: id, for certain.  An article or main text is reset from the middle two.
+CLEAN, IN_FORM, BY_WORD, CERTAIN = range(4)
+FORMS = frozenset("form fieldset".split())
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li td th dd dt article main".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
@@ -68,33 +81,55 @@ _WORD = re.compile(r"[A-Za-z]+")
 
 
 class Block:
-    """A run of text in one block: its text, style path, and verdicts."""
+    """A run of text in one block: its text, style path, noise (as above),
+    whether it is in an article (1: one inside an element that is noise by its
+    words, else 2), and whether it is plain."""
     __slots__ = ("path", "text", "noise", "article", "plain")
 
     def __init__(self, path, text, noise, article, plain):
         self.path, self.text, self.noise, self.article, self.plain = path, text, noise, article, plain
 
 
+def _noise_words(named: str) -> set[str]:
+    """The noise words among classes and ids: a name counts if all of its
+    words are noise or neutral."""
+    out: set[str] = set()
+    for name in named.split():
+        words = {w for w in (w.lower() for w in _WORD.findall(name)) if len(w) > 1 and w not in NEUTRAL}
+        if words <= NOISE_WORDS | NOISE_ENCLOSING:
+            out |= words
+    return out
+
+
 def _element(tag: str, attributes: str, parent: tuple) -> tuple:
     """(tag, path, noise, in article, plain, is root of an article)"""
     _, path, noise, article, _, _ = parent
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
     named = f"{values.get('class', '')} {values.get('id', '')}"
-    words = {w.lower() for w in _WORD.findall(named)} if named != " " else set()
+    words = _noise_words(named) if named != " " else set()
     role = values.get("role", "").lower()
     root = not article and (tag in ("article", "main") or role == "main" or values.get("itemprop", "").lower() == "articlebody")
+    own = CLEAN
     if tag == "article" or root:
-        noise = noise or bool(words & NOISE_ARTICLES)
+        if words & NOISE_ARTICLES:
+            own = CERTAIN
     elif tag not in ("html", "body"):
-        noise = (noise or tag in NOISE_TAGS or role in NOISE_ROLES or bool(words & NOISE_WORDS)
-                 or tag == "footer" or (tag == "header" and not article) or "hidden" in values)
+        if (tag in NOISE_TAGS - FORMS or role in NOISE_ROLES - FORMS or words & NOISE_ENCLOSING
+                or tag == "footer" or (tag == "header" and not article) or "hidden" in values):
+            own = CERTAIN
+        elif words & NOISE_WORDS and not (article and words == {"header"}):
+            own = BY_WORD
+        elif tag in FORMS or role in FORMS:
+            own = IN_FORM
+    inside = article or ((1 if noise == BY_WORD else 2) if root and max(own, noise if noise == CERTAIN else CLEAN) == CLEAN else 0)
+    noise = own if root and noise < CERTAIN else max(noise, own)
     path = f"{path}/{tag}" + ("." + ".".join(sorted(values["class"].split())) if values.get("class") else "")
-    return tag, path, noise, article or (root and not noise), tag in PLAIN and not words, root
+    return tag, path, noise, inside, tag in PLAIN and not _WORD.search(named), root
 
 
 def blocks(html: str) -> Iterator[Block]:
     """The text blocks of a page in order."""
-    stack = [("", "", False, False, False, False)]
+    stack = [("", "", CLEAN, 0, False, False)]
     text: list[str] = []
     owner = stack[0]
     pos, end = 0, len(html)
@@ -159,18 +194,25 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+def _candidates(every: list[Block]) -> list[Block]:
+    """The blocks that are no noise.  A form that holds more text than the
+    rest of the page is a wrapper around it."""
+    size = [sum(len(b.text) for b in every if b.noise == kind) for kind in (CLEAN, IN_FORM)]
+    return [b for b in every if b.noise == CLEAN or (b.noise == IN_FORM and size[IN_FORM] > size[CLEAN])]
+
+
 def _node_texts(batches):
     """(host, html) -> (host, page, node, text hash), for blocks that the tree
     can decide."""
     for batch in batches:
         out = [[], [], [], []]
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            found = [(_hash(b.path), _hash(b.text), b) for b in blocks(html or "")]
-            page = _hash(repr([f[:2] for f in found]))
-            for node, text, b in found:
-                if not b.noise:
-                    for column, value in zip(out, (host, page, node, text)):
-                        column.append(value)
+            every = list(blocks(html or ""))
+            hashes = {id(b): (_hash(b.path), _hash(b.text)) for b in every}
+            page = _hash(repr(list(hashes.values())))
+            for b in _candidates(every):
+                for column, value in zip(out, (host, page, *hashes[id(b)])):
+                    column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string())] + [pa.array(c, pa.int64()) for c in out[1:]],
                                          names=["host", "page", "node", "text"])
 
@@ -188,9 +230,10 @@ def importance(pages: DataFrame) -> DataFrame:
 
 def main_text(html: str | None, low: frozenset[int]) -> str:
     """The blocks of a page that belong to its main text."""
-    found = [b for b in blocks(html or "") if not b.noise]
-    if any(b.article for b in found):
-        found = [b for b in found if b.article]
+    found = _candidates(list(blocks(html or "")))
+    inside = max((b.article for b in found), default=0)
+    if inside:
+        found = [b for b in found if b.article == inside]
     return "\n\n".join(b.text for b in found if (b.article and b.plain) or not low or _hash(b.path) not in low)
 
 
