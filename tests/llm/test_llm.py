@@ -163,6 +163,20 @@ def test_noise_around_articles(page, text):
     assert site_style_tree.main_text(f"<html><body>{page}</body></html>", frozenset()) == text
 
 
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_notice_among_content(spark, tag):
+    # One path holds the notice of every page and paragraphs that differ.
+    def page(i):
+        return f"<body><{tag}><p>Always this notice</p>" + "".join(f"<p>text {i} {k}</p>" for k in range(9)) + f"</{tag}>"
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(12)] + [(50 + i, f"http://few.example/{i}", page(i)) for i in range(3)]
+    # Near copies of one article: its paragraphs are no template.
+    rows += [(80 + i, f"http://copies.example/{i}", "<article>" + "".join(f"<p>line {k}</p>" for k in range(9)) + f"<p>copy {i}</p>") for i in range(8)]
+    got = {r.page_id: r.text for r in site_style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "\n\n".join(f"text {i} {k}" for k in range(9)) for i in range(12))
+    assert all(got[50 + i].startswith("Always this notice") for i in range(3))
+    assert all(got[80 + i] == "\n\n".join([*(f"line {k}" for k in range(9)), f"copy {i}"]) for i in range(8))
+
+
 # ----------------------------------------------------------------- 5 secrets
 
 def test_secrets(spark, texts, odd):

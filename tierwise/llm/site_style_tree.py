@@ -7,10 +7,15 @@ minus the mean normalised entropy of its texts over the host's distinct
 pages: a text that comes with every page adds nothing (importance 0), texts
 that differ from page to page are content (importance 1).  Branches below
 :data:`LEAST_IMPORTANCE` on hosts with at least :data:`LEAST_PAGES` distinct
-pages are removed.  What an element announces about itself counts first:
+pages are removed.  In the other nodes each text is judged by itself, on the
+same scale: one minus log(pages with it) / log(pages of the node).  The
+presentation nodes of the dealt method (entropy of the child style sequences,
+importance summed up over a branch) are not computed; text importance by node
+and text stands in for them.  What an element announces about itself counts first:
 menus, forms, adverts, comments and the like go by tag, role or class, and an
 article's plain paragraphs, headings and lists stay, so that copies of one
-article do not make it look like a template.  A class or id counts if all of
+article do not make it look like a template; only a text repeated in a node of
+importance :data:`SURE_IMPORTANCE` or more goes there too.  A class or id counts if all of
 its words say so (``sidebar``, ``site-footer``, not ``has-sidebar``); an
 outermost article or main element inside an element that is noise by its
 class, id or as a form is content all the same, unless comments or adverts
@@ -30,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 
@@ -41,6 +47,9 @@ from tierwise.llm import common
 
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5
+#: A node of this importance is no copy of one article: texts that come with
+#: every page are template even among an article's plain paragraphs.
+SURE_IMPORTANCE = 0.5
 BROADCAST_ROWS = 100_000
 
 # HTML elements by their part in a page.
@@ -217,9 +226,13 @@ def _node_texts(batches):
                                          names=["host", "page", "node", "text"])
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """``host``, ``node`` (hash of the path), ``pages``, ``importance``."""
-    seen = common.stored(pages.select("host", "html").mapInArrow(_node_texts, "host string, page long, node long, text long").distinct(), "nodes")
+def node_texts(pages: DataFrame) -> DataFrame:
+    """``host``, ``page``, ``node`` (hash of the path), ``text``: stored."""
+    return common.stored(pages.select("host", "html").mapInArrow(_node_texts, "host string, page long, node long, text long").distinct(), "nodes")
+
+
+def importance(seen: DataFrame) -> DataFrame:
+    """``host``, ``node``, ``pages``, ``importance`` of :func:`node_texts`."""
     m = seen.select("host", "node", "page").distinct().groupBy("host", "node").agg(F.count("*").alias("pages"))
     spread = (seen.groupBy("host", "node", "text").agg(F.count("*").alias("n"))
               .groupBy("host", "node").agg(F.count("*").alias("texts"), F.sum(F.col("n") * F.log("n")).alias("e"), F.sum("n").alias("all")))
@@ -228,19 +241,39 @@ def importance(pages: DataFrame) -> DataFrame:
     return m.join(spread, ["host", "node"]).select("host", "node", "pages", (1 - entropy).alias("importance"))
 
 
-def main_text(html: str | None, low: frozenset[int]) -> str:
-    """The blocks of a page that belong to its main text."""
+def repeated_texts(seen: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``host``, ``node``, ``text``, ``sure``: texts that come with so many of
+    their node's pages that their own importance is low though the node's is
+    not; ``sure`` where the node's other texts differ from page to page."""
+    least = math.ceil(LEAST_PAGES ** (1 - LEAST_IMPORTANCE))
+    counted = seen.groupBy("host", "node", "text").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return (counted.join(nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") >= LEAST_IMPORTANCE)), ["host", "node"])
+            .where(1 - F.log("n") / F.log("pages") < LEAST_IMPORTANCE)
+            .select("host", "node", "text", (F.col("importance") >= SURE_IMPORTANCE).alias("sure")))
+
+
+def main_text(html: str | None, low: frozenset[int], repeated: dict[tuple[int, int], bool] | None = None) -> str:
+    """The blocks of a page that belong to its main text.  ``low``: nodes,
+    ``repeated``: (node, text) -> sure."""
     found = _candidates(list(blocks(html or "")))
     inside = max((b.article for b in found), default=0)
     if inside:
         found = [b for b in found if b.article == inside]
-    return "\n\n".join(b.text for b in found if (b.article and b.plain) or not low or _hash(b.path) not in low)
+
+    def stays(b: Block) -> bool:
+        exempt, node = b.article and b.plain, _hash(b.path) if low or repeated else 0
+        if low and not exempt and node in low:
+            return False
+        sure = repeated.get((node, _hash(b.text))) if repeated else None
+        return sure is None or bool(exempt and not sure)
+
+    return "\n\n".join(b.text for b in found if stays(b))
 
 
 def _extract(batches):
     for batch in batches:
-        texts = [main_text(html, frozenset(low or ())) for html, low in
-                 zip(batch.column("html").to_pylist(), batch.column("low").to_pylist())]
+        texts = [main_text(html, frozenset(low or ()), {(r["node"], r["text"]): r["sure"] for r in repeated or ()})
+                 for html, low, repeated in zip(*(batch.column(c).to_pylist() for c in ("html", "low", "repeated")))]
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 
@@ -250,8 +283,13 @@ def extract(pages: DataFrame) -> DataFrame:
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), F.lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)).alias("host"))
-    low = common.stored(importance(rows).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
-                        .groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("low")), "removable")
-    few = (low.agg(F.sum(F.size("low"))).first()[0] or 0) <= BROADCAST_ROWS
-    return (rows.join(F.broadcast(low) if few else low, "host", "left").select("page_id", "url", "html", "low")
+    seen = node_texts(rows)
+    nodes = common.stored(importance(seen), "importance")
+    low = (nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
+           .groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("low")))
+    repeated = repeated_texts(seen, nodes).groupBy("host").agg(F.collect_list(F.struct("node", "text", "sure")).alias("repeated"))
+    out = common.stored(low.join(repeated, "host", "full"), "removable")
+    entries = F.coalesce(F.size("low"), F.lit(0)) + F.coalesce(F.size("repeated"), F.lit(0))
+    few = (out.agg(F.sum(F.greatest(entries, F.lit(1)))).first()[0] or 0) <= BROADCAST_ROWS
+    return (rows.join(F.broadcast(out) if few else out, "host", "left").select("page_id", "url", "html", "low", "repeated")
             .mapInArrow(_extract, "page_id long, url string, text string"))
