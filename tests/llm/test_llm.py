@@ -299,6 +299,12 @@ def test_decontamination_odd_rows(spark, odd, empty):
     assert decontaminate.remove(odd, items.limit(0)).count() == len(ODD)
 
 
+def test_items_without_id_are_removed(spark, odd):
+    items = spark.createDataFrame([(None, PROSE), (None, "one two"), (None, None), (5, "not in any of these texts at all")], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.remove(odd, items).collect()) == [1, 2, 3, 7]
+    assert decontaminate.contaminated(odd, items).collect() == []
+
+
 # --------------------------------------------------------------- 10 line dedup
 
 def test_line_dedup_odd_rows(spark, odd, empty):

@@ -1,14 +1,14 @@
-"""Benchmark items inside documents, by size-partitioned containment MinHash.
+"""Benchmark items inside documents, by containment MinHash.
 
 A document contains an item when at least :data:`CONTAINMENT` of the item's
-distinct five-word shingles (lower-cased) occur in the document.  Items are
-partitioned by size, the power of two below their shingle count; in each
-partition an item is represented by a bottom-k MinHash sketch, its
-:data:`SKETCH` smallest shingle hashes.  The share of the sketch found among
-a document's shingles estimates the containment independently of the
-document's length, and a shingle above the largest sketch value of every
-partition needs no look-up at all.  Candidates are then verified: the whole
-shingle sets of document and item are intersected.
+distinct five-word shingles (lower-cased) occur in the document.  An item is
+represented by a bottom-k MinHash sketch, its :data:`SKETCH` smallest shingle
+hashes.  The share of the sketch found among a document's shingles estimates
+the containment independently of the document's length, and a shingle above
+the largest sketch value of all items needs no look-up at all.  Items are not
+partitioned by size: the join on the hash alone finds an item of any size.
+Candidates are then verified: the whole shingle sets of document and item are
+intersected.
 
 A sketch of the whole item must be met to :data:`CONTAINMENT`; of a larger
 item's sketch, :data:`LEAST_HITS` of 16 suffice (4 standard deviations below
@@ -18,7 +18,10 @@ The item side is broadcast only while it has at most :data:`BROADCAST_ROWS`
 rows (counted); beyond, both look-ups are shuffle joins on the shingle.
 
 Defined cases: null, blank and empty texts contain nothing; an item of one to
-four words is one shingle and matches documents of exactly these words;
+four words is one shingle and matches documents of exactly these words; items
+with a null ``item_id`` are searched for like all others, and :func:`remove`
+drops what holds them, but :func:`contaminated`, which names the items, lists
+none of them;
 repeated items and documents count once per (id, text); rows with equal
 ``doc_id`` and text yield one result.
 """
@@ -51,18 +54,13 @@ def _key() -> list[Column]:
     return [F.col("doc_id"), F.xxhash64("text").alias("text_key")]
 
 
-def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key`` (hash of the text), ``item_id``,
-    ``n_item_shingles``, ``n_common`` and ``containment`` of every document
-    and item with containment of at least CONTAINMENT."""
-    of_item = _hashes(items.where("item_id is not null"), "item_id").select("item_id", F.array_distinct("shingles").alias("s"))
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """As :func:`contaminated`, items with a null ``item_id`` included."""
+    of_item = _hashes(items, "item_id").select("item_id", F.array_distinct("shingles").alias("s"))
     of_item = of_item.where(F.size("s") > 0).distinct().select(
         "item_id", F.xxhash64("s").alias("version"), F.size("s").alias("n"), F.sort_array("s").alias("s"))
-    sketches = common.stored(of_item.select(
-        "item_id", "version", "n", F.floor(F.log2(F.col("n").cast("double"))).cast("int").alias("part"),
-        F.slice("s", 1, SKETCH).alias("low"), "s"), "items")
-    by_part = sketches.groupBy("part").agg(F.sum("n").alias("n"), F.max(F.element_at("low", -1)).alias("top"))
-    bound = by_part.agg(F.sum("n"), F.max("top")).first()
+    sketches = common.stored(of_item.select("item_id", "version", "n", F.slice("s", 1, SKETCH).alias("low"), "s"), "items")
+    bound = sketches.agg(F.sum("n"), F.max(F.element_at("low", -1))).first()
     small = (bound[0] or 0) <= BROADCAST_ROWS
     fit = F.broadcast if small else (lambda df: df)
     sketch = sketches.select("item_id", "version", "n", F.size("low").alias("k"), F.explode("low").alias("h"))
@@ -81,15 +79,23 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
               .join(wanted, (F.col("text_key") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi"))
     sets = _hashes(chosen, *_key()).select("doc_id", "text_key", F.array_distinct("shingles").alias("s")).distinct()
     full = sketches.select("item_id", "version", F.col("s").alias("item"))
-    pairs = (candidates.alias("c").join(fit(full).alias("f"), ["item_id", "version"])
+    pairs = (candidates.alias("c")
+             .join(fit(full).alias("f"), (F.col("c.version") == F.col("f.version")) & F.col("c.item_id").eqNullSafe(F.col("f.item_id")))
              .join(sets.alias("d"), (F.col("c.text_key") == F.col("d.text_key")) & F.col("c.doc_id").eqNullSafe(F.col("d.doc_id"))))
     common_ = F.size(F.array_intersect("item", "s")).cast("long")
-    return (pairs.select("c.doc_id", "c.text_key", "item_id", F.col("n").cast("long").alias("n_item_shingles"), common_.alias("n_common"))
+    return (pairs.select("c.doc_id", "c.text_key", "c.item_id", F.col("n").cast("long").alias("n_item_shingles"), common_.alias("n_common"))
             .withColumn("containment", F.col("n_common") / F.col("n_item_shingles"))
             .where(F.col("n_common") * 10 >= F.col("n_item_shingles") * int(CONTAINMENT * 10)))
 
 
+def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_key`` (hash of the text), ``item_id``,
+    ``n_item_shingles``, ``n_common`` and ``containment`` of every document
+    and item with containment of at least CONTAINMENT."""
+    return _found(docs, items.where("item_id is not null"))
+
+
 def remove(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item.  Columns are those of ``docs``."""
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
+    bad = _found(docs, items).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
     return common.without(docs, common.stored(bad, "contaminated"))
