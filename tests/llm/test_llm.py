@@ -205,6 +205,27 @@ def test_assignments(text, found):
     assert [text[a:b] for a, b, *_ in secret_scan.literal_spans(text)] == found
 
 
+_CHAIN = [f"{x}{x}_name" for x in "abcdefghijklmnopqrstuvwxyz"]
+
+
+@pytest.mark.parametrize("text, found", [
+    ("DB_PWD=QwErTyUiOpAsDfGh\nx", ["QwErTyUiOpAsDfGh"]),
+    ("db_password: QwErTyUiOpAsDfGh", ["QwErTyUiOpAsDfGh"]),
+    ("export DB_PWD=horsebattery_Staple", ["horsebattery_Staple"]),
+    ("db_password = k\nk = QwErTyUiOpAsDfGh", ["QwErTyUiOpAsDfGh"]),
+    ('token = "My7kQ0pLm2Zx81kkS"', ["My7kQ0pLm2Zx81kkS"]), ('token = "your8Zx81kkQ0pLm2"', ["your8Zx81kkQ0pLm2"]),
+    ('token = "exampleZx81kkQ0pLm2"', ["exampleZx81kkQ0pLm2"]),
+    ('password = "aB3d E5gH 7jK9 mN1p"', ["aB3d E5gH 7jK9 mN1p"]),
+    ("db_password = aa_name\n" + "\n".join(f"{a} = {b}" for a, b in zip(_CHAIN, _CHAIN[1:])) + f'\n{_CHAIN[-1]} = "aB3dE5gH7jK9mN1p"', ["aB3dE5gH7jK9mN1p"]),
+    ("password = other_word\nother_word = password", []), ("password = userPasswordField;", []), ("token = config.auth_token", []),
+    ("    password=db_password", []), ("DB_PWD=$OTHER_PASSWORD", []),
+    ('password = "my_secret_password"', []), ('password: "your-password-here"', []), ('token = "YOUR_API_KEY"', []),
+    ('password = "Please enter your password"', []),
+])
+def test_assignments_whole(text, found):
+    assert [text[a:b] for a, b, *_ in secret_scan.literal_spans(text)] == found
+
+
 # -------------------------------------------------------------------- 6 urls
 
 def test_urls(spark):

@@ -6,7 +6,11 @@ Three base patterns are matched as they stand (``assign``, ``access``,
 or another name behind it, ``--flag value`` pairs, ``<name>literal</name>``
 elements, and the password of ``scheme://user:password@host``.  Literals
 assigned to a name are constants; a name assigned to another name passes its
-constant on, so that ``k = "..."; db_password = k`` is found at the literal.
+constant on, so that ``k = "..."; db_password = k`` is found at the literal,
+in any order and over any number of names.  An unquoted word without digits
+that no name leads on from is a literal if it does not look like words, or is
+all that follows ``NAME=`` on a line of its own.  Placeholders are whole known
+phrases; a literal with blanks is a sentence unless most of it is no words.
 A literal's score is the weight of the most telling word in the names it reaches times how
 random it looks; from :data:`THRESHOLD` on it is reported as ``literal``.
 
@@ -29,8 +33,8 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.5
 MIN_LITERAL = 8
-#: How far before an operator a name is looked for, and the links of a chain.
-NAME_WINDOW, MAX_CHAIN = 128, 8
+#: How far before an operator a name is looked for.
+NAME_WINDOW = 128
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -42,7 +46,11 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "pas
              "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "privatekey": 1.0,
              "accesskey": 1.0, "auth": 0.7, "bearer": 0.8, "pass": 0.7, "key": 0.6}
 # Literals that stand for a secret.
-PLACEHOLDERS = re.compile(r"(?i)^(change[-_]?me|your.*|my.*|example.*|placeholder|none|null|true|false|undefined|"
+_PHRASE = (r"(?:(?:your|my|the|example|sample|dummy|default|test)[-_. ]?){1,3}"
+           r"(?:(?:own|super|db|database|api|app|user|admin|secret|access|private|client|auth|service|new|old)[-_. ]?){0,3}"
+           r"(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|key|credentials?|value|string|name|account|domain|host|server)?"
+           r"(?:[-_. ]?(?:goes[-_. ]?)?here)?(?:\.(?:com|org|net))?\d{0,3}")
+PLACEHOLDERS = re.compile(rf"(?i)^(change[-_]?me|{_PHRASE}|placeholder|none|null|true|false|undefined|"
                           r"redacted|x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|os\.environ.*|process\.env.*)$")
 
 _OPERATOR = re.compile(r":=|=>|[=:]")
@@ -51,6 +59,7 @@ _VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([
 _FLAG = re.compile(r"""(?<!\S)--?([A-Za-z][\w-]*)[ \t]+(?!-)["']?([^\s"']+)""", re.A)
 _ELEMENT = re.compile(r"<([A-Za-z][\w.:-]*)>([^<>\n]+)</\1>", re.A)
 _USERINFO = re.compile(r"://[^\s:/@]*:([^\s/@]+)@", re.A)
+_PLAIN_LINE = re.compile(r"(?:export[ \t]+)?\Z", re.A)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -67,15 +76,49 @@ def name_weight(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in parts + pairs), default=0.0)
 
 
+def word_like(text: str) -> bool:
+    """Made up of words or numbers as identifiers and sentences are: parts of
+    three characters on average, long ones with some vowels, no digit within."""
+    text = text.strip(".,;:!?()[]\"'")
+    parts = _PARTS.findall(text)
+    if not parts:
+        return True
+    if re.search(r"\d[A-Za-z]|[A-Za-z]\d+[A-Za-z]", text):
+        return False
+    letters = [p.lower() for p in parts if not p.isdigit()]
+    if len(letters) > 1 and sum(map(len, letters)) < 3 * len(letters):
+        return False
+    return all(5 * sum(c in "aeiouy" for c in p) >= len(p) for p in letters if len(p) > 4)
+
+
 def randomness(literal: str) -> float:
     """0 to 1: entropy per character, against that of random base64."""
-    if len(literal) < MIN_LITERAL or PLACEHOLDERS.match(literal) or " " in literal:
+    if len(literal) < MIN_LITERAL or PLACEHOLDERS.match(literal):
         return 0.0
+    if " " in literal:  # a sentence, unless most of it is no words
+        parts = literal.split()
+        literal = "".join(parts)
+        if 2 * sum(len(p) for p in parts if not word_like(p)) <= len(literal) or len(literal) < MIN_LITERAL:
+            return 0.0
     bits = -sum(n / len(literal) * math.log2(n / len(literal)) for n in Counter(literal).values())
     kinds = sum(bool(re.search(p, literal)) for p in (r"[a-z]", r"[A-Z]", r"\d", r"[^A-Za-z0-9]"))
     return min(1.0, bits / 3.5) * (0.5 if kinds == 1 else 1.0)
 
 
+def _bare_literal(text: str, name: re.Match, value: re.Match) -> bool:
+    """Whether an unquoted word without digits may be a literal: no reference
+    by its looks, or all that follows ``NAME=`` on a line of its own."""
+    word = value[4]
+    if word.startswith("$"):
+        return False
+    if not word_like(word):
+        return True
+    start = text.rfind("\n", 0, name.start()) + 1
+    end = text.find("\n", value.end())
+    return (not re.search(r"[.$]", word) and _PLAIN_LINE.match(text[start:name.start()]) is not None
+            and text[name.end(1):value.start(4)] == "=" and not text[value.end():end if end >= 0 else len(text)].strip())
+
+
 def literal_spans(text: str) -> list[tuple[int, int, float, str]]:
     """(start, end, score, name) of the literals that reach a telling name."""
     if "=" not in text and ":" not in text and "--" not in text and "</" not in text:
@@ -89,7 +132,8 @@ def literal_spans(text: str) -> list[tuple[int, int, float, str]]:
             score = weight * randomness(text[slice(*span)])
             best[span] = max(best.get(span, (0.0, "")), (score, name))
 
-    links: list[tuple[str, str]] = []
+    follow: dict[str, tuple[str, tuple[int, int] | None]] = {}
+    links: list[str] = []
     for m in _OPERATOR.finditer(text):
         if text[m.end():m.end() + 1] in ("=", ":") or text[m.end():m.end() + 2] == "//" or text[m.start() - 1:m.start()] in ("=", ":", "!", "<", ">"):
             continue
@@ -99,20 +143,35 @@ def literal_spans(text: str) -> list[tuple[int, int, float, str]]:
             continue
         k = value.lastindex
         if k == 4 and (value[4] in constants or not re.search(r"\d", value[4])):
-            links.append((name[1], value[4]))
             if value[4] not in constants:
+                links.append(name[1])
+                follow[name[1]] = value[4], value.span(4) if _bare_literal(text, name, value) else None
                 continue
             constants[name[1]] = constants[value[4]]
         else:
             constants[name[1]] = value.span(k)
         reach(name[1], constants[name[1]])
-    follow = dict(links)
-    for target, origin in links:  # names assigned before their constant
-        seen = 0
-        while origin not in constants and origin in follow and seen < MAX_CHAIN:
-            origin, seen = follow[origin], seen + 1
-        if origin in constants:
-            reach(target, constants[origin])
+    ends: dict[str, tuple[int, int] | None] = {}
+    for target in links:  # names assigned before their constant, or a bare word
+        chain, at, span = [], target, None
+        seen: set[str] = set()
+        while at not in seen:
+            if at != target and at in constants:
+                span = constants[at]
+            elif at in ends:
+                span = ends[at]
+            elif at in follow:
+                chain.append(at)
+                seen.add(at)
+                at, span = follow[at]
+                continue
+            break
+        else:
+            span = None  # names that only stand for each other
+        for name in chain:
+            ends[name] = span
+        if ends.get(target):
+            reach(target, ends[target])
     for pattern in (_FLAG, _ELEMENT):
         for m in pattern.finditer(text):
             reach(m[1], m.span(2))
