@@ -242,6 +242,26 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0)).collect() == []
 
 
+def test_urls_whole(spark, monkeypatch):
+    run = "freecasinobonusslotsjackpotpokerbettingonlinecasinowinnersviagrapills"
+    urls = [f"http://a.example.org/{run}", "http://plain.example.com/" + "q" * 5000]
+    # A word of 50 blocked hosts, one of a single one, and 250,000 other words, each once.
+    urls += [f"http://casino{chr(97 + i // 26)}{chr(97 + i % 26)}.example.com/zorblax" for i in range(50)] + ["http://quiet.example.com/zorblax"]
+    urls += ["http://casino.example.com/glimwort", "http://quiet.example.com/glimwort", "http://quiet.example.com/"]
+    urls += [f"http://h{i}.example.com/" + "/".join("w" + "".join(chr(97 + (k // 26 ** j) % 26) for j in range(4)) + "x" for k in range(250 * i, 250 * i + 250))
+             for i in range(1000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    r = {x.page_id: x for x in url_filter.judge(pages).where("page_id < 60").collect()}
+    assert r[0].verdict == "block" and {"casino", "bonus", "jackpot", "viagra", "pills"} <= set(r[0].words)
+    assert r[1].words[-1] == "q" * 5000
+    assert "zorblax" in r[52].words and r[52].verdict == "block"
+    assert r[54].words[-1] == "glimwort" and r[54].spam_odds != r[55].spam_odds
+    few = pages.where("page_id < 60")
+    want = sorted(map(str, url_filter.judge(few).collect()))
+    monkeypatch.setattr(url_filter, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, url_filter.judge(few).collect())) == want
+
+
 # ----------------------------------------------------------------- 7 rollups
 
 def test_rollup_is_idempotent(spark, odd, tmp_out):

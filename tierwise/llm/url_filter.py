@@ -10,8 +10,12 @@ rows are all hosts: blocked ones are those with a word of :data:`SPAM`.
 
 Words are counted over all pages, map-side first, and a host's words are
 distinct before they are counted, so a host with a third of all pages weighs
-as one.  The model holds the words with at least :data:`LEAST_SHARE` of all
-counts, at most ``1 / LEAST_SHARE`` words, and is broadcast.
+as one.  The model is stored tables and holds every word, whatever the size of
+the input (the splitter's dictionary: those of two hosts or more).  Each
+distinct name is split once; splits and log odds are joined to names, and the
+scores to URLs, by broadcasts up to :data:`BROADCAST_ROWS` rows (counted),
+beyond by shuffles.  A larger dictionary is joined to the substrings of the
+names that have the length of a known word.  Names of any length are split.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, no
 rule and the verdict allow; equal URLs get equal verdicts.
@@ -26,7 +30,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST_SHARE = 1e-5
+from tierwise.llm import common
+
+BROADCAST_ROWS = 200_000
 PRIOR_BLOCK = 0.1
 SMOOTHING = 0.5
 #: Counts that each word of the lexicons has besides those of the corpus.
@@ -67,17 +73,23 @@ def rule_verdict(host: Column, path: Column) -> Column:
     return out
 
 
-def split_words(label: str, cost: dict[str, float], unknown: float) -> list[str]:
+def split_words(label: str, priced: list[tuple[int, int, float]], unknown: float) -> list[str]:
     """Cheapest split of a label: words at their cost, any other piece at
-    ``unknown`` and as much again for every two characters."""
-    longest = max(map(len, cost), default=1)
+    ``unknown`` and as much again for every two characters.  ``priced``: start,
+    end and cost of the known words in it."""
+    ending: dict[int, list[tuple[int, float]]] = {}
+    for start, end, price in priced:
+        ending.setdefault(end, []).append((start, price))
     best, back = [0.0] + [math.inf] * len(label), [0] * (len(label) + 1)
+    open_, since = math.inf, 0  # the cheapest way that ends in an unknown piece, and its start
     for end in range(1, len(label) + 1):
-        for start in range(0, end):
-            piece = label[start:end]
-            known = cost.get(piece) if end - start <= longest else None
-            price = known if known is not None else unknown * (1 + (end - start) / 2)
-            if best[start] + price < best[end]:
+        begun = best[end - 1] + unknown * 1.5
+        open_ += unknown / 2
+        if begun < open_:
+            open_, since = begun, end - 1
+        best[end], back[end] = open_, since
+        for start, price in sorted(ending.get(end, ())):
+            if best[start] + price <= best[end]:
                 best[end], back[end] = best[start] + price, start
     out, end = [], len(label)
     while end:
@@ -89,80 +101,103 @@ def split_words(label: str, cost: dict[str, float], unknown: float) -> list[str]
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def words_of(host: str, path: str, cost: dict[str, float], unknown: float, known: dict[str, list[str]]) -> list[str]:
-    out = []
-    for name in _LETTERS.findall(host.rsplit(".", 1)[0] if "." in host else host) + _LETTERS.findall(path.lower()):
-        if name not in known:
-            known[name] = split_words(name, cost, unknown) if len(name) <= 63 else [name]
-        out += known[name]
-    return out
-
+def _url_names(hosts: DataFrame) -> DataFrame:
+    """The names in each host and path: ``_host``, ``_path``, ``at``,
+    ``name``, ``own`` (part of the host)."""
+    @F.pandas_udf("array<struct<name:string,own:boolean>>")
+    def names(host: pd.Series, path: pd.Series) -> pd.Series:
+        return pd.Series([[{"name": n, "own": True} for n in _LETTERS.findall(h.rsplit(".", 1)[0] if "." in h else h)]
+                          + [{"name": n, "own": False} for n in _LETTERS.findall(p.lower())] for h, p in zip(host, path)], dtype=object)
 
-def _frequent(counted: DataFrame, value: str) -> dict[str, float]:
-    """Word -> count for words with at least LEAST_SHARE of all: bounded."""
-    total = counted.agg(F.sum(value)).first()[0] or 0
-    return {r[0]: float(r[1]) for r in counted.where(F.col(value) >= LEAST_SHARE * total).select("word", value).collect()}
+    return hosts.select("_host", "_path", F.posexplode(names("_host", "_path")).alias("at", "n")).select("_host", "_path", "at", "n.*")
 
 
-def _costs(hosts: DataFrame) -> tuple[dict[str, float], float]:
-    """Viterbi costs from the words that hosts and paths separate themselves:
-    a word counts once per host; a host's own labels only where another host
-    or a path has them too, else every name would be a word."""
+def _costs(hosts: DataFrame) -> tuple[DataFrame, float]:
+    """Viterbi costs (``word``, ``cost``; stored) and that of unknown pieces,
+    from the words that hosts and paths separate themselves: a word counts once
+    per host; a host's own labels only where another host or a path has them
+    too, else every name would be a word."""
     words = hosts.select("_host", F.explode(F.filter(F.split(F.lower("_path"), r"[^\p{L}]+"), lambda w: F.length(w) > 1)).alias("word"))
     labels = hosts.select("_host", F.explode(F.filter(F.split("_host", r"[^\p{L}]+"), lambda w: F.length(w) > 1)).alias("word"))
-    counted = (words.unionByName(labels).distinct().groupBy("word").agg(F.count("*").alias("n")).where("n > 1"))
-    counts = _frequent(counted, "n")
-    for w in LEXICON:
-        counts[w] = counts.get(w, 0.0) + LEXICON_COUNT
-    total = sum(counts.values())
-    return {w: -math.log(n / total) for w, n in counts.items()}, math.log(total) + 1.0
+    counted = (words.unionByName(labels).distinct().groupBy("word").agg(F.count("*").cast("double").alias("n")).where("n > 1"))
+    lexicon = hosts.sparkSession.createDataFrame([(w, LEXICON_COUNT) for w in sorted(LEXICON)], "word string, n double")
+    counts = common.stored(counted.unionByName(lexicon).groupBy("word").agg(F.sum("n").alias("n")), "url-words")
+    total = counts.agg(F.sum("n")).first()[0]
+    return counts.select("word", (-F.log(F.col("n") / total)).alias("cost")), math.log(total) + 1.0
+
 
+def _split(names: DataFrame, costs: DataFrame, unknown: float) -> DataFrame:
+    """``name`` and ``words`` of distinct names; stored."""
+    lengths = sorted(r[0] for r in costs.select(F.length("word")).distinct().collect())
+    if costs.count() <= BROADCAST_ROWS:
+        shared = names.sparkSession.sparkContext.broadcast({r["word"]: r["cost"] for r in costs.collect()})
 
-def train(pages: DataFrame) -> dict:
-    """The broadcast model: costs of the splitter and log odds of the words."""
-    hosts = parts(pages).where("_host <> ''").select("_host", "_path").distinct()
-    cost, unknown = _costs(hosts)
+        @F.pandas_udf("array<string>")
+        def by_dictionary(name: pd.Series) -> pd.Series:
+            cost, out = shared.value, []
+            for label in name:
+                pieces = ((i, i + n, cost.get(label[i:i + n])) for n in lengths for i in range(len(label) - n + 1))
+                out.append(split_words(label, [p for p in pieces if p[2] is not None], unknown))
+            return pd.Series(out, dtype=object)
+
+        return common.stored(names.select("name", by_dictionary("name").alias("words")), "url-names")
 
     @F.pandas_udf("array<string>")
-    def split_udf(host: pd.Series, path: pd.Series) -> pd.Series:
-        known: dict[str, list[str]] = {}
-        return pd.Series([words_of(h, p, cost, unknown, known) for h, p in zip(host, path)], dtype=object)
-
-    spam = F.array(*map(F.lit, SPAM))
-    named = hosts.groupBy("_host").agg(F.lit(1).alias("one")).select(
-        "_host", F.arrays_overlap(split_udf("_host", F.lit("")), spam).alias("block"))
-    words = (hosts.select("_host", F.explode(split_udf("_host", "_path")).alias("word")).distinct()
-             .join(named, "_host").groupBy("word").agg(
-                 F.sum(F.col("block").cast("int")).alias("b"), F.sum((~F.col("block")).cast("int")).alias("a"), F.count("*").alias("n")))
-    total = words.agg(F.sum("n")).first()[0] or 0
-    kept = words.where(F.col("n") >= LEAST_SHARE * total).collect()
-    block = {r["word"]: float(r["b"]) for r in kept}
-    allow = {r["word"]: float(r["a"]) for r in kept}
-    for w in SPAM:
-        block[w] = block.get(w, 0.0) + SEED_COUNT
-    for w in ORDINARY:
-        allow[w] = allow.get(w, 0.0) + SEED_COUNT
-    vocabulary = set(block) | set(allow)
-    nb, na = sum(block.values()), sum(allow.values())
-    odds = {w: math.log((block.get(w, 0.0) + SMOOTHING) / (nb + SMOOTHING * len(vocabulary)))
-            - math.log((allow.get(w, 0.0) + SMOOTHING) / (na + SMOOTHING * len(vocabulary))) for w in vocabulary}
-    return {"cost": cost, "unknown": unknown, "odds": odds}
+    def by_pieces(name: pd.Series, priced: pd.Series) -> pd.Series:
+        return pd.Series([split_words(n, [(x["start"], x["end"], x["cost"]) for x in p], unknown) for n, p in zip(name, priced)], dtype=object)
+
+    fit = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("name"))
+    pieces = (names.select("name", F.explode(fit).alias("n"))
+              .select("name", "n", F.explode(F.sequence(F.lit(0), F.length("name") - F.col("n"))).alias("start"))
+              .select("name", "start", (F.col("start") + F.col("n")).alias("end"), F.col("name").substr(F.col("start") + 1, F.col("n")).alias("word")))
+    priced = pieces.join(costs, "word").groupBy("name").agg(F.collect_list(F.struct("start", "end", "cost")).alias("priced"))
+    none = F.array().cast("array<struct<start:int,end:int,cost:double>>")
+    return common.stored(names.join(priced, "name", "left").select("name", by_pieces("name", F.coalesce("priced", none)).alias("words")), "url-names")
+
+
+def _odds(words: DataFrame) -> DataFrame:
+    """``word`` and ``odds`` of ``_host``, ``word``, ``spam`` (a word of SPAM in
+    the host itself); stored."""
+    named = words.groupBy("_host").agg(F.max("spam").alias("block"))
+    seeds = words.sparkSession.createDataFrame(
+        [(w, SEED_COUNT, 0.0) for w in SPAM] + [(w, 0.0, SEED_COUNT) for w in ORDINARY], "word string, b double, a double")
+    seen = (words.select("_host", "word").distinct().join(named, "_host").groupBy("word")
+            .agg(F.sum(F.col("block").cast("double")).alias("b"), F.sum((~F.col("block")).cast("double")).alias("a")))
+    counts = common.stored(seen.unionByName(seeds).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a")), "url-odds")
+    size, nb, na = counts.agg(F.count("*"), F.sum("b"), F.sum("a")).first()
+    return counts.select("word", (F.log((F.col("b") + SMOOTHING) / (nb + SMOOTHING * size))
+                                  - F.log((F.col("a") + SMOOTHING) / (na + SMOOTHING * size))).alias("odds"))
+
+
+def scores(pages: DataFrame) -> DataFrame:
+    """``_host``, ``_path``, ``words`` and ``spam_odds`` (prior left out) of
+    every distinct host and path that has names; stored."""
+    urls = common.stored(_url_names(parts(pages).select("_host", "_path").distinct()), "urls")
+    costs, unknown = _costs(parts(pages).where("_host <> ''").select("_host", "_path").distinct())
+    split = _split(urls.select("name").distinct(), costs, unknown)
+    words = (urls.where("_host <> ''").join(common.fit_to_broadcast(split, BROADCAST_ROWS), "name")
+             .select("_host", "words", (F.col("own") & F.arrays_overlap("words", F.array(*map(F.lit, SPAM)))).alias("spam")))
+    odds = _odds(words.select("_host", F.explode("words").alias("word"), "spam"))
+    weighed = (split.select("name", F.posexplode("words").alias("k", "word"))
+               .join(common.fit_to_broadcast(odds, BROADCAST_ROWS), "word", "left").groupBy("name")
+               .agg(F.sort_array(F.collect_list(F.struct("k", "word", F.coalesce("odds", F.lit(0.0)).alias("odds")))).alias("w")))
+    weighed = common.stored(weighed, "url-weights")
+    by_url = (urls.join(common.fit_to_broadcast(weighed, BROADCAST_ROWS), "name").groupBy("_host", "_path")
+              .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "w"))), lambda x: x["w"])).alias("w")))
+    return common.stored(by_url.select("_host", "_path", F.transform("w", lambda x: x["word"]).alias("words"),
+                                       F.aggregate("w", F.lit(0.0), lambda s, x: s + x["odds"]).alias("spam_odds")), "url-scores")
 
 
 def judge(pages: DataFrame) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``words`` and
     ``spam_odds`` (log odds, prior included) in place of like-named columns."""
-    model = pages.sparkSession.sparkContext.broadcast(train(pages))
     prior = math.log(PRIOR_BLOCK / (1 - PRIOR_BLOCK))
-
-    @F.pandas_udf("words array<string>, spam_odds double")
-    def score(host: pd.Series, path: pd.Series) -> pd.DataFrame:
-        m, known = model.value, {}
-        words = [words_of(h, p, m["cost"], m["unknown"], known) for h, p in zip(host, path)]
-        return pd.DataFrame({"words": words, "spam_odds": [prior + sum(m["odds"].get(w, 0.0) for w in ws) for ws in words]})
-
-    out = parts(pages).withColumn("_score", score("_host", "_path")).withColumn("_rule", rule_verdict(F.col("_host"), F.col("_path")))
-    own = F.when(F.col("_score.spam_odds") > 0, "block").otherwise("allow")
+    scored = common.fit_to_broadcast(scores(pages), BROADCAST_ROWS).select(
+        F.col("_host").alias("_h"), F.col("_path").alias("_p"), F.col("words").alias("_words"), F.col("spam_odds").alias("_odds"))
+    found = parts(pages).join(scored, (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")), "left")
+    out = found.withColumn("_odds", F.lit(prior) + F.coalesce("_odds", F.lit(0.0))).withColumn("_rule", rule_verdict(F.col("_host"), F.col("_path")))
+    own = F.when(F.col("_odds") > 0, "block").otherwise("allow")
     keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", "words", "spam_odds")]
     return out.select(*keep, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule"),
-                      F.coalesce("_rule.verdict", own).alias("verdict"), F.col("_score.words").alias("words"), F.col("_score.spam_odds").alias("spam_odds"))
+                      F.coalesce("_rule.verdict", own).alias("verdict"),
+                      F.coalesce("_words", F.array().cast("array<string>")).alias("words"), F.col("_odds").alias("spam_odds"))
