@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm import (
-    decontaminate, line_dedup, near_dup, quality_rules, secret_scan, site_style_tree,
-    source_mix, suffix_tree, token_rollup, url_filter,
+    decontaminate, importance, language_id, line_dedup, near_dup, quality_rules, secret_scan, site_style_tree,
+    source_mix, suffix_tree, token_rollup, url_filter, whitening,
 )
 from tierwise.llm.common import table
 from tierwise.session import scratch_path
@@ -201,3 +201,24 @@ def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = site_style_tree.extract(table(spark, sf_dir, "pages"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@register("op11_language_id")
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = language_id.held_out(F.col("doc_id"), 3, 1)
+    model = language_id.learn(docs.where(~held).select("text", "lang"))
+    return language_id.identify(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text")
+
+
+@register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding")
+    # The exact deviation, where it fits the contract's long.
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@register("op13_importance_resampling")
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
