@@ -86,7 +86,7 @@ def test_silver_column_contract(spark):
     assert L.budgets().columns == schemas.BUDGETS_SILVER_COLUMNS
     assert L.change_orders().columns == schemas.CHANGE_ORDERS_SILVER_COLUMNS
     types = dict(L.budgets().dtypes)
-    assert types["original_amount"] == "decimal(27,9)" and types["created_at"] == "timestamp_ntz"
+    assert types["original_amount"] == "decimal(38,9)" and types["created_at"] == "timestamp_ntz"
 
 
 def test_guards_survive_column_pruning(spark, tmp_out):

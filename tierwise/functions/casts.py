@@ -3,8 +3,8 @@
 Strict casts (``CAST``) raise on a bad value under ANSI mode, so a bad
 contract row fails the run.  Tolerant casts (``SAFE_CAST``) turn bad values
 into NULL.  Spark's own ``try_cast`` to DATE/TIMESTAMP accepts partial
-dates (``'2024'`` -> 2024-01-01); a value that does not start with a full
-``y-m-d`` date is not a date, so the tolerant date casts guard first.
+dates (``'2024'`` -> 2024-01-01) and ignores what follows a date; the tolerant
+casts take only a whole ``y-m-d`` date with, at most, a time and a zone.
 """
 
 from __future__ import annotations
@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from tierwise.schemas import MONEY
 
-# A date or timestamp text is year-month-day and, at most, a
-# well-formed time and zone; nothing may follow.
-FULL_DATE = (r"^\s*\d{4}-\d{1,2}-\d{1,2}"
-             r"([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|[+-]\d{2}(:?\d{2})?)?)?\s*$")
-OFFSET = r":\d{2}(?:\.\d+)?\s*([+-])(\d{2}):?(\d{2})?\s*$"
+# The texts that a tolerant cast takes.  A date is year-month-day
+# and, at most, a well-formed time and zone; nothing may follow.  A zone is Z,
+# an offset of hours and maybe minutes, or a name.
+_DAY, _TIME, _SECONDS = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}:\d{2}", r":\d{2}(?:\.\d+)?"
+_ZONE = r"[Zz]|[+-]\d{1,2}(?::?\d{1,2})?|[A-Za-z]+(?:[/_-][A-Za-z0-9_+-]+)*"
+FULL_DATE = rf"^\s*{_DAY}([T ]{_TIME}({_SECONDS})?\s*(Z|UTC|[+-]\d{{1,2}}(:?\d{{1,2}})?)?)?\s*$"
+PLAIN_TIME = rf"^{_DAY}([Tt ]{_TIME}({_SECONDS})?)?$"
+ZONED_TIME = rf"^({_DAY})(?:[Tt ]({_TIME})({_SECONDS})?)?\s*({_ZONE})$"
 
 
 def _col(c: Column | str) -> Column:
@@ -38,19 +41,48 @@ def safe_money(c: Column | str) -> Column:
 
 
 def safe_date(c: Column | str) -> Column:
+    """``SAFE_CAST(c AS DATE)``.  A text in the usual form ``yyyy-MM-dd``, which
+    the date prints back as, needs no pattern."""
     c = _col(c)
-    return F.when(c.rlike(FULL_DATE), c.try_cast("date"))
+    d = c.try_cast("date")
+    return F.when(d.cast("string") == c, d).when(d.isNotNull() & c.rlike(FULL_DATE), d)
 
 
 def safe_timestamp(c: Column | str, trim: bool = True) -> Column:
-    """``SAFE_CAST(TRIM(c) AS TIMESTAMP)`` as a zone-free timestamp: the UTC
-    wall clock, so an offset in the text is taken off, whatever the session's
-    time zone."""
+    """``SAFE_CAST(TRIM(c) AS TIMESTAMP)`` as a zone-free timestamp: the UTC wall
+    clock, whatever the session's time zone.
+
+    A text without a zone is taken as UTC; the usual form, which the timestamp
+    prints back as, needs no pattern.  A text with a zone (offset, Z or name) is
+    completed by a time and seconds if it has none, read as an instant, and the
+    instant's UTC wall clock is the result."""
     c = _col(c)
     if trim:
         c = F.trim(c)
     wall = c.try_cast("timestamp_ntz")
-    sign = F.when(F.regexp_extract(c, OFFSET, 1) == "-", -1).otherwise(1)
-    part = lambda k: F.coalesce(F.regexp_extract(c, OFFSET, k).try_cast("int"), F.lit(0))
-    shifted = wall - F.make_dt_interval(hours=sign * part(2), mins=sign * part(3))
-    return F.when(c.rlike(FULL_DATE), F.when(c.rlike(OFFSET), shifted).otherwise(wall))
+    part = lambda k: F.regexp_extract(c, ZONED_TIME, k)
+    or_else = lambda x, text: F.when(x == "", F.lit(text)).otherwise(x)
+    instant = F.concat(part(1), F.lit(" "), or_else(part(2), "00:00"), or_else(part(3), ":00"),
+                       _zone(part(4))).try_cast("timestamp")
+    return (F.when(wall.cast("string") == F.translate(c, "T", " "), wall)
+            .when(c.rlike(PLAIN_TIME), F.translate(c, "t", "T").try_cast("timestamp_ntz"))
+            .when(c.rlike(ZONED_TIME), utc_wall(instant)))
+
+
+def _zone(z: Column) -> Column:
+    """Offsets and Z directly after the seconds, names after a blank."""
+    return (F.when(z == "z", F.lit("Z")).when(z.rlike("^[Z+-]"), z).otherwise(F.concat(F.lit(" "), z)))
+
+
+def utc_wall(instant: Column) -> Column:
+    """The UTC wall clock of a TIMESTAMP as TIMESTAMP_NTZ."""
+    micros = F.unix_micros(instant)
+    return (F.lit("1970-01-01").cast("timestamp_ntz")
+            + F.make_dt_interval(days=F.floor(micros / F.lit(86_400_000_000)).cast("int"))
+            + F.make_dt_interval(secs=(F.pmod(micros, F.lit(86_400_000_000)) / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")))
+
+
+def utc_text(wall: Column) -> Column:
+    """A zone-free UTC timestamp as ISO text (``2024-01-31T00:00:00Z``), the
+    same in every session zone: a zone-free timestamp prints without one."""
+    return F.concat(F.translate(wall.cast("string"), " ", "T"), F.lit("Z"))

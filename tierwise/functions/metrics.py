@@ -69,3 +69,44 @@ def safe_div(num: Column, den: Column) -> Column:
     """``CASE WHEN den = 0 THEN 0 ELSE num / den END`` in double."""
     return F.when(den == 0, F.lit(0.0)).otherwise(
         num.cast("double") / den.cast("double"))
+
+
+# ------------------------------------------------------- full-width amounts
+
+MONEY_TYPE = "decimal(38,9)"
+
+
+def _split(c: Column) -> tuple[Column, Column]:
+    """Integer part (decimal(30,0)) and places (decimal(10,9)) of an amount."""
+    c = c.cast(MONEY_TYPE)
+    return F.when(c < 0, F.ceil(c)).otherwise(F.floor(c)), c % F.lit(1).cast("decimal(1,0)")
+
+
+def _joined(whole: Column, places: Column) -> Column:
+    # decimal(28,0) + decimal(.., 9) is decimal(38,9): no place is dropped.
+    return (whole.cast("decimal(28,0)") + places).cast(MONEY_TYPE)
+
+
+def money_plus(a: Column, b: Column) -> Column:
+    """a + b as decimal(38,9), exact (integer parts and places apart); a
+    result of 1e28 or more is an overflow."""
+    (wa, pa), (wb, pb) = _split(a), _split(b)
+    return _joined(wa + wb, pa + pb)
+
+
+def money_minus(a: Column, b: Column) -> Column:
+    """a - b as decimal(38,9), exact."""
+    (wa, pa), (wb, pb) = _split(a), _split(b)
+    return _joined(wa - wb, pa - pb)
+
+
+def money_sum(c: Column | str) -> Column:
+    """SUM of an amount as decimal(38,9)."""
+    return F.sum(_col(c).cast(MONEY_TYPE)).cast(MONEY_TYPE)
+
+
+def money_times_sum(c: Column, n: Column) -> Column:
+    """SUM(c * n) of an amount and a count (up to ten digits), exact."""
+    whole, places = _split(c)
+    n = n.cast("decimal(10,0)")
+    return _joined(F.sum(whole * n), F.sum(places * n))

@@ -19,34 +19,76 @@ The same numbers come out of two skew-free pieces:
    child rows on the probe side, which adaptive execution may split when a
    key is hot, followed by a two-phase distinct aggregation.
 
+Several models use the same two pieces of the same children; a
+:class:`Rollup` holds them for all (:func:`rollup`), so the children are
+scanned once.
+
 The gold oracle SQL is the literal fan-out join, so each model's parity
 check also proves the rewrite exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FANOUT_N = "_n"
 
 
-def child_rollup(child: DataFrame, key: str, *aggs: Column) -> DataFrame:
-    """One row per join key: ``_n`` = number of child rows, plus ``aggs``."""
-    return child.groupBy(key).agg(F.count(F.lit(1)).alias(FANOUT_N), *aggs)
+@dataclass(frozen=True)
+class Rollup:
+    """Children summed up per key.
 
+    ``per_key``: key, ``_n`` (rows), ``sum_<column>`` of every summed column
+    and ``_own``, the number of distinct ids that occur under this key only.
+    ``shared``: (key, id) of the ids that occur under several keys; an id
+    belongs to one contract as a rule, so this is a small rest.
+    """
 
-def fanout_weight() -> Column:
-    """How many joined rows a parent row turns into: max(_n, 1)."""
-    return F.greatest(F.coalesce(F.col(FANOUT_N), F.lit(1)), F.lit(1))
+    key: str
+    child_id: str
+    per_key: DataFrame
+    shared: DataFrame
 
 
-def weighted(measure: Column) -> Column:
-    """``measure`` repeated once per joined row, as an exact decimal product.
+def rollup(child: DataFrame, key: str, child_id: str, sums: list[str],
+           store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Rollup:
+    """Scan the children once; everything else reads the (key, id) pairs.
 
-    decimal(27,9) x decimal(10,0) stays within decimal(38,9): no digit lost.
+    A hot key spreads over its ids in the first aggregate and is absorbed
+    map-side in the second.  ``store`` writes a frame under a name and reads it
+    back (by default nothing is stored).
     """
-    return measure * fanout_weight().cast("decimal(10,0)")
+    pairs = store(child.groupBy(key, child_id).agg(
+        F.count(F.lit(1)).alias(FANOUT_N), *[F.sum(c).alias(f"sum_{c}") for c in sums]), "pairs")
+    found = pairs.select(key, child_id).where(F.col(key).isNotNull() & F.col(child_id).isNotNull())
+    several = found.groupBy(child_id).count().where("count > 1").select(child_id)
+    shared = store(found.join(several, child_id, "left_semi").select(key, child_id), "shared")
+    elsewhere = shared.groupBy(key).agg(F.count(F.lit(1)).alias("_shared"))
+    per_key = (pairs.groupBy(key).agg(
+        F.sum(FANOUT_N).alias(FANOUT_N), *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in sums],
+        F.count(child_id).alias("_ids"))
+        .join(elsewhere, key, "left")
+        .withColumn("_own", F.col("_ids") - F.coalesce("_shared", F.lit(0))).drop("_ids", "_shared"))
+    return Rollup(key, child_id, store(per_key, "per_key"), shared)
+
+
+def child_rollup(child: DataFrame | Rollup, key: str, *aggs: Column, **sums: str) -> DataFrame:
+    """One row per join key: ``_n`` = number of child rows, the sum of each
+    named column, e.g. ``_orig="original_amount"``, and (not of a
+    :class:`Rollup`) other ``aggs``."""
+    if isinstance(child, Rollup):
+        return child.per_key.select(key, FANOUT_N, *[F.col(f"sum_{c}").alias(a) for a, c in sums.items()])
+    return child.groupBy(key).agg(F.count(F.lit(1)).alias(FANOUT_N),
+                                  *aggs, *[F.sum(c).alias(a) for a, c in sums.items()])
+
+
+def fanout_weight() -> Column:
+    """How many joined rows a parent row turns into: max(_n, 1)."""
+    return F.greatest(F.coalesce(F.col(FANOUT_N), F.lit(1)), F.lit(1))
 
 
 def weighted_count(measure: Column) -> Column:
@@ -73,15 +115,27 @@ def group_value(group: str) -> Column:
 
 
 def distinct_children_per_group(
-    parent: DataFrame, child: DataFrame, key: str, group: str, child_id: str,
+    parent: DataFrame, child: DataFrame | Rollup, key: str, group: str, child_id: str,
     alias: str,
 ) -> DataFrame:
     """``COUNT(DISTINCT child.child_id)`` per ``parent.group`` over the join.
 
     Keyed by the surrogate group keys; only groups with at least one
     matching child appear, so callers attach the result with
-    :func:`attach_by_group` and default to 0.
+    :func:`attach_by_group` and default to 0.  Of a :class:`Rollup`, the ids of
+    one key only are added up, each key of a group counting once; the shared
+    ids alone are counted as rows.
     """
+    if isinstance(child, Rollup):
+        owners = parent.select(key, group).where(F.col(key).isNotNull())
+        own = (owners.join(child.per_key.select(key, "_own"), key)
+               .groupBy(key, *group_keys(group)).agg(F.max("_own").alias("_own"))
+               .select(GK, GN, F.col("_own").alias("_k"), F.lit(None).cast("string").alias("_id")))
+        rest = (child.shared.join(owners, key)
+                .select(*group_keys(group), F.lit(0).cast("long").alias("_k"), F.col(child_id).cast("string").alias("_id")))
+        return (own.unionByName(rest).groupBy(GK, GN, "_id").agg(F.sum("_k").alias("_k"))
+                .groupBy(GK, GN).agg((F.sum("_k") + F.count("_id")).alias(alias))
+                .where(F.col(alias) > 0))
     kids = child.select(key, child_id).where(
         F.col(key).isNotNull() & F.col(child_id).isNotNull())
     owners = parent.select(key, group).where(F.col(key).isNotNull())

@@ -1,11 +1,13 @@
 """Gold models: per client, per contract and per month analytics.
 
 Every model takes silver DataFrames and returns a DataFrame; nothing is
-collected.  Scale notes per model are in the docstrings; the shared
+collected.  In place of budgets and change orders the per-contract and
+per-client models also take their rollups (:func:`budget_rollup`,
+:func:`change_order_rollup`), which all of them can share.  Scale notes per model are in the docstrings; the shared
 fan-out rewrite is described in :mod:`tierwise.operators.fanout`.
 
 Type rules (so results are exact and engine independent):
-money sums are decimal(37,9); averages and ratios are double computed
+money sums are decimal(38,9); averages and ratios are double computed
 from exact totals; counts and day differences are BIGINT.
 """
 
@@ -15,21 +17,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.functions.metrics import (
-    as_of_date, avg_exact, days_between, pct_ratio, safe_div, stamp,
+    MONEY_TYPE, as_of_date, avg_exact, days_between, money_minus, money_plus, money_sum, money_times_sum,
+    pct_ratio, safe_div, stamp,
 )
 from tierwise.operators.fanout import (
-    attach_by_group, child_rollup, distinct_children_per_group, group_keys,
-    group_value, weighted, weighted_count,
+    FANOUT_N, Rollup, attach_by_group, child_rollup, distinct_children_per_group, fanout_weight,
+    group_keys, group_value, rollup, weighted_count,
 )
+from tierwise.operators.silver import MONTH_KEY, MONTH_YEARS
 from tierwise.schemas import CONTRACT_STATUSES
 
-SUM_MONEY = "decimal(37,9)"
 
+def budget_rollup(budgets: DataFrame, **store) -> Rollup:
+    """What the gold models need of the budgets, summed up in one scan."""
+    return rollup(budgets, "contract_id", "budget_id", ["original_amount", "actual_cost"], **store)
 
-def money_sum(c: Column | str) -> Column:
-    """SUM of a money column, typed as the direct SUM(decimal(27,9))."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c).cast(SUM_MONEY)
+
+def change_order_rollup(change_orders: DataFrame, **store) -> Rollup:
+    """What the gold models need of the change orders, summed up in one scan."""
+    return rollup(change_orders, "contract_id", "change_order_id",
+                  ["estimated_amount", "approved_amount", "committed_amount"], **store)
 
 
 def _duration(c: DataFrame) -> Column:
@@ -64,7 +71,7 @@ def contract_analytics(contracts: DataFrame, run_ts=None, ordered: bool = True)
 # contract_summary (per client, fan-out over budgets kept)
 # --------------------------------------------------------------------------
 
-def contract_summary(contracts: DataFrame, budgets: DataFrame, run_ts=None,
+def contract_summary(contracts: DataFrame, budgets: DataFrame | Rollup, run_ts=None,
                      ordered: bool = True) -> DataFrame:
     """Client summary over contracts LEFT JOIN budgets, aggregated after the join.
 
@@ -73,14 +80,13 @@ def contract_summary(contracts: DataFrame, budgets: DataFrame, run_ts=None,
     1:1 join with the per-contract budget rollup, so no budget row is
     shuffled by contract id.
     """
-    per_contract = child_rollup(budgets, "contract_id",
-                                F.sum("original_amount").alias("_orig"))
+    per_contract = child_rollup(budgets, "contract_id", _orig="original_amount")
     out = (contracts
            .select("client_name", "contract_id", "contract_value", "start_date", "end_date")
            .join(per_contract, "contract_id", "left")
            .groupBy("client_name")
            .agg(F.countDistinct("contract_id").alias("total_contracts"),
-                F.sum(weighted(F.col("contract_value"))).cast(SUM_MONEY).alias("total_contract_value"),
+                money_times_sum(F.col("contract_value"), fanout_weight()).alias("total_contract_value"),
                 F.sum(weighted_count(F.col("contract_value"))).alias("_nv"),
                 F.min("start_date").alias("earliest_contract_date"),
                 F.max("end_date").alias("latest_contract_end_date"),
@@ -89,7 +95,7 @@ def contract_summary(contracts: DataFrame, budgets: DataFrame, run_ts=None,
                    avg_exact(F.col("total_contract_value"), F.col("_nv")).alias("avg_contract_value"),
                    "earliest_contract_date", "latest_contract_end_date",
                    "total_budget_allocated",
-                   (F.col("total_contract_value") - F.col("total_budget_allocated")).alias("budget_variance"),
+                   money_minus(F.col("total_contract_value"), F.col("total_budget_allocated")).alias("budget_variance"),
                    stamp(run_ts).alias("generated_at")))
     return out.orderBy(F.desc("total_contract_value")) if ordered else out
 
@@ -98,25 +104,24 @@ def contract_summary(contracts: DataFrame, budgets: DataFrame, run_ts=None,
 # project_analytics (per contract)
 # --------------------------------------------------------------------------
 
-def budget_summary(budgets: DataFrame) -> DataFrame:
-    return (budgets.groupBy("contract_id")
-            .agg(F.count(F.lit(1)).alias("budget_count"),
-                 money_sum("original_amount").alias("total_original_budget"),
-                 money_sum("actual_cost").alias("total_actual_cost"))
+def budget_summary(budgets: DataFrame | Rollup) -> DataFrame:
+    per = child_rollup(budgets, "contract_id", _orig="original_amount", _actual="actual_cost")
+    return (per.select("contract_id", F.col(FANOUT_N).alias("budget_count"),
+                       F.col("_orig").cast(MONEY_TYPE).alias("total_original_budget"),
+                       F.col("_actual").cast(MONEY_TYPE).alias("total_actual_cost"))
             .withColumn("budget_variance",
-                        F.col("total_actual_cost") - F.col("total_original_budget")))
+                        money_minus(F.col("total_actual_cost"), F.col("total_original_budget"))))
 
 
-def change_order_summary(change_orders: DataFrame) -> DataFrame:
-    return (change_orders.groupBy("contract_id")
-            .agg(F.count(F.lit(1)).alias("change_order_count"),
-                 money_sum("estimated_amount").alias("total_estimated_amount"),
-                 money_sum("approved_amount").alias("total_approved_amount"),
-                 money_sum("committed_amount").alias("total_committed_amount")))
+def change_order_summary(change_orders: DataFrame | Rollup) -> DataFrame:
+    amounts = ("estimated_amount", "approved_amount", "committed_amount")
+    per = child_rollup(change_orders, "contract_id", **{f"total_{a}": a for a in amounts})
+    return per.select("contract_id", F.col(FANOUT_N).alias("change_order_count"),
+                      *[F.col(f"total_{a}").cast(MONEY_TYPE).alias(f"total_{a}") for a in amounts])
 
 
-def project_analytics(contracts: DataFrame, budgets: DataFrame,
-                      change_orders: DataFrame, run_ts=None) -> DataFrame:
+def project_analytics(contracts: DataFrame, budgets: DataFrame | Rollup,
+                      change_orders: DataFrame | Rollup, run_ts=None) -> DataFrame:
     """Per-contract metrics: two pre-aggregated sides, two 1:1 LEFT joins.
 
     Both summaries come out hash-partitioned by contract_id, so the contracts
@@ -144,7 +149,7 @@ def project_analytics(contracts: DataFrame, budgets: DataFrame,
         F.coalesce("total_estimated_amount", z).alias("total_estimated_co_amount"),
         approved.alias("total_approved_co_amount"),
         F.coalesce("total_committed_amount", z).alias("total_committed_co_amount"),
-        (F.col("contract_value") + approved).alias("adjusted_contract_value"),
+        money_plus(F.col("contract_value"), approved).alias("adjusted_contract_value"),
         pct_ratio(approved, F.col("contract_value")).alias("change_order_percentage"),
         pct_ratio(actual, orig).alias("budget_utilization_percentage"),
         stamp(run_ts).alias("processed_at"),
@@ -178,15 +183,13 @@ def client_contracts(contracts: DataFrame, statuses=CONTRACT_STATUSES) -> DataFr
                     *[f"{s}_contracts" for s in statuses]))
 
 
-def client_budgets(contracts: DataFrame, budgets: DataFrame) -> DataFrame:
+def client_budgets(contracts: DataFrame, budgets: DataFrame | Rollup) -> DataFrame:
     """Budget metrics per client over contracts LEFT JOIN budgets.
 
     Utilisation is NULL (not 0) for a client without budgets: its sums are
     NULL and ``NULL = 0`` is not true.
     """
-    per_contract = child_rollup(budgets, "contract_id",
-                                F.sum("original_amount").alias("_orig"),
-                                F.sum("actual_cost").alias("_actual"))
+    per_contract = child_rollup(budgets, "contract_id", _orig="original_amount", _actual="actual_cost")
     base = (contracts.select("contract_id", "client_name")
             .join(per_contract, "contract_id", "left")
             .groupBy(*group_keys("client_name"))
@@ -198,23 +201,22 @@ def client_budgets(contracts: DataFrame, budgets: DataFrame) -> DataFrame:
     out = attach_by_group(base, counts, {"total_budgets": 0})
     return out.select(
         "client_name", "total_budgets", "total_budget_amount", "total_actual_cost",
-        (F.col("total_actual_cost") - F.col("total_budget_amount")).alias("total_budget_variance"),
+        money_minus(F.col("total_actual_cost"), F.col("total_budget_amount")).alias("total_budget_variance"),
         pct_ratio(F.col("total_actual_cost"), F.col("total_budget_amount"))
         .alias("budget_utilization_percentage"))
 
 
-def client_change_orders(contracts: DataFrame, change_orders: DataFrame) -> DataFrame:
+def client_change_orders(contracts: DataFrame, change_orders: DataFrame | Rollup) -> DataFrame:
     """Change-order metrics per client; the percentage's denominator is the
     contract value summed over the fan-out (each contract once per change
     order), as in the reference."""
-    per_contract = child_rollup(change_orders, "contract_id",
-                                F.sum("approved_amount").alias("_appr"))
+    per_contract = child_rollup(change_orders, "contract_id", _appr="approved_amount")
     base = (contracts.select("contract_id", "client_name", "contract_value")
             .join(per_contract, "contract_id", "left")
             .groupBy(*group_keys("client_name"))
             .agg(group_value("client_name"),
                  money_sum("_appr").alias("total_change_order_amount"),
-                 F.sum(weighted(F.col("contract_value"))).cast(SUM_MONEY).alias("_cv")))
+                 money_times_sum(F.col("contract_value"), fanout_weight()).alias("_cv")))
     counts = distinct_children_per_group(contracts, change_orders, "contract_id", "client_name",
                                          "change_order_id", "total_change_orders")
     out = attach_by_group(base, counts, {"total_change_orders": 0})
@@ -223,7 +225,7 @@ def client_change_orders(contracts: DataFrame, change_orders: DataFrame) -> Data
         pct_ratio(F.col("total_change_order_amount"), F.col("_cv")).alias("change_order_percentage"))
 
 
-def client_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: DataFrame,
+def client_analytics(contracts: DataFrame, budgets: DataFrame | Rollup, change_orders: DataFrame | Rollup,
                      run_ts=None, statuses=CONTRACT_STATUSES) -> DataFrame:
     """Client contracts, budgets and change orders in one grouped pass.
 
@@ -234,11 +236,9 @@ def client_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Da
     its budget and change-order metrics are NULL, because ``NULL = NULL``
     never matches in the reference's final join.
     """
-    b = child_rollup(budgets, "contract_id",
-                     F.sum("original_amount").alias("_orig"),
-                     F.sum("actual_cost").alias("_actual")).withColumnRenamed("_n", "_nb")
-    co = child_rollup(change_orders, "contract_id",
-                      F.sum("approved_amount").alias("_appr"))
+    b = child_rollup(budgets, "contract_id", _orig="original_amount",
+                     _actual="actual_cost").withColumnRenamed(FANOUT_N, "_nb")
+    co = child_rollup(change_orders, "contract_id", _appr="approved_amount")
     j = (contracts.select("contract_id", "client_name", "contract_value", "contract_status",
                           _duration(contracts).alias("d"))
          .join(b, "contract_id", "left")
@@ -255,7 +255,7 @@ def client_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Da
                  money_sum("_orig").alias("total_budget_amount"),
                  money_sum("_actual").alias("total_actual_cost"),
                  money_sum("_appr").alias("total_change_order_amount"),
-                 F.sum(weighted(F.col("contract_value"))).cast(SUM_MONEY).alias("_cv")))
+                 money_times_sum(F.col("contract_value"), fanout_weight()).alias("_cv")))
     nb = distinct_children_per_group(contracts, budgets, "contract_id", "client_name",
                                      "budget_id", "total_budgets")
     nco = distinct_children_per_group(contracts, change_orders, "contract_id", "client_name",
@@ -279,13 +279,13 @@ def client_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Da
         matched(tb).alias("total_budgets"),
         matched(F.col("total_budget_amount")).alias("total_budget_amount"),
         matched(F.col("total_actual_cost")).alias("total_actual_cost"),
-        matched(F.col("total_actual_cost") - F.col("total_budget_amount")).alias("total_budget_variance"),
+        matched(money_minus(F.col("total_actual_cost"), F.col("total_budget_amount"))).alias("total_budget_variance"),
         matched(pct_ratio(F.col("total_actual_cost"), F.col("total_budget_amount")))
         .alias("budget_utilization_percentage"),
         matched(nco_c).alias("total_change_orders"),
         co_amt.alias("total_change_order_amount"),
         matched(pct_ratio(F.col("total_change_order_amount"), F.col("_cv"))).alias("change_order_percentage"),
-        (F.col("total_contract_value") + F.coalesce(co_amt, F.lit(0))).alias("adjusted_contract_value"),
+        money_plus(F.col("total_contract_value"), F.coalesce(co_amt, F.lit(0))).alias("adjusted_contract_value"),
         F.when(tc == 0, F.lit(0.0)).otherwise(matched(tb) / tc).alias("avg_budgets_per_contract"),
         F.when(tc == 0, F.lit(0.0)).otherwise(matched(nco_c) / tc).alias("avg_change_orders_per_contract"),
         stamp(run_ts).alias("processed_at"),
@@ -379,7 +379,8 @@ def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Data
 
     The inputs are also filtered to the spine's date range first.  On stored
     silver tables the bounds are constants and reach the parquet scan as
-    pushed filters.
+    pushed filters; on silver partitioned by month (:func:`silver.by_month`)
+    only the spine's months are read.
     """
     spark = contracts.sparkSession
     d = as_of_date(as_of)
@@ -398,9 +399,17 @@ def time_analytics(contracts: DataFrame, budgets: DataFrame, change_orders: Data
         return F.coalesce(F.when(on_spine(c, ts), F.year(c) * 100 + F.month(c)),
                           F.lit(-1)).cast("long")
 
-    contracts = contracts.where(on_spine(F.col("start_date")))
-    budgets = budgets.where(on_spine(F.col("planned_start_date")))
-    change_orders = change_orders.where(on_spine(F.col("created_at"), ts=True))
+    first, last = F.year(lo) * 100 + 1, F.year(d) * 100 + F.month(d)
+    pruned = as_of is None or MONTH_YEARS[0] + years_back <= int(str(as_of)[:4]) <= MONTH_YEARS[1]
+
+    def months(df: DataFrame) -> DataFrame:
+        if MONTH_KEY not in df.columns or not pruned:
+            return df
+        return df.where((F.col(MONTH_KEY) >= first) & (F.col(MONTH_KEY) <= last))
+
+    contracts = months(contracts).where(on_spine(F.col("start_date")))
+    budgets = months(budgets).where(on_spine(F.col("planned_start_date")))
+    change_orders = months(change_orders).where(on_spine(F.col("created_at"), ts=True))
     mc = monthly_contracts(contracts, month_key("start_date"))
     mb = monthly_budgets(budgets, month_key("planned_start_date"))
     mco = monthly_change_orders(change_orders, month_key("created_at", ts=True))

@@ -7,6 +7,11 @@ follow, so only a handful of rows per table leave the scans; the
 day-over-day window is partitioned by
 ``table_name`` and never sees more than ``lookback_days + 1`` rows per
 partition.
+
+A table version never changes, so its per-day profile can be kept with it
+(:func:`keep_profile`); monitoring then reads the kept profiles
+(:func:`kept_profile`) and no table at all, but for the one day that a look-back
+window may cut in two.
 """
 
 from __future__ import annotations
@@ -14,8 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierwise.functions.casts import utc_text
 from tierwise.functions.metrics import stamp as stamp_of
 from tierwise.session import scratch_path
+from tierwise.sources import sinks
 
 # Reference thresholds.
 STALE_HOURS = 24
@@ -33,7 +40,7 @@ def load_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet"
     out: dict[str, DataFrame | str] = {}
     for name, path in paths.items():
         try:
-            out[name] = spark.read.format(fmt).load(path)
+            out[name] = sinks.read_table(spark, path, fmt)
         except Exception as e:  # noqa: BLE001 - any load failure becomes an error row
             out[name] = f"{type(e).__name__}: {e}"
     return out
@@ -82,6 +89,46 @@ def profile(tables: dict[str, DataFrame | str], as_of=None, stamp: str = "proces
     return out.unionByName(spark.read.schema(PROFILE).parquet(*parts)) if parts else out
 
 
+KEPT = "process_date date, row_count long, earliest timestamp_ntz, latest timestamp_ntz, table_name string"
+
+
+def keep_profile(df: DataFrame, root: str, name: str, stamp: str = "processed_at") -> None:
+    """Write a table version's profile (rows, first and last stamp per day)
+    below ``root``, the folder of all profiles."""
+    ts = F.col(stamp).cast("timestamp_ntz")
+    (df.groupBy(F.to_date(ts).alias("process_date"))
+     .agg(F.count(F.lit(1)).alias("row_count"), F.min(ts).alias("earliest"), F.max(ts).alias("latest"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{root}/table_name={name}"))
+
+
+def kept_profile(spark: SparkSession, root: str, tables: dict[str, DataFrame | str], as_of=None,
+                 stamp: str = "processed_at", lookback_days: int = VOLUME_LOOKBACK_DAYS) -> DataFrame:
+    """The frame of :func:`profile` from kept profiles: one scan of a few rows.
+
+    ``tables`` names the monitored tables; one without the stamp column, or
+    given as an error text, has an error row.  A table is read only if the
+    window begins within one of its days (between its first and last stamp),
+    and then only that day's rows.
+    """
+    since = _now(as_of) - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+    errors = {n: t if isinstance(t, str) else f"column {stamp} not found"
+              for n, t in tables.items() if isinstance(t, str) or stamp not in t.columns}
+    heads = spark.createDataFrame([(n, None, 0, 0, None, errors.get(n)) for n in tables], PROFILE)
+    named = [n for n in tables if n not in errors]
+    if not named:
+        return heads
+    days = spark.read.schema(KEPT).parquet(root).where(F.col("table_name").isin(named))
+    cut = (F.col("earliest") <= since) & (F.col("latest") > since)
+    inside = F.when(F.col("earliest") > since, F.col("row_count")).otherwise(0)
+    for name in (r.table_name for r in days.where(cut).select("table_name").collect()):
+        ts = F.col(stamp).cast("timestamp_ntz")
+        rows = tables[name].where((ts > since) & (ts < F.date_add(F.to_date(since), 1).cast("timestamp_ntz"))).count()
+        inside = F.when(cut & (F.col("table_name") == name), rows).otherwise(inside)
+    return heads.unionByName(days.select(
+        "table_name", "process_date", "row_count", inside.cast("long").alias("window_count"), "latest",
+        F.lit(None).cast("string").alias("error")))
+
+
 def _profiled(tables, *args) -> DataFrame:
     return tables if isinstance(tables, DataFrame) else profile(tables, *args)
 
@@ -132,8 +179,10 @@ def volume_alerts(trend: DataFrame, threshold_pct: float = VOLUME_CHANGE_PCT) ->
 
 
 def monitoring_report(fresh: DataFrame, trend: DataFrame,
-                      threshold_pct: float = VOLUME_CHANGE_PCT) -> DataFrame:
-    """All alerts with their messages: stale tables and volume anomalies."""
+                      threshold_pct: float = VOLUME_CHANGE_PCT, as_of=None) -> DataFrame:
+    """All alerts with their messages: stale tables and volume anomalies.
+    ``reported_at`` is the report's time as UTC text, whatever the session's
+    time zone."""
     stale = freshness_alerts(fresh).select(
         F.lit("stale_data").alias("type"), F.col("table_name").alias("table"),
         "hours_since_update",
@@ -146,7 +195,8 @@ def monitoring_report(fresh: DataFrame, trend: DataFrame,
         F.format_string("Significant volume change in %s on %s: %.2f%% change",
                         F.col("table_name"), F.col("process_date").cast("string"),
                         F.col("day_over_day_change_pct")).alias("message"))
-    return stale.unionByName(vol, allowMissingColumns=True)
+    return (stale.unionByName(vol, allowMissingColumns=True)
+            .withColumn("reported_at", utc_text(_now(as_of))))
 
 
 def alert_count(report: DataFrame) -> DataFrame:
@@ -173,6 +223,31 @@ def monitoring_json(fresh: DataFrame, trend: DataFrame) -> DataFrame:
         "table_name", "freshness_json", F.coalesce("volume_json", nothing).alias("volume_json"))
 
 
+# Schemas of the two JSON texts of :func:`monitoring_json`.
+FRESHNESS_JSON = "hours_since_update long, row_count long, is_stale boolean, error string, _corrupt_record string"
+VOLUME_JSON = "array<struct<process_date: date, daily_count: long, previous_count: long, error: string>>"
+
+
+def decode_json(texts: DataFrame) -> DataFrame:
+    """The rows behind the JSON texts of :func:`monitoring_json`: one row per
+    table and day of its window, or one row for a table without days.
+
+    ``freshness_error`` and ``volume_error`` carry the error objects.  A text
+    that is no JSON, or not of the schema, gives ``corrupt`` and no figures;
+    the other tables are decoded all the same.
+    """
+    f = F.from_json("freshness_json", FRESHNESS_JSON, {"mode": "PERMISSIVE"})
+    # A single object where a list is due is read as a list of one.
+    v = F.from_json("volume_json", VOLUME_JSON, {"mode": "PERMISSIVE"})
+    parsed = texts.select("table_name", "volume_json", f.alias("f"), v.alias("v"))
+    bad = F.col("f._corrupt_record").isNotNull() | (F.col("volume_json").isNotNull() & F.col("v").isNull())
+    return (parsed.withColumn("corrupt", F.coalesce(bad, F.lit(False)))
+            .select("table_name", "corrupt", "f", F.explode_outer("v").alias("d"))
+            .select("table_name", "corrupt", "f.hours_since_update", "f.row_count", "f.is_stale",
+                    F.col("f.error").alias("freshness_error"), "d.process_date", "d.daily_count",
+                    "d.previous_count", F.col("d.error").alias("volume_error")))
+
+
 def null_audit(contracts_silver: DataFrame,
                columns=("contract_id", "contract_name", "start_date", "end_date",
                         "contract_value", "contract_status")) -> DataFrame:

@@ -1,19 +1,18 @@
 """Data-quality rules, suites, declarative schema tests and layer checks.
 
-A rule suite is evaluated in **one aggregate pass** over its table: every
-row-level rule becomes a ``count_if`` and every uniqueness rule a
-``count - count(DISTINCT) - has_null`` term of the same ``agg``; schema
-rules (column lists, types) are read from the DataFrame's metadata on the
-driver.  The single result row is turned into one row per rule:
-``(suite, rule, column, violations, passed, severity)``.  Only that
-one-row aggregate ever reaches the driver.
-
-Scale note: one uniqueness rule is a two-phase distinct aggregation (partial
-per value, so a value holding a third of the rows is pre-reduced in every
-task).  k uniqueness rules in one suite make Spark expand each row k + 1
-times for that single shuffle; for very wide suites over very large tables,
-splitting the uniqueness rules into their own suite trades that for k
-separate, narrower scans.
+A rule suite is evaluated in **one pass** over its table: every row-level
+rule becomes a ``count_if`` and schema rules (column lists, types) are read
+from the DataFrame's metadata on the driver.  The single result row is turned
+into one row per rule: ``(suite, rule, column, violations, passed, severity)``.
+Only that one-row aggregate ever reaches the driver.
+
+Uniqueness rules go through the same pass in long form: a row becomes one
+(rule, value) pair per uniqueness rule, pairs are counted in two phases (a value
+that holds a third of the rows is reduced to one pair in every task), and a
+value that occurs n times is n - 1 violations.  However many uniqueness rules a
+suite has, there is one exchange of pairs and no expansion beyond them; the
+row-level counts ride on the first rule's pairs.  Values are compared as they
+are, not by hash.
 
 Rule types (expectation names as used by the reference's suite files):
 
@@ -43,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.functions.casts import safe_date
+from tierwise.sources import versions
 
 SUITE_DIR = os.path.join(os.path.dirname(os.path.dirname(__file__)), "suites")
 
@@ -69,17 +69,70 @@ class Rule:
 
 # ------------------------------------------------------------------ suites
 
-def load_suite(path: str) -> tuple[str, list[Rule]] | None:
-    """Read a suite file (a tiny driver-side config); None if missing/invalid."""
+#: A suite file: its name and rules; arguments stay JSON text, as each rule
+#: type has its own.
+SUITE_JSON = ("expectation_suite_name string, expectations array<struct<expectation_type: string, "
+              "kwargs: string, meta: struct<severity: string>>>, _corrupt_record string")
+
+
+def _parse_suite(text: str, default_name: str) -> tuple[str, list[Rule]] | None:
     try:
-        with open(path) as f:
-            doc = json.load(f)
+        doc = json.loads(text)
         rules = [Rule(e["expectation_type"], dict(e.get("kwargs", {})),
                       e.get("meta", {}).get("severity", "error"))
                  for e in doc.get("expectations", [])]
-    except (OSError, ValueError, AttributeError, KeyError, TypeError):
+    except (ValueError, AttributeError, KeyError, TypeError):
         return None
-    return doc.get("expectation_suite_name", os.path.basename(path)), rules
+    return doc.get("expectation_suite_name", default_name), rules
+
+
+def load_suite(path: str) -> tuple[str, list[Rule]] | None:
+    """A suite file on the driver's disk; None if missing or invalid."""
+    try:
+        with open(path) as f:
+            return _parse_suite(f.read(), os.path.basename(path))
+    except OSError:
+        return None
+
+
+def read_suites(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Suite files on any Hadoop path as a rules table: ``path``, ``suite``,
+    ``position``, ``rule``, ``kwargs`` (JSON text), ``severity``, ``error``.
+
+    A file that is missing, no JSON or not of a suite's shape has one row with
+    its ``error`` and no rule.
+    """
+    found = [p for p in paths if versions.exists(spark, p)]
+    out = spark.createDataFrame([(p, None, None, None, None, None, "suite file missing") for p in paths if p not in found],
+                                "path string, suite string, position int, rule string, kwargs string, severity string, error string")
+    for p in found:
+        doc = (spark.read.text(p, wholetext=True)
+               .select(F.from_json("value", SUITE_JSON, {"mode": "PERMISSIVE"}).alias("s")))
+        bad = (F.col("s").isNull() | F.col("s._corrupt_record").isNotNull() | F.col("s.expectations").isNull()
+               | F.exists("s.expectations", lambda e: e.isNull() | e["expectation_type"].isNull()))
+        doc = doc.select(F.coalesce("s.expectation_suite_name", F.lit(p.rsplit("/", 1)[-1])).alias("suite"),
+                         F.when(~bad, F.col("s.expectations")).alias("rules"), bad.alias("bad"))
+        rows = doc.select("suite", "bad", F.posexplode_outer("rules").alias("position", "r"))
+        out = out.unionByName(rows.where("bad or r is not null").select(
+            F.lit(p).alias("path"), "suite", "position", F.col("r.expectation_type").alias("rule"),
+            F.coalesce("r.kwargs", F.lit("{}")).alias("kwargs"),
+            F.coalesce("r.meta.severity", F.lit("error")).alias("severity"),
+            F.when(F.col("bad"), "suite file invalid").alias("error")))
+    return out
+
+
+def load_suites(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, list[Rule]] | str]:
+    """path -> (suite name, rules), or the error's text.  The rules table is a
+    few rows per suite, as people write them."""
+    out: dict[str, tuple[str, list[Rule]] | str] = {p: (p.rsplit("/", 1)[-1], []) for p in paths}
+    for r in read_suites(spark, paths).orderBy("path", "position").collect():
+        if r.error:
+            out[r.path] = r.error
+            continue
+        rules = out[r.path][1]
+        rules.append(Rule(r.rule, json.loads(r.kwargs), r.severity))
+        out[r.path] = (r.suite, rules)
+    return out
 
 
 def builtin_suite(name: str) -> tuple[str, list[Rule]]:
@@ -109,8 +162,13 @@ def _family_ok(dt: T.DataType, family: str) -> bool | None:
     return False                  # unknown family fails
 
 
-def _violation_expr(df: DataFrame, r: Rule, parse_dates: bool) -> Column | bool | None:
-    """A violation-count expression, a metadata verdict, or None to skip."""
+#: Marks a uniqueness rule, counted by :func:`_counted`.
+UNIQUE = object()
+
+
+def _violation_expr(df: DataFrame, r: Rule, parse_dates: bool) -> Column | bool | object | None:
+    """A row's violation (a condition), a metadata verdict, UNIQUE, or None to
+    skip."""
     k = r.kwargs
     t = r.rule
     if t == "expect_table_columns_to_match_ordered_list":
@@ -125,10 +183,10 @@ def _violation_expr(df: DataFrame, r: Rule, parse_dates: bool) -> Column | bool
         return False
     c = F.col(k["column"]) if "column" in k else None
     if t == "expect_column_values_to_not_be_null":
-        return F.count_if(c.isNull())
+        return c.isNull()
     if t == "expect_column_values_to_be_in_set":
         # NULL is not in the set: it counts as a violation.
-        return F.count_if(~F.coalesce(c.isin(list(k["value_set"])), F.lit(False)))
+        return ~F.coalesce(c.isin(list(k["value_set"])), F.lit(False))
     if t == "expect_column_values_to_be_between":
         lo, hi = k.get("min_value"), k.get("max_value")
         bad = F.lit(False)
@@ -136,23 +194,46 @@ def _violation_expr(df: DataFrame, r: Rule, parse_dates: bool) -> Column | bool
             bad = bad | ((c <= F.lit(lo)) if k.get("strict_min") else (c < F.lit(lo)))
         if hi is not None:
             bad = bad | ((c >= F.lit(hi)) if k.get("strict_max") else (c > F.lit(hi)))
-        return F.count_if(F.coalesce(bad, F.lit(False)))        # NULLs are skipped
+        return F.coalesce(bad, F.lit(False))        # NULLs are skipped
     if t == "expect_column_values_to_be_unique":
-        # n - (distinct values + 1 if any NULL): two NULLs are duplicates.
-        return (F.count(F.lit(1)) - F.countDistinct(c)
-                - F.max(F.when(c.isNull(), 1).otherwise(0)))
+        return UNIQUE
     if t == "expect_column_pair_values_A_to_be_greater_than_B":
         a, b = F.col(k["column_A"]), F.col(k["column_B"])
         bad = (a < b) if k.get("or_equal") else (a <= b)
-        return F.count_if(F.coalesce(bad, F.lit(False)))
+        return F.coalesce(bad, F.lit(False))
     if t == "expect_column_values_to_be_of_type":
         verdict = _family_ok(df.schema[k["column"]].dataType, k["type_"])
         if verdict is not None or not parse_dates:
             return True if verdict is None else verdict
-        return F.count_if(c.isNotNull() & safe_date(c).isNull())
+        return c.isNotNull() & safe_date(c).isNull()
     return None
 
 
+def _as_text(df: DataFrame, column: str) -> Column:
+    """A value as text that is equal for equal values only (-0.0 is 0.0)."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0.0)
+    return c.cast("string")
+
+
+def _counted(df: DataFrame, rows: dict[str, Column], unique: dict[str, str]) -> DataFrame:
+    """One row: the number of rows with each violation of ``rows``, and the
+    duplicates (rows less distinct values, NULL being a value) of each column of
+    ``unique``."""
+    if not unique:
+        return df.agg(*[F.count_if(v).alias(n) for n, v in rows.items()])
+    flags = {n: F.count_if(F.col(n)).alias(n) for n in rows}
+    base = df.select(*[F.coalesce(v, F.lit(False)).alias(n) for n, v in rows.items()],
+                     F.posexplode(F.array(*[_as_text(df, c) for c in unique.values()])).alias("_k", "_v"))
+    first = F.col("_k") == 0          # row violations count once, with the first pair
+    pairs = (base.select("_k", "_v", *[(F.col(n) & first).alias(n) for n in rows])
+             .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"), *flags.values()))
+    return pairs.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in rows],
+                     *[F.coalesce(F.sum(F.when(F.col("_k") == k, F.col("_n") - 1)), F.lit(0)).alias(n)
+                       for k, n in enumerate(unique)])
+
+
 def evaluate_suite(df: DataFrame, rules: list[Rule], suite: str,
                    parse_dates: bool = True, ignored_rules=()) -> DataFrame:
     """All rules of a suite in one pass; one output row per known rule.
@@ -161,7 +242,8 @@ def evaluate_suite(df: DataFrame, rules: list[Rule], suite: str,
     reference's bronze-contracts runner, for one, has no uniqueness branch).
     """
     spark = df.sparkSession
-    aggs: list[Column] = []
+    rows: dict[str, Column] = {}
+    unique: dict[str, str] = {}
     entries: list[tuple[Rule, Column]] = []
     for i, r in enumerate(rules):
         if r.rule in ignored_rules:
@@ -171,14 +253,17 @@ def evaluate_suite(df: DataFrame, rules: list[Rule], suite: str,
             continue                                  # unknown rule type
         if isinstance(v, bool):
             entries.append((r, F.lit(0 if v else 1).cast("long")))
+            continue
+        name = f"_r{i}"
+        if v is UNIQUE:
+            unique[name] = r.kwargs["column"]
         else:
-            name = f"_r{i}"
-            aggs.append(v.cast("long").alias(name))
-            entries.append((r, F.col(name)))
+            rows[name] = v
+        entries.append((r, F.col(name).cast("long")))
     if not entries:
         return spark.createDataFrame([], REPORT_SCHEMA)
     # Schema-only suites are decided by the table's metadata, without a scan.
-    base = df.agg(*aggs) if aggs else spark.range(1)
+    base = _counted(df, rows, unique) if rows or unique else spark.range(1)
     structs = [F.struct(F.lit(suite).alias("suite"), F.lit(r.rule).alias("rule"),
                         F.lit(r.column).cast("string").alias("column"),
                         v.alias("violations"), F.lit(r.severity).alias("severity"))
@@ -232,6 +317,17 @@ def unique_test(df: DataFrame, model: str, column: str) -> DataFrame:
         F.lit("unique").alias("test"), "failures", (F.col("failures") == 0).alias("passed"))
 
 
+def unique_tests(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """:func:`unique_test` of several columns in one pass, in long form."""
+    pairs = df.select(F.posexplode(F.array(*[_as_text(df, c) for c in columns])).alias("_k", "_v")).where("_v is not null")
+    counted = (pairs.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
+               .agg(*[F.count_if((F.col("_k") == k) & (F.col("_n") > 1)).alias(f"_c{k}") for k in range(len(columns))]))
+    structs = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit("unique").alias("test"),
+                        F.col(f"_c{k}").cast("long").alias("failures")) for k, c in enumerate(columns)]
+    return (counted.select(F.explode(F.array(*structs)).alias("x"))
+            .select("x.*", (F.col("x.failures") == 0).alias("passed")))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -251,6 +347,20 @@ def null_key_check(df: DataFrame, name: str, *columns: str) -> DataFrame:
                     (F.col("failing_rows") == 0).alias("passed")))
 
 
+def reconcile(source: DataFrame, target: DataFrame, dataset: str) -> DataFrame:
+    """Rows of two layers and the ids of ``source`` that ``target`` lacks (both
+    with a column ``id``): one pass over each.  Ids are reduced to one row per
+    layer and id before they meet, so a repeated id costs nothing."""
+    both = (source.select("id", F.lit(1).alias("s"), F.lit(0).alias("t"))
+            .unionByName(target.select("id", F.lit(0).alias("s"), F.lit(1).alias("t"))))
+    ids = both.groupBy("id").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+    lost = F.col("id").isNotNull() & (F.col("s") > 0) & (F.col("t") == 0)
+    return (ids.agg(F.sum("s").alias("bronze_rows"), F.sum("t").alias("silver_rows"), F.count_if(lost).alias("missing_ids"))
+            .select(F.lit(dataset).alias("dataset"), F.coalesce("bronze_rows", F.lit(0)).alias("bronze_rows"),
+                    F.coalesce("silver_rows", F.lit(0)).alias("silver_rows"), "missing_ids",
+                    (F.coalesce("bronze_rows", F.lit(0)) <= F.coalesce("silver_rows", F.lit(0))).alias("passed")))
+
+
 def raise_on_errors(report: DataFrame, passed_col: str = "passed") -> None:
     """Fail the run when an error-severity rule failed (warnings only log)."""
     sev = F.col("severity") if "severity" in report.columns else F.lit("error")

@@ -69,3 +69,25 @@ def change_orders_silver(bronze: DataFrame, run_ts=None) -> DataFrame:
         safe_timestamp("statusChangedAt").alias("status_changed_at"),
         stamp(run_ts).alias("processed_at"),
     )
+
+
+# ------------------------------------------------------- layout by month
+
+#: Partition column of silver tables that are laid out by month.
+MONTH_KEY = "month_key"
+#: Years with partitions of their own; 0 takes all other dates and NULLs, so
+#: there are at most 3601 partitions, whatever dates the files hold.
+MONTH_YEARS = (1900, 2199)
+#: The date that decides on a row's month, per silver table.
+MONTH_OF = {"contracts_silver": "start_date", "budgets_silver": "planned_start_date",
+            "change_orders_silver": "created_at"}
+
+
+def by_month(df: DataFrame, date_col: str) -> DataFrame:
+    """``df`` with its month (year * 100 + month) for a table partitioned by
+    it.  Rows are dealt by month first, which adaptive execution cuts into
+    files of the advisory size: a hot month is several files, a small one is
+    not spread over all tasks."""
+    d = F.col(date_col)
+    key = F.when(F.year(d).between(*MONTH_YEARS), F.year(d) * 100 + F.month(d)).otherwise(0)
+    return df.withColumn(MONTH_KEY, F.coalesce(key, F.lit(0)).cast("int")).hint("rebalance", MONTH_KEY)

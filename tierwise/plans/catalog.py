@@ -1,24 +1,29 @@
 """Registered queries: name -> (spark query, oracle SQL).
 
 Each query takes ``(spark, sf_dir)``, reads the whole test tables, derives
-bronze -> silver -> gold lazily and returns a DataFrame.  Checks, schema tests
-and monitoring look at stored tables instead (:meth:`Layers.model`), as they
-do in the layered run.  Parameters that
+bronze -> silver -> gold and returns a DataFrame.  What several queries look at
+is stored once per session and shared (:class:`Layers`): silver tables, gold
+tables, the per-contract rollups and the profiles that monitoring reads, as
+the layered run stores them.  Parameters that
 the reference takes from the clock are fixed here (``RUN_TS``,
 ``SPINE_AS_OF``, ``MONITOR_AS_OF``) so results are reproducible.
 """
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.operators import gold, silver
+from tierwise.operators import gold, monitoring, silver
+from tierwise.operators.fanout import Rollup
 from tierwise.plans import oracle
 from tierwise.plans.oracle import RUN_TS, SPINE_AS_OF
-from tierwise.session import scratch_path
-from tierwise.sources.testdata import Bronze
+from tierwise.session import checkpoint_root, scratch_path
+from tierwise.sources import sinks, versions
+from tierwise.sources.testdata import Bronze, blank_ids, change_order_load_stamps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,14 +40,27 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: What a session has stored: (session, input, run stamp) -> {name: (path, schema)}.
+_STORED: dict[tuple, dict[str, tuple]] = {}
+_LOCK = threading.RLock()
+
+
 class Layers:
-    """Silver frames for one scale-factor folder, derived lazily."""
+    """The layers of one scale-factor folder.
+
+    ``contracts()``, ``budgets()`` and ``change_orders()`` are silver frames
+    derived lazily from the test tables.  :meth:`model`, :meth:`by_month`,
+    :meth:`rollup` and :meth:`profiles` are stored: the first query of a session
+    that needs one writes it to the shared folder (gold from stored silver), the
+    others read it.  Another input (a file of another size or time) is another
+    set; the folder is removed at the end of the session.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS):
         self.spark = spark
         self.bronze = Bronze(spark, sf_dir)
         self.run_ts = run_ts
-        self._stored: dict[str, DataFrame] = {}
+        self._key: tuple | None = None
 
     def contracts(self) -> DataFrame:
         return silver.contracts_silver(self.bronze.contracts(), self.run_ts)
@@ -53,33 +71,82 @@ class Layers:
     def change_orders(self) -> DataFrame:
         return silver.change_orders_silver(self.bronze.change_orders(), self.run_ts)
 
+    # ------------------------------------------------------------- stored
+
+    def _set(self) -> dict[str, tuple]:
+        if self._key is None:
+            state = tuple(versions.state(self.spark, f"{self.bronze.sf_dir.rstrip('/')}/{t}.parquet")
+                          for t in ("orders", "lineitem", "events"))
+            self._key = (self.spark.sparkContext.applicationId, self.run_ts, checkpoint_root(self.spark), state)
+        found = _STORED.setdefault(self._key, {})
+        if not found:
+            found["/"] = (scratch_path(self.spark, "layers"), None)
+        return found
+
+    def _stored(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
+        with _LOCK:
+            found = self._set()
+            if name not in found or not versions.exists(self.spark, found[name][0]):
+                path, df = f"{found['/'][0]}/{name}-{uuid.uuid4().hex[:8]}", build()
+                sinks.write_files(df, path, partition_by=partition_by)
+                found[name] = (path, df.schema)
+            path, schema = found[name]
+            return self.spark.read.schema(schema).parquet(path)
+
     def model(self, name: str) -> DataFrame:
-        """A silver or gold table as stored: written to the shared folder at
-        its first use, gold models from stored silver."""
-        if name not in self._stored:
-            df = MODELS[name](self)
-            path = scratch_path(self.spark, name)
-            df.write.parquet(path)
-            self._stored[name] = self.spark.read.schema(df.schema).parquet(path)
-        return self._stored[name]
+        """A bronze, silver or gold table as stored."""
+        return self._stored(name, lambda: MODELS[name](self))
+
+    def by_month(self, name: str) -> DataFrame:
+        """A silver table laid out by month."""
+        return self._stored(f"{name}-by-month", lambda: silver.by_month(self.model(name), silver.MONTH_OF[name]),
+                            [silver.MONTH_KEY])
+
+    def rollup(self, name: str) -> Rollup:
+        """The per-contract rollup of a silver detail table, for all models."""
+        build = {"budgets_silver": gold.budget_rollup, "change_orders_silver": gold.change_order_rollup}[name]
+        return build(self.model(name), store=lambda df, part: self._stored(f"{name}-{part}", lambda: df))
+
+    def profiles(self, tables: dict[str, str]) -> tuple[str, dict[str, DataFrame]]:
+        """The folder of the kept profiles of monitored tables (monitored name
+        -> model), and the tables."""
+        frames = {n: self.model(m) for n, m in tables.items()}
+        with _LOCK:
+            root = f"{self._set()['/'][0]}/profiles"
+            for n, df in frames.items():
+                if "processed_at" in df.columns and not versions.exists(self.spark, f"{root}/table_name={n}"):
+                    monitoring.keep_profile(df, root, n)
+        return root, frames
 
     def _silver(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return (self.model("contracts_silver"), self.model("budgets_silver"),
                 self.model("change_orders_silver"))
 
+    def rolled_up(self) -> tuple[DataFrame, Rollup, Rollup]:
+        """Stored contracts and the rollups of both detail tables."""
+        return self.model("contracts_silver"), self.rollup("budgets_silver"), self.rollup("change_orders_silver")
+
+    def monthly(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The silver tables laid out by month."""
+        return self.by_month("contracts_silver"), self.by_month("budgets_silver"), self.by_month("change_orders_silver")
+
 
 MODELS: dict[str, Callable[[Layers], DataFrame]] = {
+    "bronze_contracts": lambda L: L.bronze.contracts(),
+    "bronze_budgets": lambda L: L.bronze.budgets(),
+    "change_order_loads": lambda L: change_order_load_stamps(L.bronze.raw("events")),
+    # As delivered, without the load's REQUIRED check: some ids are blank.
+    "contracts_silver_unchecked": lambda L: silver.contracts_silver(blank_ids(L.bronze.contracts()), L.run_ts),
     "contracts_silver": lambda L: L.contracts(),
     "budgets_silver": lambda L: L.budgets(),
     "change_orders_silver": lambda L: L.change_orders(),
     "contract_analytics": lambda L: gold.contract_analytics(
         L.model("contracts_silver"), L.run_ts, ordered=False),
-    "contract_summary": lambda L: gold.contract_summary(
-        L.model("contracts_silver"), L.model("budgets_silver"), L.run_ts, ordered=False),
-    "project_analytics": lambda L: gold.project_analytics(*L._silver(), L.run_ts),
-    "client_analytics": lambda L: gold.client_analytics(*L._silver(), L.run_ts),
+    "contract_summary": lambda L: gold.contract_summary(*L.rolled_up()[:2], L.run_ts, ordered=False),
+    "project_analytics": lambda L: gold.project_analytics(*L.rolled_up(), L.run_ts),
+    "client_analytics": lambda L: gold.client_analytics(*L.rolled_up(), L.run_ts),
     "time_analytics": lambda L: gold.time_analytics(
-        *L._silver(), as_of=SPINE_AS_OF, run_ts=L.run_ts, ordered=False),
+        *L.monthly(), as_of=SPINE_AS_OF, run_ts=L.run_ts, ordered=False),
 }
 
 
@@ -109,8 +176,8 @@ def q_contract_analytics(spark, sf_dir):
 
 @register("contract_summary", oracle.select_all("contract_summary"))
 def q_contract_summary(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return gold.contract_summary(L.contracts(), L.budgets(), RUN_TS)
+    contracts, budgets, _ = Layers(spark, sf_dir).rolled_up()
+    return gold.contract_summary(contracts, budgets, RUN_TS)
 
 
 @register("budget_summary", oracle.select_all("budget_summary"))
@@ -125,8 +192,7 @@ def q_change_order_summary(spark, sf_dir):
 
 @register("project_analytics", oracle.select_all("project_analytics"))
 def q_project_analytics(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return gold.project_analytics(L.contracts(), L.budgets(), L.change_orders(), RUN_TS)
+    return gold.project_analytics(*Layers(spark, sf_dir).rolled_up(), RUN_TS)
 
 
 @register("client_contracts", oracle.select_all("client_contracts"))
@@ -136,20 +202,19 @@ def q_client_contracts(spark, sf_dir):
 
 @register("client_budgets", oracle.select_all("client_budgets"))
 def q_client_budgets(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return gold.client_budgets(L.contracts(), L.budgets())
+    contracts, budgets, _ = Layers(spark, sf_dir).rolled_up()
+    return gold.client_budgets(contracts, budgets)
 
 
 @register("client_change_orders", oracle.select_all("client_change_orders"))
 def q_client_change_orders(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return gold.client_change_orders(L.contracts(), L.change_orders())
+    contracts, _, change_orders = Layers(spark, sf_dir).rolled_up()
+    return gold.client_change_orders(contracts, change_orders)
 
 
 @register("client_analytics", oracle.select_all("client_analytics"))
 def q_client_analytics(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return gold.client_analytics(L.contracts(), L.budgets(), L.change_orders(), RUN_TS)
+    return gold.client_analytics(*Layers(spark, sf_dir).rolled_up(), RUN_TS)
 
 
 @register("monthly_contracts", oracle.select_all("monthly_contracts"))
@@ -169,9 +234,15 @@ def q_monthly_change_orders(spark, sf_dir):
 
 @register("time_analytics", oracle.select_all("time_analytics"))
 def q_time_analytics(spark, sf_dir):
-    L = Layers(spark, sf_dir)
-    return gold.time_analytics(L.contracts(), L.budgets(), L.change_orders(),
-                               as_of=SPINE_AS_OF, run_ts=RUN_TS)
+    return gold.time_analytics(*Layers(spark, sf_dir).monthly(), as_of=SPINE_AS_OF, run_ts=RUN_TS)
+
+
+# The spine as the reference runs it, up to today; thirty years reach back to
+# the data.
+@register("time_analytics_today", oracle.select_all("time_analytics").replace(
+    f"DATE '{SPINE_AS_OF}' - INTERVAL 3 YEAR", "current_date - INTERVAL 30 YEAR").replace(f"DATE '{SPINE_AS_OF}'", "current_date"))
+def q_time_analytics_today(spark, sf_dir):
+    return gold.time_analytics(*Layers(spark, sf_dir).monthly(), years_back=30, run_ts=RUN_TS)
 
 
 # The spine's as-of date is the latest contract start in the data (a
@@ -201,5 +272,5 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # Modules that register further queries on import.
     for mod in ("tierwise.plans.quality_queries", "tierwise.plans.monitoring_queries",
-                "tierwise.plans.source_queries"):
+                "tierwise.plans.source_queries", "tierwise.plans.run_queries"):
         __import__(mod)

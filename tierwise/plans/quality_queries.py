@@ -9,33 +9,15 @@ from tierwise.operators import quality
 from tierwise.operators.quality import Rule
 from tierwise.plans import oracle
 from tierwise.plans.catalog import Layers, register
+from tierwise.schemas import BRONZE_BUDGETS, BRONZE_CONTRACTS
 
 # -------------------------------------------------------- oracle helpers
 
-_DATE_RE = r"'^\s*\d{4}-\d{1,2}-\d{1,2}'"
+_DATE_RE = oracle.DATE_RE
 
-# Kinds of the columns the type rules look at (text columns are parsed).
-_KIND = {
-    ("bronze_contracts", "contract_id"): "text",
-    ("bronze_contracts", "start_date"): "temporal",
-    ("bronze_contracts", "contract_value"): "numeric",
-    ("bronze_budgets", "plannedStartDate"): "text",
-    ("bronze_budgets", "originalAmount"): "text",
-    ("bronze_budgets", "id"): "text",
-}
-
-_COLUMNS = {
-    "bronze_contracts": ["contract_id", "contract_name", "client_name", "start_date",
-                         "end_date", "contract_value", "contract_status"],
-    "bronze_budgets": ["id", "contractId", "name", "code", "scope", "plannedStartDate",
-                       "plannedEndDate", "actualStartDate", "actualEndDate",
-                       "originalAmount", "actualCost", "createdAt", "updatedAt"],
-    "contracts_silver": ["contract_id", "contract_name", "client_name", "start_date",
-                         "end_date", "contract_value", "contract_status", "processed_at"],
-}
-
-_SPARK_TYPES = {("contracts_silver", "contract_value"): "decimal(27,9)",
-                ("contracts_silver", "start_date"): "date"}
+# Types of a rule's columns, as DuckDB reports them.
+_FAMILY = {"NUMERIC": r"^(DECIMAL|DOUBLE|FLOAT|BIGINT|INTEGER|HUGEINT)", "STRING": "^VARCHAR"}
+_SPARK_TYPE = {"date": "DATE", "string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
 
 
 def _q(c: str) -> str:
@@ -49,16 +31,19 @@ def _lit(v) -> str:
 
 
 def _rule_sql(table: str, r: Rule) -> str:
-    """Violation count of one rule as a DuckDB aggregate (or a constant)."""
+    """Violation count of one rule as a DuckDB aggregate or subquery."""
     k, t = r.kwargs, r.rule
+    # Names and types come from DuckDB's own description of the table.
+    described = f"(DESCRIBE {oracle.select_all(table)})"
     if t == "expect_table_columns_to_match_ordered_list":
-        return "0" if _COLUMNS[table] == list(k["column_list"]) else "1"
+        return f"(SELECT (list(column_name) <> {list(k['column_list'])!r})::INT FROM {described})"
     if t == "expect_table_columns_to_match_set":
-        ok = set(k["column_set"]) <= set(_COLUMNS[table]) if not k.get("exact_match", True) \
-            else set(k["column_set"]) == set(_COLUMNS[table])
-        return "0" if ok else "1"
+        want, have = f"list_sort({list(k['column_set'])!r})", "list_sort(list(column_name))"
+        ok = f"{want} = {have}" if k.get("exact_match", True) else f"list_has_all({have}, {want})"
+        return f"(SELECT (NOT {ok})::INT FROM {described})"
     if t == "expect_column_values_to_be_of_spark_type":
-        return "0" if _SPARK_TYPES.get((table, k["column"])) == k["type_"] else "1"
+        want = _SPARK_TYPE.get(k["type_"], k["type_"].upper())
+        return f"(SELECT count(*) FILTER (column_name = '{k['column']}' AND column_type = '{want}') = 0 FROM {described})"
     c = _q(k["column"]) if "column" in k else None
     if t == "expect_column_values_to_not_be_null":
         return f"COUNT(*) FILTER (WHERE {c} IS NULL)"
@@ -79,18 +64,15 @@ def _rule_sql(table: str, r: Rule) -> str:
         op = "<" if k.get("or_equal") else "<="
         return f"COUNT(*) FILTER (WHERE COALESCE({_q(k['column_A'])} {op} {_q(k['column_B'])}, FALSE))"
     if t == "expect_column_values_to_be_of_type":
-        kind = _KIND[(table, k["column"])]
-        fam = k["type_"]
-        if fam == "NUMERIC":
-            return "0" if kind == "numeric" else "1"
-        if fam == "STRING":
-            return "0" if kind == "text" else "1"
-        if fam == "DATE":
-            if kind != "text":
-                return "0"
-            return (f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND NOT "
-                    f"(regexp_matches({c}, {_DATE_RE}) AND TRY_CAST({c} AS DATE) IS NOT NULL))")
-        return "1"
+        fam, named = k["type_"], f"column_name = '{k['column']}'"
+        if fam in _FAMILY:
+            return f"(SELECT count(*) FILTER ({named} AND regexp_matches(column_type, '{_FAMILY[fam]}')) = 0 FROM {described})"
+        if fam != "DATE":   # no such family
+            return f"(SELECT count(*) FILTER ({named}) FROM {described})"
+        # Text is parsed; dates, times and numbers pass as they are.
+        text = f"CAST({c} AS VARCHAR)"
+        return (f"CASE WHEN (SELECT bool_or({named} AND column_type = 'VARCHAR') FROM {described}) THEN "
+                f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {oracle.safe_date(text)} IS NULL) ELSE 0 END")
     raise ValueError(t)
 
 
@@ -99,7 +81,7 @@ def _suite_sql(suite: str, table: str, rules: list[Rule]) -> str:
     for r in rules:
         v = _rule_sql(table, r)
         col = _lit(r.column) if r.column else "CAST(NULL AS VARCHAR)"
-        src = "(SELECT 1) AS _one" if v in ("0", "1") else table   # schema-only verdict
+        src = "(SELECT 1) AS _one" if v.startswith("(SELECT") else table   # schema-only verdict
         parts.append(
             f"SELECT {_lit(suite)} AS suite, {_lit(r.rule)} AS rule, {col} AS \"column\", "
             f"CAST({v} AS BIGINT) AS violations, CAST({v} AS BIGINT) = 0 AS passed, "
@@ -124,25 +106,20 @@ def _single_rule_query(spec):
 
 
 def _silver_c(L):
-    return L.contracts()
-
-
-def _silver_b(L):
-    return L.budgets()
-
-
-def _silver_co(L):
-    return L.change_orders()
+    return L.model("contracts_silver")
 
 
 def _bronze_c(L):
-    return L.bronze.contracts()
+    return L.model("bronze_contracts")
 
 
 def _bronze_b(L):
-    return L.bronze.budgets()
+    return L.model("bronze_budgets")
 
 
+_CONTRACTS = BRONZE_CONTRACTS.fieldNames()
+_BUDGETS = BRONZE_BUDGETS.fieldNames()
+
 _RULE_KEYS = {
     "rule_not_null": [
         ("silver.contracts_silver", "contracts_silver", _silver_c, Rule("expect_column_values_to_not_be_null", {"column": c}))
@@ -176,9 +153,9 @@ _RULE_KEYS = {
     ],
     "rule_columns": [
         ("bronze.contracts", "bronze_contracts", _bronze_c,
-         Rule("expect_table_columns_to_match_ordered_list", {"column_list": _COLUMNS["bronze_contracts"]})),
+         Rule("expect_table_columns_to_match_ordered_list", {"column_list": _CONTRACTS})),
         ("bronze.budgets", "bronze_budgets", _bronze_b,
-         Rule("expect_table_columns_to_match_ordered_list", {"column_list": list(reversed(_COLUMNS["bronze_budgets"]))})),
+         Rule("expect_table_columns_to_match_ordered_list", {"column_list": list(reversed(_BUDGETS))})),
         ("silver.contracts_silver", "contracts_silver", _silver_c,
          Rule("expect_table_columns_to_match_set", {"column_set": ["contract_id", "processed_at"], "exact_match": False})),
         ("silver.contracts_silver", "contracts_silver", _silver_c,
@@ -244,32 +221,48 @@ def q_quality_report(spark, sf_dir):
 _SPEC = quality.schema_tests_spec()
 
 
-@register("schema_test_not_null", oracle.with_prelude("\nUNION ALL\n".join(
+_NOT_NULL_SQL = "\nUNION ALL\n".join(
     f"SELECT {_lit(m)} AS model, {_lit(c)} AS column_name, 'not_null' AS test, "
     f"COUNT(*) FILTER (WHERE {_q(c)} IS NULL) AS failures, "
     f"COUNT(*) FILTER (WHERE {_q(c)} IS NULL) = 0 AS passed FROM {m}"
-    for m, t in _SPEC.items() for c in t["not_null"])))
+    for m, t in _SPEC.items() for c in t["not_null"])
+
+_UNIQUE_SQL = "\nUNION ALL\n".join(
+    f"SELECT {_lit(m)} AS model, {_lit(c)} AS column_name, 'unique' AS test, "
+    f"COUNT(*) AS failures, COUNT(*) = 0 AS passed FROM "
+    f"(SELECT {_q(c)} FROM {m} WHERE {_q(c)} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
+    for m, t in _SPEC.items() for c in t["unique"])
+
+
+def schema_test_sql() -> str:
+    """All declarative tests, over the models' CTEs."""
+    return f"{_NOT_NULL_SQL}\nUNION ALL\n{_UNIQUE_SQL}"
+
+
+def suite_rows_sql() -> str:
+    """The rows of all built-in suites, as a statement of its own."""
+    return oracle.with_prelude(_SUITE_SQL)
+
+
+@register("schema_test_not_null", oracle.with_prelude(_NOT_NULL_SQL))
 def q_schema_test_not_null(spark, sf_dir):
     L = Layers(spark, sf_dir)
     return quality.union_all([quality.not_null_tests(L.model(m), m, t["not_null"])
                               for m, t in _SPEC.items() if t["not_null"]])
 
 
-@register("schema_test_unique", oracle.with_prelude("\nUNION ALL\n".join(
-    f"SELECT {_lit(m)} AS model, {_lit(c)} AS column_name, 'unique' AS test, "
-    f"COUNT(*) AS failures, COUNT(*) = 0 AS passed FROM "
-    f"(SELECT {_q(c)} FROM {m} WHERE {_q(c)} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
-    for m, t in _SPEC.items() for c in t["unique"])))
+@register("schema_test_unique", oracle.with_prelude(_UNIQUE_SQL))
 def q_schema_test_unique(spark, sf_dir):
     L = Layers(spark, sf_dir)
-    return quality.union_all([quality.unique_test(L.model(m), m, c)
-                              for m, t in _SPEC.items() for c in t["unique"]])
+    return quality.union_all([quality.unique_tests(L.model(m), m, t["unique"])
+                              for m, t in _SPEC.items() if t["unique"]])
 
 
 # ------------------------------------------------------ blocking checks
 
 _CHECKS = {
     "check_silver_contracts": ("contracts_silver", ["contract_id"]),
+    "check_silver_contracts_unchecked": ("contracts_silver_unchecked", ["contract_id"]),
     "check_silver_budgets": ("budgets_silver", ["budget_id"]),
     "check_silver_change_orders": ("change_orders_silver", ["change_order_id"]),
     "check_gold_project": ("project_analytics", ["contract_id"]),
@@ -279,13 +272,18 @@ _CHECKS = {
 }
 
 
+_UNCHECKED = """contracts_silver_unchecked AS (
+  SELECT CASE WHEN CAST(regexp_extract(contract_name, '\\d+$') AS BIGINT) % 251 <> 0 THEN contract_id END AS contract_id
+  FROM contracts_silver)"""
+
+
 def _check_query(name, model, cols):
     def q(spark, sf_dir):
         return quality.null_key_check(Layers(spark, sf_dir).model(model), name, *cols)
     cond = " OR ".join(f"{c} IS NULL" for c in cols)
     sql = oracle.with_prelude(
         f"SELECT {_lit(name)} AS check_name, COUNT(*) AS failing_rows, COUNT(*) = 0 AS passed "
-        f"FROM {model} WHERE {cond}")
+        f"FROM {model} WHERE {cond}", _UNCHECKED)
     return q, sql
 
 
@@ -337,8 +335,44 @@ def q_budget_orphan_contract_ids(spark, sf_dir):
     return _missing_ids(ids, L.model("contracts_silver"))
 
 
+# The layers of different loads: silver holds what an earlier run loaded (the
+# contracts that began by a date, and their budgets), bronze what is there now.
+_EARLIER = "1999-12-31"
+
+
+@register("layer_reconciliation", oracle.with_prelude(f"""
+SELECT 'contracts' AS dataset, COUNT(*) AS bronze_rows, COUNT(*) FILTER (start_date <= DATE '{_EARLIER}') AS silver_rows,
+       COUNT(DISTINCT contract_id) - COUNT(DISTINCT contract_id) FILTER (start_date <= DATE '{_EARLIER}') AS missing_ids,
+       COUNT(*) <= COUNT(*) FILTER (start_date <= DATE '{_EARLIER}') AS passed
+FROM bronze_contracts
+UNION ALL
+SELECT 'budgets', n, m, missing, n <= m
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (early) AS m,
+             COUNT(DISTINCT id) - COUNT(DISTINCT id) FILTER (early) AS missing
+      FROM (SELECT id, contractId IN (SELECT contract_id FROM bronze_contracts WHERE start_date <= DATE '{_EARLIER}') AS early
+            FROM bronze_budgets))"""))
+def q_layer_reconciliation(spark, sf_dir):
+    L = Layers(spark, sf_dir)
+    contracts, budgets = L.model("bronze_contracts"), L.model("bronze_budgets")
+    before = L.model("contracts_silver").where(F.col("start_date") <= F.lit(_EARLIER).cast("date"))
+    before_b = L.model("budgets_silver").join(before.select("contract_id").distinct(), "contract_id", "left_semi")
+    return quality.union_all([
+        quality.reconcile(contracts.select(F.col("contract_id").alias("id")), before.select(F.col("contract_id").alias("id")), "contracts"),
+        quality.reconcile(budgets.select("id"), before_b.select(F.col("budget_id").alias("id")), "budgets")])
+
+
 # ------------------------------------------------------ small model checks
 
+# One client's contracts by name (an equality filter on a stored table).
+@register("client_lookup", oracle.with_prelude("""
+SELECT contract_id, contract_name, contract_value FROM contracts_silver
+WHERE client_name = (SELECT max(client_name) FROM contracts_silver)"""))
+def q_client_lookup(spark, sf_dir):
+    c = Layers(spark, sf_dir).model("contracts_silver")
+    name = c.agg(F.max("client_name")).first()[0]
+    return c.where(F.col("client_name") == F.lit(name)).select("contract_id", "contract_name", "contract_value")
+
+
 @register("client_rollup", oracle.with_prelude("""
 SELECT client_name, COUNT(contract_id) AS total_contracts,
        CAST(SUM(contract_value) AS DOUBLE) AS total_value

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from tierwise.plans import oracle
 from tierwise.plans.catalog import Layers, register
 from tierwise.schemas import (
-    BRONZE_CONTRACTS_REQUIRED, CONTRACTS_SILVER_COLUMNS,
+    BRONZE_CONTRACTS, BRONZE_CONTRACTS_REQUIRED, CONTRACTS_SILVER_COLUMNS, MONEY,
 )
 from tierwise.session import scratch_path
 from tierwise.sources import bronze, sinks
+from tierwise.sources.testdata import blank_ids
 from pyspark.sql import types as T
 
 _CONTRACTS_SILVER_SCHEMA = T.StructType([
@@ -24,7 +25,7 @@ _CONTRACTS_SILVER_SCHEMA = T.StructType([
     T.StructField("client_name", T.StringType()),
     T.StructField("start_date", T.DateType()),
     T.StructField("end_date", T.DateType()),
-    T.StructField("contract_value", T.DecimalType(27, 9)),
+    T.StructField("contract_value", MONEY),
     T.StructField("contract_status", T.StringType()),
     T.StructField("processed_at", T.TimestampNTZType()),
 ])
@@ -69,6 +70,28 @@ def q_bronze_required_check(spark, sf_dir):
             .select("rows_loaded", "required_nulls", (F.col("required_nulls") == 0).alias("passed")))
 
 
+# A delivery in which some ids are blank: the report names them, and the load
+# as such is refused.
+@register("bronze_required_report", oracle.with_prelude("""
+SELECT COUNT(*) AS rows_delivered, COUNT(*) FILTER (WHERE o_orderkey % 251 = 0) AS required_nulls,
+       COUNT(*) FILTER (WHERE o_orderkey % 251 = 0) = 0 AS passed,
+       COUNT(*) FILTER (WHERE o_orderkey % 251 = 0) > 0 AS load_refused
+FROM orders"""))
+def q_bronze_required_report(spark, sf_dir):
+    path = sinks.write_csv(blank_ids(Layers(spark, sf_dir).bronze.contracts()),
+                           scratch_path(spark, "bronze-blank-ids"))
+    delivered = bronze.read_typed_csv(spark, path, BRONZE_CONTRACTS)
+    try:
+        bronze.read_contracts_csv(spark, path).write.format("noop").mode("overwrite").save()
+        refused = False
+    except Exception as e:  # noqa: BLE001 - the refusal is the finding
+        if "REQUIRED" not in str(e):
+            raise
+        refused = True
+    return (bronze.required_report(delivered, BRONZE_CONTRACTS_REQUIRED)
+            .withColumn("load_refused", F.lit(refused)))
+
+
 @register("csv_infer_scan", oracle.with_prelude("""
 SELECT contract_id, contract_name, client_name, start_date, end_date,
        CAST(contract_value AS DOUBLE) AS contract_value, contract_status
@@ -92,3 +115,18 @@ def q_roundtrip_overwrite(spark, sf_dir):
     sinks.write_table(L.contracts(), path)
     sinks.write_table(L.contracts(), path)               # truncate-and-load: replaces
     return sinks.read_table(spark, path)
+
+
+# The same in a catalog: the view shows the first version until the second is
+# complete, then the second.
+@register("catalog_overwrite", oracle.select_all("contracts_silver"))
+def q_catalog_overwrite(spark, sf_dir):
+    silver = Layers(spark, sf_dir).model("contracts_silver")
+    root = scratch_path(spark, "catalog")
+    database = f"tierwise_{root.rsplit('-', 1)[-1]}"
+    sinks.ensure_database(spark, database)
+    name = f"`{database}`.`contracts_silver`"
+    first = silver.where("contract_value > 0").select("contract_id", "contract_value")
+    sinks.publish_view(spark, name, sinks.write_files(first, f"{root}/1"))
+    sinks.publish_view(spark, name, sinks.write_files(silver, f"{root}/2"))
+    return spark.table(name)

@@ -7,7 +7,11 @@ status is PASSED only when every layer passed; the command-line entry
 returns 0 / 1 accordingly.
 
 Files are read with schema inference, as a validator that knows nothing
-about the load schema does; each suite then runs as one aggregate pass.
+about the load schema does; each suite then runs as one pass.  Every file is
+validated by a job of its own, whose few rows go to the shared folder: a file
+that cannot be read (damaged, not there any more, failing halfway) is a FAILED
+row with the error's text, and the others are validated all the same.  Suites
+are read from any Hadoop path.
 """
 
 from __future__ import annotations
@@ -18,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.operators import quality
-from tierwise.plans.layered_run import _exists
-from tierwise.sources import bronze
+from tierwise.session import scratch_path
+from tierwise.sources import bronze, versions
 
 
 @dataclass(frozen=True)
@@ -27,46 +31,62 @@ class Target:
     layer: str          # "bronze" or "silver"
     dataset: str        # e.g. "contracts"
     path: str
-    suite_file: str     # a file under tierwise/suites or an absolute path
+    suite_file: str     # a built-in suite's name or a file on any Hadoop path
     ignored_rules: tuple = ()
 
 
-def _suite(suite_file: str):
-    if "/" in suite_file:
-        return quality.load_suite(suite_file)
-    try:
-        return quality.builtin_suite(suite_file)
-    except FileNotFoundError:
-        return None
+ROW = "layer string, dataset string, rules bigint, failed_rules bigint, status string, note string"
+
+
+def _suites(spark: SparkSession, names: list[str]) -> dict:
+    """Suite file -> (name, rules), or an error's text."""
+    paths = [n for n in names if "/" in n]
+    out = quality.load_suites(spark, paths) if paths else {}
+    for n in names:
+        if "/" not in n:
+            try:
+                out[n] = quality.builtin_suite(n)
+            except FileNotFoundError:
+                out[n] = "suite file missing"
+    return out
+
+
+def _first_line(e: Exception) -> str:
+    """What went wrong, in one line, without paths of task files."""
+    text = getattr(e, "getCondition", lambda: None)() or str(e).strip().split("\n", 1)[0]
+    return f"{type(e).__name__}: {text}"
 
 
 def validate(spark: SparkSession, targets: list[Target]) -> DataFrame:
     """One row per target: layer, dataset, rules, failed_rules, status, note."""
-    rows: list[DataFrame] = []
-    for t in targets:
-        if not _exists(spark, t.path):
-            status = quality.missing_input_status(spark, t.layer, t.dataset)
-            note = "input missing: skipped" if t.layer == "silver" else "input missing"
-            rows.append(status.withColumn("note", F.lit(note)))
+    root = scratch_path(spark, "validation")
+    suites = _suites(spark, sorted({t.suite_file for t in targets}))
+    settled, parts = [], []
+    for i, t in enumerate(targets):
+        loaded = suites[t.suite_file]
+        if not versions.exists(spark, t.path):
+            if t.layer == "silver":
+                settled.append((t.layer, t.dataset, 0, 0, "PASSED", "input missing: skipped"))
+            else:
+                settled.append((t.layer, t.dataset, 0, 1, "FAILED", "input missing"))
             continue
-        loaded = _suite(t.suite_file)
-        if loaded is None:           # missing or invalid suite file fails the dataset
-            rows.append(spark.createDataFrame(
-                [(t.layer, t.dataset, 0, 1, "FAILED", "suite file missing or invalid")],
-                "layer string, dataset string, rules bigint, failed_rules bigint, "
-                "status string, note string"))
+        if isinstance(loaded, str):           # a bad suite file fails the dataset
+            settled.append((t.layer, t.dataset, 0, 1, "FAILED", loaded))
             continue
         name, rules = loaded
-        df = bronze.read_csv_inferred(spark, t.path)
-        report = quality.evaluate_suite(df, rules, name, ignored_rules=t.ignored_rules)
-        rows.append(report.agg(
-            F.count(F.lit(1)).alias("rules"),
-            F.count_if(~F.col("passed")).alias("failed_rules"))
-            .select(F.lit(t.layer).alias("layer"), F.lit(t.dataset).alias("dataset"),
-                    "rules", "failed_rules",
-                    F.when(F.col("failed_rules") == 0, "PASSED").otherwise("FAILED").alias("status"),
-                    F.lit(None).cast("string").alias("note")))
-    return quality.union_all(rows)
+        try:
+            df = bronze.read_csv_inferred(spark, t.path)
+            report = quality.evaluate_suite(df, rules, name, ignored_rules=t.ignored_rules)
+            (report.agg(F.count(F.lit(1)).alias("rules"), F.count_if(~F.col("passed")).alias("failed_rules"))
+             .select(F.lit(t.layer).alias("layer"), F.lit(t.dataset).alias("dataset"), "rules", "failed_rules",
+                     F.when(F.col("failed_rules") == 0, "PASSED").otherwise("FAILED").alias("status"),
+                     F.lit(None).cast("string").alias("note"))
+             .write.parquet(f"{root}/{i}"))
+            parts.append(f"{root}/{i}")
+        except Exception as e:  # noqa: BLE001 - any failure is this file's row
+            settled.append((t.layer, t.dataset, 0, 1, "FAILED", f"unreadable: {_first_line(e)}"))
+    out = spark.createDataFrame(settled, ROW)
+    return out.unionByName(spark.read.schema(ROW).parquet(*parts)) if parts else out
 
 
 def layer_summary(report: DataFrame) -> DataFrame:

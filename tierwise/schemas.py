@@ -1,15 +1,15 @@
 """Schemas of the bronze, silver and gold tables.
 
-``MONEY`` is decimal(27,9): sums come out decimal(37,9), differences
-decimal(38,9), so no digit of a nine-place amount is lost by Spark's
-decimal precision rules (decimal(38,9) would drop to scale 8 on ``a - b``).
+``MONEY`` is decimal(38,9), the width of a warehouse NUMERIC: 29 integer
+digits and nine places.  Spark's ``+`` and ``-`` of two such amounts would drop
+to eight places; ``functions.metrics.money_plus`` / ``money_minus`` do not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(27, 9)
+MONEY = T.DecimalType(38, 9)
 
 S = T.StringType()
 

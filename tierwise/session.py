@@ -8,7 +8,6 @@ the same adaptive execution behaviour.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,9 +73,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a path every executor can reach); a
-    machine-local temporary folder is used only when the session runs in
-    local mode and nobody set one, as in tests.
+    On a cluster this must be set (a path every executor can reach); in local
+    mode, where nobody set one, as in tests, it is a folder in the session's
+    warehouse.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -85,7 +84,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if conf_dir:
             sc.setCheckpointDir(conf_dir)
         elif sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="tierwise-ckpt-"))
+            warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
+            sc.setCheckpointDir(f"{warehouse.rstrip('/')}/tierwise-ckpt-{uuid.uuid4().hex[:12]}")
         else:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
@@ -95,6 +95,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_marked: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tierwise/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder.  All of them
+    are removed when the session's process ends."""
+    root = f"{checkpoint_root(spark)}/tierwise"
+    if root not in _marked:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _marked.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"

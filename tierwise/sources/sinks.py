@@ -2,52 +2,56 @@
 
 Every write is a full refresh: the reference never loads incrementally.
 Parquet is the table format; writes go through Spark's commit protocol, so a
-lost executor only re-runs its tasks.  A table is written beside the old one
-and takes its place by rename once the job has succeeded, so a failed job
-leaves the previous version as it was.
+lost executor only re-runs its tasks.  A table is a set of one
+(:mod:`tierwise.sources.versions`): a new version is written beside the old
+one and becomes the table by one atomic pointer, so a reader always finds the
+old table or the new one, and a failed job leaves the old one as it was.
+
+In a catalog the pointer is a view over the version's files; replacing a
+view's text is one update of the metastore, whatever the schemas.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwise.sources import versions
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> str:
+    """Write a table's next version and publish it."""
     path = path.rstrip("/")
-    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
-    new, old = f"{path}.{version}.new", f"{path}.{version}.old"
+    version = versions.fresh(path)
+    write_files(df, version, fmt, partition_by)
+    versions.publish(df.sparkSession, path, {"": version})
+    return path
+
+
+def write_files(df: DataFrame, path: str, fmt: str = "parquet",
+                partition_by: list[str] | None = None) -> str:
+    """Write the files of one version (the path must be new)."""
     w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(new)
-    had = _rename(spark, path, old)
-    if not _rename(spark, new, path):
-        if had:
-            _rename(spark, old, path)
-        raise OSError(f"cannot put {new} in place of {path}")
-    if had:
-        fs, p = _fs(spark, old)
-        fs.delete(p, True)
-    spark.catalog.refreshByPath(path)
+    w.save(path)
     return path
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The published version of a table, or the files of a plain folder."""
+    published = versions.current(spark, path)
+    return spark.read.format(fmt).load(published[""] if published else path)
 
-def _rename(spark: SparkSession, src: str, dst: str) -> bool:
-    """Whether ``src`` exists and now is ``dst``."""
-    fs, p = _fs(spark, src)
-    return fs.exists(p) and fs.rename(p, _fs(spark, dst)[1])
 
+def publish_view(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
+    """Make ``name`` (`db`.`table`) show the files under ``path``.
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    A table of that name from an earlier release is dropped once, after the
+    new version is complete."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{path}`")
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -16,9 +16,13 @@ Mapping:
   client name (a NULL group); every 101st order no start date; every 50th
   order a zero value and every 103rd a NULL value.
 * budgets <- lineitem: one budget line per order line, all text, with
-  partial dates, padded dates, ``'N/A'`` amounts and junk stamps.
+  partial dates, padded dates, dates with junk behind them, ``'N/A'`` amounts,
+  junk stamps, stamps with offsets and zones, and some lines without an id.
 * change orders <- events: contract id is ``user_id`` (a few hot
-  contracts), created dates shifted into the orders' years.
+  contracts), created dates shifted into the orders' years, some with an
+  offset; amounts of 20 digits; some without an id.
+
+:func:`corrected` is the delivery with texts for the missing keys.
 """
 
 from __future__ import annotations
@@ -93,6 +97,16 @@ def bronze_contracts(orders: DataFrame) -> DataFrame:
     )
 
 
+#: How updatedAt goes on after the date (offsets, zones, junk).
+STAMP_TAILS = ("T17:45:00+05:00", "T17:45+05:00", " 17:45+05", " 17:45:00-8", "T17:45:00Z",
+               " 17:45:00 Europe/Paris", " 17:45:00 America/New_York", " 17:45:00 or so", "Tsoon",
+               "T17:45:00.250") + 21 * ("T17:45:00",)
+
+
+def _variant(k: Column, texts: tuple[str, ...]) -> Column:
+    return F.element_at(F.array(*map(F.lit, texts)), (k + 1).cast("int"))
+
+
 def bronze_budgets(lineitem: DataFrame) -> DataFrame:
     """All-text bronze budgets, as a delimited file would deliver them."""
     o = F.col("l_orderkey")
@@ -103,7 +117,7 @@ def bronze_budgets(lineitem: DataFrame) -> DataFrame:
     cost = F.round(price * (F.lit(1) - _dec2(F.col("l_discount"), 4))
                    * (F.lit(1) + _dec2(F.col("l_tax"), 4)), 2).cast("decimal(18,2)")
     return lineitem.select(
-        F.concat(_txt(o), F.lit("-"), _txt(ln)).alias("id"),
+        F.when(~((o % 211 == 0) & (ln == 1)), F.concat(_txt(o), F.lit("-"), _txt(ln))).alias("id"),
         _txt(o).alias("contractId"),
         F.concat(F.lit("Budget-"), _txt(ln)).alias("name"),
         F.concat(F.lit("BUD"), _zpad(ln, 3)).alias("code"),
@@ -111,6 +125,7 @@ def bronze_budgets(lineitem: DataFrame) -> DataFrame:
          .when(F.col("l_returnflag") == "A", "provisional")
          .otherwise("budgetAndCost").alias("scope"),
         F.when(o % 13 == 0, F.substring(_ymd(planned_start), 1, 4))
+         .when(o % 29 == 0, F.concat(_ymd(planned_start), F.lit(" or so")))
          .when(o % 17 == 0, F.concat(F.lit(" "), _ymd(planned_start), F.lit(" ")))
          .otherwise(_ymd(planned_start)).alias("plannedStartDate"),
         _ymd(F.date_add(sd, 30)).alias("plannedEndDate"),
@@ -121,7 +136,7 @@ def bronze_budgets(lineitem: DataFrame) -> DataFrame:
         _txt(cost).alias("actualCost"),
         F.when(o % 23 == 0, F.lit("unknown"))
          .otherwise(F.concat(F.lit(" "), _ymd(F.date_add(sd, -30)), F.lit(" 08:30:00 "))).alias("createdAt"),
-        F.concat(_ymd(F.date_add(sd, 1)), F.lit("T17:45:00")).alias("updatedAt"),
+        F.concat(_ymd(F.date_add(sd, 1)), _variant(o % len(STAMP_TAILS), STAMP_TAILS)).alias("updatedAt"),
     )
 
 
@@ -132,7 +147,7 @@ def bronze_change_orders(events: DataFrame) -> DataFrame:
     amount = _txt(_dec2(F.col("value")))
     created_day = F.date_add(F.to_date("ts"), (-(F.lit(8200) + e % 2200)).cast("int"))
     return events.select(
-        F.concat(F.lit("CO"), _zpad(e, 8)).alias("id"),
+        F.when(e % 199 != 0, F.concat(F.lit("CO"), _zpad(e, 8))).alias("id"),
         _zpad(e, 8).alias("number"),
         F.concat(F.lit("Change Order "), _txt(e)).alias("name"),
         F.when(e % 2 == 0, "in").otherwise("out").alias("scope"),
@@ -142,14 +157,32 @@ def bronze_change_orders(events: DataFrame) -> DataFrame:
         F.when(e % 7 == 0, F.concat(F.lit(" "), amount, F.lit(" "))).otherwise(amount).alias("proposed"),
         F.when(e % 11 == 0, F.concat(F.lit("$"), amount)).otherwise(amount).alias("submitted"),
         F.when(etype.isin("error", "view"), F.lit(None).cast("string")).otherwise(amount).alias("approved"),
-        F.when(etype == "purchase", amount).alias("committed"),
-        F.concat(_ymd(created_day), F.lit(" "), F.substring(_ts_text(F.col("ts")), 12, 8)).alias("createdAt"),
+        F.when((etype == "purchase") & (e % 41 == 0), F.lit("12345678901234567890.123456789"))
+         .when(etype == "purchase", amount).alias("committed"),
+        F.concat(_ymd(created_day), F.lit(" "), F.substring(_ts_text(F.col("ts")), 12, 8),
+                 F.when(e % 37 == 0, "+09:30").otherwise("")).alias("createdAt"),
         _ts_text(F.col("ts")).alias("updatedAt"),
         F.when(e % 9 == 0, F.lit("pending"))
          .otherwise(F.concat(F.lit(" "), _ts_text(F.col("ts"), "T"))).alias("statusChangedAt"),
     )
 
 
+def corrected(contracts: DataFrame, budgets: DataFrame, change_orders: DataFrame) -> tuple[DataFrame, ...]:
+    """The three bronze frames with a text wherever a client or an id is
+    missing, as a second, corrected delivery brings them."""
+    line = F.concat(F.lit("none-"), "contractId", F.lit("-"), F.regexp_extract("name", r"\d+$", 0))
+    number = F.concat(F.lit("none-"), F.col("number").cast("long").cast("string"))
+    return (contracts.withColumn("client_name", F.coalesce("client_name", F.lit("(none)"))),
+            budgets.withColumn("id", F.coalesce("id", line)),
+            change_orders.withColumn("id", F.coalesce("id", number)))
+
+
+def blank_ids(contracts: DataFrame) -> DataFrame:
+    """A delivery in which some contracts lack their (REQUIRED) id."""
+    number = F.regexp_extract("contract_name", r"\d+$", 0).cast("long")
+    return contracts.withColumn("contract_id", F.when(number % 251 != 0, F.col("contract_id")))
+
+
 def change_order_load_stamps(events: DataFrame) -> DataFrame:
     """Change orders stamped with their load time (``events.ts``).
 
