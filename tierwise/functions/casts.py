@@ -18,10 +18,14 @@ from tierwise.schemas import MONEY
 # and, at most, a well-formed time and zone; nothing may follow.  A zone is Z,
 # an offset of hours and maybe minutes, or a name.
 _DAY, _TIME, _SECONDS = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}:\d{2}", r":\d{2}(?:\.\d+)?"
-_ZONE = r"[Zz]|[+-]\d{1,2}(?::?\d{1,2})?|[A-Za-z]+(?:[/_-][A-Za-z0-9_+-]+)*"
-FULL_DATE = rf"^\s*{_DAY}([T ]{_TIME}({_SECONDS})?\s*(Z|UTC|[+-]\d{{1,2}}(:?\d{{1,2}})?)?)?\s*$"
-PLAIN_TIME = rf"^{_DAY}([Tt ]{_TIME}({_SECONDS})?)?$"
-ZONED_TIME = rf"^({_DAY})(?:[Tt ]({_TIME})({_SECONDS})?)?\s*({_ZONE})$"
+_OFFSET = r"[+-]\d{1,2}(?::?\d{1,2})?"
+_ZONE = rf"Z|{_OFFSET}|[A-Za-z]+(?:[/_-][A-Za-z0-9_+-]+)*"
+FULL_DATE = rf"^\s*{_DAY}(?:[T ]{_TIME}(?:{_SECONDS})?\s*(?:Z|UTC|{_OFFSET})?)?\s*$"
+PLAIN_TIME = rf"^{_DAY}(?:[T ]{_TIME}(?:{_SECONDS})?)?$"
+ZONED_TIME = rf"^{_DAY}(?:[T ]{_TIME}(?:{_SECONDS})?)?\s*(?:{_ZONE})$"
+# A zone straight after the date, or after hours and minutes.
+DATE_ZONE = rf"^({_DAY})\s*(?=(?:{_ZONE})$)"
+MINUTE_ZONE = rf"^({_DAY}[T ]{_TIME})(?=\s*(?:{_ZONE})$)"
 
 
 def _col(c: Column | str) -> Column:
@@ -54,32 +58,22 @@ def safe_timestamp(c: Column | str, trim: bool = True) -> Column:
 
     A text without a zone is taken as UTC; the usual form, which the timestamp
     prints back as, needs no pattern.  A text with a zone (offset, Z or name) is
-    completed by a time and seconds if it has none, read as an instant, and the
+    completed by a time or seconds if it has none, read as an instant, and the
     instant's UTC wall clock is the result."""
     c = _col(c)
     if trim:
         c = F.trim(c)
     wall = c.try_cast("timestamp_ntz")
-    part = lambda k: F.regexp_extract(c, ZONED_TIME, k)
-    or_else = lambda x, text: F.when(x == "", F.lit(text)).otherwise(x)
-    instant = F.concat(part(1), F.lit(" "), or_else(part(2), "00:00"), or_else(part(3), ":00"),
-                       _zone(part(4))).try_cast("timestamp")
+    whole = F.regexp_replace(F.regexp_replace(c, DATE_ZONE, "$1 00:00:00 "), MINUTE_ZONE, "$1:00")
     return (F.when(wall.cast("string") == F.translate(c, "T", " "), wall)
-            .when(c.rlike(PLAIN_TIME), F.translate(c, "t", "T").try_cast("timestamp_ntz"))
-            .when(c.rlike(ZONED_TIME), utc_wall(instant)))
-
-
-def _zone(z: Column) -> Column:
-    """Offsets and Z directly after the seconds, names after a blank."""
-    return (F.when(z == "z", F.lit("Z")).when(z.rlike("^[Z+-]"), z).otherwise(F.concat(F.lit(" "), z)))
+            .when(c.rlike(PLAIN_TIME), wall)
+            .when(c.rlike(ZONED_TIME), utc_wall(F.coalesce(c.try_cast("timestamp"), whole.try_cast("timestamp")))))
 
 
 def utc_wall(instant: Column) -> Column:
     """The UTC wall clock of a TIMESTAMP as TIMESTAMP_NTZ."""
-    micros = F.unix_micros(instant)
-    return (F.lit("1970-01-01").cast("timestamp_ntz")
-            + F.make_dt_interval(days=F.floor(micros / F.lit(86_400_000_000)).cast("int"))
-            + F.make_dt_interval(secs=(F.pmod(micros, F.lit(86_400_000_000)) / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")))
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def utc_text(wall: Column) -> Column:
