@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tierwise.llm import importance, language_id, queries, whitening
+from tierwise.llm import importance, language_id, line_dedup, near_dup, queries, source_mix, whitening
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"mot{i}" for i in range(60_000))
@@ -287,3 +287,97 @@ def test_importance_odd_rows(spark, odd, empty):
     assert importance.resample(empty, target).count() == 0
     assert importance.resample(odd, target.limit(0)).count() == len(ODD)
     assert importance.resample(odd, target, min_words=10 ** 9).where("rank is not null").count() == 0
+
+
+# ------------------------------------------------- near-duplicates in families
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def brute_components(docs):
+    sets = {i: shingles(t) for i, t in docs}
+    comp = {i: i for i in sets}
+
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1:]:
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n) and root(i) != root(j):
+                comp[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i in ids}
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for k in rng.sample(range(len(out)), n):
+        out[k] = f"e{rng.randrange(10 ** 6)}"
+    return out
+
+
+@pytest.mark.parametrize("pivots", [0, 1, 3])
+def test_families_far_from_their_hub(spark, monkeypatch, pivots):
+    """Copies of variants that differ from the hub by a fifth, each with edits
+    of its own, and strays that link with one of them only."""
+    monkeypatch.setattr(near_dup, "PIVOTS", pivots)
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    docs = [" ".join(edited(rng, base, k % 3)) for k in range(60)]
+    for v in range(3):
+        variant = base[:30 + 50 * v] + [f"v{v}x{i}" for i in range(12 + 4 * v)] + base[42 + 54 * v:]
+        docs += [" ".join(edited(rng, variant, k % 4)) for k in range(50)]
+        docs += [" ".join(edited(rng, variant, n)) for n in (4, 5, 6, 7, 8)]
+    far = [f"f{i}" for i in range(100)] + base[100:]
+    docs += [" ".join(edited(rng, far, k % 3)) for k in range(30)]
+    rows = list(enumerate(docs))
+    rng.shuffle(rows)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_components(rows)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(set(want.values())) > 3
+
+
+# ------------------------------------------------------------- mixing, lines
+
+def test_lots_are_even_whatever_the_finish_times(spark, monkeypatch):
+    """One source's finish times reach far; lots stay near the size meant, and
+    the mix is that of one plain queue."""
+    monkeypatch.setattr(source_mix, "SLOT_ROWS", 500)
+    rows = [(i, "a b c", "big", "en", 0) for i in range(6000)] + [(10_000 + i, "x " * 50, f"s{i % 7}", "en", 0) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    lots = []
+    kept = source_mix.common.stored
+
+    def spy(df, name):
+        out = kept(df, name)
+        if name == "queue":
+            lots.extend(r["count"] for r in out.groupBy("_lot").count().collect())
+        return out
+    monkeypatch.setattr(source_mix.common, "stored", spy)
+    got = source_mix.mix(docs).collect()
+    assert max(lots) <= 2 * 500 and sum(lots) == 2 * len(rows)
+    budget = sum(r["size"] for r in got) * 3 // 2
+    assert budget - 50 < sum(r.taken for r in got) <= budget
+
+
+CLASH = ["_d", "_t", "_key", "_drop", "_lines", "_row", "_on", "key", "drop", "chunks", "n_lines", "at", "c", "first", "text_key"]
+
+
+def test_line_dedup_with_clashing_columns(spark):
+    passage = "\n".join(f"line {k} " + " ".join(f"w{k}x{i}" for i in range(30)) for k in range(4))
+    rows = [(i, f"own {i}\n{passage}\nend {i}") for i in range(3)] + [(9, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", *[F.lit(k).alias(c) for k, c in enumerate(CLASH)])
+    for f in (line_dedup.dedup_lines, line_dedup.remove_runs):
+        out = f(docs)
+        assert out.columns[:2 + len(CLASH)] == docs.columns
+        got = out.collect()
+        assert len(got) == 5 and all([r[c] for c in CLASH] == list(range(len(CLASH))) for r in got)
+        if f is line_dedup.remove_runs:
+            assert sum(r.text is not None and "w1x7" in r.text for r in got) == 1
+    assert line_dedup.clean(docs).columns == docs.columns

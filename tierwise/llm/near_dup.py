@@ -5,7 +5,7 @@ its minimum and its maximum, so 64 values cost 32 hash evaluations per
 shingle.  Four values make a band; 16 bands leave a pair at the threshold
 (Jaccard 0.85) unseen with probability (1 - 0.85**4)**16 < 1e-5.
 
-No group is ever paired off:
+Copies are never paired off with each other:
 
 1. Texts with the same shingle set form one class (map-side aggregation), so
    exact copies cost nothing more.
@@ -16,12 +16,21 @@ No group is ever paired off:
    near the hub (Jaccard 0.5 on) are compared by what sets them apart from it:
    if a and b link but a does not link to the hub, their differences from the
    hub must overlap by a bound that follows from the sizes, so an index on the
-   rarest differences (a prefix filter) finds every such pair, and the edits
-   that a text alone has, most of them, meet nothing.  Members far from the
-   hub (below 0.65) meet under a finer banding within the hub's family (72
-   bands of 12 values from 432 permutations; a pair at the threshold is missed
-   with probability 2e-5).  By the triangle inequality every pair falls under
-   one of the two.  All are confirmed on full sets.
+   rarest differences (a prefix filter) puts every such pair into a bucket, and
+   the edits that a text alone has, most of them, meet nothing.  Members far
+   from the hub (below 0.65) meet under a finer banding within the hub's family
+   (72 bands of 12 values from 432 permutations; a pair at the threshold is
+   missed with probability 2e-5).  By the triangle inequality every pair falls
+   under one of the two.
+4. In these buckets only members of different components matter.  A bucket
+   whose members are all of one component is done.  In each other bucket one
+   member, of the component that has the fewest there, is compared with the
+   members of the other components, and is done with that bucket; components
+   that link are merged, and the next round takes the next member.  Copies of a
+   variant far from the hub so become one component in the first round.  After
+   :data:`PIVOTS` rounds the pairs across components that are still open are
+   compared outright.  All links are confirmed on full sets, and none is lost:
+   every pair of a bucket is compared or is in one component already.
 
 Components come from alternating large-star / small-star rounds on stored
 edge tables.
@@ -48,6 +57,8 @@ PERCENT = 85
 #: Members are indexed by their differences from this similarity to the hub
 #: on, and by the finer banding below that one (15 points are the distance of a link).
 NEAR_PERCENT, FAR_PERCENT = 50, 65
+#: Rounds in which a bucket's members are compared with one of them.
+PIVOTS = 3
 #: Shingle hashes that a task keeps while it confirms links (32 MB).
 HELD = 4_000_000
 
@@ -168,13 +179,14 @@ def _similar(percent: int) -> Column:
 
 
 def _by_difference(seen: DataFrame) -> DataFrame:
-    """Pairs of members near a common hub that may link though one of them
-    does not link to the hub.
+    """Buckets (``key``, ``b``, ``nb``, ``linked``, ``half``) of members near a
+    common hub that may link though one of them does not link to the hub.
 
     With sizes x, y, h and differences from the hub dx, dy, a link of x and y
     needs an overlap of at least (dx + dy - S) / 2 of the differences, where
     S = 15 (x + y) / 185; not linking to the hub means dx > 15 (x + h) / 185.
-    As dy is at least dx - S, the overlap is at least dx - S too.
+    As dy is at least dx - S, the overlap is at least dx - S too.  So x, not
+    linked to the hub, and y meet in a bucket in which y is ``half``.
     """
     gap = 100 - PERCENT
     whole = 100 + PERCENT
@@ -189,32 +201,64 @@ def _by_difference(seen: DataFrame) -> DataFrame:
         "place", F.row_number().over(member.orderBy("f", "e")) + F.col("d") - F.count("*").over(member))
     limit = F.floor(gap * (F.col("nb") + F.col("nb") * 100 / PERCENT) / whole) + 1
     least = F.greatest(F.lit(1), F.ceil((F.col("d") + gap * (F.col("na") - F.col("nb")) / whole) / 2 - 1e-9))
-    placed = common.stored(placed.where(F.col("place") <= limit).select(
-        "a", "b", "nb", "e", "linked", (F.col("place") <= F.col("d") - least + 1).alias("half")), "differences")
-    x = placed.where("not linked").alias("x")
-    y = placed.where("half").alias("y")
-    return x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.b") != F.col("y.b"))
-                  & (F.col("y.linked") | (~F.col("y.linked") & F.col("x.half") & (F.col("x.b") < F.col("y.b"))))
-                  & (100 * F.least("x.nb", "y.nb") >= PERCENT * F.greatest("x.nb", "y.nb"))
-                  ).select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
-
-
-def _by_fine_bands(seen: DataFrame, texts: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of members far from a common hub that share a fine band."""
+    half = F.col("place") <= F.col("d") - least + 1
+    return placed.where((F.col("place") <= limit) & (half | ~F.col("linked"))).select(
+        F.xxhash64("a", "e").alias("key"), "b", "nb", "linked", half.alias("half"))
+
+
+def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
+    """Buckets, as above, of members far from a common hub that share a fine
+    band."""
     far = seen.where(~_similar(FAR_PERCENT)).select("a", "b")
     several = far.groupBy("a").count().where("count > 1").select("a")
     far = far.join(several, "a", "left_semi")
     mine = (common.spread(texts.join(far.select(F.col("b").alias("cls")).distinct(), "cls").select("cls", "n_shingles", "text"), "cls")
             .mapInArrow(_fine_bands, "cls binary, n_shingles long, key long"))
-    placed = (far.join(comp, F.col("b") == F.col("node"), "left").select("a", F.col("b").alias("cls"), F.coalesce("comp", "b").alias("comp"))
-              .join(mine, "cls").select("cls", "comp", "n_shingles", F.xxhash64("a", "key").alias("key")))
-    placed = common.stored(placed, "fine")
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    placed = placed.join(split, "key")
-    l, r = placed.alias("l"), placed.alias("r")
-    return l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") < F.col("r.comp"))
-                  & (100 * F.least("l.n_shingles", "r.n_shingles") >= PERCENT * F.greatest("l.n_shingles", "r.n_shingles"))
-                  ).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b"))
+    return far.withColumnRenamed("b", "cls").join(mine, "cls").select(
+        F.xxhash64("a", "key").alias("key"), F.col("cls").alias("b"), F.col("n_shingles").alias("nb"),
+        F.lit(False).alias("linked"), F.lit(True).alias("half"))
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether two members of a bucket may link, by its rule and their sizes."""
+    meet = lambda u, v: ~F.col(f"{u}.linked") & F.col(f"{v}.half")
+    return ((meet(x, y) | meet(y, x))
+            & (100 * F.least(f"{x}.nb", f"{y}.nb") >= PERCENT * F.greatest(f"{x}.nb", f"{y}.nb")))
+
+
+def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[DataFrame]:
+    """The links (stored tables of ``a``, ``b``) that join the components of a
+    bucket's members, found in rounds (see 4. above)."""
+    found = []
+    now = common.stored(buckets.join(comp, F.col("b") == F.col("node"), "left")
+                        .select("key", "b", "nb", "linked", "half", F.coalesce("comp", "b").alias("comp")), "buckets")
+    for turn in range(PIVOTS + 1):
+        split = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        members = common.stored(now.join(split, "key", "left_semi"), "open-buckets")
+        if not members.take(1):
+            break
+        x = members.alias("x")
+        if turn < PIVOTS:
+            few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct("b", "nb", "linked", "half")).alias("p"))
+            pivot = common.stored(few.groupBy("key").agg(F.min(F.struct("n", "comp", "p")).alias("q"))
+                                  .select("key", "q.comp", "q.p.*"), "pivots")
+            y = pivot.alias("y")
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y"))
+        else:
+            y = members.alias("y")
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
+        pairs = pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+        links = _compared(pairs, texts, "more_links").where(_similar(PERCENT)).select("a", "b")
+        now = members if turn == PIVOTS else members.join(pivot.select("key", "b"), ["key", "b"], "left_anti")
+        if links.take(1):
+            found.append(links)
+            of = members.select("b", "comp").distinct()
+            ends = (links.join(of.select(F.col("b").alias("a"), F.col("comp").alias("ca")), "a")
+                    .join(of.select("b", F.col("comp").alias("cb")), "b"))
+            merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("comp", "into")
+            now = (now.join(merged, F.col("comp") == F.col("node"), "left")
+                   .select("key", "b", "nb", "linked", "half", F.coalesce("into", "comp").alias("comp")))
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -274,10 +318,10 @@ def _groups(rows: DataFrame) -> DataFrame:
     seen = _compared(pairs, texts, "links")
     edges = seen.where(_similar(PERCENT)).select("a", "b")
     first = common.stored(components(edges), "components")
-    more = _by_difference(seen).union(_by_fine_bands(seen, texts, first))
-    more = _compared(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts, "more_links")
-    more = more.where(_similar(PERCENT)).select("a", "b")
-    comp = common.stored(components(edges.union(more)), "components") if more.take(1) else first
+    more = _resolve(_by_difference(seen).unionByName(_by_fine_bands(seen, texts)), texts, first)
+    for links in more:
+        edges = edges.unionByName(links)
+    comp = common.stored(components(edges), "components") if more else first
 
     of = classes.select("cls", "label").join(comp, F.col("cls") == F.col("node"), "left").select(
         "cls", "label", F.coalesce("comp", "cls").alias("comp"))
