@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tierwise.llm import importance, language_id, line_dedup, near_dup, queries, source_mix, whitening
+from tierwise.llm import decontaminate, importance, language_id, line_dedup, near_dup, queries, source_mix, whitening
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"mot{i}" for i in range(60_000))
@@ -381,3 +381,85 @@ def test_line_dedup_with_clashing_columns(spark):
         if f is line_dedup.remove_runs:
             assert sum(r.text is not None and "w1x7" in r.text for r in got) == 1
     assert line_dedup.clean(docs).columns == docs.columns
+
+
+# ------------------------------------------------------------ decontamination
+
+def brute_contained(doc, item):
+    d, i = (doc or "").lower().split(), (item or "").lower().split()
+    if not i:
+        return None
+    width = min(len(i), 5)
+    grams = lambda w: {tuple(w[k:k + width]) for k in range(len(w) - width + 1)}
+    a, b = grams(i), grams(d)
+    return (len(a), len(a & b)) if 10 * len(a & b) >= 8 * len(a) else None
+
+
+def decontamination_case():
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [" ".join(word() for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 7, 9, 14, 20, 33, 60, 84, 90, 130, 400)]
+    items += ["capital of France is", None, "", items[9]]
+    docs = [None, "", "capital of France is", "The Capital of france  IS Paris", items[0], items[1] + " x"]
+    for item in items:
+        if not item:
+            continue
+        w = item.split()
+        for lost in (0, 1, max(1, len(w) // 30), len(w) // 20, len(w) // 6):
+            own = list(w)
+            for k in rng.sample(range(len(own)), min(lost, len(own))):
+                own[k] = "other"
+            docs.append(" ".join([*(word() for _ in range(rng.randrange(400))), *own, *(word() for _ in range(30))]))
+    return docs, items
+
+
+def test_items_of_every_size_inside_documents(spark):
+    docs, items = decontamination_case()
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    i = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_item_shingles, r.n_common) for r in decontaminate.contaminated(d, i).collect()}
+    want = {(a, b): found for a, doc in enumerate(docs) for b, item in enumerate(items) if (found := brute_contained(doc, item))}
+    assert got == want
+    assert {(2, 16), (3, 16)} <= set(got)
+
+
+def test_size_classes_keep_look_ups_few(spark):
+    """A short item costs look-ups in its own class, not in those of the long
+    ones: per class, the share of shingles looked up falls with the size."""
+    docs, _ = decontamination_case()
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    long_items = [(k, text(600)) for k in range(20)]
+    d = spark.createDataFrame([(k, text(2000)) for k in range(50)], "doc_id long, text string")
+
+    def looked_up(items):
+        stored_items = decontaminate._items(spark.createDataFrame(items, "item_id long, text string"))
+        classes = decontaminate._classes(stored_items)
+        return {c.cls: n for c in classes for n in [decontaminate._probes(d, [c]).count()]}
+    alone = looked_up(long_items)
+    mixed = looked_up([*long_items, (100, "a short one"), (101, text(7)), (102, text(40))])
+    assert all(mixed[c] == n for c, n in alone.items())
+    total = 50 * 1996
+    assert sum(alone.values()) < 0.1 * total and len(mixed) == len(alone) + 3
+
+
+def test_classes_beyond_the_broadcast_bound(spark, monkeypatch):
+    docs, items = decontamination_case()
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    i = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    whole = sorted(map(tuple, decontaminate.contaminated(d, i).collect()))
+    for bound in (0, 10):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", bound)
+        assert sorted(map(tuple, decontaminate.contaminated(d, i).collect())) == whole
+
+
+def test_removal_and_odd_rows(spark):
+    items = spark.createDataFrame([(1, "yes"), (None, "capital of France is"), (3, "a b c d e f g")], "item_id long, text string")
+    rows = [(1, "Yes"), (2, "yes it is so"), (3, "the capital of france is near"), (4, "x a b c d e f g y"), (5, None), (6, ""),
+            (None, "a b c d e f g"), (7, "clean text"), (7, "clean text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASH)])
+    out = decontaminate.remove(docs, items)
+    assert out.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["2", "5", "6", "7", "7"]
+    assert decontaminate.remove(docs, items.limit(0)).count() == len(rows)
+    assert decontaminate.contaminated(docs.limit(0), items).collect() == []

@@ -81,24 +81,26 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-# Exact containment of every item in every document, by text.
+# Exact containment of every item in every document, by text: shingles of five
+# words; of items with fewer words, all their words in a row.
 @register("op9_decontamination", r"""
-WITH shingled AS (
+WITH worded AS (
     SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'),
                                                   lambda w: w <> '') AS w FROM documents
     UNION ALL
     SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'),
                                      lambda w: w <> '') FROM benchmark),
+widths AS (SELECT DISTINCT least(len(w), 5) AS width FROM worded WHERE side = 'i' AND len(w) > 0),
 sets AS (
-    SELECT DISTINCT side, id, unnest(CASE WHEN len(w) >= 5
-        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-        ELSE ['short ' || array_to_string(w, ' ')] END) AS s
-    FROM shingled WHERE len(w) > 0),
-sizes AS (SELECT id, count(*) AS n FROM sets WHERE side = 'i' GROUP BY id)
+    SELECT DISTINCT side, id, width, unnest(list_transform(range(1, len(w) - width + 2),
+                                                           lambda i: array_to_string(w[i:i + width - 1], ' '))) AS s
+    FROM worded, widths WHERE len(w) >= width AND (side = 'd' OR width = least(len(w), 5))),
+sizes AS (SELECT id, width, count(*) AS n FROM sets WHERE side = 'i' GROUP BY ALL)
 SELECT d.id AS doc_id, i.id AS item_id, any_value(z.n)::BIGINT AS n_item_shingles, count(*)::BIGINT AS n_common,
        count(*) / any_value(z.n)::DOUBLE AS containment
-FROM sets d JOIN sets i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' JOIN sizes z ON z.id = i.id
-GROUP BY d.id, i.id HAVING count(*) * 10 >= any_value(z.n) * 8""")
+FROM sets d JOIN sets i ON d.s = i.s AND d.width = i.width AND d.side = 'd' AND i.side = 'i'
+     JOIN sizes z ON z.id = i.id AND z.width = i.width
+GROUP BY d.id, i.id, i.width HAVING count(*) * 10 >= any_value(z.n) * 8""")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_item_shingles", "n_common", "containment")
