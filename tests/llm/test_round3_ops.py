@@ -14,7 +14,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tierwise.llm import decontaminate, importance, language_id, line_dedup, near_dup, queries, source_mix, whitening
+from tierwise.llm import (
+    decontaminate, importance, language_id, line_dedup, near_dup, quality_rules, queries, secret_scan, site_style_tree,
+    source_mix, suffix_tree, token_rollup, url_filter, whitening,
+)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"mot{i}" for i in range(60_000))
@@ -463,3 +466,270 @@ def test_removal_and_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["2", "5", "6", "7", "7"]
     assert decontaminate.remove(docs, items.limit(0)).count() == len(rows)
     assert decontaminate.contaminated(docs.limit(0), items).collect() == []
+
+
+# ------------------------------------------------------------ HTML extraction
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>one</p><section id='user-comments'><p>first!</p></section></article>", "one"),
+    ("<article><p>one</p><ol class='commentlist'><li>first!</li></ol></article>", "one"),
+    ("<div class='main-menu'>menu</div><div>one</div>", "one"),
+    ("<div class='postHeader siteNav'>menu</div><div>one</div>", "one"),
+    ("<div class='page-header'>Site</div><div>one</div>", "one"),
+    ("<div class='navigation-main'>menu</div><div>one</div>", "one"),
+    ("<article><p>one</p><div class='cookie-notice-bar'>We use cookies</div></article>", "one"),
+    ("<div hidden>no</div><div hidden=''>no</div><div>one</div>", "one"),
+    ("<div style='color:red; display : none'>no</div><div style=visibility:hidden>no</div><div>one</div>", "one"),
+    ("<p title=don't>one</p><p>two</p>", "one\n\ntwo"),
+    ("<p title='it''s'>one</p><p data-x=\"a>b\">two</p><p title=a\"b>three</p>", "one\n\ntwo\n\nthree"),
+    ("<article><p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p></article>", "let x=2 be"),
+    ("<div class='has-comments no-sidebar'>one</div><div class='article-content'>two</div>", "one\n\ntwo"),
+    ("<div class='commentary'>one</div><div class='leadership header-image'>two</div>", "one\n\ntwo"),
+    ("<p a=b =x / c>one</p><p>two", "one\n\ntwo"),
+    ("<p>one</p><p title='open>two</p>", "one"),
+])
+def test_noise_by_name_and_stray_quotes(page, text):
+    assert site_style_tree.main_text(f"<html><body>{page}</body></html>", frozenset()) == text
+
+
+def brute_importance(rows):
+    """Per (host, node): distinct pages, and 1 - mean over texts of
+    log(pages with it) / log(pages)."""
+    per = collections.defaultdict(lambda: collections.defaultdict(set))
+    for host, page, node, text in rows:
+        per[host, node][text].add(page)
+    out = {}
+    for key, texts in per.items():
+        pages = len(set().union(*texts.values()))
+        n = [len(p) for p in texts.values()]
+        e = sum(k * math.log(k) for k in n) / sum(n) / math.log(pages) if pages > 1 else 0.0
+        out[key] = (pages, 1 - e)
+    return out
+
+
+def test_importance_and_extraction_match_brute_force(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(120):
+        host = f"h{i % 3}.example"
+        body = "".join(f"<div class=n{k}>{rng.choice(['always'] * 6 + [f'text {rng.randrange(9)}', f'own {i} {k}'])}</div>" for k in range(6))
+        rows.append((i, f"http://{host}/{i}", f"<body>{body}<div class=t>Always here</div><div class=u>number {i}</div></body>"))
+    rows += [(500, "http://h0.example/x", "x" * 300_000 + "<p>end"), (501, None, None), (502, "odd", ""), (0, rows[0][1], rows[0][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").select(
+        "*", *[F.lit(k).alias(c) for k, c in enumerate(["row", "host", "page", "nodes", "texts", "main", "drop", "at", "b", "text"])])
+    done = site_style_tree.parsed(pages)
+    seen = site_style_tree.node_texts(done)
+    want = brute_importance([tuple(r) for r in seen.select("host", "page", "node", "text").collect()])
+    got = {(r.host, r.node): r for r in site_style_tree.importance(seen).collect()}
+    assert set(got) == set(want)
+    assert all((got[k].pages, got[k].importance) == (p, pytest.approx(e, abs=1e-9)) for k, (p, e) in want.items())
+    # The same blocks go as by the plain function with its host's lists.
+    low, sure = collections.defaultdict(set), collections.defaultdict(dict)
+    for (host, node), (p, e) in want.items():
+        if p >= site_style_tree.LEAST_PAGES and e < site_style_tree.LEAST_IMPORTANCE:
+            low[host].add(node)
+    counts = collections.Counter((host, node, text) for host, page, node, text in {tuple(r) for r in seen.select("host", "page", "node", "text").collect()})
+    for (host, node, text), n in counts.items():
+        p, e = want[host, node]
+        if p >= site_style_tree.LEAST_PAGES and e >= site_style_tree.LEAST_IMPORTANCE and 1 - math.log(n) / math.log(p) < site_style_tree.LEAST_IMPORTANCE:
+            sure[host][node, text] = e >= site_style_tree.SURE_IMPORTANCE
+    out = site_style_tree.extract(pages)
+    assert out.columns == ["page_id", "url", "text"]
+    found = collections.Counter((r.page_id, r.text) for r in out.collect())
+    host_of = lambda url: re.match(r"[^:]*://([^/]*)", url or "")
+    plain = collections.Counter()
+    for i, url, html in rows:
+        host = m[1] if (m := host_of(url)) else ""
+        plain[i, site_style_tree.main_text(html, frozenset(low[host]), sure[host])] += 1
+    assert found == plain
+    assert not any("Always here" in t for _, t in found) and found[500, "x" * 300_000 + "\n\nend"] == 1
+    assert site_style_tree.extract(pages.limit(0)).collect() == []
+
+
+def test_extraction_joins_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = [(i, f"http://h.example/{i}", f"<body><div class=x>always the same</div><div class=y>text number {i}</div>") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(site_style_tree, "BROADCAST_ROWS", 0)
+    assert {r.page_id: r.text for r in site_style_tree.extract(pages).collect()} == {i: f"text number {i}" for i in range(9)}
+
+
+# ------------------------------------------------------------------- secrets
+
+KEY = "aB3dE5gH7jK9mN1p"
+
+
+@pytest.mark.parametrize("text, found", [
+    (f"secret_{'b' * 140} = '{KEY}'", [KEY]),
+    (f'password = aa_name; password = bb_name; aa_name = "{KEY}"; bb_name = "Zx81kkQ0pLm2vv"', [KEY, "Zx81kkQ0pLm2vv"]),
+    (f'k = "{KEY}"\nk = "Zx81kkQ0pLm2vv"\npassword = k', [KEY, "Zx81kkQ0pLm2vv"]),
+    (f'password = """{KEY}"""', [KEY]), (f"db_password = r'''\n{KEY}\n'''", [KEY]),
+    (f"password: |\n  {KEY}\nuser: me", [KEY]), (f"db:\n  secret: >-\n    aB3dE5gH\n    7jK9mN1p\n  user: me", ["aB3dE5gH\n    7jK9mN1p"]),
+    ('password = "aB3dE5" + "gH7jK9mN1p"', ['aB3dE5" + "gH7jK9mN1p']),
+    (f'password = os.getenv("X", "{KEY}")', [KEY]), (f"token = Secret('{KEY}')", [KEY]),
+    ('password = os.getenv("DB_PASSWORD")', []), ('password = os.getenv("DB_PASSWORD", "changeme")', []), ('token = read("secret_file.txt")', []),
+    ('password = """Please enter your password here"""', []), ("password: |\nuser: me", []),
+    ("a_secret = b_secret\nb_secret = a_secret", []),
+])
+def test_literals_of_every_form(text, found):
+    spans = sorted(secret_scan.literal_spans(text))
+    assert [text[a:b] for a, b, *_ in spans] == found
+
+
+def test_secret_scan_odd_tables(spark, odd, empty):
+    clash = odd.select("*", F.lit(1).alias("spans"), F.lit(2).alias("kind"))
+    assert secret_scan.secrets(clash).count() == len(ODD) and secret_scan.secrets(empty).count() == 0
+    long_text = "x = f(" * 20_000 + f'password = "{KEY}"' + " word" * 200_000
+    assert [long_text[a:b] for a, b, *_ in secret_scan.literal_spans(long_text)] == [KEY]
+
+
+# ----------------------------------------------------------------- URL filter
+
+def brute_split(label, cost, unknown):
+    """Cheapest split by trying all, the fewest pieces' order aside."""
+    best = [0.0] + [math.inf] * len(label)
+    for end in range(1, len(label) + 1):
+        for start in range(end):
+            piece = label[start:end]
+            price = min(cost.get(piece, math.inf), unknown * (1 + len(piece) / 2))
+            best[end] = min(best[end], best[start] + price)
+    return best[-1]
+
+
+def test_viterbi_matches_brute_force():
+    rng = random.Random(4)
+    cost = {"".join(rng.choices("abc", k=rng.randint(1, 4))): rng.uniform(1, 9) for _ in range(25)}
+    for _ in range(200):
+        label, unknown = "".join(rng.choices("abcd", k=rng.randint(1, 14))), rng.uniform(2, 12)
+        priced = [(i, j, cost[label[i:j]]) for i in range(len(label)) for j in range(i + 1, len(label) + 1) if label[i:j] in cost]
+        words = url_filter.split_words(label, priced, unknown)
+        assert "".join(words) == label
+        price = sum(min(cost.get(w, math.inf), unknown * (1 + len(w) / 2)) for w in words)
+        assert price == pytest.approx(brute_split(label, cost, unknown))
+
+
+def test_bayes_matches_brute_force(spark):
+    rows = [("a", "casino", True), ("a", "zorb", True), ("b", "zorb", True), ("c", "calm", False), ("d", "calm", False), ("d", "zorb", False), ("d", "zorb", False)]
+    words = spark.createDataFrame(rows, "_host string, word string, spam boolean")
+    # A host with one blocked word is blocked as a whole.
+    got = {r.word: r.odds for r in url_filter._odds(words).collect()}
+    block = {h for h, _, s in rows if s}
+    b, a = collections.Counter(), collections.Counter()
+    for h, w in {(h, w) for h, w, _ in rows}:
+        (b if h in block else a)[w] += 1
+    for w in url_filter.SPAM:
+        b[w] += url_filter.SEED_COUNT
+    for w in url_filter.ORDINARY:
+        a[w] += url_filter.SEED_COUNT
+    vocabulary = set(a) | set(b)
+    k = url_filter.SMOOTHING
+    nb, na = sum(b.values()) + k * len(vocabulary), sum(a.values()) + k * len(vocabulary)
+    for w in vocabulary:
+        assert got[w] == pytest.approx(math.log((b[w] + k) / nb) - math.log((a[w] + k) / na))
+
+
+def test_bayes_learns_words_of_hosts_held_out_from_the_seed_list(spark):
+    """Hosts of two kinds; most unwanted ones have a listed word, those held out
+    have none, and are told by what their paths share with the others."""
+    rng = random.Random(9)
+    bad, good = ([f"{x}{''.join(rng.choices('bdfglmnprst', k=2))}{y}{''.join(rng.choices('aeiou', k=2))}" for x in "qxz" for y in "vwk"] for _ in range(2))
+    rows, held = [], {}
+    for i in range(400):
+        kind = i % 2
+        path = "/".join(rng.choices(bad if kind else good, k=6))
+        own = "".join(chr(97 + (7 * i // 26 ** k) % 26) for k in range(3))
+        host = f"{'casino' if kind and i % 10 != 1 else 'plain'}{own}.example.com"
+        rows.append((i, f"http://{host}/{path}"))
+        if i % 10 in (0, 1):
+            held[i] = "block" if kind else "allow"
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert not any(set(got[i].words) & set(url_filter.SPAM) for i in held)
+    right = sum(got[i].verdict == v for i, v in held.items())
+    assert right >= 0.95 * len(held)
+
+
+def test_url_filter_odd_tables(spark):
+    rows = [(1, "http://a.net/x"), (1, "http://a.net/x"), (2, None), (3, "http://h.example.com/" + "ab/" * 50_000)]
+    names = ["_host", "_path", "_h", "_p", "_words", "_row", "_rule", "_odds", "_found", "host", "words", "name"]
+    pages = spark.createDataFrame(rows, "page_id long, url string").select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    out = url_filter.judge(pages).collect()
+    assert len(out) == 4 and all([r[c] for c in names if c not in ("host", "words")] == [k for k, c in enumerate(names) if c not in ("host", "words")] for r in out)
+    assert [r.verdict for r in out if r.page_id == 1] == ["block", "block"] and {r.host for r in out if r.page_id == 1} == {"a.net"}
+
+
+# -------------------------------------------------------------------- ledger
+
+def test_two_committers_of_one_batch(spark, odd, tmp_out):
+    import threading
+    one = ("v1", token_rollup.word_count(F.col("text")))
+    won, start = [], threading.Barrier(2)
+
+    class Late(token_rollup.Ledger):
+        def has(self, batch):
+            found = super().has(batch)
+            start.wait(60)  # both have looked before either commits
+            return found
+
+    threads = [threading.Thread(target=lambda: won.append(Late(spark, tmp_out).commit("a", token_rollup.change(odd, None, one)))) for _ in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(won) == [False, True]
+    totals = token_rollup.Ledger(spark, tmp_out).totals()
+    assert totals.agg(F.sum("documents")).first()[0] == len(ODD)
+    clash = odd.select("*", *[F.lit(1).alias(c) for c in ("tokenizer", "tokens", "sign", "old_source")])
+    assert token_rollup.Ledger(spark, tmp_out).commit("b", token_rollup.change(clash, one, None))
+    assert totals.sparkSession and token_rollup.Ledger(spark, tmp_out).totals().collect() == []
+
+
+def test_good_documents_with_clashing_columns(spark, odd, empty):
+    clash = odd.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASH)])
+    out = quality_rules.good(clash)
+    assert out.columns == clash.columns and {r.doc_id for r in out.collect()} <= {7, None, 4, 1, 2, 3, 8}
+    assert quality_rules.good(empty).count() == 0
+    mixed = source_mix.mixture(clash.select("*", F.lit(1).alias("mix_row"), F.lit(2).alias("_lot"), F.lit(3).alias("size")))
+    assert set(clash.columns) < set(mixed.columns) and mixed.count() > 0
+    deduped = near_dup.deduplicate(clash.select("*", F.lit(1).alias("c0"), F.lit(2).alias("cls"), F.lit(3).alias("row")))
+    assert set(clash.columns) < set(deduped.columns)
+    assert suffix_tree.scores(clash).count() == len(ODD)
+
+
+def test_em_matches_brute_force(spark):
+    """The fitted model is that of plain expectation-maximisation."""
+    rng = random.Random(3)
+    sides = {"vote_a": -1, "vote_b": -1, "vote_c": 1}
+    rows = collections.Counter()
+    for _ in range(3000):
+        ok = rng.random() < 0.8
+        rows[tuple(side if rng.random() < (0.7 if (side > 0) == ok else 0.1) else 0 for side in sides.values())] += 1
+    patterns = spark.createDataFrame([(*k, n) for k, n in rows.items()], "vote_a int, vote_b int, vote_c int, count long")
+    got = quality_rules.fit(patterns, sides)
+    q = quality_rules
+    start = {"good": q.START_GOOD}
+    for r, side in sides.items():
+        start[f"good_{r}"] = (q.START_RIGHT if side > 0 else q.START_WRONG)[side]
+        start[f"bad_{r}"] = (q.START_WRONG if side > 0 else q.START_RIGHT)[side]
+    model = dict(start)
+
+    def posterior(votes):
+        odds = math.log(model["good"] / (1 - model["good"]))
+        for r, v in zip(sides, votes):
+            g, b = model[f"good_{r}"], model[f"bad_{r}"]
+            odds += math.log(g / b) if v else math.log((1 - g) / (1 - b))
+        return 1 / (1 + math.exp(-odds))
+    for _ in range(q.ITERATIONS):
+        soft = {v: (n * posterior(v), n * (1 - posterior(v))) for v, n in rows.items()}
+        n = {"good": sum(g for g, _ in soft.values()), "bad": sum(b for _, b in soft.values())}
+        new = {"good": (n["good"] + q.PRIOR_WEIGHT * q.START_GOOD) / (n["good"] + n["bad"] + q.PRIOR_WEIGHT)}
+        for k, (r, side) in enumerate(sides.items()):
+            rate = {}
+            for i, kind in enumerate(("good", "bad")):
+                hit = sum(w[i] for v, w in soft.items() if v[k])
+                rate[kind] = (hit + q.PRIOR_WEIGHT * start[f"{kind}_{r}"]) / (n[kind] + q.PRIOR_WEIGHT)
+            right, wrong = ("good", "bad") if side > 0 else ("bad", "good")
+            rate[wrong] = min(rate[wrong], rate[right] / q.LEAST_RATIO)
+            new |= {f"{kind}_{r}": v for kind, v in rate.items()}
+        model = new
+    assert got == pytest.approx(model)
+    judged = patterns.select("*", q._posterior(got, sides).alias("p")).collect()
+    assert all(r.p == pytest.approx(posterior((r.vote_a, r.vote_b, r.vote_c))) for r in judged)

@@ -10,13 +10,16 @@ with the batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierwise.session import scratch_path
+from tierwise.sources import versions
 
 BLANKS = " \t\n\x0b\x0c\r"
 SPLIT = "[ \\t-\\r]+"
@@ -28,15 +31,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of stored tables, in the scopes that are open (see :func:`scope`).
+_scopes: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
     with files that survive the loss of any executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession):
+    """What is stored inside is removed at the end, but for the paths that are
+    taken out of the list given: for a step whose result is stored, so that
+    nothing reads its intermediate tables any more."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        for path in _scopes.pop():
+            versions.delete(spark, path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows by ``keys`` to as many tasks as shuffles have: for stages
     whose work is large against their bytes, which adaptive execution would
@@ -44,10 +66,30 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+#: No table of more bytes (as values, uncompressed) is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def _bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: 16 per number, the length of
+    texts, and the same for the members of arrays (by their JSON text)."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+        else:
+            size = size + 16
+    return size.cast("long")
+
+
 def fit_to_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` (stored) marked for broadcast if it has at most ``rows`` rows;
-    else as it is, for a shuffle join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df`` (stored) marked for broadcast if it has at most ``rows`` rows and
+    BROADCAST_BYTES bytes; else as it is, for a shuffle join."""
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
 
 
 #: Keys of documents to drop are broadcast up to so many rows (some 30 MB).
@@ -56,9 +98,11 @@ DROP_ROWS = 500_000
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``docs`` without the documents named by ``keys`` (stored: ``_d`` a
-    doc_id, ``_t`` the hash of the text)."""
+    doc_id, ``_t`` the hash of the text), whatever the columns are called."""
+    d, t = fresh(docs, "_d"), fresh(docs, "_t")
+    keys = keys.select(F.col("_d").alias(d), F.col("_t").alias(t))
     return docs.join(fit_to_broadcast(keys, DROP_ROWS),
-                     (F.xxhash64(docs["text"]) == F.col("_t")) & docs["doc_id"].eqNullSafe(F.col("_d")), "left_anti")
+                     (F.xxhash64(docs["text"]) == F.col(t)) & docs["doc_id"].eqNullSafe(F.col(d)), "left_anti")
 
 
 def drop_stored(*tables: DataFrame) -> None:

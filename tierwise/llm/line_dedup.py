@@ -27,7 +27,8 @@ a removal are not looked at again.
 Defined cases: a null text stays null; blank chunks and short single lines
 are never removed; a text whose every chunk is removed becomes empty (``clean``
 then drops its document); rows with equal ``doc_id`` and text are one document and share one
-decision; a null ``doc_id`` orders last.
+decision; a null ``doc_id`` orders last; extra columns of any name come back as
+they were, and a result column whose name is taken gets a ``_``.
 """
 
 from __future__ import annotations
@@ -59,7 +60,8 @@ def _is_long(line: Column) -> Column:
 
 
 def _chunked(docs: DataFrame) -> DataFrame:
-    """``key`` and ``chunks`` (array of text, lines, long) next to the columns."""
+    """``key`` and ``chunks`` (array of text, lines, long) next to the columns
+    (which are the caller's own choice: _passages, dedup_lines)."""
     lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
     step = docs.select("*", lines.alias("_lines"))
     step = step.select("*", F.transform("_lines", lambda l: F.struct(F.md5(l).alias("h"), _is_long(l).alias("long"))).alias("_marks"))
@@ -76,10 +78,8 @@ def _chunked(docs: DataFrame) -> DataFrame:
         text = F.array_join(F.slice("_lines", start + 1, count), "\n")
         return F.struct(text.alias("text"), count.alias("lines"), F.get("_marks", start)["long"].alias("long"))
 
-    return step.select(
-        F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text")).alias("key"),
-        *docs.columns, F.size("_lines").alias("n_lines"),
-        F.transform("_starts", chunk).alias("chunks"))
+    return step.select(_key().alias("key"), *docs.columns, F.size("_lines").alias("n_lines"),
+                       F.transform("_starts", chunk).alias("chunks"))
 
 
 def _passages(docs: DataFrame) -> DataFrame:
@@ -106,29 +106,42 @@ def repeats(docs: DataFrame) -> DataFrame:
     return later.groupBy("key").agg(F.collect_set("at").alias("drop"))
 
 
+def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """One struct ``_row`` of the columns of ``docs`` but the text (so that none
+    can clash), ``doc_id``, ``text`` and ``_drop``, what ``places`` (stored: key, drop) holds
+    for the document."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row"),
+                        F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    on = F.xxhash64("_key")
+    places = common.fit_to_broadcast(places.select(F.col("key").alias("_key"), "drop"), BROADCAST_ROWS)
+    return (whole.withColumn("_key", _key()).withColumn("_on", on).alias("w")
+            .join(places.withColumn("_on", on).alias("p"),
+                  (F.col("w._on") == F.col("p._on")) & F.col("w._key").eqNullSafe(F.col("p._key")), "left")
+            .select("w._row", "w.doc_id", "w.text", F.col("p.drop").alias("_drop")))
+
+
+def _columns(docs: DataFrame, cut: DataFrame, text: Column, lines: Column, removed: Column) -> DataFrame:
+    """The columns of ``docs`` with another text, and the two counts.  Two
+    steps: within one, a caller's column could stand in for ours."""
+    step = cut.select("_row", text.alias("_text"), lines.alias("_n_lines"), removed.alias("_n_removed"))
+    names = [F.col("_text").alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    return step.select(*names, F.col("_n_lines").alias(common.fresh(docs, "n_lines")),
+                       F.col("_n_removed").alias(common.fresh(docs, "n_removed")))
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated passages taken out of ``text``, plus
     ``n_lines`` (before) and ``n_removed`` (lines)."""
-    places = common.stored(repeats(docs).select(F.col("key").alias("_key"), F.sort_array("drop").alias("drop")), "places")
-    places = common.fit_to_broadcast(places, BROADCAST_ROWS)
-    n_lines, n_removed = common.fresh(docs, "n_lines"), common.fresh(docs, "n_removed")
-    whole = docs.select("*", F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"),
-                                      F.xxhash64("text").alias("text")).alias("_key"))
-    on = F.xxhash64("_key")
-    joined = (whole.withColumn("_on", on).alias("w")
-              .join(places.withColumn("_on", on).alias("p"),
-                    (F.col("w._on") == F.col("p._on")) & F.col("w._key").eqNullSafe(F.col("p._key")), "left")
-              .select("w.*", F.col("p.drop").alias("_drop")))
+    places = common.stored(repeats(docs).select("key", F.sort_array("drop").alias("drop")), "places")
+    joined = _with_places(docs, places)
     # Only documents that lose something are cut again.
-    touched = joined.select(*docs.columns, "_drop", F.when(F.col("_drop").isNotNull(), F.col("text")).alias("_cut"))
-    cut = _chunked(touched.select(F.struct(*docs.columns).alias("_row"), "_drop", F.col("doc_id"), F.col("_cut").alias("text"),
-                                  F.col("text").alias("_text")))
+    cut = _chunked(joined.select("_row", "_drop", "doc_id", F.when(F.col("_drop").isNotNull(), F.col("text")).alias("text"),
+                                 F.col("text").alias("_text")))
     left = F.filter("chunks", lambda c, i: ~F.array_contains("_drop", i))
     gone = F.aggregate(F.filter("chunks", lambda c, i: F.array_contains("_drop", i)), F.lit(0), lambda s, c: s + c["lines"])
     text = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda c: c["text"]), "\n"))
     lines = F.when(F.col("_text").isNull(), 0).otherwise(F.size(F.split(F.col("_text"), "\n")))
-    return cut.select(*[text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns],
-                      lines.alias(n_lines), F.when(F.col("_drop").isNull(), 0).otherwise(gone).alias(n_removed))
+    return _columns(docs, cut, text, lines, F.when(F.col("_drop").isNull(), 0).otherwise(gone))
 
 
 def _run_places(docs: DataFrame) -> DataFrame:
@@ -181,20 +194,13 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 def remove_runs(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines of every run of more than RUN_WORDS words
     that occurs earlier, plus ``n_lines`` (before) and ``n_removed``."""
-    places = common.stored(repeated_runs(docs).select(F.col("key").alias("_key"), F.col("drop").alias("_drop")), "run-lines")
-    n_lines, n_removed = common.fresh(docs, "n_lines"), common.fresh(docs, "n_removed")
-    on = F.xxhash64("_key")
-    joined = (docs.select("*", _key().alias("_key")).withColumn("_on", on).alias("w")
-              .join(common.fit_to_broadcast(places, BROADCAST_ROWS).withColumn("_on", on).alias("p"),
-                    (F.col("w._on") == F.col("p._on")) & F.col("w._key").eqNullSafe(F.col("p._key")), "left")
-              .select("w.*", "p._drop"))
-    cut = joined.select("*", F.split("text", "\n").alias("_lines"))
+    places = common.stored(repeated_runs(docs).select("key", "drop"), "run-lines")
+    cut = _with_places(docs, places).select("*", F.split("text", "\n").alias("_lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
     text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n"))
-    return cut.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns],
-                      F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias(n_lines),
-                      F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).alias(n_removed))
+    return _columns(docs, cut, text, F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")),
+                    F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")))
 
 
 def clean(docs: DataFrame) -> DataFrame:

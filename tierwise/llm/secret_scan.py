@@ -2,12 +2,14 @@
 
 Three base patterns are matched as they stand (``assign``, ``access``,
 ``hex``).  Beside them each text is lexed into name-literal pairs: every
-``=``, ``:``, ``:=`` or ``=>`` with a name before it and a string, a bare word
+``=``, ``:``, ``:=`` or ``=>`` with a name of any length before it and a string
+(also in triple quotes, or added up of several), a block of indented lines
+(``password: |``), the strings handed to a call, a bare word
 or another name behind it, ``--flag value`` pairs, ``<name>literal</name>``
 elements, and the password of ``scheme://user:password@host``.  Literals
-assigned to a name are constants; a name assigned to another name passes its
-constant on, so that ``k = "..."; db_password = k`` is found at the literal,
-in any order and over any number of names.  An unquoted word without digits
+assigned to a name are its constants; a name assigned to another name takes all
+of that one's constants, so that ``k = "..."; db_password = k`` is found at the
+literal, in any order, over any number of names and assignments.  An unquoted word without digits
 that no name leads on from is a literal if it does not look like words, or is
 all that follows ``NAME=`` on a line of its own.  Placeholders are whole known
 phrases; a literal with blanks is a sentence unless most of it is no words.
@@ -16,8 +18,11 @@ random it looks; from :data:`THRESHOLD` on it is reported as ``literal``.
 
 Rows are scanned independently in Arrow batches; nothing is shuffled.
 
-Defined cases: null and empty texts have no spans; equal rows give equal
-results; other columns are ignored; offsets are code points, end exclusive.
+Defined cases: null and empty texts have no spans; long texts are scanned
+whole; equal rows give equal results; an empty table gives an empty result; other
+columns, whatever their names, are ignored; offsets are code points, end
+exclusive; a literal added up of several strings is one span from the first to
+the last.
 """
 
 from __future__ import annotations
@@ -33,8 +38,6 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.5
 MIN_LITERAL = 8
-#: How far before an operator a name is looked for.
-NAME_WINDOW = 128
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -54,8 +57,13 @@ PLACEHOLDERS = re.compile(rf"(?i)^(change[-_]?me|{_PHRASE}|placeholder|none|null
                           r"redacted|x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|os\.environ.*|process\.env.*)$")
 
 _OPERATOR = re.compile(r":=|=>|[=:]")
-_NAME = re.compile(r"""([A-Za-z_$][\w$.-]*)["'`\]]{0,2}[ \t]*\Z""", re.A)
+_STRING = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
+_TRIPLE = re.compile(r"""[ \t]*(?:[bruf]{0,2}\"\"\"(.*?)(?:\"\"\"|\Z)|[bruf]{0,2}\'\'\'(.*?)(?:\'\'\'|\Z))""", re.S | re.I)
+_ADDED = re.compile(rf"""[ \t]*({_STRING})((?:\s*(?:\+|\.\.?|\\\n)\s*{_STRING})+)""", re.A)
+_BLOCK = re.compile(r"[ \t]*[|>][+-]?\d?[+-]?[ \t]*\n")
+_CALL = re.compile(rf"""[ \t]*[A-Za-z_$][\w$.:]*[ \t]*\(((?:[^()"'\n]|{_STRING}|\([^()\n]*\))*+)\)""", re.A)
 _VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_$][\w$.]*)(?=[ \t]*(?:[;,)}\n]|$))|([^\s"'`,;(){}<>]+))""", re.A)
+_STRINGS = re.compile(_STRING)
 _FLAG = re.compile(r"""(?<!\S)--?([A-Za-z][\w-]*)[ \t]+(?!-)["']?([^\s"']+)""", re.A)
 _ELEMENT = re.compile(r"<([A-Za-z][\w.:-]*)>([^<>\n]+)</\1>", re.A)
 _USERINFO = re.compile(r"://[^\s:/@]*:([^\s/@]+)@", re.A)
@@ -95,7 +103,7 @@ def randomness(literal: str) -> float:
     """0 to 1: entropy per character, against that of random base64."""
     if len(literal) < MIN_LITERAL or PLACEHOLDERS.match(literal):
         return 0.0
-    if " " in literal:  # a sentence, unless most of it is no words
+    if re.search(r"\s", literal):  # a sentence, unless most of it is no words
         parts = literal.split()
         literal = "".join(parts)
         if 2 * sum(len(p) for p in parts if not word_like(p)) <= len(literal) or len(literal) < MIN_LITERAL:
@@ -105,7 +113,26 @@ def randomness(literal: str) -> float:
     return min(1.0, bits / 3.5) * (0.5 if kinds == 1 else 1.0)
 
 
-def _bare_literal(text: str, name: re.Match, value: re.Match) -> bool:
+_NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_$.-")
+
+
+def name_before(text: str, end: int) -> tuple[str, int, int] | None:
+    """The name that ends before ``end`` (blanks and up to two quotes or
+    brackets between), with its place."""
+    while end > 0 and text[end - 1] in " \t":
+        end -= 1
+    for _ in range(2):
+        if end > 0 and text[end - 1] in "\"'`]":
+            end -= 1
+    start = end
+    while start > 0 and text[start - 1] in _NAME_CHARS:
+        start -= 1
+    while start < end and not (text[start].isalpha() or text[start] in "_$"):
+        start += 1
+    return (text[start:end], start, end) if start < end else None
+
+
+def _bare_literal(text: str, name: tuple[str, int, int], value: re.Match) -> bool:
     """Whether an unquoted word without digits may be a literal: no reference
     by its looks, or all that follows ``NAME=`` on a line of its own."""
     word = value[4]
@@ -113,70 +140,112 @@ def _bare_literal(text: str, name: re.Match, value: re.Match) -> bool:
         return False
     if not word_like(word):
         return True
-    start = text.rfind("\n", 0, name.start()) + 1
+    start = text.rfind("\n", 0, name[1]) + 1
     end = text.find("\n", value.end())
-    return (not re.search(r"[.$]", word) and _PLAIN_LINE.match(text[start:name.start()]) is not None
-            and text[name.end(1):value.start(4)] == "=" and not text[value.end():end if end >= 0 else len(text)].strip())
+    return (not re.search(r"[.$]", word) and _PLAIN_LINE.match(text[start:name[1]]) is not None
+            and text[name[2]:value.start(4)] == "=" and not text[value.end():end if end >= 0 else len(text)].strip())
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    body = text[start:end]
+    return start + len(body) - len(body.lstrip()), end - len(body) + len(body.rstrip())
+
+
+def _indented(text: str, key: int, start: int) -> tuple[int, int]:
+    """The lines from ``start`` that are indented deeper than the line of
+    ``key``."""
+    depth = lambda a, b: len(text[a:b]) - len(text[a:b].lstrip(" \t"))
+    line = text.rfind("\n", 0, key) + 1
+    own, end = depth(line, key), start
+    while end < len(text):
+        stop = text.find("\n", end)
+        stop = len(text) if stop < 0 else stop
+        if text[end:stop].strip() and depth(end, stop) <= own:
+            break
+        end = stop + 1
+    return _trimmed(text, start, min(end, len(text)))
+
+
+def _literals(text: str, operator: str, name: tuple[str, int, int], at: int) -> list[tuple[tuple[int, int], str]] | None:
+    """Literals, as (span, content), that the value at ``at`` spells out beyond
+    a plain string or word; None if it is one of those."""
+    if m := _TRIPLE.match(text, at):
+        span = _trimmed(text, *m.span(m.lastindex))
+        return [(span, text[slice(*span)])]
+    if operator == ":" and (m := _BLOCK.match(text, at)):
+        span = _indented(text, name[1], m.end())
+        return [(span, "".join(text[slice(*span)].split()))] if span[0] < span[1] else []
+    if m := _ADDED.match(text, at):
+        parts = [s.span() for s in _STRINGS.finditer(text, m.start(1), m.end())]
+        return [((parts[0][0] + 1, parts[-1][1] - 1), "".join(text[a + 1:b - 1] for a, b in parts))]
+    if m := _CALL.match(text, at):
+        found = [(s.start() + 1, s.end() - 1) for s in _STRINGS.finditer(text, m.start(1), m.end(1))]
+        # Names handed to the call (of a variable, a file) read as words.
+        return [((a, b), text[a:b]) for a, b in found if not word_like(text[a:b])]
+    return None
 
 
 def literal_spans(text: str) -> list[tuple[int, int, float, str]]:
     """(start, end, score, name) of the literals that reach a telling name."""
     if "=" not in text and ":" not in text and "--" not in text and "</" not in text:
         return []
-    constants: dict[str, tuple[int, int]] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-
-    def reach(name: str, span: tuple[int, int]) -> None:
-        weight = name_weight(name)
-        if weight:
-            score = weight * randomness(text[slice(*span)])
-            best[span] = max(best.get(span, (0.0, "")), (score, name))
-
-    follow: dict[str, tuple[str, tuple[int, int] | None]] = {}
-    links: list[str] = []
+    # What names are assigned: literals, and words that may be other names.
+    constants: dict[str, list[tuple[tuple[int, int], str]]] = {}
+    words: list[tuple[str, str, tuple[int, int], bool]] = []
     for m in _OPERATOR.finditer(text):
         if text[m.end():m.end() + 1] in ("=", ":") or text[m.end():m.end() + 2] == "//" or text[m.start() - 1:m.start()] in ("=", ":", "!", "<", ">"):
             continue
-        name = _NAME.search(text, max(0, m.start() - NAME_WINDOW), m.start())
-        value = name and _VALUE.match(text, m.end())
+        name = name_before(text, m.start())
+        if not name:
+            continue
+        found = _literals(text, m[0], name, m.end())
+        if found is not None:
+            constants.setdefault(name[0], []).extend(found)
+            continue
+        value = _VALUE.match(text, m.end())
         if not value:
             continue
         k = value.lastindex
-        if k == 4 and (value[4] in constants or not re.search(r"\d", value[4])):
-            if value[4] not in constants:
-                links.append(name[1])
-                follow[name[1]] = value[4], value.span(4) if _bare_literal(text, name, value) else None
-                continue
-            constants[name[1]] = constants[value[4]]
+        if k == 4:
+            bare = bool(re.search(r"\d", value[4])) or _bare_literal(text, name, value)
+            words.append((name[0], value[4], value.span(4), bare))
         else:
-            constants[name[1]] = value.span(k)
-        reach(name[1], constants[name[1]])
-    ends: dict[str, tuple[int, int] | None] = {}
-    for target in links:  # names assigned before their constant, or a bare word
-        chain, at, span = [], target, None
-        seen: set[str] = set()
-        while at not in seen:
-            if at != target and at in constants:
-                span = constants[at]
-            elif at in ends:
-                span = ends[at]
-            elif at in follow:
-                chain.append(at)
-                seen.add(at)
-                at, span = follow[at]
-                continue
+            constants.setdefault(name[0], []).append((value.span(k), value[k]))
+    named = set(constants) | {name for name, *_ in words}
+    leads: dict[str, list[str]] = {}
+    for name, word, span, bare in words:
+        if word in named:
+            leads.setdefault(name, []).append(word)
+        elif bare:
+            constants.setdefault(name, []).append((span, word))
+
+    best: dict[tuple[int, int], tuple[float, str]] = {}
+
+    def reach(name: str, weight: float, span: tuple[int, int], literal: str) -> None:
+        score = weight * randomness(literal)
+        if score > best.get(span, (0.0, ""))[0]:
+            best[span] = score, name
+
+    # From the most telling names on: every name is visited once, by the most
+    # telling one that leads to it.
+    seen: set[str] = set()
+    for weight, origin in sorted(((name_weight(n), n) for n in named), key=lambda x: (-x[0], x[1])):
+        if not weight:
             break
-        else:
-            span = None  # names that only stand for each other
-        for name in chain:
-            ends[name] = span
-        if ends.get(target):
-            reach(target, ends[target])
+        open_ = [origin]
+        while open_:
+            name = open_.pop()
+            if name in seen:
+                continue
+            seen.add(name)
+            for span, literal in constants.get(name, ()):
+                reach(origin, weight, span, literal)
+            open_ += leads.get(name, ())
     for pattern in (_FLAG, _ELEMENT):
         for m in pattern.finditer(text):
-            reach(m[1], m.span(2))
+            reach(m[1], name_weight(m[1]), m.span(2), m[2])
     for m in _USERINFO.finditer(text):
-        reach("password", m.span(1))
+        reach("password", name_weight("password"), m.span(1), m[1])
     return [(*span, score, name) for span, (score, name) in best.items() if score >= THRESHOLD]
 
 

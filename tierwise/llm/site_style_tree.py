@@ -8,27 +8,33 @@ pages: a text that comes with every page adds nothing (importance 0), texts
 that differ from page to page are content (importance 1).  Branches below
 :data:`LEAST_IMPORTANCE` on hosts with at least :data:`LEAST_PAGES` distinct
 pages are removed.  In the other nodes each text is judged by itself, on the
-same scale: one minus log(pages with it) / log(pages of the node).  The
-presentation nodes of the dealt method (entropy of the child style sequences,
-importance summed up over a branch) are not computed; text importance by node
-and text stands in for them.  What an element announces about itself counts first:
-menus, forms, adverts, comments and the like go by tag, role or class, and an
+same scale: one minus log(pages with it) / log(pages of the node).  A style tree
+cuts a branch when every node in it is unimportant, so a text goes exactly if its
+own node is; the presentation nodes of the dealt method (entropy of the child
+style sequences, importance summed up over a branch) can keep a branch whole but
+no text in it, and are not computed.  What an element announces about itself
+counts first: menus, forms, adverts, comments, hidden elements and the like go by
+tag, role, class or style, and an
 article's plain paragraphs, headings and lists stay, so that copies of one
 article do not make it look like a template; only a text repeated in a node of
-importance :data:`SURE_IMPORTANCE` or more goes there too.  A class or id counts if all of
-its words say so (``sidebar``, ``site-footer``, not ``has-sidebar``); an
+importance :data:`SURE_IMPORTANCE` or more goes there too.  A class or id counts
+if what it names is noise (``user-comments``, ``main-menu``, ``siteNav``,
+``commentlist``, not ``has-sidebar``); an
 outermost article or main element inside an element that is noise by its
 class, id or as a form is content all the same, unless comments or adverts
 enclose it or the page has an article outside.
 
-Text counts are summed by Spark per (host, node, text), so a host with a
-third of all pages is reduced map-side; pages then get the removable nodes of
-their host by a broadcast join while these are few (counted), else by a
-shuffle join.
+Each page is parsed once, into a stored row of its blocks.  Text counts are
+summed by Spark per (host, node, text), so a host with a third of all pages is
+reduced map-side; the removable nodes and texts are joined to the blocks of the
+pages (by a broadcast while they are few, counted, else by a shuffle), and a page
+gets the places of its own blocks that go.
 
 Defined cases: null and empty html give empty text; pages without ``://`` in
 a null or odd URL share the host ''; html that breaks off is closed at its
-end; repeated rows are pages of their own but count once in the tree.
+end, a quote inside an unquoted attribute is part of it; long pages are parsed
+whole; repeated rows are pages of their own but count once in the tree; an empty
+table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -54,7 +60,7 @@ BROADCAST_ROWS = 100_000
 
 # HTML elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select title".split())
+RAW = frozenset("script style noscript template iframe object svg textarea select title".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
@@ -75,18 +81,28 @@ NOISE_WORDS = frozenset(
 NOISE_ARTICLES = frozenset("comment comments reply replies ad ads advert sponsored promo".split())
 #: Words that make what they enclose noise, articles too.
 NOISE_ENCLOSING = NOISE_ARTICLES | frozenset("adsense adverts advertisement advertising promoted sponsor disqus respond".split())
-#: Words that leave a compound class (site-footer) what its other words say;
-#: any other word (post-header, has-sidebar) makes it something else.
-NEUTRAL = frozenset("left right top bottom site global google box block list item area inner outer container wrapper wrap slot unit".split())
+#: Words that leave a compound class (site-footer, navigation-main) what its
+#: other words say.
+NEUTRAL = frozenset("left right top bottom site page main user global google bar box block list item area inner outer "
+                    "container wrapper wrap slot unit section".split())
+#: Words that make a compound class (has-sidebar) say something else.
+NEGATING = frozenset("has have with without no not is hide toggle content layout text body".split())
 #: Noise of an element: none, by a form around it, by the words of a class or
 #: id, for certain.  An article or main text is reset from the middle two.
 CLEAN, IN_FORM, BY_WORD, CERTAIN = range(4)
 FORMS = frozenset("form fieldset".split())
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li td th dd dt article main".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
+# Quotes count at the begin of a value only.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
+_TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^\s/>=]++(?:{_VALUE})?+|[\s/=])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
+_CASED = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_COMPOUND = re.compile("(?:" + "|".join(sorted((w for w in NOISE_WORDS | NEUTRAL if len(w) > 2), key=len, reverse=True)) + ")+")
+_PIECE = re.compile("|".join(sorted((w for w in NOISE_WORDS | NEUTRAL if len(w) > 2), key=len, reverse=True)))
 
 
 class Block:
@@ -99,14 +115,28 @@ class Block:
         self.path, self.text, self.noise, self.article, self.plain = path, text, noise, article, plain
 
 
+def _words_of(name: str) -> list[str]:
+    """The words of a class or id: parts in camelCase, and parts that are made
+    up of known words (commentlist)."""
+    out = []
+    for part in _CASED.findall(name):
+        part = part.lower()
+        if part not in NOISE_WORDS and part not in NOISE_ENCLOSING and part not in NEUTRAL and _COMPOUND.fullmatch(part):
+            out += _PIECE.findall(part)
+        else:
+            out.append(part)
+    return [w for w in out if len(w) > 1]
+
+
 def _noise_words(named: str) -> set[str]:
-    """The noise words among classes and ids: a name counts if all of its
-    words are noise or neutral."""
-    out: set[str] = set()
+    """The noise words among classes and ids.  A name is noise if the last of
+    its words that is not neutral is (``user-comments``, ``page-header``), or all
+    of them are; a negating word (``has-sidebar``) makes it none."""
+    noise, out = NOISE_WORDS | NOISE_ENCLOSING, set()
     for name in named.split():
-        words = {w for w in (w.lower() for w in _WORD.findall(name)) if len(w) > 1 and w not in NEUTRAL}
-        if words <= NOISE_WORDS | NOISE_ENCLOSING:
-            out |= words
+        words = [w for w in _words_of(name) if w not in NEUTRAL]
+        if words and words[-1] in noise and not NEGATING & set(words):
+            out |= noise & set(words)
     return out
 
 
@@ -118,13 +148,15 @@ def _element(tag: str, attributes: str, parent: tuple) -> tuple:
     words = _noise_words(named) if named != " " else set()
     role = values.get("role", "").lower()
     root = not article and (tag in ("article", "main") or role == "main" or values.get("itemprop", "").lower() == "articlebody")
+    hidden = (bool(_HIDDEN.search(attributes)) and values.get("hidden", "").lower() != "until-found"
+              or "style" in values and bool(_UNSEEN.search(values["style"])))
     own = CLEAN
     if tag == "article" or root:
-        if words & NOISE_ARTICLES:
+        if words & NOISE_ARTICLES or hidden:
             own = CERTAIN
     elif tag not in ("html", "body"):
         if (tag in NOISE_TAGS - FORMS or role in NOISE_ROLES - FORMS or words & NOISE_ENCLOSING
-                or tag == "footer" or (tag == "header" and not article) or "hidden" in values):
+                or tag == "footer" or (tag == "header" and not article) or hidden):
             own = CERTAIN
         elif words & NOISE_WORDS and not (article and words == {"header"}):
             own = BY_WORD
@@ -210,25 +242,45 @@ def _candidates(every: list[Block]) -> list[Block]:
     return [b for b in every if b.noise == CLEAN or (b.noise == IN_FORM and size[IN_FORM] > size[CLEAN])]
 
 
-def _node_texts(batches):
-    """(host, html) -> (host, page, node, text hash), for blocks that the tree
-    can decide."""
+def _parsed(batches):
+    """(row, page_id, url, host, html) -> the first four, a hash of the page,
+    and its candidate blocks as arrays of equal length: node (hash of the path),
+    text hash, ``main`` (belongs to the main text unless the tree says no),
+    ``exempt`` (an article's plain block) and, where ``main``, the text."""
     for batch in batches:
-        out = [[], [], [], []]
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+        columns = [[] for _ in range(6)]
+        for html in batch.column("html").to_pylist():
             every = list(blocks(html or ""))
-            hashes = {id(b): (_hash(b.path), _hash(b.text)) for b in every}
-            page = _hash(repr(list(hashes.values())))
-            for b in _candidates(every):
-                for column, value in zip(out, (host, page, *hashes[id(b)])):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string())] + [pa.array(c, pa.int64()) for c in out[1:]],
-                                         names=["host", "page", "node", "text"])
+            found = _candidates(every)
+            inside = max((b.article for b in found), default=0)
+            nodes, hashes = [_hash(b.path) for b in found], [_hash(b.text) for b in found]
+            main = [not inside or b.article == inside for b in found]
+            page = _hash(repr([(_hash(b.path), _hash(b.text)) for b in every] if len(found) < len(every) else list(zip(nodes, hashes))))
+            row = (page, nodes, hashes, main, [bool(b.article and b.plain) for b in found], [b.text if m else None for b, m in zip(found, main)])
+            for column, value in zip(columns, row):
+                column.append(value)
+        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c) for c in ("row", "page_id", "url", "host")] + [pa.array(c, t) for c, t in zip(columns, types)],
+            names=["row", "page_id", "url", "host", "page", "nodes", "hashes", "main", "exempt", "texts"])
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """One stored row per page: its blocks (see :func:`_parsed`)."""
+    url = F.coalesce(F.col("url").cast("string"), F.lit(""))
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
+                        F.col("url").cast("string").alias("url"), F.lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)).alias("host"),
+                        F.col("html").cast("string").alias("html"))
+    return common.stored(rows.mapInArrow(
+        _parsed, "row long, page_id long, url string, host string, page long, nodes array<bigint>, hashes array<bigint>, "
+                 "main array<boolean>, exempt array<boolean>, texts array<string>"), "parsed-pages")
 
 
-def node_texts(pages: DataFrame) -> DataFrame:
-    """``host``, ``page``, ``node`` (hash of the path), ``text``: stored."""
-    return common.stored(pages.select("host", "html").mapInArrow(_node_texts, "host string, page long, node long, text long").distinct(), "nodes")
+def node_texts(done: DataFrame) -> DataFrame:
+    """``host``, ``page``, ``node``, ``text`` (hash) of the blocks that the tree
+    is built from; stored."""
+    each = done.select("host", "page", F.explode(F.arrays_zip("nodes", "hashes")).alias("b"))
+    return common.stored(each.select("host", "page", F.col("b.nodes").alias("node"), F.col("b.hashes").alias("text")).distinct(), "nodes")
 
 
 def importance(seen: DataFrame) -> DataFrame:
@@ -253,7 +305,7 @@ def repeated_texts(seen: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def main_text(html: str | None, low: frozenset[int], repeated: dict[tuple[int, int], bool] | None = None) -> str:
-    """The blocks of a page that belong to its main text.  ``low``: nodes,
+    """The blocks of one page that belong to its main text.  ``low``: nodes,
     ``repeated``: (node, text) -> sure."""
     found = _candidates(list(blocks(html or "")))
     inside = max((b.article for b in found), default=0)
@@ -270,26 +322,28 @@ def main_text(html: str | None, low: frozenset[int], repeated: dict[tuple[int, i
     return "\n\n".join(b.text for b in found if stays(b))
 
 
-def _extract(batches):
-    for batch in batches:
-        texts = [main_text(html, frozenset(low or ()), {(r["node"], r["text"]): r["sure"] for r in repeated or ()})
-                 for html, low, repeated in zip(*(batch.column(c).to_pylist() for c in ("html", "low", "repeated")))]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                                         names=["page_id", "url", "text"])
+def removals(done: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``row`` and ``drop``, the places of the blocks that go, of every page that
+    loses some: blocks of unimportant nodes and texts, but for an article's plain
+    ones, which go with sure texts only."""
+    each = done.select("row", "host", F.posexplode(F.arrays_zip("nodes", "hashes", "main", "exempt")).alias("at", "b"))
+    each = (each.select("row", "host", "at", F.col("b.nodes").alias("node"), F.col("b.hashes").alias("text"),
+                        F.col("b.main").alias("main"), F.col("b.exempt").alias("exempt")).where("main").drop("main"))
+    low = nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("host", "node")
+    low, repeated = common.stored(low, "low-nodes"), common.stored(repeated, "repeated-texts")
+    by_node = each.where("not exempt").join(common.fit_to_broadcast(low, BROADCAST_ROWS), ["host", "node"]).select("row", "at")
+    by_text = (each.join(common.fit_to_broadcast(repeated, BROADCAST_ROWS), ["host", "node", "text"])
+               .where("sure or not exempt").select("row", "at"))
+    # At most the blocks of one page in a group.
+    return by_node.unionByName(by_text).groupBy("row").agg(F.collect_set("at").alias("drop"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url`` and the main ``text`` of every page."""
-    url = F.coalesce(F.col("url").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.col("html").cast("string").alias("html"), F.lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)).alias("host"))
-    seen = node_texts(rows)
+    done = parsed(pages)
+    seen = node_texts(done)
     nodes = common.stored(importance(seen), "importance")
-    low = (nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
-           .groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("low")))
-    repeated = repeated_texts(seen, nodes).groupBy("host").agg(F.collect_list(F.struct("node", "text", "sure")).alias("repeated"))
-    out = common.stored(low.join(repeated, "host", "full"), "removable")
-    entries = F.coalesce(F.size("low"), F.lit(0)) + F.coalesce(F.size("repeated"), F.lit(0))
-    few = (out.agg(F.sum(F.greatest(entries, F.lit(1)))).first()[0] or 0) <= BROADCAST_ROWS
-    return (rows.join(F.broadcast(out) if few else out, "host", "left").select("page_id", "url", "html", "low", "repeated")
-            .mapInArrow(_extract, "page_id long, url string, text string"))
+    gone = common.stored(removals(done, nodes, repeated_texts(seen, nodes)), "removals")
+    left = done.select("row", "page_id", "url", "main", "texts").join(common.fit_to_broadcast(gone, BROADCAST_ROWS), "row", "left")
+    stays = lambda t, i: F.get("main", i) & (F.col("drop").isNull() | ~F.array_contains("drop", i))
+    return left.select("page_id", "url", F.array_join(F.filter("texts", stays), "\n\n").alias("text"))

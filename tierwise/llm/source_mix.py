@@ -7,9 +7,11 @@ by the source's target.  The copies of all sources, sorted by finish time, are
 taken while their total stays within the budget.
 
 Cumulative sums never put a source, or the whole mix, into one task: rows are
-dealt into slots of about :data:`SLOT_ROWS` rows (by shuffle hash within a
-source, by finish time in the mix), summed inside slots, and shifted by the
-running sums over the slots' totals.
+dealt into slots of about :data:`SLOT_ROWS` rows, summed inside slots, and
+shifted by the running sums over the slots' totals.  Within a source the slots
+are ranges of the shuffle hash; the mix as a whole is range-sorted by finish time
+(Spark samples the boundaries, so lots are of even size whatever the finish
+times), and the sorted ranges, once stored, are the lots.
 
 Targets fill up by weight ("water filling") under a cap of ``repeats`` times
 a source's size.  Defined cases: null, blank and empty texts have size 0 and
@@ -92,13 +94,13 @@ def mix(docs: DataFrame, row: str | None = None) -> DataFrame:
     copies = flow.where("size > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
     copies = copies.select("row", "doc_id", "size", "_copy", F.try_divide(
         F.col("_sum") + F.col("_copy") * F.col("source_size"), F.col("target")).alias("finish"))
-    copies = common.stored(copies, "queue")
-    spread = copies.agg(F.count("*"), F.max("finish")).first()
+    n = REPEATS * sized.where("size > 0").count()
+    order = ["finish", F.col("doc_id").asc_nulls_last(), "_copy", "row"]
+    copies = common.stored(copies.repartitionByRange(max(1, -(-n // SLOT_ROWS)), *order)
+                           .withColumn("_lot", F.spark_partition_id()), "queue")
     total = sized.agg(F.sum("size")).first()[0] or 0
     budget = total * SHARE_NUM // SHARE_DEN
-    lots = max(1, -(-spread[0] // SLOT_ROWS))
-    lot = F.floor(F.col("finish") / F.lit(float(spread[1] or 1.0)) * lots)
-    queue = _running(copies.withColumn("_lot", lot), "_lot", ["finish", F.col("doc_id").asc_nulls_last(), "_copy", "row"], "size", "_used", [])
+    queue = _running(copies, "_lot", order, "size", "_used", [])
     taken = (queue.where(F.col("_used") <= budget).groupBy("row")
              .agg(F.sum("size").alias("taken"), F.min("finish").alias("finish")))
     return (flow.select("row", "doc_id", "source", "size", "source_size", "target")

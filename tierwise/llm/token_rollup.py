@@ -6,27 +6,27 @@ two signed rows; their sums by (source, lang, tokenizer) are the batch's
 delta.  Totals are the sums of the deltas of all committed batches, so no
 document is ever read again.
 
-A commit writes ``ledger/batch=<id>`` next to the other batches, first under a
-hidden name and then by one rename.  A batch that is already there is left as
-it is, so a batch that is sent twice, or again after its driver died, counts
-once; half-written batches have no final name and are not read.
+A batch is committed by a marker file, put in place by a rename that never
+overwrites.  A batch that is already there is left as it is, so a batch that is
+sent twice, by two committers at once, or again after its driver died, counts
+once; half-written batches have no marker and are not read.
 
-Defined cases: null sources and languages are groups of their own; a null
+Defined cases: null and empty texts count 0, long ones whole; null sources and languages are groups of their own; a null
 tokenizer or count is rejected by the filter of :func:`delta`; an empty batch
-commits an empty delta; repeated rows of a batch are changes of their own.
+commits an empty delta; repeated rows of a batch are changes of their own; other
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm import common
+from tierwise.sources import versions
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, documents long, tokens long"
@@ -36,22 +36,6 @@ def word_count(text: Column) -> Column:
     return F.size(common.words(text)).cast("long")
 
 
-def bpe_count(ranks_path: str, pattern: str) -> Callable[[Column], Column]:
-    """Counter for a byte-pair vocabulary in a ``.tiktoken`` file that every
-    executor can read at ``ranks_path``."""
-    @F.pandas_udf("long")
-    def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import base64
-
-        import tiktoken
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        coder = tiktoken.Encoding("counter", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        for part in texts:
-            yield part.fillna("").map(lambda t: len(coder.encode_ordinary(t)))
-    return count
-
-
 def delta(changes: DataFrame) -> DataFrame:
     """Changes with ``source``, ``lang``, ``tokenizer``, ``tokens`` and the
     same with ``old_`` -> signed sums by key."""
@@ -63,15 +47,21 @@ def delta(changes: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """The committed deltas under ``path`` (a folder that all executors share)."""
+    """The committed deltas under ``path`` (a folder that all executors share).
+
+    A batch's deltas are written to a folder of their own; the batch is
+    committed by a marker file of its name that tells the folder, put in place by
+    a rename that never overwrites.  Of two committers of one batch exactly one
+    wins, and folders without a marker do not count."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self._jpath = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._jpath(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _marker(self, batch: str) -> str:
+        return f"{self.path}/_commits/{batch}"
 
     def has(self, batch: str) -> bool:
-        return self._fs.exists(self._jpath(f"{self.path}/batch={batch}"))
+        return versions.exists(self.spark, self._marker(batch))
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch; False if it was there already."""
@@ -79,19 +69,23 @@ class Ledger:
             raise ValueError("a batch id has letters, digits and hyphens")
         if self.has(batch):
             return False
-        hidden = f"{self.path}/_{batch}-{uuid.uuid4().hex}"
-        delta(changes).coalesce(1).write.parquet(hidden)
-        final = self._jpath(f"{self.path}/batch={batch}")
-        if not self.has(batch) and self._fs.rename(self._jpath(hidden), final):
+        folder, draft = f"{self.path}/{batch}-{uuid.uuid4().hex}", f"{self.path}/_commits/_{uuid.uuid4().hex}"
+        delta(changes).coalesce(1).write.parquet(folder)
+        versions.write_file(self.spark, draft, folder)
+        if versions.rename_new(self.spark, draft, self._marker(batch)):
             return True
-        self._fs.delete(self._jpath(hidden), True)
+        versions.delete(self.spark, draft)
+        versions.delete(self.spark, folder)
         return False
 
     def totals(self) -> DataFrame:
         """Documents and tokens by key; keys without documents are left out."""
-        if not self._fs.exists(self._jpath(self.path)):
+        fs, commits = versions.filesystem(self.spark, f"{self.path}/_commits")
+        names = [s.getPath().getName() for s in fs.listStatus(commits)] if fs.exists(commits) else []
+        folders = [versions.read_file(self.spark, self._marker(n)) for n in names if not n.startswith((".", "_"))]
+        if not folders:
             return self.spark.createDataFrame([], DELTA)
-        rows = self.spark.read.schema(DELTA).parquet(self.path).select(*KEYS, "documents", "tokens")
+        rows = self.spark.read.schema(DELTA).parquet(*folders).select(*KEYS, "documents", "tokens")
         return (rows.groupBy(*KEYS).agg(F.sum("documents").cast("long").alias("documents"), F.sum("tokens").cast("long").alias("tokens"))
                 .where("documents <> 0 or tokens <> 0"))
 

@@ -18,7 +18,9 @@ beyond by shuffles.  A larger dictionary is joined to the substrings of the
 names that have the length of a known word.  Names of any length are split.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, no
-rule and the verdict allow; equal URLs get equal verdicts.
+rule and the verdict allow; equal URLs get equal verdicts, repeated rows come back
+each; an empty table gives an empty result; extra columns of any name come back
+as they were.
 """
 
 from __future__ import annotations
@@ -102,14 +104,15 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def _url_names(hosts: DataFrame) -> DataFrame:
-    """The names in each host and path: ``_host``, ``_path``, ``at``,
-    ``name``, ``own`` (part of the host)."""
+    """The names in each host and path: ``id``, ``_host``, ``at``, ``name``,
+    ``own`` (part of the host).  The path itself stays behind: a long one has
+    many names."""
     @F.pandas_udf("array<struct<name:string,own:boolean>>")
     def names(host: pd.Series, path: pd.Series) -> pd.Series:
         return pd.Series([[{"name": n, "own": True} for n in _LETTERS.findall(h.rsplit(".", 1)[0] if "." in h else h)]
                           + [{"name": n, "own": False} for n in _LETTERS.findall(p.lower())] for h, p in zip(host, path)], dtype=object)
 
-    return hosts.select("_host", "_path", F.posexplode(names("_host", "_path")).alias("at", "n")).select("_host", "_path", "at", "n.*")
+    return hosts.select("id", "_host", F.posexplode(names("_host", "_path")).alias("at", "n")).select("id", "_host", "at", "n.*")
 
 
 def _costs(hosts: DataFrame) -> tuple[DataFrame, float]:
@@ -172,8 +175,9 @@ def _odds(words: DataFrame) -> DataFrame:
 def scores(pages: DataFrame) -> DataFrame:
     """``_host``, ``_path``, ``words`` and ``spam_odds`` (prior left out) of
     every distinct host and path that has names; stored."""
-    urls = common.stored(_url_names(parts(pages).select("_host", "_path").distinct()), "urls")
-    costs, unknown = _costs(parts(pages).where("_host <> ''").select("_host", "_path").distinct())
+    every = common.stored(parts(pages).select("_host", "_path").distinct().withColumn("id", F.monotonically_increasing_id()), "urls")
+    urls = common.stored(_url_names(every), "names-of-urls")
+    costs, unknown = _costs(every.where("_host <> ''"))
     split = _split(urls.select("name").distinct(), costs, unknown)
     words = (urls.where("_host <> ''").join(common.fit_to_broadcast(split, BROADCAST_ROWS), "name")
              .select("_host", "words", (F.col("own") & F.arrays_overlap("words", F.array(*map(F.lit, SPAM)))).alias("spam")))
@@ -182,9 +186,9 @@ def scores(pages: DataFrame) -> DataFrame:
                .join(common.fit_to_broadcast(odds, BROADCAST_ROWS), "word", "left").groupBy("name")
                .agg(F.sort_array(F.collect_list(F.struct("k", "word", F.coalesce("odds", F.lit(0.0)).alias("odds")))).alias("w")))
     weighed = common.stored(weighed, "url-weights")
-    by_url = (urls.join(common.fit_to_broadcast(weighed, BROADCAST_ROWS), "name").groupBy("_host", "_path")
+    by_url = (urls.select("id", "at", "name").join(common.fit_to_broadcast(weighed, BROADCAST_ROWS), "name").groupBy("id")
               .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "w"))), lambda x: x["w"])).alias("w")))
-    return common.stored(by_url.select("_host", "_path", F.transform("w", lambda x: x["word"]).alias("words"),
+    return common.stored(by_url.join(every, "id").select("_host", "_path", F.transform("w", lambda x: x["word"]).alias("words"),
                                        F.aggregate("w", F.lit(0.0), lambda s, x: s + x["odds"]).alias("spam_odds")), "url-scores")
 
 
@@ -192,12 +196,17 @@ def judge(pages: DataFrame) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``words`` and
     ``spam_odds`` (log odds, prior included) in place of like-named columns."""
     prior = math.log(PRIOR_BLOCK / (1 - PRIOR_BLOCK))
-    scored = common.fit_to_broadcast(scores(pages), BROADCAST_ROWS).select(
-        F.col("_host").alias("_h"), F.col("_path").alias("_p"), F.col("words").alias("_words"), F.col("spam_odds").alias("_odds"))
-    found = parts(pages).join(scored, (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")), "left")
-    out = found.withColumn("_odds", F.lit(prior) + F.coalesce("_odds", F.lit(0.0))).withColumn("_rule", rule_verdict(F.col("_host"), F.col("_path")))
-    own = F.when(F.col("_odds") > 0, "block").otherwise("allow")
     keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", "words", "spam_odds")]
-    return out.select(*keep, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule"),
-                      F.coalesce("_rule.verdict", own).alias("verdict"),
-                      F.coalesce("_words", F.array().cast("array<string>")).alias("words"), F.col("_odds").alias("spam_odds"))
+    # The caller's columns travel as one struct, so that none can clash.
+    rows = parts(pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col("url")))
+    scored = common.fit_to_broadcast(scores(pages.select("url")), BROADCAST_ROWS).select(
+        F.col("_host").alias("_h"), F.col("_path").alias("_p"), "words", "spam_odds")
+    found = rows.join(scored, (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")), "left")
+    odds = F.lit(prior) + F.coalesce("spam_odds", F.lit(0.0))
+    step = found.select("_row", "_host", "_path", odds.alias("_odds"), rule_verdict(F.col("_host"), F.col("_path")).alias("_rule"),
+                        F.coalesce("words", F.array().cast("array<string>")).alias("_words"))
+    own = F.when(F.col("_odds") > 0, "block").otherwise("allow")
+    step = step.select("_row", F.struct(
+        F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule"),
+        F.coalesce("_rule.verdict", own).alias("verdict"), F.col("_words").alias("words"), F.col("_odds").alias("spam_odds")).alias("_found"))
+    return step.select(*[F.col("_row").getField(c).alias(c) for c in keep], "_found.*")
