@@ -71,7 +71,7 @@ def write_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _rename_new(spark: SparkSession, src: str, dst: str) -> bool:
+def rename_new(spark: SparkSession, src: str, dst: str) -> bool:
     """Rename a file; False if ``dst`` exists (never overwrites)."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     hadoop = jvm.org.apache.hadoop.fs
@@ -111,7 +111,7 @@ def publish(spark: SparkSession, root: str, tables: dict[str, str]) -> int:
     write_file(spark, draft, body)
     while True:
         number = (_numbers(spark, root) or [0])[-1] + 1
-        if _rename_new(spark, draft, f"{root}/{_POINTER}/{number}"):
+        if rename_new(spark, draft, f"{root}/{_POINTER}/{number}"):
             break
     _drop_old(spark, root)
     return number
