@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm import decontaminate, line_dedup, near_dup, quality_rules, source_mix
-from tierwise.llm.common import stored, table
+from tierwise.llm.common import drop_stored, scope, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over all documents."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage over all documents.
+
+    What a stage stores on its way is removed once its result is written, and so
+    is its input, so that the disk holds two versions of the documents and one
+    stage's tables at a time."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scope(spark) as paths:
+            out = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            paths.pop()  # the result itself stays
+        if before is not None:
+            drop_stored(before)
+        docs = before = out
     return docs
