@@ -31,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Paths of stored tables, in the scopes that are open (see :func:`scope`).
-_scopes: list[list[str]] = []
+#: Lists that take down the paths of stored tables (see :func:`recording`).
+_records: list[list[str]] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,22 +41,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
+    if _records:
+        _records[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def scope(spark: SparkSession):
-    """What is stored inside is removed at the end, but for the paths that are
-    taken out of the list given: for a step whose result is stored, so that
-    nothing reads its intermediate tables any more."""
-    _scopes.append([])
+def recording(paths: list[str]):
+    """Take down in ``paths`` what is stored inside."""
+    _records.append(paths)
     try:
-        yield _scopes[-1]
+        yield
     finally:
-        for path in _scopes.pop():
-            versions.delete(spark, path)
+        _records.pop()
+
+
+def drop_paths(spark: SparkSession, paths: list[str], docs: DataFrame) -> None:
+    """Remove stored tables that ``docs`` does not read, and take them off the
+    list."""
+    read = {f.rsplit("/", 2)[-2] for f in docs.inputFiles()} if paths else set()
+    for path in [p for p in paths if p.rsplit("/", 1)[-1] not in read]:
+        versions.delete(spark, path)
+        paths.remove(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

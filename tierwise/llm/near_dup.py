@@ -165,13 +165,24 @@ def _compare(batches):
              pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "n", "apart"])
 
 
+def _links(batches):
+    """As :func:`_compare`, without differences, and linked pairs only."""
+    for batch in _compare(batches):
+        na, nb, n = (batch.column(c).to_numpy() for c in ("na", "nb", "n"))
+        yield batch.select(["a", "b"]).filter(pa.array(100 * n >= PERCENT * (na + nb - n)))
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs ``(a, b)`` of classes with the sizes of their full shingle
     sets, the intersection and the differences."""
+    return common.stored(_with_texts(pairs, texts).mapInArrow(
+        _compare, "a binary, b binary, na long, nb long, n long, apart array<bigint>"), name)
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    return common.stored(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
-                         .mapInArrow(_compare, "a binary, b binary, na long, nb long, n long, apart array<bigint>"), name)
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
 
 
 def _similar(percent: int) -> Column:
@@ -203,7 +214,7 @@ def _by_difference(seen: DataFrame) -> DataFrame:
     least = F.greatest(F.lit(1), F.ceil((F.col("d") + gap * (F.col("na") - F.col("nb")) / whole) / 2 - 1e-9))
     half = F.col("place") <= F.col("d") - least + 1
     return placed.where((F.col("place") <= limit) & (half | ~F.col("linked"))).select(
-        F.xxhash64("a", "e").alias("key"), "b", "nb", "linked", half.alias("half"))
+        F.xxhash64("a", "e").alias("key"), "b", "nb", "d", "linked", half.alias("half"))
 
 
 def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
@@ -216,13 +227,16 @@ def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(_fine_bands, "cls binary, n_shingles long, key long"))
     return far.withColumnRenamed("b", "cls").join(mine, "cls").select(
         F.xxhash64("a", "key").alias("key"), F.col("cls").alias("b"), F.col("n_shingles").alias("nb"),
-        F.lit(False).alias("linked"), F.lit(True).alias("half"))
+        F.lit(None).cast("long").alias("d"), F.lit(False).alias("linked"), F.lit(True).alias("half"))
 
 
 def _may_link(x: str, y: str) -> Column:
     """Whether two members of a bucket may link, by its rule and their sizes."""
     meet = lambda u, v: ~F.col(f"{u}.linked") & F.col(f"{v}.half")
+    # Two texts differ by at least what their distances from the hub differ by.
+    apart = F.coalesce(F.abs(F.col(f"{x}.d") - F.col(f"{y}.d")), F.lit(0))
     return ((meet(x, y) | meet(y, x))
+            & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col(f"{x}.nb") + F.col(f"{y}.nb")))
             & (100 * F.least(f"{x}.nb", f"{y}.nb") >= PERCENT * F.greatest(f"{x}.nb", f"{y}.nb")))
 
 
@@ -231,15 +245,18 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
     bucket's members, found in rounds (see 4. above)."""
     found = []
     now = common.stored(buckets.join(comp, F.col("b") == F.col("node"), "left")
-                        .select("key", "b", "nb", "linked", "half", F.coalesce("comp", "b").alias("comp")), "buckets")
+                        .select("key", "b", "nb", "d", "linked", "half", F.coalesce("comp", "b").alias("comp")), "buckets")
     for turn in range(PIVOTS + 1):
-        split = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        # A pair needs one that is not linked to the hub and one that is half.
+        u, h = F.when(~F.col("linked"), F.col("comp")), F.when(F.col("half"), F.col("comp"))
+        split = (now.groupBy("key").agg(F.min(u).alias("u0"), F.max(u).alias("u1"), F.min(h).alias("h0"), F.max(h).alias("h1"))
+                 .where("u0 <> h1 or u1 <> h0").select("key"))
         members = common.stored(now.join(split, "key", "left_semi"), "open-buckets")
         if not members.take(1):
             break
         x = members.alias("x")
         if turn < PIVOTS:
-            few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct("b", "nb", "linked", "half")).alias("p"))
+            few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct("b", "nb", "d", "linked", "half")).alias("p"))
             pivot = common.stored(few.groupBy("key").agg(F.min(F.struct("n", "comp", "p")).alias("q"))
                                   .select("key", "q.comp", "q.p.*"), "pivots")
             y = pivot.alias("y")
@@ -248,8 +265,11 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
             y = members.alias("y")
             pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
         pairs = pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
-        links = _compared(pairs, texts, "more_links").where(_similar(PERCENT)).select("a", "b")
-        now = members if turn == PIVOTS else members.join(pivot.select("key", "b"), ["key", "b"], "left_anti")
+        links = common.stored(_with_texts(pairs, texts).mapInArrow(_links, "a binary, b binary"), "more_links")
+        if turn == PIVOTS:
+            found.append(links)
+            break
+        now = members.join(pivot.select("key", "b"), ["key", "b"], "left_anti")
         if links.take(1):
             found.append(links)
             of = members.select("b", "comp").distinct()
@@ -257,7 +277,9 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
                     .join(of.select("b", F.col("comp").alias("cb")), "b"))
             merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("comp", "into")
             now = (now.join(merged, F.col("comp") == F.col("node"), "left")
-                   .select("key", "b", "nb", "linked", "half", F.coalesce("into", "comp").alias("comp")))
+                   .select("key", "b", "nb", "d", "linked", "half", F.coalesce("into", "comp").alias("comp")))
+        now = common.stored(now, "buckets")
+        common.drop_stored(members, pivot)
     return found
 
 

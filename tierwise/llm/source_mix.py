@@ -21,6 +21,7 @@ rows are documents of their own; empty input gives empty output.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,11 +108,24 @@ def mix(docs: DataFrame, row: str | None = None) -> DataFrame:
             .join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")))
 
 
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with an id per row in the column ``name``, the same whenever it
+    is read: the place in its file, or, of rows that come from no single scan, a
+    number in a stored copy."""
+    if "_metadata" not in (c.lower() for c in docs.columns):
+        try:
+            return docs.select("*", F.struct(F.xxhash64("_metadata.file_path"), F.col("_metadata.file_size"),
+                                             F.col("_metadata.row_index")).alias(name))
+        except AnalysisException:
+            pass  # no scan to ask
+    return common.stored(docs.withColumn(name, F.monotonically_increasing_id()), "mix-documents")
+
+
 def mixture(docs: DataFrame) -> DataFrame:
     """The documents of the mix in order of virtual finish time, with the
     columns of ``docs`` and ``mix_copies``, ``mix_finish``."""
     own, copies, finish = (common.fresh(docs, c) for c in ("mix_row", "mix_copies", "mix_finish"))
-    kept = common.stored(docs.withColumn(own, F.monotonically_increasing_id()), "mix-documents")
+    kept = _numbered(docs, own)
     plan = mix(kept, own)
     plan = plan.where("taken > 0").select(
         F.col("row").alias(own), (F.col("taken") / F.col("size")).cast("int").alias(copies), F.col("finish").alias(finish))
