@@ -2,6 +2,7 @@
 force and odd rows."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -733,3 +734,101 @@ def test_em_matches_brute_force(spark):
     assert got == pytest.approx(model)
     judged = patterns.select("*", q._posterior(got, sides).alias("p")).collect()
     assert all(r.p == pytest.approx(posterior((r.vote_a, r.vote_b, r.vote_c))) for r in judged)
+
+
+# ------------------------------------------------------ 3 suffix tree, by hand
+
+def _tree_by_hand(texts, held, p_min):
+    """Scores of the same model, context by context, and its probabilities."""
+    st = suffix_tree
+    seqs = {i: re.findall(r"[^\x20\x09-\x0D]+", t.lower()) + [None] for i, t in texts.items()}
+    train = [s for i, s in seqs.items() if not held[i]]
+    uni = collections.Counter(w for s in train for w in s)
+    total, size = sum(uni.values()), len(uni)
+    least = max(p_min * total, st.MIN_COUNT)
+    after = collections.defaultdict(collections.Counter)
+    for s in train:
+        for j in range(len(s)):
+            for d in range(1, min(j, st.DEPTH) + 1):
+                after[tuple(s[j - d:j])][s[j]] += 1
+    symbols = {w for w, c in uni.items() if w is not None and c >= least}
+
+    def root(w):
+        return (uni[w] + 1) / (total + size + 1)
+
+    other = 1 - sum(map(root, symbols)) - root(None)
+    head = {(w,) for w in symbols if sum(after[w,].values()) >= least}
+    for _ in range(st.DEPTH - 1):
+        head |= {c + (w,) for c in head if len(c) < st.DEPTH for w, k in after[c].items() if k >= least and w in symbols}
+
+    def smoothed(counts, n, q):
+        p = {k: (c + st.SMOOTHING * q(k)) / (n + st.SMOOTHING) for k, c in counts.items()}
+        left_p, left_q = max(1 - sum(p.values()), 1e-12), max(1 - sum(map(q, counts)), 1e-12)
+        gain = sum(x * math.log(x / q(k)) for k, x in p.items()) + left_p * math.log(left_p / left_q)
+        if not counts or n * gain < st.COST * len(counts) / 2 * math.log(max(n, 2)):
+            return q
+        return lambda k: p[k] if k in p else q(k) * left_p / left_q
+
+    def in_head(ctx):
+        """Probabilities of symbols, the end (None) and all others ('other words')."""
+        if not ctx:
+            return lambda k: other if k == "other words" else root(k)
+        counts = collections.Counter()
+        for w, c in after[ctx].items():
+            counts[w if w is None or w in symbols else "other words"] += c
+        n = sum(counts.values())
+        return smoothed({k: c for k, c in counts.items() if c >= st.GAMMA * n or c >= least}, n, in_head(ctx[1:]))
+
+    @functools.cache
+    def model(ctx):
+        if not ctx or ctx in head:
+            p = in_head(ctx)
+            return lambda w: p(w) if w is None or w in symbols else p("other words") * root(w) / other
+        n = sum(after[ctx].values())
+        return smoothed(after[ctx], n, model(ctx[1:])) if n >= st.MIN_COUNT else model(ctx[1:])
+
+    score = {i: sum(math.log10(model(tuple(s[max(0, j - st.DEPTH):j]))(s[j])) for j in range(len(s))) for i, s in seqs.items()}
+    return score, model, list(uni), [c for c in after if c not in head and model(c) is not model(c[1:])]
+
+
+@pytest.mark.parametrize("p_min", [0.0, 0.02, 0.5])
+def test_suffix_tree_by_hand(spark, monkeypatch, p_min):
+    random = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(30)]
+    phrase = "one two three four five six seven"
+    texts = {}
+    for i in range(60):
+        own = " ".join(words[int(k)] for k in np.minimum(random.zipf(1.3, 25), 30) - 1)
+        texts[i] = own + (f" {phrase}" if i % 3 else "") + f" Only{i}\n{own[:20]}"
+    texts[60], texts[61] = "", "w0 w0 w0 w0 w0 w0"
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    want, model, vocabulary, tail = _tree_by_hand(texts, held, p_min)
+    monkeypatch.setattr(suffix_tree, "P_MIN", p_min)
+    monkeypatch.setattr(suffix_tree, "PART_TOKENS", 200)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = suffix_tree.scores(docs).collect()
+    assert len(got) == len(texts)
+    assert all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-6) for r in got)
+    assert bool(tail) == (p_min > 0)
+    for ctx in [(), ("one",), ("one", "two", "three"), ("w0", "w1"), ("only4",)]:
+        assert math.isclose(sum(map(model(ctx), vocabulary)) + model(ctx)("unknown"), 1, rel_tol=1e-9)
+
+
+def test_suffix_tree_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "P_MIN", 0.1)
+    docs = spark.createDataFrame([(i, f"alpha beta gamma delta {i % 4} epsilon") for i in range(40)], "doc_id long, text string")
+    twice = docs.union(docs.where("doc_id = 8")).union(docs.where("doc_id = 8"))
+    by_id = collections.defaultdict(set)
+    for r in suffix_tree.scores(twice).collect():
+        by_id[r.doc_id].add(round(r.score, 9))
+    assert all(len(s) == 1 for s in by_id.values()) and len(by_id) == 40
+
+
+def test_suffix_tree_grows(spark, monkeypatch):
+    """Each text brings a phrase of its own, met four times: however small its
+    share, the model learns it."""
+    monkeypatch.setattr(suffix_tree, "P_MIN", 0.05)
+    for n in (20, 200):
+        docs = spark.createDataFrame([(i, " ".join([f"a{i} b{i} c{i} d{i}"] * 4)) for i in range(n)], "doc_id long, text string")
+        rows = [r for r in suffix_tree.scores(docs).collect() if not r.held_out]
+        assert all(r.score > r.base_score + 2 for r in rows)

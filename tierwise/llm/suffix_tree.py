@@ -1,24 +1,39 @@
 """Language-model scores from a probabilistic suffix tree.
 
-Symbols are the words with at least :data:`P_MIN` of all training tokens (so
-at most 1 / P_MIN of them), one symbol for all other words, and the end of a
-text.  A context is a run of up to :data:`DEPTH` symbols; it becomes a state
-of the tree if it has at least ``P_MIN`` of all tokens and its next-symbol
-distribution diverges from its longest retained suffix by more than the
-description length of its entries (``n * KL >= entries / 2 * ln n``).  A state
-keeps the symbols with at least :data:`GAMMA` of its count, smoothed towards
-its parent; the rest of its mass follows the parent's distribution.  The root
-is the add-one unigram model over all words.  Each token is scored in the
-longest state that ends before it; a word outside the symbols gets the mass of
-"other" in that state, shared out by the unigram model.  All distributions sum
-to one over all words and one unknown word.
-
-Counts are taken over all training texts: word counts and context counts are
-pre-aggregated per Arrow batch, then summed by Spark.  Only what ``P_MIN``,
-``GAMMA`` and :data:`COMMON` bound is broadcast: at most 1 / COMMON word
-counts, and at most 1 / (P_MIN * GAMMA) entries a depth.  Counts of rarer
-words are joined by a shuffle; none of them can be a hot key, since
-a rare word has fewer than ``COMMON`` of all tokens.
+A context is a run of up to :data:`DEPTH` words; it becomes a state of the tree
+if the training texts have it at least :data:`MIN_COUNT` times and its
+next-word distribution diverges from its longest retained suffix by more than
+the description length of its entries (see :data:`COST`).  A state's
+distribution is smoothed towards its parent: words seen after it get ``(c +
+SMOOTHING * q) / (n + SMOOTHING)``, q the parent's probability, and the rest of
+the mass follows the parent.  The root is the add-one unigram model.  Each token
+is scored in the longest state that ends before it.
+
+Contexts are kept by absolute count, so what the model gathers grows with the
+input.  Two tiers hold them:
+
+* The head: contexts of words with at least :data:`P_MIN` of all training
+  tokens, that are as frequent themselves.  There are at most 1 / P_MIN a
+  depth at any size; they are counted with pre-aggregation and broadcast, so no
+  hot word or phrase becomes one group.
+* The tail, all other contexts.  A token goes, with its context, to the group of
+  its shortest context outside the head, which has fewer than P_MIN of all
+  training tokens.  All longer contexts of the token end in that one, so the
+  whole branch is counted, tested and scored in one place, and only one partial
+  sum a document comes back.  Groups are hashed into parts of about
+  :data:`PART_TOKENS` tokens, whose number grows with the input.  A task holds
+  one part, and so at least its largest group: beyond 1e11 tokens P_MIN has to
+  be lowered for groups to stay within a part's memory.
+
+Words with fewer than :data:`COMMON` of all tokens are predicted as one class,
+shared out by the unigram model; as contexts all words count.  All
+distributions sum to one over all words and one unknown word.  Counts of
+rarer words are joined by a shuffle; none of them can be a hot key.  Words are
+told apart by 64-bit hashes, the second and third word of a tail context by 32
+bits beside the 64 of its group.
+
+Texts are read in several passes, in which rows are known by a hash of
+``doc_id`` and text; equal rows get equal scores.
 
 Defined cases: null, blank and empty texts are one end token; a null
 ``doc_id`` is in the training part; with no training texts N = 0, V = 0 and
@@ -39,6 +54,11 @@ GAMMA = 2e-3
 COMMON = 1e-6
 DEPTH = 3
 SMOOTHING = 20.0
+MIN_COUNT = 2
+#: An entry of a state costs so many times half the logarithm of its count.
+COST = 1.0
+PART_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 HELD_MODULUS, HELD_REMAINDER = 7, 2
 
 OTHER, END = 0, 1  # symbols; words have 2, 3, ...
@@ -81,40 +101,20 @@ def _lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _streams(shared):
-    """Texts -> symbol streams, the unigram score of their common words, and
-    the hashes of the others."""
+    """Texts -> symbol streams."""
     def run(batches):
-        words, counts, symbol, total, size, docs = shared.value
-        log_of = np.log10((np.append(counts, 0) + 1.0) / (total + size + 1.0))
-        log_end = np.log10((docs + 1.0) / (total + size + 1.0))
+        words, symbol = shared.value
         for batch in batches:
-            n = batch.num_rows
-            streams, rare = [None] * n, [None] * n
-            n_tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            base, other = np.zeros(n), np.zeros(n)
+            streams = [np.uint16(END).tobytes()] * batch.num_rows
             for first, last, hashes, bounds in common.hash_words(batch.column("text")):
                 at = _lookup(words, hashes)
                 sym = np.where(at >= 0, symbol[at], OTHER).astype(np.uint16) if len(words) else np.zeros(len(hashes), np.uint16)
-                logs = np.where(at >= 0, log_of[at], 0.0)
                 for d in range(last - first):
-                    lo, hi = bounds[d], bounds[d + 1]
-                    own, found = sym[lo:hi], at[lo:hi] >= 0
-                    streams[first + d] = np.append(own, np.uint16(END)).tobytes()
-                    rare[first + d] = hashes[lo:hi][~found].tobytes()
-                    n_tokens[first + d], known[first + d] = hi - lo + 1, found.sum() + (docs > 0)
-                    base[first + d] = logs[lo:hi].sum() + log_end
-                    other[first + d] = logs[lo:hi][own == OTHER].sum()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(streams, pa.binary()),
-                 pa.array(rare, pa.binary()), pa.array(n_tokens), pa.array(known), pa.array(base), pa.array(other)],
-                names=["row", "doc_id", "held_out", "stream", "rare", "n_tokens", "known", "base", "other"])
+                    streams[first + d] = np.append(sym[bounds[d]:bounds[d + 1]], np.uint16(END)).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(streams, pa.binary())], names=["stream"])
     return run
 
 
-_STREAM = ("row long, doc_id long, held_out boolean, stream binary, rare binary, n_tokens long, known long, "
-           "base double, other double")
-
-
 def _joined(column) -> tuple[np.ndarray, np.ndarray]:
     """All streams of a batch in a row, and the place of each symbol in its own."""
     parts = [np.frombuffer(s.as_py(), np.uint16) for s in column]
@@ -138,8 +138,7 @@ def _count_contexts(depth: int, shared):
         for batch in batches:
             flat, place = _joined(batch.column("stream"))
             key, has = _contexts(flat, place, depth)
-            if wanted is not None:
-                has &= _lookup(wanted, key) >= 0
+            has &= key != OTHER if wanted is None else _lookup(wanted, key) >= 0
             both = np.stack([key[has], flat[has].astype(np.uint64)])
             order = np.lexsort(both)
             both = both[:, order]
@@ -205,7 +204,7 @@ class Tree:
         left_p = np.maximum(1 - total(p), 1e-12)
         left_q = np.maximum(1 - total(q), 1e-12)
         gain = total(p * np.log(p / q)) + left_p * np.log(left_p / left_q)
-        keep = (n * gain >= total(np.ones(len(c))) / 2 * np.log(np.maximum(n, 2))) & (total(np.ones(len(c))) > 0)
+        keep = (n * gain >= COST * total(np.ones(len(c))) / 2 * np.log(np.maximum(n, 2))) & (total(np.ones(len(c))) > 0)
         ids = np.cumsum(keep) - 1 + len(self.parent)
         self.keys[depth], self.ids[depth] = ctx[keep], ids[keep]
         self.parent = np.append(self.parent, parent[keep])
@@ -215,51 +214,236 @@ class Tree:
         self.logs = np.append(self.logs, np.log(p[of]))
 
 
-def _fit(streams: DataFrame, root: np.ndarray, tokens: int) -> Tree:
-    spark, tree, wanted = streams.sparkSession, Tree(root), None
-    training = streams.where("not held_out").select("stream")
+def _fit(streams: DataFrame, root: np.ndarray, least: float) -> tuple[Tree, list[np.ndarray]]:
+    """The head of the tree, and all of its contexts by depth, retained or not."""
+    spark, tree, wanted, head = streams.sparkSession, Tree(root), None, []
     for depth in range(1, DEPTH + 1):
         counted = common.stored(
-            training.mapInArrow(_count_contexts(depth, spark.sparkContext.broadcast(wanted)), "ctx long, sym int, c long")
+            streams.mapInArrow(_count_contexts(depth, spark.sparkContext.broadcast(wanted)), "ctx long, sym int, c long")
             .groupBy("ctx", "sym").agg(F.sum("c").alias("c")), f"contexts-{depth}")
-        frequent = counted.groupBy("ctx").agg(F.sum("c").alias("n")).where(F.col("n") >= P_MIN * tokens)
-        rows = counted.join(frequent, "ctx").where(F.col("c") >= GAMMA * F.col("n")).select("ctx", "n", "sym", "c").toArrow()
+        frequent = counted.groupBy("ctx").agg(F.sum("c").alias("n")).where(F.col("n") >= least)
+        rows = (counted.join(frequent, "ctx").where((F.col("c") >= GAMMA * F.col("n")) | (F.col("c") >= least))
+                .select("ctx", "n", "sym", "c").toArrow())
+        common.drop_stored(counted)
         col = {k: rows.column(k).to_numpy() for k in ("ctx", "n", "sym", "c")}
         key = col["ctx"].astype(np.int64).view(np.uint64)
         order = np.lexsort((col["sym"], key))
         key, n, sym, c = key[order], col["n"][order], col["sym"][order].astype(np.int64), col["c"][order]
         ctx, first, of = np.unique(key, return_index=True, return_inverse=True)
+        head.append(ctx if depth == 1 else wanted)
         tree.grow(depth, ctx, n[first].astype(float), of.astype(np.int64), sym, c.astype(float))
         # The next depth: contexts one symbol longer that are frequent too.
-        longer = (c >= P_MIN * tokens) & (sym != END)
-        if depth < DEPTH:
-            wanted = np.sort((key[longer] << _BITS) | sym[longer].astype(np.uint64))
-    return tree
+        longer = (c >= least) & (sym > END)
+        wanted = np.sort((key[longer] << _BITS) | sym[longer].astype(np.uint64))
+    return tree, head
+
+
+# ------------------------------------------------------------------ scoring
+
+class Lexicon:
+    """What all tasks know: the common words and the head of the tree.  A token
+    has a class: 0 for words that are not common, 1 for the end, 2, 3, ... for
+    the common words."""
+
+    def __init__(self, words, counts, symbol, total, size, docs, root):
+        self.words, self.symbol = words, np.concatenate([[OTHER, END], symbol]).astype(np.int64)
+        self.log_base = np.log((np.concatenate([[0, docs], counts]) + 1.0) / (total + size + 1.0))
+        rare = max(1 - np.exp(self.log_base[1:]).sum(), 1 / (total + size + 1.0))
+        self.log_rare, self.docs = np.log(rare), docs
+        # Within OTHER a word has its share of the unigram model.
+        share = np.append(self.log_rare, self.log_base[1:]) - root[OTHER]
+        self.share = np.where(self.symbol == OTHER, share, 0.0)
+
+    def log_prob(self, tree: Tree, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        return tree.log_prob(state, self.symbol[kind]) + self.share[kind]
+
+
+def _behind(values: np.ndarray, k: int) -> np.ndarray:
+    """The value ``k`` places before each place (0 before the first)."""
+    out = np.zeros(len(values), values.dtype)
+    out[k:] = values[:-k] if k else values
+    return out
+
+
+def _tokens(text, lexicon: Lexicon, tree: Tree, head: list[np.ndarray]):
+    """For runs of rows: the first row, and of each token the row, the word's
+    hash, the class, the state in the head, the length of the longest context
+    in the head, and the length of its whole context."""
+    for first, last, hashes, bounds in common.hash_words(text):
+        n = np.diff(bounds) + 1
+        ends = np.cumsum(n) - 1
+        word = np.zeros(int(n.sum()), np.uint64)
+        is_word = np.ones(len(word), bool)
+        is_word[ends] = False
+        word[is_word] = hashes[bounds[0]:bounds[-1]]
+        kind = np.full(len(word), END, np.int64)
+        kind[is_word] = np.maximum(_lookup(lexicon.words, word[is_word]) + 2, 1)
+        kind[is_word & (kind == END)] = 0
+        sym = lexicon.symbol[kind].astype(np.uint16)
+        row = np.repeat(np.arange(first, last), n)
+        length = np.minimum(np.arange(len(word)) - np.repeat(ends - n + 1, n), DEPTH)
+        keys, valid = [np.zeros(len(word), np.uint64)], [np.ones(len(word), bool)]
+        inside = np.zeros(len(word), np.int64)
+        for depth in range(1, DEPTH + 1):
+            key, _ = _contexts(sym, length, depth)
+            known = valid[-1] & (length >= depth) & (_lookup(head[depth - 1], key) >= 0)
+            keys.append(key)
+            valid.append(known)
+            inside += known
+        yield row, word, kind, tree.state(keys, valid, len(word)), inside, length
+
+
+def _rows(shared):
+    """Per document: counts, the unigram score of its common words, the score
+    of the tokens whose whole context is in the head, how many tokens are in
+    the tail, and the hashes of words that are not common."""
+    def run(batches):
+        lexicon, tree, head = shared.value
+        for batch in batches:
+            n = batch.num_rows
+            sums = np.zeros((6, n))
+            rare = [b""] * n
+            for row, word, kind, state, inside, length in _tokens(batch.column("text"), lexicon, tree, head):
+                here = inside >= length
+                lp = lexicon.log_prob(tree, state[here], kind[here])
+                for at, (of, x) in enumerate(((row, None), (row[(kind > END) | ((kind == END) & (lexicon.docs > 0))], None),
+                                              (row[kind != 0], lexicon.log_base[kind[kind != 0]]), (row[here], lp),
+                                              (row[~here], None), (row[here & (kind == 0)], None))):
+                    sums[at] += np.bincount(of, x, n)
+                of, unknown = row[kind == 0], word[kind == 0]
+                cuts = np.flatnonzero(np.diff(of)) + 1
+                for r, part in zip(of[np.append(0, cuts)] if len(of) else [], np.split(unknown, cuts)):
+                    rare[r] = part.tobytes()
+            base, local = sums[2] / np.log(10), (sums[3] - sums[5] * lexicon.log_rare) / np.log(10)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("doc_id"), batch.column("held_out"), pa.array(rare, pa.binary()),
+                 pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(base), pa.array(local),
+                 pa.array(sums[4].astype(np.int64))],
+                names=["key", "doc_id", "held_out", "rare", "n_tokens", "known", "base", "local", "tail"])
+    return run
+
+
+_ROW = ("key long, doc_id long, held_out boolean, rare binary, n_tokens long, known long, base double, local double, "
+        "tail long")
 
 
-def _score(shared):
+def _pack(*arrays: np.ndarray) -> bytes:
+    raw = b"".join(a.tobytes() for a in arrays)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
+    raw, at, out = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), 0, []
+    for kind, n in kinds:
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+def _tail(shared, parts: int):
+    """Tokens of the tail, sorted and packed by part."""
+    def blocks(keys, train, group, state, second, third, kind, row):
+        part = (group % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((kind, third, second, group, part))
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        out = []
+        for p in np.flatnonzero(np.diff(cuts)):
+            o = order[cuts[p]:cuts[p + 1]]
+            rows, at = np.unique(row[o], return_inverse=True)
+            groups, first, times = np.unique(group[o], return_index=True, return_counts=True)
+            out.append((int(p), len(rows), len(groups), len(o), _pack(
+                keys[rows], train[rows], groups, times.astype(np.uint32), state[o][first].astype(np.int32),
+                second[o], third[o], kind[o].astype(np.int32), at.astype(np.uint32))))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
+            names=["part", "n_rows", "n_groups", "n", "data"])
+
     def run(batches):
-        tree = Tree(shared.value["root"])
-        tree.__dict__.update(shared.value)
+        lexicon, tree, head = shared.value
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for d, stream in enumerate(batch.column("stream")):
-                flat = np.frombuffer(stream.as_py(), np.uint16)
-                for lo in range(0, len(flat), common.PIECE):
-                    # A piece begins with the symbols before it.
-                    back = min(lo, DEPTH)
-                    part = flat[lo - back:lo + common.PIECE]
-                    place = np.arange(len(part))
-                    keys, valid = zip(*[_contexts(part, place, k) for k in range(DEPTH + 1)])
-                    sym = part.astype(np.int64)
-                    logs = tree.log_prob(tree.state(list(keys), list(valid), len(part)), sym)
-                    out[d] += logs[back:].sum()
-            n_other = [int((np.frombuffer(s.as_py(), np.uint16) == OTHER).sum()) for s in batch.column("stream")]
-            out = (out - np.array(n_other) * tree.root[OTHER]) / np.log(10)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("row", "doc_id", "held_out", "n_tokens", "known", "base")]
-                + [pa.array(out + batch.column("other").to_numpy())],
-                names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"])
+            keys = batch.column("key").to_numpy()
+            train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            pieces, held = [], 0
+            for row, word, kind, state, inside, length in _tokens(batch.column("text"), lexicon, tree, head):
+                t = np.flatnonzero(inside < length)
+                if not len(t):
+                    continue
+                before = np.stack([_behind(word, k) for k in range(1, DEPTH + 1)])
+                depth = inside[t]
+                group = np.zeros(len(t), np.uint64)
+                for k in range(DEPTH):
+                    group = np.where(k <= depth, common.mix(group * np.uint64(0x9E3779B97F4A7C15) + before[k, t]), group)
+                # Up to two more words before the group's own; 0 for none.
+                more = [np.where(depth + j < length[t],
+                                 (before[np.minimum(depth + j, DEPTH - 1), t] >> np.uint64(32)) | np.uint64(1), 0).astype(np.uint32)
+                        for j in (1, 2)]
+                for lo in range(0, len(t), BLOCK_TOKENS):
+                    cut = slice(lo, lo + BLOCK_TOKENS)
+                    pieces.append((group[cut], state[t][cut], more[0][cut], more[1][cut], kind[t][cut], row[t][cut]))
+                    held += len(pieces[-1][0])
+                    if held >= BLOCK_TOKENS:
+                        yield blocks(keys, train, *map(np.concatenate, zip(*pieces)))
+                        pieces, held = [], 0
+            if held:
+                yield blocks(keys, train, *map(np.concatenate, zip(*pieces)))
+    return run
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+
+
+def refine(lp: np.ndarray, group: np.ndarray, kind: np.ndarray, train: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """Log-probabilities after one more context word: ``group`` numbers the
+    longer contexts, ``lp`` are the probabilities in their suffixes.  Contexts
+    that don't diverge, and tokens that aren't ``valid``, keep theirs."""
+    key = (group.astype(np.uint64) << np.uint64(21)) | kind.astype(np.uint64)
+    order = np.argsort(key)
+    first = _runs(key[order])
+    c = np.add.reduceat(train[order], first, dtype=np.float64)
+    of, log_q = group[order][first], lp[order][first]
+    q, m = np.exp(log_q), int(group.max()) + 1
+    n = np.bincount(of, c, m)
+    p, seen = (c + SMOOTHING * q) / (n[of] + SMOOTHING), c > 0
+
+    def total(x):
+        return np.bincount(of[seen], x[seen], m)
+
+    left_p, left_q = np.maximum(1 - total(p), 1e-12), np.maximum(1 - total(q), 1e-12)
+    gain = total(p * (np.log(p) - log_q)) + left_p * np.log(left_p / left_q)
+    keep = (n >= MIN_COUNT) & (n * gain >= COST * total(np.ones(len(c))) / 2 * np.log(np.maximum(n, 2)))
+    new = np.where(keep[of], np.where(seen, np.log(p), log_q + np.log(left_p / left_q)[of]), log_q)
+    out = np.empty(len(lp))
+    out[order] = np.repeat(new, np.diff(np.append(first, len(key))))
+    return np.where(valid, out, lp)
+
+
+def _score_part(shared):
+    """Count, test and score all contexts of one part."""
+    def run(table: pa.Table) -> pa.Table:
+        lexicon, tree, _ = shared.value
+        columns, keys, base = [], [], 0
+        for n_rows, n_groups, n, data in zip(*(table.column(c).to_pylist() for c in ("n_rows", "n_groups", "n", "data"))):
+            own, train, groups, times, state, second, third, kind, at = _unpack(
+                data, (np.int64, n_rows), (np.bool_, n_rows), (np.uint64, n_groups), (np.uint32, n_groups),
+                (np.int32, n_groups), (np.uint32, n), (np.uint32, n), (np.int32, n), (np.uint32, n))
+            columns.append((np.repeat(groups, times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base))
+            keys.append(own)
+            base += n_rows
+        group, state, second, third, kind, train, row = map(np.concatenate, zip(*columns))
+        del columns
+        order = np.lexsort((third, second, group))
+        group, state, second, third, kind, train, row = (x[order] for x in (group, state, second, third, kind, train, row))
+        lp = lexicon.log_prob(tree, state.astype(np.int64), kind.astype(np.int64))
+        fresh, valid = np.zeros(len(group), bool), np.ones(len(group), bool)
+        for level, values in enumerate((group, second, third)):
+            fresh[_runs(values)] = True
+            if level:
+                valid = values != 0
+            lp = refine(lp, np.cumsum(fresh) - 1, kind, train, valid)
+        lp -= np.where(kind == 0, lexicon.log_rare, 0.0)
+        return pa.table({"key": np.concatenate(keys), "s": np.bincount(row, lp, base) / np.log(10),
+                         "n": np.bincount(row, minlength=base).astype(np.int64)})
     return run
 
 
@@ -281,11 +465,11 @@ def scores(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score`` (log10) of every document."""
     spark = docs.sparkSession
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                        held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    train = docs.where(~held_out(F.col("doc_id")))
-    counts = common.stored(train.select(F.col("text").cast("string").alias("text"))
-                           .mapInArrow(_count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
+    text = F.col("text").cast("string")
+    texts = docs.select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
+                        held_out(F.col("doc_id")).alias("held_out"), text.alias("text"))
+    train = texts.where("not held_out").select("text")
+    counts = common.stored(train.mapInArrow(_count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
     size, total = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     n_train = train.count()
     size, total = size + (n_train > 0), total + n_train
@@ -294,27 +478,35 @@ def scores(docs: DataFrame) -> DataFrame:
     words = rows.column("h").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(words)
     words, common_counts = words[order], rows.column("c").to_numpy()[order].astype(float)
-    is_symbol = common_counts >= P_MIN * total
+    least = max(P_MIN * total, MIN_COUNT)
+    is_symbol = common_counts >= least
     symbol = np.where(is_symbol, np.cumsum(is_symbol) + 1, OTHER)
-    streams = common.stored(texts.mapInArrow(_streams(spark.sparkContext.broadcast(
-        (words, common_counts, symbol, total, size, n_train))), _STREAM), "streams")
 
     root = np.empty(int(is_symbol.sum()) + 2)
     root[2:] = (common_counts[is_symbol] + 1) / (total + size + 1)
     root[END] = (n_train + 1) / (total + size + 1)
     root[OTHER] = max(1 - root[1:].sum(), 1 / (total + size + 1))
-    tree = _fit(streams, np.log(root), total)
-
-    scored = streams.drop("rare").mapInArrow(
-        _score(spark.sparkContext.broadcast(vars(tree))),
-        "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double")
-    rare = streams.select("row", "rare").where(F.octet_length("rare") > 0).mapInArrow(_rare_words, "row long, h long, times long")
+    root = np.log(root)
+    streams = common.stored(train.mapInArrow(_streams(spark.sparkContext.broadcast((words, symbol))), "stream binary"), "streams")
+    tree, head = _fit(streams, root, least)
+    common.drop_stored(streams)
+
+    shared = spark.sparkContext.broadcast((Lexicon(words, common_counts, symbol, total, size, n_train, root), tree, head))
+    scored = common.stored(texts.mapInArrow(_rows(shared), _ROW).withColumn("row", F.monotonically_increasing_id()), "rows")
+    parts = 1 + scored.agg(F.coalesce(F.sum("tail"), F.lit(0))).first()[0] // PART_TOKENS
+    tail = (common.spread(texts.select("key", "held_out", "text").mapInArrow(
+                _tail(shared, parts), "part int, n_rows int, n_groups int, n int, data binary"), "part")
+            .groupBy("part").applyInArrow(_score_part(shared), "key long, s double, n long")
+            .groupBy("key").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
+    rare = scored.select("row", "rare").where(F.octet_length("rare") > 0).mapInArrow(_rare_words, "row long, h long, times long")
     seen = counts.where(F.col("c") < COMMON * total)
     one = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(total + size + 1)))
     more = (rare.join(seen, "h", "left").groupBy("row")
             .agg(F.sum(one * F.col("times")).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("more_known")))
     zero = F.lit(0)
-    return scored.join(more, "row", "left").select(
+    # Equal rows share a key: each of them gets its part of the sum.
+    of_tail = F.coalesce(F.col("s") * F.col("tail") / F.col("n"), zero)
+    return scored.join(more, "row", "left").join(tail, "key", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", zero)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more", zero)).alias("score"))
+        (F.col("local") + of_tail + F.coalesce("more", zero)).alias("score"))
