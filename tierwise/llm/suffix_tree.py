@@ -29,8 +29,8 @@ Words with fewer than :data:`COMMON` of all tokens are predicted as one class,
 shared out by the unigram model; as contexts all words count.  All
 distributions sum to one over all words and one unknown word.  Counts of
 rarer words are joined by a shuffle; none of them can be a hot key.  Words are
-told apart by 64-bit hashes, the second and third word of a tail context by 32
-bits beside the 64 of its group.
+told apart by 64-bit hashes, in the tail by 44 bits within a part for a group's own
+words, and by 32 bits for the words before those.
 
 Texts are read in several passes, in which rows are known by a hash of
 ``doc_id`` and text; equal rows get equal scores.
@@ -243,17 +243,24 @@ def _fit(streams: DataFrame, root: np.ndarray, least: float) -> tuple[Tree, list
 class Lexicon:
     """What all tasks know: the common words and the head of the tree.  A token
     has a class: 0 for words that are not common, 1 for the end, 2, 3, ... for
-    the common words."""
+    the common words by falling count (small numbers pack well)."""
 
     def __init__(self, words, counts, symbol, total, size, docs, root):
-        self.words, self.symbol = words, np.concatenate([[OTHER, END], symbol]).astype(np.int64)
-        self.log_base = np.log((np.concatenate([[0, docs], counts]) + 1.0) / (total + size + 1.0))
+        by_count = np.argsort(-counts, kind="stable")
+        self.words, self.kinds = words, np.empty(len(words), np.int64)
+        self.kinds[by_count] = np.arange(len(words)) + 2
+        self.symbol = np.concatenate([[OTHER, END], symbol[by_count]]).astype(np.int64)
+        self.log_base = np.log((np.concatenate([[0, docs], counts[by_count]]) + 1.0) / (total + size + 1.0))
         rare = max(1 - np.exp(self.log_base[1:]).sum(), 1 / (total + size + 1.0))
         self.log_rare, self.docs = np.log(rare), docs
         # Within OTHER a word has its share of the unigram model.
         share = np.append(self.log_rare, self.log_base[1:]) - root[OTHER]
         self.share = np.where(self.symbol == OTHER, share, 0.0)
 
+    def kind(self, hashes: np.ndarray) -> np.ndarray:
+        at = _lookup(self.words, hashes)
+        return np.where(at >= 0, self.kinds[at], 0) if len(self.words) else np.zeros(len(hashes), np.int64)
+
     def log_prob(self, tree: Tree, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
         return tree.log_prob(state, self.symbol[kind]) + self.share[kind]
 
@@ -277,8 +284,7 @@ def _tokens(text, lexicon: Lexicon, tree: Tree, head: list[np.ndarray]):
         is_word[ends] = False
         word[is_word] = hashes[bounds[0]:bounds[-1]]
         kind = np.full(len(word), END, np.int64)
-        kind[is_word] = np.maximum(_lookup(lexicon.words, word[is_word]) + 2, 1)
-        kind[is_word & (kind == END)] = 0
+        kind[is_word] = lexicon.kind(word[is_word])
         sym = lexicon.symbol[kind].astype(np.uint16)
         row = np.repeat(np.arange(first, last), n)
         length = np.minimum(np.arange(len(word)) - np.repeat(ends - n + 1, n), DEPTH)
@@ -328,31 +334,42 @@ _ROW = ("key long, doc_id long, held_out boolean, rare binary, n_tokens long, kn
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    raw = b"".join(a.tobytes() for a in arrays)
+    """Arrays one after the other, each by bytes of equal weight, compressed."""
+    raw = b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
     raw, at, out = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), 0, []
     for kind, n in kinds:
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += out[-1].nbytes
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * width
     return out
 
 
 def _tail(shared, parts: int):
-    """Tokens of the tail, sorted and packed by part."""
+    """Tokens of the tail, sorted by group and packed by part.  Parts are equal
+    ranges of the groups' hashes, of which 44 bits within a part are kept."""
+    spare = np.uint64(max(0, 20 - parts.bit_length()))
+
     def blocks(keys, train, group, state, second, third, kind, row):
-        part = (group % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((kind, third, second, group, part))
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        order = np.argsort(group)
+        group, state, second, third, kind, row = (x[order] for x in (group, state, second, third, kind, row))
+        part = np.minimum((group.astype(np.float64) * (parts / 2.0 ** 64)).astype(np.int64), parts - 1)
+        cuts = np.searchsorted(part, np.arange(parts + 1))
         out = []
         for p in np.flatnonzero(np.diff(cuts)):
-            o = order[cuts[p]:cuts[p + 1]]
-            rows, at = np.unique(row[o], return_inverse=True)
-            groups, first, times = np.unique(group[o], return_index=True, return_counts=True)
-            out.append((int(p), len(rows), len(groups), len(o), _pack(
-                keys[rows], train[rows], groups, times.astype(np.uint32), state[o][first].astype(np.int32),
+            o = slice(cuts[p], cuts[p + 1])
+            used = np.zeros(len(keys), bool)
+            used[row[o]] = True
+            at = (np.cumsum(used) - 1)[row[o]]
+            first = _runs(group[o])
+            times = np.diff(np.append(first, len(at)))
+            steps = np.diff(group[o][first] >> spare, prepend=np.uint64(0))
+            out.append((int(p), int(used.sum()), len(first), len(at), _pack(
+                keys[used], train[used], steps, times.astype(np.uint32), state[o][first].astype(np.int32),
                 second[o], third[o], kind[o].astype(np.int32), at.astype(np.uint32))))
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
@@ -368,18 +385,19 @@ def _tail(shared, parts: int):
                 t = np.flatnonzero(inside < length)
                 if not len(t):
                     continue
-                before = np.stack([_behind(word, k) for k in range(1, DEPTH + 1)])
+                # A context word is its class, or 32 bits of its hash.
+                name = np.where(kind > END, kind.astype(np.uint64), (word >> np.uint64(32)) | np.uint64(1 << 31)).astype(np.uint32)
                 depth = inside[t]
                 group = np.zeros(len(t), np.uint64)
                 for k in range(DEPTH):
-                    group = np.where(k <= depth, common.mix(group * np.uint64(0x9E3779B97F4A7C15) + before[k, t]), group)
+                    group = np.where(k <= depth, common.mix(group * np.uint64(0x9E3779B97F4A7C15) + _behind(word, k + 1)[t]), group)
+                group = (group >> spare) << spare
                 # Up to two more words before the group's own; 0 for none.
-                more = [np.where(depth + j < length[t],
-                                 (before[np.minimum(depth + j, DEPTH - 1), t] >> np.uint64(32)) | np.uint64(1), 0).astype(np.uint32)
-                        for j in (1, 2)]
+                more = [np.where(depth + j < length[t], name[np.maximum(t - depth - j - 1, 0)], 0).astype(np.uint32) for j in (1, 2)]
+                row, kind, state = row[t].astype(np.int32), kind[t].astype(np.int32), state[t].astype(np.int32)
                 for lo in range(0, len(t), BLOCK_TOKENS):
                     cut = slice(lo, lo + BLOCK_TOKENS)
-                    pieces.append((group[cut], state[t][cut], more[0][cut], more[1][cut], kind[t][cut], row[t][cut]))
+                    pieces.append((group[cut], state[cut], more[0][cut], more[1][cut], kind[cut], row[cut]))
                     held += len(pieces[-1][0])
                     if held >= BLOCK_TOKENS:
                         yield blocks(keys, train, *map(np.concatenate, zip(*pieces)))
@@ -424,23 +442,21 @@ def _score_part(shared):
         lexicon, tree, _ = shared.value
         columns, keys, base = [], [], 0
         for n_rows, n_groups, n, data in zip(*(table.column(c).to_pylist() for c in ("n_rows", "n_groups", "n", "data"))):
-            own, train, groups, times, state, second, third, kind, at = _unpack(
+            own, train, steps, times, state, second, third, kind, at = _unpack(
                 data, (np.int64, n_rows), (np.bool_, n_rows), (np.uint64, n_groups), (np.uint32, n_groups),
                 (np.int32, n_groups), (np.uint32, n), (np.uint32, n), (np.int32, n), (np.uint32, n))
-            columns.append((np.repeat(groups, times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base))
+            columns.append((np.repeat(np.cumsum(steps, dtype=np.uint64), times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base))
             keys.append(own)
             base += n_rows
         group, state, second, third, kind, train, row = map(np.concatenate, zip(*columns))
         del columns
-        order = np.lexsort((third, second, group))
-        group, state, second, third, kind, train, row = (x[order] for x in (group, state, second, third, kind, train, row))
         lp = lexicon.log_prob(tree, state.astype(np.int64), kind.astype(np.int64))
-        fresh, valid = np.zeros(len(group), bool), np.ones(len(group), bool)
-        for level, values in enumerate((group, second, third)):
-            fresh[_runs(values)] = True
-            if level:
-                valid = values != 0
-            lp = refine(lp, np.cumsum(fresh) - 1, kind, train, valid)
+        del state
+        context = np.unique(group, return_inverse=True)[1]
+        lp = refine(lp, context, kind, train, np.ones(len(lp), bool))
+        for word in (second, third):
+            context = np.unique((context.astype(np.uint64) << np.uint64(32)) | word, return_inverse=True)[1]
+            lp = refine(lp, context, kind, train, word != 0)
         lp -= np.where(kind == 0, lexicon.log_rare, 0.0)
         return pa.table({"key": np.concatenate(keys), "s": np.bincount(row, lp, base) / np.log(10),
                          "n": np.bincount(row, minlength=base).astype(np.int64)})
