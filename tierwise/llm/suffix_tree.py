@@ -19,8 +19,9 @@ input.  Two tiers hold them:
 * The tail, all other contexts.  A token goes, with its context, to the group of
   its shortest context outside the head, which has fewer than P_MIN of all
   training tokens.  All longer contexts of the token end in that one, so the
-  whole branch is counted, tested and scored in one place, and only one partial
-  sum a document comes back.  Groups are hashed into parts of about
+  whole branch is counted, tested and scored in one place.  Tokens travel in
+  packed blocks, and the sums of a block's documents come back in one row a
+  part.  Groups are hashed into parts of about
   :data:`PART_TOKENS` tokens, whose number grows with the input.  A task holds
   one part, and so at least its largest group: beyond 1e11 tokens P_MIN has to
   be lowered for groups to stay within a part's memory.
@@ -57,7 +58,7 @@ SMOOTHING = 20.0
 MIN_COUNT = 2
 #: An entry of a state costs so many times half the logarithm of its count.
 COST = 1.0
-PART_TOKENS = 2_000_000
+PART_TOKENS = 1_000_000
 BLOCK_TOKENS = 1_000_000
 HELD_MODULUS, HELD_REMAINDER = 7, 2
 
@@ -349,12 +350,17 @@ def _unpack(data: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
     return out
 
 
+def _block(keys: np.ndarray, number: int) -> int:
+    """A name for the tokens packed together, so that their sums meet again."""
+    return int(common.mix(keys[:1].view(np.uint64) + np.uint64(number)).view(np.int64)[0])
+
+
 def _tail(shared, parts: int):
     """Tokens of the tail, sorted by group and packed by part.  Parts are equal
     ranges of the groups' hashes, of which 44 bits within a part are kept."""
     spare = np.uint64(max(0, 20 - parts.bit_length()))
 
-    def blocks(keys, train, group, state, second, third, kind, row):
+    def blocks(block, keys, train, group, state, second, third, kind, row):
         order = np.argsort(group)
         group, state, second, third, kind, row = (x[order] for x in (group, state, second, third, kind, row))
         part = np.minimum((group.astype(np.float64) * (parts / 2.0 ** 64)).astype(np.int64), parts - 1)
@@ -368,19 +374,19 @@ def _tail(shared, parts: int):
             first = _runs(group[o])
             times = np.diff(np.append(first, len(at)))
             steps = np.diff(group[o][first] >> spare, prepend=np.uint64(0))
-            out.append((int(p), int(used.sum()), len(first), len(at), _pack(
+            out.append((int(p), block, int(used.sum()), len(first), len(at), _pack(
                 keys[used], train[used], steps, times.astype(np.uint32), state[o][first].astype(np.int32),
                 second[o], third[o], kind[o].astype(np.int32), at.astype(np.uint32))))
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
-            names=["part", "n_rows", "n_groups", "n", "data"])
+            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
+            names=["part", "block", "n_rows", "n_groups", "n", "data"])
 
     def run(batches):
         lexicon, tree, head = shared.value
         for batch in batches:
             keys = batch.column("key").to_numpy()
             train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-            pieces, held = [], 0
+            pieces, held, number = [], 0, 0
             for row, word, kind, state, inside, length in _tokens(batch.column("text"), lexicon, tree, head):
                 t = np.flatnonzero(inside < length)
                 if not len(t):
@@ -400,10 +406,10 @@ def _tail(shared, parts: int):
                     pieces.append((group[cut], state[cut], more[0][cut], more[1][cut], kind[cut], row[cut]))
                     held += len(pieces[-1][0])
                     if held >= BLOCK_TOKENS:
-                        yield blocks(keys, train, *map(np.concatenate, zip(*pieces)))
-                        pieces, held = [], 0
+                        yield blocks(_block(keys, number), keys, train, *map(np.concatenate, zip(*pieces)))
+                        pieces, held, number = [], 0, number + 1
             if held:
-                yield blocks(keys, train, *map(np.concatenate, zip(*pieces)))
+                yield blocks(_block(keys, number), keys, train, *map(np.concatenate, zip(*pieces)))
     return run
 
 
@@ -437,17 +443,18 @@ def refine(lp: np.ndarray, group: np.ndarray, kind: np.ndarray, train: np.ndarra
 
 
 def _score_part(shared):
-    """Count, test and score all contexts of one part."""
+    """Count, test and score all contexts of one part; one row a block, with
+    the sums of its documents."""
     def run(table: pa.Table) -> pa.Table:
         lexicon, tree, _ = shared.value
-        columns, keys, base = [], [], 0
+        columns, keys, base = [], [], [0]
         for n_rows, n_groups, n, data in zip(*(table.column(c).to_pylist() for c in ("n_rows", "n_groups", "n", "data"))):
             own, train, steps, times, state, second, third, kind, at = _unpack(
                 data, (np.int64, n_rows), (np.bool_, n_rows), (np.uint64, n_groups), (np.uint32, n_groups),
                 (np.int32, n_groups), (np.uint32, n), (np.uint32, n), (np.int32, n), (np.uint32, n))
-            columns.append((np.repeat(np.cumsum(steps, dtype=np.uint64), times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base))
+            columns.append((np.repeat(np.cumsum(steps, dtype=np.uint64), times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base[-1]))
             keys.append(own)
-            base += n_rows
+            base.append(base[-1] + n_rows)
         group, state, second, third, kind, train, row = map(np.concatenate, zip(*columns))
         del columns
         lp = lexicon.log_prob(tree, state.astype(np.int64), kind.astype(np.int64))
@@ -458,11 +465,21 @@ def _score_part(shared):
             context = np.unique((context.astype(np.uint64) << np.uint64(32)) | word, return_inverse=True)[1]
             lp = refine(lp, context, kind, train, word != 0)
         lp -= np.where(kind == 0, lexicon.log_rare, 0.0)
-        return pa.table({"key": np.concatenate(keys), "s": np.bincount(row, lp, base) / np.log(10),
-                         "n": np.bincount(row, minlength=base).astype(np.int64)})
+        sums, n = np.bincount(row, lp, base[-1]) / np.log(10), np.bincount(row, minlength=base[-1]).astype(np.uint32)
+        return pa.table({"block": table.column("block"), "n_rows": table.column("n_rows"),
+                         "data": pa.array([_pack(k, sums[lo:hi], n[lo:hi]) for k, lo, hi in zip(keys, base, base[1:])], pa.binary())})
     return run
 
 
+def _sum_block(table: pa.Table) -> pa.Table:
+    """The sums of one block's documents over all parts."""
+    keys, sums, counts = zip(*(_unpack(data, (np.int64, n), (np.float64, n), (np.uint32, n)) for data, n in zip(
+        table.column("data").to_pylist(), table.column("n_rows").to_pylist())))
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return pa.table({"key": key, "s": np.bincount(at, np.concatenate(sums), len(key)),
+                     "n": np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)})
+
+
 def _rare_words(batches):
     for batch in batches:
         rows, words, times = [], [], []
@@ -510,9 +527,10 @@ def scores(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((Lexicon(words, common_counts, symbol, total, size, n_train, root), tree, head))
     scored = common.stored(texts.mapInArrow(_rows(shared), _ROW).withColumn("row", F.monotonically_increasing_id()), "rows")
     parts = 1 + scored.agg(F.coalesce(F.sum("tail"), F.lit(0))).first()[0] // PART_TOKENS
-    tail = (common.spread(texts.select("key", "held_out", "text").mapInArrow(
-                _tail(shared, parts), "part int, n_rows int, n_groups int, n int, data binary"), "part")
-            .groupBy("part").applyInArrow(_score_part(shared), "key long, s double, n long")
+    tokens = texts.select("key", "held_out", "text").mapInArrow(
+        _tail(shared, parts), "part int, block long, n_rows int, n_groups int, n int, data binary")
+    sums = common.spread(tokens, "part").groupBy("part").applyInArrow(_score_part(shared), "block long, n_rows int, data binary")
+    tail = (sums.groupBy("block").applyInArrow(_sum_block, "key long, s double, n long")
             .groupBy("key").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
     rare = scored.select("row", "rare").where(F.octet_length("rare") > 0).mapInArrow(_rare_words, "row long, h long, times long")
     seen = counts.where(F.col("c") < COMMON * total)
