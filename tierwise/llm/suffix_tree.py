@@ -45,6 +45,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -352,7 +353,8 @@ def _unpack(data: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
 
 def _block(keys: np.ndarray, number: int) -> int:
     """A name for the tokens packed together, so that their sums meet again."""
-    return int(common.mix(keys[:1].view(np.uint64) + np.uint64(number)).view(np.int64)[0])
+    mixed = common.mix(keys.view(np.uint64) + np.arange(len(keys), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return int(common.mix(mixed.sum(dtype=np.uint64, keepdims=True) + np.uint64(number)).view(np.int64)[0])
 
 
 def _tail(shared, parts: int):
@@ -365,7 +367,8 @@ def _tail(shared, parts: int):
         group, state, second, third, kind, row = (x[order] for x in (group, state, second, third, kind, row))
         part = np.minimum((group.astype(np.float64) * (parts / 2.0 ** 64)).astype(np.int64), parts - 1)
         cuts = np.searchsorted(part, np.arange(parts + 1))
-        out = []
+        # The keys go once, through any part, to where the block's sums meet.
+        out = [(block % parts, block, len(keys), 0, 0, _pack(keys))]
         for p in np.flatnonzero(np.diff(cuts)):
             o = slice(cuts[p], cuts[p + 1])
             used = np.zeros(len(keys), bool)
@@ -375,7 +378,7 @@ def _tail(shared, parts: int):
             times = np.diff(np.append(first, len(at)))
             steps = np.diff(group[o][first] >> spare, prepend=np.uint64(0))
             out.append((int(p), block, int(used.sum()), len(first), len(at), _pack(
-                keys[used], train[used], steps, times.astype(np.uint32), state[o][first].astype(np.int32),
+                np.flatnonzero(used).astype(np.uint32), train[used], steps, times.astype(np.uint32), state[o][first].astype(np.int32),
                 second[o], third[o], kind[o].astype(np.int32), at.astype(np.uint32))))
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
@@ -447,13 +450,18 @@ def _score_part(shared):
     the sums of its documents."""
     def run(table: pa.Table) -> pa.Table:
         lexicon, tree, _ = shared.value
-        columns, keys, base = [], [], [0]
+        places, columns, base = [], [], [0]
+        out = [(b, n_rows, True, data) for b, n_rows, n, data in zip(*(
+            table.column(c).to_pylist() for c in ("block", "n_rows", "n", "data"))) if not n]
+        table = table.filter(pa.compute.greater(table.column("n"), 0))
+        if not len(table):
+            return _sums(out)
         for n_rows, n_groups, n, data in zip(*(table.column(c).to_pylist() for c in ("n_rows", "n_groups", "n", "data"))):
             own, train, steps, times, state, second, third, kind, at = _unpack(
-                data, (np.int64, n_rows), (np.bool_, n_rows), (np.uint64, n_groups), (np.uint32, n_groups),
+                data, (np.uint32, n_rows), (np.bool_, n_rows), (np.uint64, n_groups), (np.uint32, n_groups),
                 (np.int32, n_groups), (np.uint32, n), (np.uint32, n), (np.int32, n), (np.uint32, n))
             columns.append((np.repeat(np.cumsum(steps, dtype=np.uint64), times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base[-1]))
-            keys.append(own)
+            places.append(own)
             base.append(base[-1] + n_rows)
         group, state, second, third, kind, train, row = map(np.concatenate, zip(*columns))
         del columns
@@ -466,18 +474,29 @@ def _score_part(shared):
             lp = refine(lp, context, kind, train, word != 0)
         lp -= np.where(kind == 0, lexicon.log_rare, 0.0)
         sums, n = np.bincount(row, lp, base[-1]) / np.log(10), np.bincount(row, minlength=base[-1]).astype(np.uint32)
-        return pa.table({"block": table.column("block"), "n_rows": table.column("n_rows"),
-                         "data": pa.array([_pack(k, sums[lo:hi], n[lo:hi]) for k, lo, hi in zip(keys, base, base[1:])], pa.binary())})
+        blocks = table.column("block").to_pylist()
+        return _sums(out + [(b, len(own), False, _pack(own, sums[lo:hi], n[lo:hi]))
+                            for b, own, lo, hi in zip(blocks, places, base, base[1:])])
     return run
 
 
+def _sums(rows) -> pa.Table:
+    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "n_rows", "is_keys", "data"])
+
+
 def _sum_block(table: pa.Table) -> pa.Table:
-    """The sums of one block's documents over all parts."""
-    keys, sums, counts = zip(*(_unpack(data, (np.int64, n), (np.float64, n), (np.uint32, n)) for data, n in zip(
-        table.column("data").to_pylist(), table.column("n_rows").to_pylist())))
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return pa.table({"key": key, "s": np.bincount(at, np.concatenate(sums), len(key)),
-                     "n": np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)})
+    """The sums of one block's documents over all parts.  Blocks of equal name
+    hold the same documents in the same order."""
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("n_rows", "is_keys", "data"))))
+    keys = next(_unpack(data, (np.int64, n))[0] for n, is_keys, data in rows if is_keys)
+    s, count = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+    for n, is_keys, data in rows:
+        if not is_keys:
+            place, sums, times = _unpack(data, (np.uint32, n), (np.float64, n), (np.uint32, n))
+            s[place] += sums
+            count[place] += times
+    return pa.table({"key": keys[count > 0], "s": s[count > 0], "n": count[count > 0]})
 
 
 def _rare_words(batches):
@@ -529,7 +548,7 @@ def scores(docs: DataFrame) -> DataFrame:
     parts = 1 + scored.agg(F.coalesce(F.sum("tail"), F.lit(0))).first()[0] // PART_TOKENS
     tokens = texts.select("key", "held_out", "text").mapInArrow(
         _tail(shared, parts), "part int, block long, n_rows int, n_groups int, n int, data binary")
-    sums = common.spread(tokens, "part").groupBy("part").applyInArrow(_score_part(shared), "block long, n_rows int, data binary")
+    sums = common.spread(tokens, "part").groupBy("part").applyInArrow(_score_part(shared), "block long, n_rows int, is_keys boolean, data binary")
     tail = (sums.groupBy("block").applyInArrow(_sum_block, "key long, s double, n long")
             .groupBy("key").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
     rare = scored.select("row", "rare").where(F.octet_length("rare") > 0).mapInArrow(_rare_words, "row long, h long, times long")
