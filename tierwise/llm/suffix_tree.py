@@ -336,21 +336,38 @@ _ROW = ("key long, doc_id long, held_out boolean, rare binary, n_tokens long, kn
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays one after the other, each by bytes of equal weight, compressed."""
-    raw = b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    """Arrays one after the other, their bytes of equal weight together, each
+    such plane with its length: compressed by itself, as it is if that doesn't
+    help, or nothing if all are zero."""
+    out = []
+    for a in arrays:
+        for plane in a.view(np.uint8).reshape(len(a), a.itemsize).T:
+            raw = plane.tobytes() if plane.any() else b""
+            small = pa.compress(raw, codec="zstd", asbytes=True) if raw else raw
+            best = min(raw, small, key=len)
+            out += [len(best).to_bytes(4, "little"), best]
+    return b"".join(out)
 
 
 def _unpack(data: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
-    raw, at, out = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), 0, []
+    at, out = 0, []
     for kind, n in kinds:
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
-        at += n * width
+        planes = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+        for k in range(planes.shape[1]):
+            size = int.from_bytes(data[at:at + 4], "little")
+            raw = data[at + 4:at + 4 + size]
+            if size:
+                planes[:, k] = np.frombuffer(raw if size == n else pa.decompress(raw, n, codec="zstd", asbytes=True), np.uint8)
+            at += 4 + size
+        out.append(planes.view(kind).reshape(n))
     return out
 
 
+def _steps(places: np.ndarray) -> np.ndarray:
+    """Rising places as steps, which pack better; cumsum gives them back."""
+    return np.diff(places, prepend=0).astype(np.uint32)
+
+
 def _block(keys: np.ndarray, number: int) -> int:
     """A name for the tokens packed together, so that their sums meet again."""
     mixed = common.mix(keys.view(np.uint64) + np.arange(len(keys), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -367,8 +384,8 @@ def _tail(shared, parts: int):
         group, state, second, third, kind, row = (x[order] for x in (group, state, second, third, kind, row))
         part = np.minimum((group.astype(np.float64) * (parts / 2.0 ** 64)).astype(np.int64), parts - 1)
         cuts = np.searchsorted(part, np.arange(parts + 1))
-        # The keys go once, through any part, to where the block's sums meet.
-        out = [(block % parts, block, len(keys), 0, 0, _pack(keys))]
+        # The keys and numbers of tokens go once, through any part, to where the block's sums meet.
+        out = [(block % parts, block, len(keys), 0, 0, _pack(keys, np.bincount(row, minlength=len(keys)).astype(np.uint32)))]
         for p in np.flatnonzero(np.diff(cuts)):
             o = slice(cuts[p], cuts[p + 1])
             used = np.zeros(len(keys), bool)
@@ -378,7 +395,7 @@ def _tail(shared, parts: int):
             times = np.diff(np.append(first, len(at)))
             steps = np.diff(group[o][first] >> spare, prepend=np.uint64(0))
             out.append((int(p), block, int(used.sum()), len(first), len(at), _pack(
-                np.flatnonzero(used).astype(np.uint32), train[used], steps, times.astype(np.uint32), state[o][first].astype(np.int32),
+                _steps(np.flatnonzero(used)), train[used], steps, times.astype(np.uint32), state[o][first].astype(np.int32),
                 second[o], third[o], kind[o].astype(np.int32), at.astype(np.uint32))))
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
@@ -461,7 +478,7 @@ def _score_part(shared):
                 data, (np.uint32, n_rows), (np.bool_, n_rows), (np.uint64, n_groups), (np.uint32, n_groups),
                 (np.int32, n_groups), (np.uint32, n), (np.uint32, n), (np.int32, n), (np.uint32, n))
             columns.append((np.repeat(np.cumsum(steps, dtype=np.uint64), times), np.repeat(state, times), second, third, kind, train[at], at.astype(np.int64) + base[-1]))
-            places.append(own)
+            places.append(own)  # as steps, which go on as they came
             base.append(base[-1] + n_rows)
         group, state, second, third, kind, train, row = map(np.concatenate, zip(*columns))
         del columns
@@ -473,9 +490,10 @@ def _score_part(shared):
             context = np.unique((context.astype(np.uint64) << np.uint64(32)) | word, return_inverse=True)[1]
             lp = refine(lp, context, kind, train, word != 0)
         lp -= np.where(kind == 0, lexicon.log_rare, 0.0)
-        sums, n = np.bincount(row, lp, base[-1]) / np.log(10), np.bincount(row, minlength=base[-1]).astype(np.uint32)
+        # A part's sum of one document travels in single precision (relative error 6e-8).
+        sums = (np.bincount(row, lp, base[-1]) / np.log(10)).astype(np.float32)
         blocks = table.column("block").to_pylist()
-        return _sums(out + [(b, len(own), False, _pack(own, sums[lo:hi], n[lo:hi]))
+        return _sums(out + [(b, len(own), False, _pack(own, sums[lo:hi]))
                             for b, own, lo, hi in zip(blocks, places, base, base[1:])])
     return run
 
@@ -489,13 +507,14 @@ def _sum_block(table: pa.Table) -> pa.Table:
     """The sums of one block's documents over all parts.  Blocks of equal name
     hold the same documents in the same order."""
     rows = list(zip(*(table.column(c).to_pylist() for c in ("n_rows", "is_keys", "data"))))
-    keys = next(_unpack(data, (np.int64, n))[0] for n, is_keys, data in rows if is_keys)
-    s, count = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+    named = [_unpack(data, (np.int64, n), (np.uint32, n)) for n, is_keys, data in rows if is_keys]
+    # Blocks of equal name add up: as many tokens as sums.
+    keys, count = named[0][0], sum(times.astype(np.int64) for _, times in named)
+    s = np.zeros(len(keys))
     for n, is_keys, data in rows:
         if not is_keys:
-            place, sums, times = _unpack(data, (np.uint32, n), (np.float64, n), (np.uint32, n))
-            s[place] += sums
-            count[place] += times
+            steps, sums = _unpack(data, (np.uint32, n), (np.float32, n))
+            s[np.cumsum(steps, dtype=np.int64)] += sums
     return pa.table({"key": keys[count > 0], "s": s[count > 0], "n": count[count > 0]})
 
 
