@@ -346,6 +346,35 @@ def test_families_far_from_their_hub(spark, monkeypatch, pivots):
     assert len(set(want.values())) > 3
 
 
+def test_sketches_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for shared, left, right in ((0, 0, 9), (40, 3, 0), (200, 60, 80), (5, 700, 900)):
+        x, y, z = (rng.integers(0, 2 ** 63, n, dtype=np.uint64) for n in (shared, left, right))
+        a, b = near_dup._sketch(np.concatenate([x, y])), near_dup._sketch(np.concatenate([z, x]))
+        bits = sum(int(v).bit_count() for v in a ^ b)
+        assert bits <= left + right and (bits > 0) == (left + right > 0)
+
+
+def test_members_that_share_a_difference_only_are_not_compared(spark, monkeypatch):
+    """Copies with many edits, each from few words: any two share a difference
+    from the base somewhere, none link with each other."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    docs = [" ".join(base)] + [" ".join(edited(rng, base, 1)) for _ in range(30)]
+    for _ in range(90):
+        words = list(base)
+        for k in rng.sample(range(75), 6):
+            words[2 * k] = f"c{rng.randrange(3)}"
+        docs.append(" ".join(words))
+    compared = []
+    with_texts = near_dup._with_texts
+    monkeypatch.setattr(near_dup, "_with_texts", lambda p, t: compared.append(p.count()) or with_texts(p, t))
+    rows = list(enumerate(docs))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows)
+    assert sum(compared[1:]) < 3 * len(docs)
+
+
 # ------------------------------------------------------------- mixing, lines
 
 def test_lots_are_even_whatever_the_finish_times(spark, monkeypatch):

@@ -29,8 +29,11 @@ Copies are never paired off with each other:
    that link are merged, and the next round takes the next member.  Copies of a
    variant far from the hub so become one component in the first round.  After
    :data:`PIVOTS` rounds the pairs across components that are still open are
-   compared outright.  All links are confirmed on full sets, and none is lost:
-   every pair of a bucket is compared or is in one component already.
+   compared outright.  Members that merely share a difference are told apart
+   before: each carries a sketch of its differences, and two sketches differ in
+   at most as many bits as the texts differ in shingles.  All links are confirmed
+   on full sets, and none is lost: every pair of a bucket is compared, is in one
+   component already or differs by more than a link may.
 
 Components come from alternating large-star / small-star rounds on stored
 edge tables.
@@ -61,6 +64,8 @@ NEAR_PERCENT, FAR_PERCENT = 50, 65
 PIVOTS = 3
 #: Shingle hashes that a task keeps while it confirms links (32 MB).
 HELD = 4_000_000
+#: Words of 64 bits in a sketch of a member's differences from its hub.
+SKETCH = 8
 
 
 def _seeds(count: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,9 +132,19 @@ def _fine_bands(batches):
                 names=["cls", "n_shingles", "key"])
 
 
+def _sketch(apart: np.ndarray) -> np.ndarray:
+    """The parity, bit by bit, of the hashes that fall on it: what two sets have
+    in common cancels out, so their sketches differ in at most as many bits as
+    the sets in elements."""
+    out = np.zeros(SKETCH, np.uint64)
+    bit = common.mix(apart) >> np.uint64(7)
+    np.bitwise_xor.at(out, (bit >> np.uint64(6)).astype(np.int64) % SKETCH, np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
 def _compare(batches):
-    """(a, b, text_a, text_b) -> (a, b, sizes, intersection, differences):
-    the signed hashes by which b differs from a, if they are near."""
+    """(a, b, text_a, text_b) -> (a, b, sizes, intersection, differences, their
+    sketch): the signed hashes by which b differs from a, if they are near."""
     sets: dict[bytes, np.ndarray] = {}
     held = 0
 
@@ -145,7 +160,7 @@ def _compare(batches):
         return own
 
     for batch in batches:
-        sizes_a, sizes_b, both, apart = [], [], [], []
+        sizes_a, sizes_b, both, apart, sketches = [], [], [], [], []
         for a, b, ta, tb in zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b"))):
             left, right = of(a.as_py(), ta.as_py()), of(b.as_py(), tb.as_py())
             at = np.searchsorted(left, right)
@@ -157,12 +172,16 @@ def _compare(batches):
             if 100 * n >= NEAR_PERCENT * (len(left) + len(right) - n):
                 gone = np.ones(len(left), bool)
                 gone[at[inside]] = False
-                apart.append(np.concatenate([left[gone], common.mix(right[~inside])]).view(np.int64))
+                own = np.concatenate([left[gone], common.mix(right[~inside])])
+                apart.append(own.view(np.int64))
+                sketches.append(_sketch(own).view(np.int64))
             else:
                 apart.append(np.empty(0, np.int64))
+                sketches.append(None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), *(pa.array(x, pa.int64()) for x in (sizes_a, sizes_b, both)),
-             pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "n", "apart"])
+             pa.array(apart, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
+            names=["a", "b", "na", "nb", "n", "apart", "sketch"])
 
 
 def _links(batches):
@@ -176,7 +195,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs ``(a, b)`` of classes with the sizes of their full shingle
     sets, the intersection and the differences."""
     return common.stored(_with_texts(pairs, texts).mapInArrow(
-        _compare, "a binary, b binary, na long, nb long, n long, apart array<bigint>"), name)
+        _compare, "a binary, b binary, na long, nb long, n long, apart array<bigint>, sketch array<bigint>"), name)
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -190,8 +209,8 @@ def _similar(percent: int) -> Column:
 
 
 def _by_difference(seen: DataFrame) -> DataFrame:
-    """Buckets (``key``, ``b``, ``nb``, ``linked``, ``half``) of members near a
-    common hub that may link though one of them does not link to the hub.
+    """Buckets (``key`` and :data:`MEMBER`) of members near a common hub that may
+    link though one of them does not link to the hub.
 
     With sizes x, y, h and differences from the hub dx, dy, a link of x and y
     needs an overlap of at least (dx + dy - S) / 2 of the differences, where
@@ -213,8 +232,10 @@ def _by_difference(seen: DataFrame) -> DataFrame:
     limit = F.floor(gap * (F.col("nb") + F.col("nb") * 100 / PERCENT) / whole) + 1
     least = F.greatest(F.lit(1), F.ceil((F.col("d") + gap * (F.col("na") - F.col("nb")) / whole) / 2 - 1e-9))
     half = F.col("place") <= F.col("d") - least + 1
-    return placed.where((F.col("place") <= limit) & (half | ~F.col("linked"))).select(
-        F.xxhash64("a", "e").alias("key"), "b", "nb", "d", "linked", half.alias("half"))
+    kept = placed.where((F.col("place") <= limit) & (half | ~F.col("linked")))
+    # One sketch a member, added where its rows lie together already.
+    return kept.join(seen.select("a", "b", "sketch"), ["a", "b"]).select(
+        F.xxhash64("a", "e").alias("key"), "b", "nb", "d", "linked", half.alias("half"), "sketch")
 
 
 def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
@@ -227,14 +248,23 @@ def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(_fine_bands, "cls binary, n_shingles long, key long"))
     return far.withColumnRenamed("b", "cls").join(mine, "cls").select(
         F.xxhash64("a", "key").alias("key"), F.col("cls").alias("b"), F.col("n_shingles").alias("nb"),
-        F.lit(None).cast("long").alias("d"), F.lit(False).alias("linked"), F.lit(True).alias("half"))
+        F.lit(None).cast("long").alias("d"), F.lit(False).alias("linked"), F.lit(True).alias("half"),
+        F.lit(None).cast("array<bigint>").alias("sketch"))
+
+
+#: What a bucket holds of a member: class, size, distance from the hub, whether
+#: it links to the hub, on which side of a pair it may be, and its sketch.
+MEMBER = ("b", "nb", "d", "linked", "half", "sketch")
 
 
 def _may_link(x: str, y: str) -> Column:
-    """Whether two members of a bucket may link, by its rule and their sizes."""
+    """Whether two members of a bucket may link, by its rule, their sizes and
+    their sketches."""
     meet = lambda u, v: ~F.col(f"{u}.linked") & F.col(f"{v}.half")
     # Two texts differ by at least what their distances from the hub differ by.
     apart = F.coalesce(F.abs(F.col(f"{x}.d") - F.col(f"{y}.d")), F.lit(0))
+    bits = [F.bit_count(F.col(f"{x}.sketch")[i].bitwiseXOR(F.col(f"{y}.sketch")[i])) for i in range(SKETCH)]
+    apart = F.greatest(apart, F.coalesce(sum(bits[1:], bits[0]), F.lit(0)))
     return ((meet(x, y) | meet(y, x))
             & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col(f"{x}.nb") + F.col(f"{y}.nb")))
             & (100 * F.least(f"{x}.nb", f"{y}.nb") >= PERCENT * F.greatest(f"{x}.nb", f"{y}.nb")))
@@ -245,7 +275,7 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
     bucket's members, found in rounds (see 4. above)."""
     found = []
     now = common.stored(buckets.join(comp, F.col("b") == F.col("node"), "left")
-                        .select("key", "b", "nb", "d", "linked", "half", F.coalesce("comp", "b").alias("comp")), "buckets")
+                        .select("key", *MEMBER, F.coalesce("comp", "b").alias("comp")), "buckets")
     for turn in range(PIVOTS + 1):
         # A pair needs one that is not linked to the hub and one that is half.
         u, h = F.when(~F.col("linked"), F.col("comp")), F.when(F.col("half"), F.col("comp"))
@@ -256,7 +286,7 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
             break
         x = members.alias("x")
         if turn < PIVOTS:
-            few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct("b", "nb", "d", "linked", "half")).alias("p"))
+            few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct(*MEMBER)).alias("p"))
             pivot = common.stored(few.groupBy("key").agg(F.min(F.struct("n", "comp", "p")).alias("q"))
                                   .select("key", "q.comp", "q.p.*"), "pivots")
             y = pivot.alias("y")
@@ -277,7 +307,7 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
                     .join(of.select("b", F.col("comp").alias("cb")), "b"))
             merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("comp", "into")
             now = (now.join(merged, F.col("comp") == F.col("node"), "left")
-                   .select("key", "b", "nb", "d", "linked", "half", F.coalesce("into", "comp").alias("comp")))
+                   .select("key", *MEMBER, F.coalesce("into", "comp").alias("comp")))
         now = common.stored(now, "buckets")
         common.drop_stored(members, pivot)
     return found
