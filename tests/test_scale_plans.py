@@ -84,3 +84,28 @@ def test_spine_range_is_pushed_to_stored_silver(spark, tmp_out):
     assert "GreaterThanOrEqual(start_date,1998-01-01)" in scan
     assert "LessThan(start_date,2001-09-01)" in scan
     assert df.count() == 44
+
+
+def test_usual_stamps_need_no_printing(spark):
+    """The cheap test for the usual form decides as printing the value back did."""
+    import random
+    from tierwise.functions import casts
+    rng = random.Random(3)
+    texts = ["2024-01-29 12:00:00", "2024-01-29T12:00:00", "2024-13-29 12:00:00", "2024-01-29 12:00:0Z", "2024-01-29 12:00:+5",
+             "2024-01-29 12:00:.5", "2024-01-29 12:00Z", "2024-01-29", "2024-01-29T12:00:00.250", "2024-01-29 24:00:00",
+             "2024-01-29 12:00:00 Europe/Paris", "2024-01-29 17:45+05", " 2024-01-29 12:00:00 ", "", None]
+    for _ in range(4000):
+        t = list(rng.choice(texts[:4]))
+        for _ in range(rng.randrange(1, 4)):
+            t[rng.randrange(len(t))] = rng.choice("0159 T:-+Z.x")
+        texts.append("".join(t))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    c = F.trim("t")
+    wall = c.try_cast("timestamp_ntz")
+    whole = F.regexp_replace(F.regexp_replace(c, casts.DATE_ZONE, "$1 00:00:00 "), casts.MINUTE_ZONE, "$1:00")
+    printed = (F.when(wall.cast("string") == F.translate(c, "T", " "), wall).when(c.rlike(casts.PLAIN_TIME), wall)
+               .when(c.rlike(casts.ZONED_TIME), casts.utc_wall(F.coalesce(c.try_cast("timestamp"), whole.try_cast("timestamp")))))
+    got = df.select("t", casts.safe_timestamp("t").alias("a"), printed.alias("b"))
+    assert got.where(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+    assert got.where("a is not null").count() > 100
+    assert "translate(" not in df.select(casts.safe_timestamp("t"))._jdf.queryExecution().optimizedPlan().toString()
