@@ -112,6 +112,13 @@ def test_client_models_aggregate_without_sorting(spark):
     assert gold.client_budgets(c.withColumn("client_name", F.length("client_name")), b).schema["client_name"].dataType.typeName() == "integer"
 
 
+def test_the_layout_by_month_holds_what_the_month_models_read(spark):
+    from conftest import SF_SMALL
+    from tierwise.plans.catalog import Layers
+    for name, columns in gold.MONTH_COLUMNS.items():
+        assert Layers(spark, SF_SMALL).by_month(name).columns == [*columns, "month_key"]
+
+
 def test_usual_stamps_need_no_printing(spark):
     """The cheap test for the usual form decides as printing the value back did."""
     import random
