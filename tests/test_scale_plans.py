@@ -119,6 +119,15 @@ def test_the_layout_by_month_holds_what_the_month_models_read(spark):
         assert Layers(spark, SF_SMALL).by_month(name).columns == [*columns, "month_key"]
 
 
+def test_tables_without_a_stamp_are_not_stored_for_monitoring(spark):
+    from conftest import SF_SMALL
+    from tierwise.plans.catalog import Layers
+    L = Layers(spark, SF_SMALL, "2024-01-29 12:34:56")         # a set of its own
+    _, tables = L.profiles({"a": "bronze_budgets", "b": "contracts_silver"})
+    assert "contracts_silver" in L._set() and "bronze_budgets" not in L._set()
+    assert "processed_at" not in tables["a"].columns and L.model("bronze_budgets").count() == tables["a"].count()
+
+
 def test_usual_stamps_need_no_printing(spark):
     """The cheap test for the usual form decides as printing the value back did."""
     import random
