@@ -286,7 +286,7 @@ def test_stored_layers_are_shared_and_follow_the_input(spark, tmp_path):
     src = str(tmp_path / "sf")
     os.makedirs(src)
     for t in ("orders", "lineitem", "events"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", src)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", f"{src}/{t}.parquet")     # not its read-only mode
     one, two = Layers(spark, src).model("contracts_silver"), Layers(spark, src).model("contracts_silver")
     assert one.inputFiles() == two.inputFiles()
     n = one.count()
