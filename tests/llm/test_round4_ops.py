@@ -1,0 +1,68 @@
+"""Fewer jobs and bytes of near-duplicates, fewer look-ups of the suffix tree."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from tierwise.llm import common, near_dup, suffix_tree
+
+
+def test_stars_need_one_round(spark, monkeypatch):
+    made = []
+    stored = common.stored
+    monkeypatch.setattr(common, "stored", lambda df, name: made.append(name) or stored(df, name))
+    edges = [(bytes([5]), bytes([k])) for k in range(5)] + [(bytes([9]), bytes([8]))]
+    got = near_dup.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
+    assert {(r.node[0], r.comp[0]) for r in got} == {(k, 0) for k in range(6)} | {(8, 8), (9, 8)}
+    assert made == ["stars"]
+
+
+def test_chains_become_stars(spark):
+    edges = [(bytes([k]), bytes([k + 1])) for k in range(40)] + [(bytes([99]), bytes([98])), (bytes([99]), bytes([97]))]
+    got = near_dup.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
+    assert {(r.node[0], r.comp[0]) for r in got} == {(k, 0) for k in range(41)} | {(k, 97) for k in (97, 98, 99)}
+    none = spark.createDataFrame([], "a binary, b binary")
+    assert near_dup.components(none).collect() == []
+
+
+def test_signatures_hold_the_text_once(spark):
+    docs = spark.createDataFrame([("en", 1, "a b c d e f"), (None, None, None)], "lang string, Doc_ID int, text string")
+    rows = near_dup._signed(docs)
+    path = rows.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert "text" not in pq.read_schema(next(iter(pq.ParquetDataset(path).files))).names
+    assert sorted((r.doc_id or 0, r.text, r.n_shingles) for r in rows.where("text is not null").collect()) == [(1, "a b c d e f", 2)]
+    assert near_dup.deduplicate(docs).columns == ["lang", "Doc_ID", "text"]
+
+
+def test_words_beyond_the_table_keep_their_hashes():
+    raw = ("x" * 63 + "y", "x" * 64 + "y", "x" * 64 + "Z " + " " * 90 + "z", "é" * 80)
+    for text in raw:
+        (_, _, hashes, _), = common.hash_words(pa.array([text]))
+        for word, got in zip(text.split(), hashes):
+            byte = np.frombuffer(word.lower().encode(), np.uint8)
+            sums = common._byte_keys(np.arange(len(byte)), byte).sum(dtype=np.uint64, keepdims=True)
+            assert got == common.mix(sums)[0]
+
+
+def test_contexts_outside_the_head_are_not_looked_up_again(monkeypatch):
+    """A longer context is looked up only where the shorter one is in the head."""
+    seen = []
+    lookup = suffix_tree._lookup
+    monkeypatch.setattr(suffix_tree, "_lookup", lambda t, k: seen.append(len(k)) or lookup(t, k))
+
+    class Words:
+        symbol = np.arange(9)
+
+        def kind(self, hashes):
+            return np.where(hashes == hashes[0], 2, 3)
+
+    tree = suffix_tree.Tree(np.zeros(9))
+    tree.keys[1], tree.ids[1] = np.array([2], np.uint64), np.array([7])
+    head = [np.array([2], np.uint64), np.array([(2 << 16) | 2], np.uint64), np.empty(0, np.uint64)]
+    (row, _, _, state, inside, length), = suffix_tree._tokens(pa.array(["a a b a c d", "a b"]), Words(), tree, head)
+    assert list(row) == [0] * 7 + [1] * 3
+    assert list(inside) == [0, 1, 2, 0, 1, 0, 0, 0, 1, 0]
+    assert list(state) == [0, 7, 7, 0, 7, 0, 0, 0, 7, 0]
+    assert sum(seen) < 2 * len(row)

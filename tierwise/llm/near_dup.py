@@ -28,7 +28,8 @@ Copies are never paired off with each other:
    members of the other components, and is done with that bucket; components
    that link are merged, and the next round takes the next member.  Copies of a
    variant far from the hub so become one component in the first round.  After
-   :data:`PIVOTS` rounds the pairs across components that are still open are
+   :data:`PIVOTS` rounds, or before if the buckets hold no more pairs than they
+   held members at first, the pairs across components that are still open are
    compared outright.  Members that merely share a difference are told apart
    before: each carries a sketch of its differences, and two sketches differ in
    at most as many bits as the texts differ in shingles.  All links are confirmed
@@ -96,9 +97,10 @@ def band_keys(shingles: np.ndarray, bounds: np.ndarray, permutations: int, rows:
 
 
 def _signatures(batches):
-    """Append set size, class and band keys to rows with a column ``text``."""
+    """Append set size, class and band keys to rows, in place of their ``text``."""
     for batch in batches:
         text = batch.column("text")
+        kept = [c for c in batch.schema.names if c != "text"]
         sizes = np.zeros(len(text), np.int64)
         classes: list[bytes | None] = [None] * len(text)
         bands: list[np.ndarray | None] = [None] * len(text)
@@ -115,8 +117,8 @@ def _signatures(batches):
                     [common.mix(own + np.uint64(7)).sum(dtype=np.uint64), (own * own + own).sum(dtype=np.uint64)]).tobytes()
                 bands[first + d] = keys[k].view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(sizes), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=[*batch.schema.names, "n_shingles", "cls", "bands"])
+            [*(batch.column(c) for c in kept), pa.array(sizes), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            names=[*kept, "n_shingles", "cls", "bands"])
 
 
 def _fine_bands(batches):
@@ -143,8 +145,8 @@ def _sketch(apart: np.ndarray) -> np.ndarray:
 
 
 def _compare(batches):
-    """(a, b, text_a, text_b) -> (a, b, sizes, intersection, differences, their
-    sketch): the signed hashes by which b differs from a, if they are near."""
+    """(a, b, ..., text_a, text_b) -> (a, b, ..., sizes, intersection, differences,
+    their sketch): the signed hashes by which b differs from a, if they are near."""
     sets: dict[bytes, np.ndarray] = {}
     held = 0
 
@@ -178,17 +180,18 @@ def _compare(batches):
             else:
                 apart.append(np.empty(0, np.int64))
                 sketches.append(None)
+        kept = [c for c in batch.schema.names if c not in ("text_a", "text_b")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), *(pa.array(x, pa.int64()) for x in (sizes_a, sizes_b, both)),
+            [*(batch.column(c) for c in kept), *(pa.array(x, pa.int64()) for x in (sizes_a, sizes_b, both)),
              pa.array(apart, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-            names=["a", "b", "na", "nb", "n", "apart", "sketch"])
+            names=[*kept, "na", "nb", "n", "apart", "sketch"])
 
 
 def _links(batches):
-    """As :func:`_compare`, without differences, and linked pairs only."""
+    """The components ``(ca, cb)`` of the members of linked pairs."""
     for batch in _compare(batches):
         na, nb, n = (batch.column(c).to_numpy() for c in ("na", "nb", "n"))
-        yield batch.select(["a", "b"]).filter(pa.array(100 * n >= PERCENT * (na + nb - n)))
+        yield batch.select(["ca", "cb"]).filter(pa.array(100 * n >= PERCENT * (na + nb - n)))
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
@@ -201,7 +204,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
+    return pairs.join(b, "b").join(a, "a").select(*pairs.columns, "text_a", "text_b")
 
 
 def _similar(percent: int) -> Column:
@@ -271,9 +274,9 @@ def _may_link(x: str, y: str) -> Column:
 
 
 def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[DataFrame]:
-    """The links (stored tables of ``a``, ``b``) that join the components of a
-    bucket's members, found in rounds (see 4. above)."""
-    found = []
+    """The components (``comp``) that components (``node``) of a bucket's members
+    become by links, round by round (see 4. above)."""
+    found, most = [], None
     now = common.stored(buckets.join(comp, F.col("b") == F.col("node"), "left")
                         .select("key", *MEMBER, F.coalesce("comp", "b").alias("comp")), "buckets")
     for turn in range(PIVOTS + 1):
@@ -282,10 +285,14 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
         split = (now.groupBy("key").agg(F.min(u).alias("u0"), F.max(u).alias("u1"), F.min(h).alias("h0"), F.max(h).alias("h1"))
                  .where("u0 <> h1 or u1 <> h0").select("key"))
         members = common.stored(now.join(split, "key", "left_semi"), "open-buckets")
-        if not members.take(1):
+        n = F.col("n")
+        rows, open_pairs = members.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum("n"), F.sum(n * (n - 1.0) / 2)).first()
+        if not rows:
             break
+        last = turn == PIVOTS or most is not None and open_pairs <= most
+        most = most or rows
         x = members.alias("x")
-        if turn < PIVOTS:
+        if not last:
             few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct(*MEMBER)).alias("p"))
             pivot = common.stored(few.groupBy("key").agg(F.min(F.struct("n", "comp", "p")).alias("q"))
                                   .select("key", "q.comp", "q.p.*"), "pivots")
@@ -294,59 +301,67 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
         else:
             y = members.alias("y")
             pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
-        pairs = pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
-        links = common.stored(_with_texts(pairs, texts).mapInArrow(_links, "a binary, b binary"), "more_links")
-        if turn == PIVOTS:
-            found.append(links)
+        # Links are told by the components that they join.
+        pairs = pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"),
+                             F.least("x.comp", "y.comp").alias("ca"), F.greatest("x.comp", "y.comp").alias("cb")).distinct()
+        links = common.stored(_with_texts(pairs, texts).mapInArrow(_links, "ca binary, cb binary"), "more_links")
+        linked = bool(links.take(1))
+        if linked:
+            found.append(components(links.toDF("a", "b")))
+        if last:
             break
         now = members.join(pivot.select("key", "b"), ["key", "b"], "left_anti")
-        if links.take(1):
-            found.append(links)
-            of = members.select("b", "comp").distinct()
-            ends = (links.join(of.select(F.col("b").alias("a"), F.col("comp").alias("ca")), "a")
-                    .join(of.select("b", F.col("comp").alias("cb")), "b"))
-            merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("comp", "into")
-            now = (now.join(merged, F.col("comp") == F.col("node"), "left")
-                   .select("key", *MEMBER, F.coalesce("into", "comp").alias("comp")))
+        if linked:
+            now = _merged(now, found[-1]).select("key", *MEMBER, "comp")
         now = common.stored(now, "buckets")
         common.drop_stored(members, pivot)
     return found
 
 
+def _merged(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the component that their ``comp`` has become."""
+    into = comp.select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+    return rows.join(into, "comp", "left").withColumn("comp", F.coalesce("into", "comp")).drop("into")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, comp)`` for every node of undirected edges ``(a, b)``: comp is
     the smallest node of its component.  Alternates large-star and small-star
-    rounds until no edge changes."""
+    rounds until all are stars: no node has two centres or is one as well.
+    Joins are merges: small tables would each be a broadcast through the driver
+    in every round."""
     edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    seen = None
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")).toDF("a", "b"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = (both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         # large: (a, b) with b < a; every node points at smaller ones.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a")
+        small = (large.join(low.hint("merge"), "a")
                  .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")),
                                            F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e"))
                  .select(F.col("e.y").alias("a"), F.col("e.x").alias("b")).where("a <> b").distinct())
         edges = common.stored(small, "stars")
-        state = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-        if seen == state:
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("end")),
+                                              F.struct(F.col("b").alias("node"), F.lit(1).alias("end")))).alias("e"))
+        both_ways = (F.sum("e.end") > 1) | (F.max("e.end") > F.min("e.end"))
+        if not ends.groupBy("e.node").agg(both_ways.alias("more")).where("more").take(1):
             break
-        seen = state
     return edges.select(F.col("b").alias("node"), F.col("a").alias("comp")).union(
         edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """Stored rows: the columns of ``docs`` as c0, c1, ..., the text, a unique
-    ``row``, and what :func:`_signatures` appends."""
+    """Stored rows: the columns of ``docs`` as c0, c1, ..., the ``doc_id`` and
+    ``text`` among them, a unique ``row``, and what :func:`_signatures` appends."""
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)],
-                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                        F.monotonically_increasing_id().alias("row"))
-    schema = T.StructType([*plain.schema.fields, T.StructField("n_shingles", T.LongType()),
+                        F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    schema = T.StructType([*plain.drop("text").schema.fields, T.StructField("n_shingles", T.LongType()),
                            T.StructField("cls", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    return common.stored(plain.mapInArrow(_signatures, schema), "signatures")
+    rows = common.stored(plain.mapInArrow(_signatures, schema), "signatures")
+    of = docs.columns if {"doc_id", "text"} <= set(docs.columns) else [c.lower() for c in docs.columns]
+    return rows.withColumns({"doc_id": F.col(f"c{of.index('doc_id')}").cast("long"),
+                             "text": F.col(f"c{of.index('text')}").cast("string")})
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -370,13 +385,10 @@ def _groups(rows: DataFrame) -> DataFrame:
     seen = _compared(pairs, texts, "links")
     edges = seen.where(_similar(PERCENT)).select("a", "b")
     first = common.stored(components(edges), "components")
-    more = _resolve(_by_difference(seen).unionByName(_by_fine_bands(seen, texts)), texts, first)
-    for links in more:
-        edges = edges.unionByName(links)
-    comp = common.stored(components(edges), "components") if more else first
-
-    of = classes.select("cls", "label").join(comp, F.col("cls") == F.col("node"), "left").select(
+    of = classes.select("cls", "label").join(first, F.col("cls") == F.col("node"), "left").select(
         "cls", "label", F.coalesce("comp", "cls").alias("comp"))
+    for comp in _resolve(_by_difference(seen).unionByName(_by_fine_bands(seen, texts)), texts, first):
+        of = _merged(of, comp)
     least = of.groupBy("comp").agg(F.min("label").alias("first"))
     groups = common.stored(of.join(least, "comp").select("cls", "first"), "groups")
     common.drop_stored(classes, members, pairs, texts, seen)
