@@ -155,6 +155,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _byte_keys(since: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """One pseudo-random value per (place in its word, byte), 0 for blanks."""
+    key = (since.astype(np.uint64) << np.uint64(8)) + _LOWER[raw] + np.uint64(1)
+    key *= np.uint64(0x9E3779B97F4A7C15)
+    key ^= key >> np.uint64(32)
+    key *= np.uint64(0xBF58476D1CE4E5B9)
+    key ^= key >> np.uint64(29)
+    key[_BLANK[raw]] = 0
+    return key
+
+
+#: The values of the first places of a word, looked up instead of computed.
+_NEAR = 64
+_KEYS = _byte_keys(np.repeat(np.arange(_NEAR), 256), np.tile(np.arange(256, dtype=np.uint8), _NEAR))
+
+
 def _hash_piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of ``raw`` and the byte at which each begins; a
     word also begins at every offset of ``cuts``."""
@@ -166,15 +182,13 @@ def _hash_piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     at = np.flatnonzero(begins)
     if not len(at):
         return np.empty(0, np.uint64), at
-    index = np.arange(len(raw), dtype=np.int64)
-    since = index - np.maximum.accumulate(np.where(begins, index, 0))
-    # A word's hash is the sum of one pseudo-random value per (place, byte).
-    key = (since.astype(np.uint64) << np.uint64(8)) + _LOWER[raw] + np.uint64(1)
-    key *= np.uint64(0x9E3779B97F4A7C15)
-    key ^= key >> np.uint64(32)
-    key *= np.uint64(0xBF58476D1CE4E5B9)
-    key ^= key >> np.uint64(29)
-    key[~solid] = 0
+    # A word's hash is the sum of the values of its bytes.
+    start = np.zeros(len(raw), np.int32)
+    start[at] = at
+    since = np.arange(len(raw), dtype=np.int32) - np.maximum.accumulate(start)
+    key = _KEYS.take((np.minimum(since, _NEAR - 1) << 8) + raw)
+    if len(far := np.flatnonzero(since >= _NEAR)):
+        key[far] = _byte_keys(since[far], raw[far])
     return mix(np.add.reduceat(key, at)), at
 
 

@@ -290,15 +290,17 @@ def _tokens(text, lexicon: Lexicon, tree: Tree, head: list[np.ndarray]):
         sym = lexicon.symbol[kind].astype(np.uint16)
         row = np.repeat(np.arange(first, last), n)
         length = np.minimum(np.arange(len(word)) - np.repeat(ends - n + 1, n), DEPTH)
-        keys, valid = [np.zeros(len(word), np.uint64)], [np.ones(len(word), bool)]
-        inside = np.zeros(len(word), np.int64)
+        state, inside, open_ = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), np.arange(len(word))
         for depth in range(1, DEPTH + 1):
-            key, _ = _contexts(sym, length, depth)
-            known = valid[-1] & (length >= depth) & (_lookup(head[depth - 1], key) >= 0)
-            keys.append(key)
-            valid.append(known)
-            inside += known
-        yield row, word, kind, tree.state(keys, valid, len(word)), inside, length
+            # Only what has its shorter context in the head is looked up.
+            open_ = open_[length[open_] >= depth]
+            key = _contexts(sym, length, depth)[0][open_]
+            known = _lookup(head[depth - 1], key) >= 0
+            open_, key = open_[known], key[known]
+            inside[open_] += 1
+            at = _lookup(tree.keys[depth], key)
+            state[open_[at >= 0]] = tree.ids[depth][at[at >= 0]]
+        yield row, word, kind, state, inside, length
 
 
 def _rows(shared):
