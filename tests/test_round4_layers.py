@@ -1,0 +1,59 @@
+"""Rollups whose ids are looked through only where a model counts them."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from tierwise.operators import gold
+from tierwise.operators.fanout import rollup
+from tierwise.plans.catalog import Layers
+
+
+def test_sums_need_no_pairs(spark):
+    made = []
+    child = spark.createDataFrame([("c1", "b1", 1), ("c1", "b1", 2), ("c2", "b1", 4), (None, "b2", 8), ("c3", None, 16), ("c3", "b4", 32)],
+                                  "k string, id string, v int")
+    found = rollup(child, "k", "id", ["v"], store=lambda df, name: made.append(name) or df)
+    assert {(r.k, r._n, r.sum_v, r._ids) for r in found.per_key.collect()} == {
+        ("c1", 2, 3, 2), ("c2", 1, 4, 1), (None, 1, 8, 1), ("c3", 2, 48, 1)}
+    assert made == ["per_key"]
+    assert {(r.k, r.id, r._n) for r in found.shared.collect()} == {("c1", "b1", 2), ("c2", "b1", 1)}
+    assert found.shared is found.shared and made == ["per_key", "several", "shared"]
+
+
+def test_repeated_ids_count_once(spark):
+    """Ids repeated under one contract, under several, under contracts without a
+    row, and contracts that repeat."""
+    contracts = spark.createDataFrame([("c1", "A"), ("c1", "A"), ("c2", "A"), ("c3", "B"), ("c1", None)], "contract_id string, client_name string") \
+        .withColumn("contract_value", F.lit(1).cast("decimal(38,9)"))
+    rows = [("c1", "b1"), ("c1", "b1"), ("c1", "b2"), ("c2", "b3"), ("c3", "b3"), ("c3", "b4"), (None, "b4"), ("zz", "b2"), ("c3", None)]
+    orders = spark.createDataFrame(rows + rows[:1], "contract_id string, change_order_id string")
+    for name in ("estimated_amount", "approved_amount", "committed_amount"):
+        orders = orders.withColumn(name, F.lit("2.5").cast("decimal(38,9)"))
+    plain = gold.client_change_orders(contracts, orders).collect()
+    rolled = gold.client_change_orders(contracts, gold.change_order_rollup(orders)).collect()
+    assert sorted(map(str, rolled)) == sorted(map(str, plain))
+    assert {r.client_name: r.total_change_orders for r in rolled} == {"A": 3, "B": 2, None: 2}
+
+
+def test_project_analytics_derives_of_details_what_it_sums(spark, tmp_path):
+    """No silver detail table is stored, nor its pairs, for the sums alone."""
+    src, day = str(tmp_path), datetime.datetime(1999, 5, 4)
+    spark.createDataFrame([(1, 7, "O", 12.5, day, "1-URGENT"), (2, 7, "F", 3.0, day, "5-LOW")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+                          "o_orderpriority string").write.parquet(f"{src}/orders.parquet")
+    spark.createDataFrame([(1, n, 2.0, 10.0, 0.0, 0.0, "R", "O", day) for n in (1, 2)],
+                          "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                          "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{src}/lineitem.parquet")
+    spark.createDataFrame([(5, day, 2, "purchase", 1.5)], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double") \
+        .write.parquet(f"{src}/events.parquet")
+    L = Layers(spark, src)
+    got = {r.contract_id: (r.budget_count, float(r.total_original_budget), r.change_order_count)
+           for r in L.model("project_analytics").collect()}
+    assert got == {"1": (2, 20.0, 0), "2": (0, 0.0, 1)}
+    assert set(L._set()) - {"/"} == {"contracts_silver", "budgets_silver-per_key", "change_orders_silver-per_key", "project_analytics"}
+    # What is stored already is read.
+    L.model("budgets_silver")
+    assert {f.rsplit("/", 2)[-2].rsplit("-", 1)[0] for f in L._read("budgets_silver").inputFiles()} == {"budgets_silver"}
