@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from tierwise.llm import common, near_dup, suffix_tree
 
@@ -66,3 +67,28 @@ def test_contexts_outside_the_head_are_not_looked_up_again(monkeypatch):
     assert list(inside) == [0, 1, 2, 0, 1, 0, 0, 0, 1, 0]
     assert list(state) == [0, 7, 7, 0, 7, 0, 0, 0, 7, 0]
     assert sum(seen) < 2 * len(row)
+
+
+def test_rows_are_picked_by_their_bits(spark, monkeypatch):
+    rows = spark.range(0, 700, 1, 3).select(F.col("id").alias("doc_id"), F.monotonically_increasing_id().alias("row")).localCheckpoint()
+    wanted = rows.where("doc_id % 3 = 0 or doc_id in (0, 62, 63, 64, 127, 233, 699)").select("row")
+    want = sorted(r.row for r in wanted.collect())
+    for most in (common.DROP_ROWS, 0):
+        monkeypatch.setattr(common, "DROP_ROWS", most)
+        assert sorted(r.row for r in near_dup._picked(rows, wanted.union(wanted)).collect()) == want
+    assert near_dup._picked(rows, wanted.limit(0)).count() == 0
+
+
+def test_texts_are_not_shuffled_to_pick_them(spark):
+    """Whatever the number of classes, rows are told by bits, not joined by row."""
+    docs = spark.createDataFrame([(k, f"{'some words that are repeated ' * 9}{k // 2}" if k else None) for k in range(40)],
+                                 "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = near_dup.deduplicate(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert 0 in {r.doc_id for r in kept.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

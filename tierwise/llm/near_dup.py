@@ -364,6 +364,18 @@ def _signed(docs: DataFrame) -> DataFrame:
                              "text": F.col(f"c{of.index('text')}").cast("string")})
 
 
+def _picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The stored signature rows whose ``row`` is one of ``ids``.  Rows are
+    numbered on end within a task, so 64 of them are one number with a bit for
+    each: as long as these are few enough to broadcast (32 million documents),
+    no text is shuffled."""
+    at = F.col("row").bitwiseAND(63).cast("int")
+    some = common.stored(ids.groupBy(F.shiftright("row", 6).alias("_w"))
+                         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at)).alias("_bits")), "picked")
+    some = common.fit_to_broadcast(some, common.DROP_ROWS)
+    return rows.join(some, (F.shiftright("row", 6) == F.col("_w")) & (F.getbit("_bits", at) == 1), "left_semi")
+
+
 def _groups(rows: DataFrame) -> DataFrame:
     """``(cls, first)`` for all classes of the stored signature rows: first is
     the struct (doc_id is null, doc_id, row) of the group's first document."""
@@ -379,9 +391,8 @@ def _groups(rows: DataFrame) -> DataFrame:
     hubs = (members.select("key", "cls").join(weight, "cls").groupBy("key")
             .agg(F.max(F.struct("w", "cls")).alias("h")).select("key", F.col("h.cls").alias("a")))
     pairs = common.stored(members.join(hubs, "key").where("a <> cls").select("a", F.col("cls").alias("b")).distinct(), "pairs")
-    wanted = (members.select("cls").distinct().join(classes, "cls")
-              .select("cls", F.col("label.row").alias("row")))
-    texts = common.stored(rows.select("row", "n_shingles", "text").join(wanted, "row"), "texts")
+    wanted = members.select("cls").distinct().join(classes, "cls").select(F.col("label.row").alias("row"))
+    texts = common.stored(_picked(rows, wanted).select("cls", "n_shingles", "text"), "texts")
     seen = _compared(pairs, texts, "links")
     edges = seen.where(_similar(PERCENT)).select("a", "b")
     first = common.stored(components(edges), "components")
@@ -411,6 +422,6 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     ``doc_id`` (one of them, if rows repeat).  Documents without words stay.
     Columns are those of ``docs``."""
     rows = _signed(docs)
-    firsts = _groups(rows).select(F.col("first.row").alias("row")).distinct()
-    kept = rows.where("n_shingles > 0").join(firsts, "row", "left_semi").unionByName(rows.where("n_shingles = 0"))
+    firsts = _groups(rows).select(F.col("first.row").alias("row"))
+    kept = _picked(rows.where("n_shingles > 0"), firsts).unionByName(rows.where("n_shingles = 0"))
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
