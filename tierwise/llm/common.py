@@ -72,6 +72,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+#: Rows that make a task worth its start, in steps that only join and count.
+TASK_ROWS = 10_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, in one task for each TASK_ROWS of them, if
+    these are fewer than shuffles have: for steps that repeat on tables small
+    against the number of tasks.  The rows of one task come from whole shuffle
+    partitions, one after the other."""
+    tasks = max(1, -(-rows // TASK_ROWS))
+    return df.coalesce(tasks) if tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 #: No table of more bytes (as values, uncompressed) is broadcast.
 BROADCAST_BYTES = 64 << 20
 

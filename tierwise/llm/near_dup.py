@@ -65,6 +65,10 @@ NEAR_PERCENT, FAR_PERCENT = 50, 65
 PIVOTS = 3
 #: Shingle hashes that a task keeps while it confirms links (32 MB).
 HELD = 4_000_000
+#: Rows of a plain join whose work a compared pair of texts is worth.
+PAIR_ROWS = 10
+#: Tasks that write the bits of picked rows.
+PICK_TASKS = 8
 #: Words of 64 bits in a sketch of a member's differences from its hub.
 SKETCH = 8
 
@@ -130,8 +134,8 @@ def _fine_bands(batches):
         if keys:
             at = pa.array(np.repeat(np.arange(len(keys)), len(keys[0])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(at) for c in ("cls", "n_shingles")] + [pa.array(np.concatenate(keys))],
-                names=["cls", "n_shingles", "key"])
+                [batch.column(c).take(at) for c in ("row", "n_shingles")] + [pa.array(np.concatenate(keys))],
+                names=["row", "n_shingles", "key"])
 
 
 def _sketch(apart: np.ndarray) -> np.ndarray:
@@ -147,15 +151,15 @@ def _sketch(apart: np.ndarray) -> np.ndarray:
 def _compare(batches):
     """(a, b, ..., text_a, text_b) -> (a, b, ..., sizes, intersection, differences,
     their sketch): the signed hashes by which b differs from a, if they are near."""
-    sets: dict[bytes, np.ndarray] = {}
+    sets: dict[int, np.ndarray] = {}
     held = 0
 
-    def of(cls: bytes, text: str) -> np.ndarray:
+    def of(row: int, text: str) -> np.ndarray:
         # Recent sets are kept, up to HELD hashes of them (the oldest go).
         nonlocal held
-        own = sets.get(cls)
+        own = sets.get(row)
         if own is None:
-            own = sets[cls] = common.shingle_set(text)
+            own = sets[row] = common.shingle_set(text)
             held += len(own)
             while held > HELD and len(sets) > 2:
                 held -= len(sets.pop(next(iter(sets))))
@@ -198,12 +202,12 @@ def _compared(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs ``(a, b)`` of classes with the sizes of their full shingle
     sets, the intersection and the differences."""
     return common.stored(_with_texts(pairs, texts).mapInArrow(
-        _compare, "a binary, b binary, na long, nb long, n long, apart array<bigint>, sketch array<bigint>"), name)
+        _compare, "a long, b long, na long, nb long, n long, apart array<bigint>, sketch array<bigint>"), name)
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(b, "b").join(a, "a").select(*pairs.columns, "text_a", "text_b")
 
 
@@ -211,7 +215,7 @@ def _similar(percent: int) -> Column:
     return 100 * F.col("n") >= percent * (F.col("na") + F.col("nb") - F.col("n"))
 
 
-def _by_difference(seen: DataFrame) -> DataFrame:
+def _by_difference(seen: DataFrame, hubs: int) -> DataFrame:
     """Buckets (``key`` and :data:`MEMBER`) of members near a common hub that may
     link though one of them does not link to the hub.
 
@@ -220,25 +224,26 @@ def _by_difference(seen: DataFrame) -> DataFrame:
     S = 15 (x + y) / 185; not linking to the hub means dx > 15 (x + h) / 185.
     As dy is at least dx - S, the overlap is at least dx - S too.  So x, not
     linked to the hub, and y meet in a bucket in which y is ``half``.
+    ``hubs``: their number, or more.
     """
     gap = 100 - PERCENT
     whole = 100 + PERCENT
     near = seen.where(_similar(NEAR_PERCENT)).select(
-        "a", "b", "na", "nb", (F.col("na") + F.col("nb") - 2 * F.col("n")).alias("d"), _similar(PERCENT).alias("linked"), "apart")
-    open_ = near.where("not linked").select("a").distinct()
-    each = near.join(open_, "a", "left_semi").select("a", "b", "na", "nb", "d", "linked", F.explode("apart").alias("e"))
+        "a", "b", "na", "nb", (F.col("na") + F.col("nb") - 2 * F.col("n")).alias("d"), _similar(PERCENT).alias("linked"), "apart", "sketch")
+    open_ = common.stored(common.few(near.where("not linked").select("a").distinct(), hubs), "open-hubs")
+    near = near.join(common.fit_to_broadcast(open_, common.DROP_ROWS), "a", "left_semi")
+    each = near.select("a", "b", F.explode("apart").alias("e"))
     shared = each.groupBy("a", "e").agg(F.count("*").alias("f")).where("f > 1")
     member = Window.partitionBy("a", "b")
     # Differences that no other member has come first and need no rows.
-    placed = each.join(shared, ["a", "e"]).withColumn(
-        "place", F.row_number().over(member.orderBy("f", "e")) + F.col("d") - F.count("*").over(member))
+    placed = (each.join(shared, ["a", "e"])
+              .select("a", "b", "e", (F.row_number().over(member.orderBy("f", "e")) - F.count("*").over(member)).alias("from_end"))
+              .join(near.drop("apart"), ["a", "b"]).withColumn("place", F.col("from_end") + F.col("d")))
     limit = F.floor(gap * (F.col("nb") + F.col("nb") * 100 / PERCENT) / whole) + 1
     least = F.greatest(F.lit(1), F.ceil((F.col("d") + gap * (F.col("na") - F.col("nb")) / whole) / 2 - 1e-9))
     half = F.col("place") <= F.col("d") - least + 1
     kept = placed.where((F.col("place") <= limit) & (half | ~F.col("linked")))
-    # One sketch a member, added where its rows lie together already.
-    return kept.join(seen.select("a", "b", "sketch"), ["a", "b"]).select(
-        F.xxhash64("a", "e").alias("key"), "b", "nb", "d", "linked", half.alias("half"), "sketch")
+    return kept.select(F.xxhash64("a", "e").alias("key"), "b", "nb", "d", "linked", half.alias("half"), "sketch")
 
 
 def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
@@ -247,10 +252,10 @@ def _by_fine_bands(seen: DataFrame, texts: DataFrame) -> DataFrame:
     far = seen.where(~_similar(FAR_PERCENT)).select("a", "b")
     several = far.groupBy("a").count().where("count > 1").select("a")
     far = far.join(several, "a", "left_semi")
-    mine = (common.spread(texts.join(far.select(F.col("b").alias("cls")).distinct(), "cls").select("cls", "n_shingles", "text"), "cls")
-            .mapInArrow(_fine_bands, "cls binary, n_shingles long, key long"))
-    return far.withColumnRenamed("b", "cls").join(mine, "cls").select(
-        F.xxhash64("a", "key").alias("key"), F.col("cls").alias("b"), F.col("n_shingles").alias("nb"),
+    mine = (common.spread(_picked(texts, far.select(F.col("b").alias("row"))).select("row", "n_shingles", "text"), "row")
+            .mapInArrow(_fine_bands, "row long, n_shingles long, key long"))
+    return far.withColumnRenamed("b", "row").join(mine, "row").select(
+        F.xxhash64("a", "key").alias("key"), F.col("row").alias("b"), F.col("n_shingles").alias("nb"),
         F.lit(None).cast("long").alias("d"), F.lit(False).alias("linked"), F.lit(True).alias("half"),
         F.lit(None).cast("array<bigint>").alias("sketch"))
 
@@ -279,23 +284,24 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
     found, most = [], None
     now = common.stored(buckets.join(comp, F.col("b") == F.col("node"), "left")
                         .select("key", *MEMBER, F.coalesce("comp", "b").alias("comp")), "buckets")
+    size = now.count()
     for turn in range(PIVOTS + 1):
         # A pair needs one that is not linked to the hub and one that is half.
         u, h = F.when(~F.col("linked"), F.col("comp")), F.when(F.col("half"), F.col("comp"))
-        split = (now.groupBy("key").agg(F.min(u).alias("u0"), F.max(u).alias("u1"), F.min(h).alias("h0"), F.max(h).alias("h1"))
-                 .where("u0 <> h1 or u1 <> h0").select("key"))
-        members = common.stored(now.join(split, "key", "left_semi"), "open-buckets")
-        n = F.col("n")
-        rows, open_pairs = members.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum("n"), F.sum(n * (n - 1.0) / 2)).first()
+        split = (now.groupBy("key").agg(F.min(u).alias("u0"), F.max(u).alias("u1"), F.min(h).alias("h0"), F.max(h).alias("h1"),
+                                        F.count("*").alias("in_all"))
+                 .where("u0 <> h1 or u1 <> h0").select("key", "in_all"))
+        members = common.stored(common.few(now.join(split, "key"), size), "open-buckets")
+        rows, open_pairs = members.agg(F.count("*"), F.sum((F.col("in_all") - 1) / 2)).first()
         if not rows:
             break
         last = turn == PIVOTS or most is not None and open_pairs <= most
         most = most or rows
         x = members.alias("x")
         if not last:
-            few = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct(*MEMBER)).alias("p"))
-            pivot = common.stored(few.groupBy("key").agg(F.min(F.struct("n", "comp", "p")).alias("q"))
-                                  .select("key", "q.comp", "q.p.*"), "pivots")
+            seen = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct(*MEMBER)).alias("p"))
+            pivot = common.stored(common.few(common.few(seen, rows).groupBy("key").agg(F.min(F.struct("n", "comp", "p")).alias("q"))
+                                             .select("key", "q.comp", "q.p.*"), rows), "pivots")
             y = pivot.alias("y")
             pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y"))
         else:
@@ -303,18 +309,24 @@ def _resolve(buckets: DataFrame, texts: DataFrame, comp: DataFrame) -> list[Data
             pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
         # Links are told by the components that they join.
         pairs = pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"),
-                             F.least("x.comp", "y.comp").alias("ca"), F.greatest("x.comp", "y.comp").alias("cb")).distinct()
-        links = common.stored(_with_texts(pairs, texts).mapInArrow(_links, "ca binary, cb binary"), "more_links")
-        linked = bool(links.take(1))
+                             F.least("x.comp", "y.comp").alias("ca"), F.greatest("x.comp", "y.comp").alias("cb"))
+        pairs = common.stored(common.few(common.few(pairs, rows).distinct(), rows), "open-pairs")
+        linked, compared = False, pairs.count()
+        if compared:
+            # Of all texts, only those of open pairs are shuffled to them.
+            some = _picked(texts, pairs.select(F.explode(F.array("a", "b")).alias("row")))
+            texts_of = common.few(_with_texts(pairs, some), PAIR_ROWS * compared)
+            links = common.stored(texts_of.mapInArrow(_links, "ca long, cb long"), "more_links")
+            linked = links.count() > 0
         if linked:
             found.append(components(links.toDF("a", "b")))
         if last:
             break
         now = members.join(pivot.select("key", "b"), ["key", "b"], "left_anti")
         if linked:
-            now = _merged(now, found[-1]).select("key", *MEMBER, "comp")
-        now = common.stored(now, "buckets")
-        common.drop_stored(members, pivot)
+            now = _merged(now, found[-1])
+        now, size = common.stored(common.few(now.select("key", *MEMBER, "comp"), rows), "buckets"), rows
+        common.drop_stored(members, pivot, pairs)
     return found
 
 
@@ -329,23 +341,28 @@ def components(edges: DataFrame) -> DataFrame:
     the smallest node of its component.  Alternates large-star and small-star
     rounds until all are stars: no node has two centres or is one as well.
     Joins are merges: small tables would each be a broadcast through the driver
-    in every round."""
-    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    in every round.  Small tables go through few tasks (see :func:`common.few`)."""
+    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rows = edges.count()
+    edges = common.few(edges.distinct(), rows)
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")).toDF("a", "b"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = common.few(common.few(large, rows).distinct(), rows)
         # large: (a, b) with b < a; every node points at smaller ones.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low.hint("merge"), "a")
                  .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")),
                                            F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e"))
-                 .select(F.col("e.y").alias("a"), F.col("e.x").alias("b")).where("a <> b").distinct())
-        edges = common.stored(small, "stars")
+                 .select(F.col("e.y").alias("a"), F.col("e.x").alias("b")).where("a <> b"))
+        edges = common.stored(common.few(common.few(small, rows).distinct(), rows), "stars")
         ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("end")),
                                               F.struct(F.col("b").alias("node"), F.lit(1).alias("end")))).alias("e"))
         both_ways = (F.sum("e.end") > 1) | (F.max("e.end") > F.min("e.end"))
-        if not ends.groupBy("e.node").agg(both_ways.alias("more")).where("more").take(1):
+        nodes = common.few(ends.groupBy("e.node").agg(both_ways.alias("more"), F.sum("e.end").alias("edges")), rows)
+        more, rows = nodes.agg(F.max("more"), F.sum("edges")).first()
+        if not more:
             break
     return edges.select(F.col("b").alias("node"), F.col("a").alias("comp")).union(
         edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
@@ -371,7 +388,7 @@ def _picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
     no text is shuffled."""
     at = F.col("row").bitwiseAND(63).cast("int")
     some = common.stored(ids.groupBy(F.shiftright("row", 6).alias("_w"))
-                         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at)).alias("_bits")), "picked")
+                         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at)).alias("_bits")).coalesce(PICK_TASKS), "picked")
     some = common.fit_to_broadcast(some, common.DROP_ROWS)
     return rows.join(some, (F.shiftright("row", 6) == F.col("_w")) & (F.getbit("_bits", at) == 1), "left_semi")
 
@@ -382,23 +399,24 @@ def _groups(rows: DataFrame) -> DataFrame:
     classes = common.stored(
         rows.where("n_shingles > 0").groupBy("cls")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("label"),
-             F.max("bands").alias("bands")),
+             F.max("bands").alias("bands"))
+        .withColumn("row", F.col("label.row")),
         "classes")
-    keyed = classes.select("cls", F.explode("bands").alias("key"))
+    # From here on a class is told by the row of its first document.
+    keyed = classes.select("row", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = common.stored(keyed.join(shared, "key"), "buckets")
-    weight = members.groupBy("cls").agg(F.sum("n").alias("w"))
-    hubs = (members.select("key", "cls").join(weight, "cls").groupBy("key")
-            .agg(F.max(F.struct("w", "cls")).alias("h")).select("key", F.col("h.cls").alias("a")))
-    pairs = common.stored(members.join(hubs, "key").where("a <> cls").select("a", F.col("cls").alias("b")).distinct(), "pairs")
-    wanted = members.select("cls").distinct().join(classes, "cls").select(F.col("label.row").alias("row"))
-    texts = common.stored(_picked(rows, wanted).select("cls", "n_shingles", "text"), "texts")
+    weight = members.groupBy("row").agg(F.sum("n").alias("w"))
+    hubs = (members.select("key", "row").join(weight, "row").groupBy("key")
+            .agg(F.max(F.struct("w", "row")).alias("h")).select("key", F.col("h.row").alias("a")))
+    pairs = common.stored(members.join(hubs, "key").where("a <> row").select("a", F.col("row").alias("b")).distinct(), "pairs")
+    texts = common.stored(_picked(rows, members.select("row")).select("row", "n_shingles", "text"), "texts")
     seen = _compared(pairs, texts, "links")
     edges = seen.where(_similar(PERCENT)).select("a", "b")
     first = common.stored(components(edges), "components")
-    of = classes.select("cls", "label").join(first, F.col("cls") == F.col("node"), "left").select(
-        "cls", "label", F.coalesce("comp", "cls").alias("comp"))
-    for comp in _resolve(_by_difference(seen).unionByName(_by_fine_bands(seen, texts)), texts, first):
+    of = classes.select("cls", "label", "row").join(first, F.col("row") == F.col("node"), "left").select(
+        "cls", "label", F.coalesce("comp", "row").alias("comp"))
+    for comp in _resolve(_by_difference(seen, pairs.count()).unionByName(_by_fine_bands(seen, texts)), texts, first):
         of = _merged(of, comp)
     least = of.groupBy("comp").agg(F.min("label").alias("first"))
     groups = common.stored(of.join(least, "comp").select("cls", "first"), "groups")
