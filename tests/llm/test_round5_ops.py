@@ -1,4 +1,5 @@
-"""Near-duplicates move only the texts they compare, and small tables in few tasks."""
+"""Near-duplicates move only the texts they compare, small tables take few tasks,
+the style tree stores its counts once."""
 
 from __future__ import annotations
 
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from test_round3_ops import brute_components, edited
-from tierwise.llm import common, near_dup
+from tierwise.llm import common, near_dup, site_style_tree
 
 
 def test_rounds_read_the_texts_of_open_pairs_only(spark, monkeypatch):
@@ -53,3 +54,18 @@ def test_small_tables_take_few_tasks(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_pages_are_counted_in_one_stored_table(spark, monkeypatch):
+    """Beside the parsed pages and the answer, the tree stores its counts, its
+    template and what goes; copies of a page and repeats on it count once."""
+    made = []
+    stored = common.stored
+    monkeypatch.setattr(common, "stored", lambda df, name: made.append(name) or stored(df, name))
+    page = "<body><div class=x>menu</div><div class=x>menu</div><div class=y>text number {}</div>"
+    rows = [(i, f"http://h.example/{i}", page.format(i // 2)) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in site_style_tree.extract(pages).collect()} == {i: f"text number {i // 2}" for i in range(12)}
+    assert made == ["parsed-pages", "text-counts", "template", "removals"]
+    counts = site_style_tree.text_counts(site_style_tree.node_texts(site_style_tree.parsed(pages)))
+    assert sorted((r.text is None, r.n) for r in counts.collect()) == [(False, 1)] * 6 + [(False, 6)] + [(True, 6)] * 2

@@ -25,7 +25,7 @@ class, id or as a form is content all the same, unless comments or adverts
 enclose it or the page has an article outside.
 
 Each page is parsed once, into a stored row of its blocks.  Text counts are
-summed by Spark per (host, node, text), so a host with a third of all pages is
+summed by Spark per (host, node, text) and stored once, so a host with a third of all pages is
 reduced map-side; the removable nodes and texts are joined to the blocks of the
 pages (by a broadcast while they are few, counted, else by a shuffle), and a page
 gets the places of its own blocks that go.
@@ -278,32 +278,57 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 def node_texts(done: DataFrame) -> DataFrame:
     """``host``, ``page``, ``node``, ``text`` (hash) of the blocks that the tree
-    is built from; stored."""
+    is built from; repeats included."""
     each = done.select("host", "page", F.explode(F.arrays_zip("nodes", "hashes")).alias("b"))
-    return common.stored(each.select("host", "page", F.col("b.nodes").alias("node"), F.col("b.hashes").alias("text")).distinct(), "nodes")
+    return each.select("host", "page", F.col("b.nodes").alias("node"), F.col("b.hashes").alias("text"))
 
 
-def importance(seen: DataFrame) -> DataFrame:
-    """``host``, ``node``, ``pages``, ``importance`` of :func:`node_texts`."""
-    m = seen.select("host", "node", "page").distinct().groupBy("host", "node").agg(F.count("*").alias("pages"))
-    spread = (seen.groupBy("host", "node", "text").agg(F.count("*").alias("n"))
-              .groupBy("host", "node").agg(F.count("*").alias("texts"), F.sum(F.col("n") * F.log("n")).alias("e"), F.sum("n").alias("all")))
+def text_counts(seen: DataFrame) -> DataFrame:
+    """``host``, ``node``, ``text``, ``n`` of :func:`node_texts`; stored: on how
+    many distinct pages the node has the text, and where ``text`` is null, on how
+    many it has any."""
+    rows = seen.count()
+    # A node's texts on one page are one row: its pages need no grouping of their own.
+    per_page = common.few(seen.groupBy("host", "page", "node").agg(F.collect_set("text").alias("texts")), rows)
+    each = per_page.select("host", "node", F.explode(F.concat(F.array(F.lit(None).cast("long")), "texts")).alias("text"))
+    return common.stored(common.few(each.groupBy("host", "node", "text").agg(F.count("*").alias("n")), rows), "text-counts")
+
+
+def _nodes(counts: DataFrame) -> DataFrame:
+    """``host``, ``node``, ``pages``, ``importance`` of :func:`text_counts`."""
+    n = F.when(F.col("text").isNotNull(), F.col("n"))
+    spread = counts.groupBy("host", "node").agg(
+        F.max(F.when(F.col("text").isNull(), F.col("n"))).alias("pages"), F.sum(n * F.log(n)).alias("e"), F.sum(n).alias("all"))
     # Mean over occurrences of log(pages with the text) / log(pages).
     entropy = F.when(F.col("pages") > 1, F.col("e") / F.col("all") / F.log("pages")).otherwise(0.0)
-    return m.join(spread, ["host", "node"]).select("host", "node", "pages", (1 - entropy).alias("importance"))
+    return spread.select("host", "node", "pages", (1 - entropy).alias("importance"))
+
+
+def importance(seen: DataFrame) -> DataFrame:
+    """``host``, ``node``, ``pages``, ``importance`` of :func:`node_texts`."""
+    return _nodes(text_counts(seen))
 
 
-def repeated_texts(seen: DataFrame, nodes: DataFrame) -> DataFrame:
+def repeated_texts(counts: DataFrame, nodes: DataFrame) -> DataFrame:
     """``host``, ``node``, ``text``, ``sure``: texts that come with so many of
     their node's pages that their own importance is low though the node's is
     not; ``sure`` where the node's other texts differ from page to page."""
     least = math.ceil(LEAST_PAGES ** (1 - LEAST_IMPORTANCE))
-    counted = seen.groupBy("host", "node", "text").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    counted = counts.where(F.col("text").isNotNull() & (F.col("n") >= least))
     return (counted.join(nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") >= LEAST_IMPORTANCE)), ["host", "node"])
             .where(1 - F.log("n") / F.log("pages") < LEAST_IMPORTANCE)
             .select("host", "node", "text", (F.col("importance") >= SURE_IMPORTANCE).alias("sure")))
 
 
+def template(counts: DataFrame) -> DataFrame:
+    """The :func:`repeated_texts`, and the unimportant nodes with a null ``text``;
+    stored."""
+    nodes = _nodes(counts)
+    low = (nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
+           .select("host", "node", F.lit(None).cast("long").alias("text"), F.lit(None).cast("boolean").alias("sure")))
+    return common.stored(common.few(low.unionByName(repeated_texts(counts, nodes)), counts.count()), "template")
+
+
 def main_text(html: str | None, low: frozenset[int], repeated: dict[tuple[int, int], bool] | None = None) -> str:
     """The blocks of one page that belong to its main text.  ``low``: nodes,
     ``repeated``: (node, text) -> sure."""
@@ -322,15 +347,14 @@ def main_text(html: str | None, low: frozenset[int], repeated: dict[tuple[int, i
     return "\n\n".join(b.text for b in found if stays(b))
 
 
-def removals(done: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
+def removals(done: DataFrame, gone: DataFrame) -> DataFrame:
     """``row`` and ``drop``, the places of the blocks that go, of every page that
-    loses some: blocks of unimportant nodes and texts, but for an article's plain
-    ones, which go with sure texts only."""
+    loses some: blocks of unimportant nodes and texts (:func:`template`), but for
+    an article's plain ones, which go with sure texts only."""
     each = done.select("row", "host", F.posexplode(F.arrays_zip("nodes", "hashes", "main", "exempt")).alias("at", "b"))
     each = (each.select("row", "host", "at", F.col("b.nodes").alias("node"), F.col("b.hashes").alias("text"),
                         F.col("b.main").alias("main"), F.col("b.exempt").alias("exempt")).where("main").drop("main"))
-    low = nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("host", "node")
-    low, repeated = common.stored(low, "low-nodes"), common.stored(repeated, "repeated-texts")
+    low, repeated = gone.where("text is null").select("host", "node"), gone.where("text is not null")
     by_node = each.where("not exempt").join(common.fit_to_broadcast(low, BROADCAST_ROWS), ["host", "node"]).select("row", "at")
     by_text = (each.join(common.fit_to_broadcast(repeated, BROADCAST_ROWS), ["host", "node", "text"])
                .where("sure or not exempt").select("row", "at"))
@@ -341,9 +365,8 @@ def removals(done: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFram
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url`` and the main ``text`` of every page."""
     done = parsed(pages)
-    seen = node_texts(done)
-    nodes = common.stored(importance(seen), "importance")
-    gone = common.stored(removals(done, nodes, repeated_texts(seen, nodes)), "removals")
+    gone = removals(done, template(text_counts(node_texts(done))))
+    gone = common.stored(common.few(gone, done.count()), "removals")
     left = done.select("row", "page_id", "url", "main", "texts").join(common.fit_to_broadcast(gone, BROADCAST_ROWS), "row", "left")
     stays = lambda t, i: F.get("main", i) & (F.col("drop").isNull() | ~F.array_contains("drop", i))
     return left.select("page_id", "url", F.array_join(F.filter("texts", stays), "\n\n").alias("text"))
