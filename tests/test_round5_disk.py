@@ -1,0 +1,106 @@
+"""What a layered run holds on disk besides the tables of its version."""
+
+import datetime as dt
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierwise.plans import layered_run, run_queries
+from tierwise.plans.oracle import RUN_TS, SPINE_AS_OF
+from tierwise.session import SHUFFLE_CLEANUP, scratch_path, shuffles_removed
+from tierwise.sources import sinks, versions
+from tierwise.sources.testdata import bronze_budgets, bronze_change_orders, bronze_contracts, corrected
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    """orders, lineitem and events of 60 contracts."""
+    day = dt.datetime(1995, 1, 15)
+    orders = [(o, o % 7, "OFP"[o % 3], 100.0 + o, day + dt.timedelta(days=9 * o), "3-MEDIUM") for o in range(1, 61)]
+    lines = [(o, n, 5.0, 40.0 + n, 0.05, 0.02, "RAN"[n % 3], "OF"[n % 2], day + dt.timedelta(days=9 * o + n))
+             for o in range(1, 61) for n in range(1, 4)]
+    events = [(e, dt.datetime(2023, 5, 1) + dt.timedelta(hours=e), e % 20, ("purchase", "view", "error")[e % 3], e / 4) for e in range(1, 91)]
+    return {"orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                                    "o_orderdate timestamp_ntz, o_orderpriority string"),
+            "lineitem": spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                                                     "l_shipdate timestamp_ntz"),
+            "events": spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")}
+
+
+def _frames(raw):
+    return bronze_contracts(raw["orders"]), bronze_budgets(raw["lineitem"]), bronze_change_orders(raw["events"])
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def _left(spark, before: set[str]) -> set[str]:
+    """New shuffle files; removing them is asynchronous."""
+    for _ in range(60):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.5)
+    return left
+
+
+def test_run_keeps_no_shuffles_rollups_or_input(spark, raw):
+    src = run_queries._deliver(spark, corrected(*_frames(raw)), scratch_path(spark, "delivery"))
+    seen = []
+
+    def loaded():
+        seen.append(spark.conf.get(SHUFFLE_CLEANUP))
+        versions.delete(spark, src)
+
+    before, setting = _shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    res = layered_run.run_layers(spark, src, scratch_path(spark, "disk-run"), run_ts=RUN_TS, as_of=SPINE_AS_OF, loaded=loaded)
+    assert res.published and seen == ["true"] and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert not _left(spark, before)
+    # No table of the version is lost with the rollups.
+    assert not versions.exists(spark, f"{res.version}/rollup") and not any(n.startswith("rollup") for n in res.tables)
+    published = versions.current(spark, res.root)
+    assert published == res.tables and len(published) == 3 + 3 + 5 + 1
+    rows = {n: layered_run.published_table(spark, res.root, n).count() for n in published}
+    assert rows["bronze.budgets"] == rows["silver.budgets_silver"] == 180
+    assert rows["bronze.co"] == rows["silver.change_orders_silver"] == 90
+    assert rows["gold.project_analytics"] == 60
+
+
+def test_failed_run_restores_the_setting(spark):
+    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with pytest.raises(FileNotFoundError):
+        layered_run.run_layers(spark, scratch_path(spark, "nothing"), scratch_path(spark, "disk-run"))
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    with shuffles_removed(spark), shuffles_removed(spark):
+        pass
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_query_drops_each_delivery(spark, raw, monkeypatch, tmp_path):
+    for name, df in raw.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    made = []
+    monkeypatch.setattr(run_queries, "scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    rows = run_queries.q_layered_run_publish(spark, str(tmp_path)).collect()
+    deliveries = [p for p in made if "/delivery-" in p]
+    assert len(deliveries) == 2 and not any(versions.exists(spark, p) for p in deliveries)
+    # Both versions stay: the published one and the rejected one.
+    root = next(p for p in made if "/published-run-" in p)
+    fs, p = versions.filesystem(spark, f"{root}/_versions")
+    assert len(fs.listStatus(p)) == 2
+    assert {(r.run, r.published, r.gold_rows) for r in rows} == {(1, True, 60), (2, False, 60)}
+
+
+def test_compressed_delivery_is_read_back_whole(spark, raw):
+    # Quotes, newlines and blanks too, in files of a few rows each.
+    odd = bronze_budgets(raw["lineitem"]).withColumn("name", F.concat("name", F.lit(' "a"\nb, ')))
+    path = sinks.write_csv(odd.coalesce(1), scratch_path(spark, "gz"), "gzip", 25)
+    fs, p = versions.filesystem(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
+    assert len(names) == 8 and all(n.endswith(".csv.gz") for n in names)
+    from tierwise.sources.bronze import read_budgets_csv
+    back = read_budgets_csv(spark, path)
+    assert back.exceptAll(odd).isEmpty() and odd.exceptAll(back).isEmpty()
