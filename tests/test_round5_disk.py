@@ -1,6 +1,7 @@
 """What a layered run holds on disk besides the tables of its version."""
 
 import datetime as dt
+import threading
 import time
 
 import pytest
@@ -104,3 +105,23 @@ def test_compressed_delivery_is_read_back_whole(spark, raw):
     from tierwise.sources.bronze import read_budgets_csv
     back = read_budgets_csv(spark, path)
     assert back.exceptAll(odd).isEmpty() and odd.exceptAll(back).isEmpty()
+
+
+def test_publishers_at_one_instant_do_not_overwrite(spark):
+    for _ in range(20):
+        root, go, numbers = scratch_path(spark, "turns"), threading.Barrier(2), []
+
+        def publish(k, root=root, go=go, numbers=numbers):
+            go.wait()
+            numbers.append(versions.publish(spark, root, {"x": f"{root}/_versions/{k}/x"}))
+
+        threads = [threading.Thread(target=publish, args=(k,)) for k in range(2)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        assert sorted(numbers) == [1, 2]
+        assert {versions.read_file(spark, f"{root}/_pointer/{n}") for n in numbers} == \
+            {f'{{"x": "_versions/{k}/x"}}' for k in range(2)}
+        fs, p = versions.filesystem(spark, f"{root}/_pointer")
+        assert len(fs.listStatus(p)) == 2
